@@ -1,0 +1,177 @@
+"""Three ledgers derived from an ``orders`` table, to exercise the operators at any size.
+
+Everything is a projection of one scan of ``orders``: each order is expanded into the rows it gives in the
+ledger. No shuffle, no random numbers. The remainders below are fixed values; each one plants one kind of
+fault (stray spaces, missing postings, late or wrong amounts, second postings, and so on).
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..config import MONEY
+from .scan import scan_parquet
+
+
+def _base(spark: SparkSession, sf_dir: str) -> DataFrame:
+    order_key = F.col("o_orderkey")
+    factor = F.when(order_key % 97 == 0, 20).otherwise(1)
+    return scan_parquet(spark, f"{sf_dir}/orders.parquet").select(
+        order_key.alias("k"),
+        F.col("o_custkey").alias("ck"),
+        F.col("o_orderdate").cast("date").alias("d"),
+        F.lower(F.substring("o_orderpriority", 3, 100)).alias("cat"),
+        (F.col("o_totalprice").cast(MONEY) * factor).cast(MONEY).alias("net"),
+    )
+
+
+def _padded(number: Column, width: int) -> Column:
+    """Zero-padded to ``width`` digits; longer numbers keep all of theirs."""
+    text = number.cast("string")
+    return F.lpad(text, F.greatest(F.lit(width), F.length(text)), F.lit("0"))
+
+
+def _id(prefix: str) -> Column:
+    return F.concat(F.lit(prefix), _padded(F.col("k"), 7))
+
+
+def _day(offset: Column | int = 0) -> Column:
+    shift = F.lit(offset) if isinstance(offset, int) else offset.cast("int")
+    return F.date_add("d", shift).cast("string")
+
+
+def _left(divisor: int, remainder: int) -> Column:
+    return F.col("k") % divisor == remainder
+
+
+def _money(amount: Column) -> Column:
+    return amount.cast(MONEY)
+
+
+def _times(factor: str) -> Column:
+    """``net`` times an exact factor, to two places."""
+    return _money(F.col("net") * F.lit(factor).cast("decimal(4,2)"))
+
+
+def _rows(base: DataFrame, *rows: tuple[Column | None, dict[str, Column]]) -> DataFrame:
+    """Expand each order into the rows whose condition holds (None: always)."""
+    entries = []
+    for condition, fields in rows:
+        entry = F.struct(*(value.alias(name) for name, value in fields.items()))
+        entries.append(entry if condition is None else F.when(condition, entry))
+    return base.select(F.inline(F.array_compact(F.array(*entries))))
+
+
+def sales_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k, net = F.col("k"), F.col("net")
+    text = F.lit(None).cast("string")
+    subscription = _left(4, 1)
+    shared = {
+        "customer_id": F.concat(F.lit(" c"), _padded(F.col("ck"), 6)),
+        "product_code": F.concat(F.lit("P"), _padded(F.col("ck") % 50 + 1, 3)),
+        "transaction_date": _day(),
+        "quantity": (k % 10 + 1).cast("int"),
+        "unit_price": _money(net / (k % 10 + 1)),
+        "gross_revenue": _times("1.20"),
+        "tax_amount": _money(_times("1.20") - net),
+    }
+    current = shared | {
+        "transaction_id": F.when(_left(11, 0), F.concat(F.lit("  "), _id("TXN-"), F.lit(" ")))
+        .otherwise(_id("TXN-")),
+        "product_category": F.when(_left(53, 17), text).otherwise(F.concat(F.lit(" "), F.col("cat"))),
+        "net_revenue": F.when(_left(59, 19), F.lit(None).cast(MONEY)).otherwise(net),
+        "service_start_date": F.when(subscription, _day()),
+        "service_end_date": F.when(subscription, _day(365)),
+        "source_system": F.lit("SYSTEM_A"),
+        "last_modified_date": F.concat(_day(k % 28), F.lit(" 09:00:00")),
+    }
+    superseded = shared | {
+        "transaction_id": _id("TXN-"),
+        "product_category": F.col("cat"),
+        "net_revenue": _money(net - F.lit("1.00").cast(MONEY)),
+        "service_start_date": text,
+        "service_end_date": text,
+        "source_system": F.lit("SYSTEM_B"),
+        "last_modified_date": F.concat(_day(-1), F.lit(" 09:00:00")),
+    }
+    order = [
+        "transaction_id", "customer_id", "product_code", "product_category", "transaction_date",
+        "quantity", "unit_price", "gross_revenue", "net_revenue", "tax_amount", "service_start_date",
+        "service_end_date", "source_system", "last_modified_date",
+    ]
+    return _rows(
+        _base(spark, sf_dir),
+        (None, {name: current[name] for name in order}),
+        (_left(50, 0), {name: superseded[name] for name in order}),
+    )
+
+
+def gl_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k = F.col("k")
+
+    def posting(account: str, day: Column, net: Column, journal: str) -> dict[str, Column]:
+        return {
+            "journal_id": _id(journal),
+            "source_reference": _id("TXN-"),
+            "account_type": F.lit(account),
+            "posting_date": day,
+            "net_amount": net,
+            "posted_by": F.when(_left(10, 0), F.lit("manual")).otherwise(F.lit("auto_post")),
+        }
+
+    wrong = F.when(_left(50, 3), _times("1.03")).otherwise(F.col("net"))
+    late = _day(F.when(_left(41, 5), 9).otherwise(k % 4))
+    postings = _rows(
+        _base(spark, sf_dir),
+        (~_left(33, 7), posting("REVENUE", late, wrong, "JNL-")),
+        (_left(9, 2), posting("VAT", _day(), _times("0.20"), "JNV-")),
+        (_left(7, 1), posting("REVENUE", _day(k % 4), F.lit("0.01").cast(MONEY), "JN2-")),
+        (_left(61, 10), posting("REVENUE", _day(4), F.lit("5.00").cast(MONEY), "JN3-")),
+    )
+    return postings.withColumn("debit_amount", _gross("net_amount")).select(
+        F.concat(F.lit("GL-"), F.substring("journal_id", 3, 100)).alias("posting_id"),
+        "journal_id",
+        "source_reference",
+        "account_type",
+        "posting_date",
+        "debit_amount",
+        "net_amount",
+        _money(F.col("debit_amount") - F.col("net_amount")).alias("tax_posted"),
+        "posted_by",
+    )
+
+
+def _gross(net: str) -> Column:
+    return _money(F.col(net) * F.lit("1.20").cast("decimal(4,2)"))
+
+
+def bank_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k, net = F.col("k"), F.col("net")
+
+    def settlement(prefix: str, day: Column, settled: Column, fee: Column, method: Column):
+        return {
+            "settlement_id": _id(prefix),
+            "reference_id": _id("TXN-"),
+            "settlement_date": day,
+            "settled_amount": settled,
+            "fee_deducted": fee,
+            "payment_method": method,
+        }
+
+    short = (
+        F.when(_left(53, 4), F.lit("1.25").cast(MONEY))
+        .when(_left(50, 3) & _left(4, 1), F.lit(0).cast(MONEY))
+        .when(_left(50, 3), -_times("0.03"))
+        .otherwise(F.lit(0).cast(MONEY))
+    )
+    method = F.when(_left(3, 0), "CARD").when(_left(3, 1), "BACS").otherwise("CHAPS")
+    main = settlement("BNK-", _day(k % 5 + 1), _money(net - short), _times("0.01"), method)
+    second = settlement(
+        "BN2-", _day(6), F.lit("2.50").cast(MONEY), F.lit("0.03").cast(MONEY), F.lit("BACS")
+    )
+    return _rows(_base(spark, sf_dir), (~_left(45, 8), main), (_left(71, 12), second))
+
+
+def ledgers(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    return sales_ledger(spark, sf_dir), gl_ledger(spark, sf_dir), bank_ledger(spark, sf_dir)

@@ -1,0 +1 @@
+"""Nothing here streams: every operator of this package is a batch operator, run again per period."""
