@@ -15,24 +15,35 @@ from .versions import latest_version, newest_first
 def tidy_sales(df: DataFrame, columns: SalesColumns = SalesColumns()) -> DataFrame:
     """Sales with trimmed keys, upper-case customer and category, real dates and complete amounts."""
     c = columns
-    return df.withColumns(
-        {
-            c.key: clean_text(c.key),
-            c.customer: clean_text(c.customer, upper=True),
-            c.category: clean_text(c.category, upper=True),
-            c.date: as_date(df, c.date),
-            c.gross: money(c.gross, default=0),
-            c.net: money(c.net, default=0),
-            c.tax: money(c.tax, default=0),
-        }
-    )
+    cleaned = {
+        c.key: clean_text(c.key),
+        c.customer: clean_text(c.customer, upper=True),
+        c.category: clean_text(c.category, upper=True),
+        c.date: as_date(df, c.date),
+        c.gross: money(c.gross, default=0),
+        c.net: money(c.net, default=0),
+    }
+    if c.tax in df.columns:
+        cleaned[c.tax] = money(c.tax, default=0)
+    return df.withColumns(cleaned)
+
+
+def reconciled_columns(columns: SalesColumns = SalesColumns()) -> list[str]:
+    """The sales columns that reconciliation reads. Reading no others halves the scan and the shuffle."""
+    c = columns
+    return [c.key, c.modified, c.net, c.gross, c.customer, c.category, c.date]
 
 
 def sales_order(df: DataFrame, columns: SalesColumns = SalesColumns()) -> list[Column]:
-    """Newest version first; among equally new ones the largest net, then the remaining columns."""
-    fixed = (columns.key, columns.modified, columns.net)
-    others = [name for name in df.columns if name not in fixed]
-    return newest_first(columns.modified, (columns.net, *others))
+    """Newest version first; among equally new ones the largest net, then the remaining columns.
+
+    The columns that reconciliation reads come first, so that it picks the same version from a frame of
+    those columns alone.
+    """
+    _, modified, *first = reconciled_columns(columns)
+    ties = [name for name in first if name in df.columns]
+    others = [name for name in df.columns if name not in (columns.key, modified, *ties)]
+    return newest_first(modified, (*ties, *others))
 
 
 def cleanse_sales(

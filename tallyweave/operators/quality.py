@@ -7,7 +7,7 @@ that a hot key or a group of copies is folded together before the shuffle.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -212,11 +212,17 @@ def quality_gate(
     The error names the first such column in the order listed. NULLs of later columns are only reported.
     """
     card = settle(quality_scorecard(df, name, columns, dates, amounts, blank_is_null))
+    return enforce(card, {name: columns[:gated]})
+
+
+def enforce(card: DataFrame, gated: Mapping[str, Sequence[str]]) -> DataFrame:
+    """Pass on a computed scorecard, or raise if a gated column of one of its tables has NULLs."""
     # At most one row per gated column comes to the driver.
-    faults = card.filter(
-        (F.col("check") == "nulls") & F.col("column_name").isin(*columns[:gated]) & (F.col("rows") > 0)
-    ).collect()
-    _raise_first(name, columns[:gated], {row["column_name"]: row["rows"] for row in faults})
+    wanted = {(table, column) for table, columns in gated.items() for column in columns}
+    faults = card.filter((F.col("check") == "nulls") & (F.col("rows") > 0)).collect()
+    found = {(row["table_name"], row["column_name"]): row["rows"] for row in faults}
+    for table, columns in gated.items():
+        _raise_first(table, columns, {c: found[t, c] for t, c in wanted & found.keys() if t == table})
     return card
 
 

@@ -49,8 +49,8 @@ from ..operators.summary import (
     total_unreconciled,
 )
 from ..sources import ingest_audit, scan_parquet, scratch_path, stage, write_csv, write_table
-from ..sources.derived import bank_ledger, gl_ledger, ledgers, sales_ledger
-from .reconciliation import process, reconcile
+from ..sources.derived import bank_ledger, gl_ledger, ledgers, order_base, sales_ledger
+from .reconciliation import cleanse_all, process, reconcile
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -92,23 +92,23 @@ def scan(spark, sf_dir):
 
 
 def audit(spark, sf_dir):
-    sales, gl, bank = ledgers(spark, sf_dir)
+    sales, gl, bank = ledgers(order_base(spark, sf_dir))
     return ingest_audit({"sales": sales, "gl": gl, "bank": bank})
 
 
 def period_filter(spark, sf_dir):
-    sales = sales_ledger(spark, sf_dir)
+    sales = sales_ledger(order_base(spark, sf_dir))
     kept = sales.filter(in_year(sales, "transaction_date", YEAR))
     return kept.select("transaction_id", "transaction_date", "source_system")
 
 
 def account_filter(spark, sf_dir):
-    gl = gl_ledger(spark, sf_dir).filter(F.col("account_type") == CONFIG.account_type)
+    gl = gl_ledger(order_base(spark, sf_dir)).filter(F.col("account_type") == CONFIG.account_type)
     return gl.select("posting_id", "source_reference", "account_type", "net_amount")
 
 
 def scalar_string_clean(spark, sf_dir):
-    return sales_ledger(spark, sf_dir).select(
+    return sales_ledger(order_base(spark, sf_dir)).select(
         clean_text("transaction_id").alias("transaction_id"),
         clean_text("customer_id", upper=True).alias("customer_id"),
         clean_text("product_category", upper=True).alias("product_category"),
@@ -117,7 +117,7 @@ def scalar_string_clean(spark, sf_dir):
 
 
 def scalar_dates(spark, sf_dir):
-    sales = sales_ledger(spark, sf_dir)
+    sales = sales_ledger(order_base(spark, sf_dir))
     dated = sales.select(
         "transaction_id",
         "source_system",
@@ -134,7 +134,7 @@ def scalar_dates(spark, sf_dir):
 
 
 def scalar_money(spark, sf_dir):
-    return sales_ledger(spark, sf_dir).select(
+    return sales_ledger(order_base(spark, sf_dir)).select(
         "transaction_id",
         "source_system",
         money("net_revenue", default=0).alias("net_revenue"),
@@ -147,50 +147,51 @@ def scalar_money(spark, sf_dir):
 
 
 def row_number_rank(spark, sf_dir):
-    tidy = tidy_sales(sales_ledger(spark, sf_dir))
+    tidy = tidy_sales(sales_ledger(order_base(spark, sf_dir)))
     in_period = tidy.filter(in_year(tidy, "transaction_date", YEAR))
     narrow = in_period.select("transaction_id", "last_modified_date", "net_revenue", "source_system")
     return number_versions(narrow, ["transaction_id"], sales_order(narrow))
 
 
 def dedup_latest(spark, sf_dir):
-    tidy = tidy_sales(sales_ledger(spark, sf_dir))
+    tidy = tidy_sales(sales_ledger(order_base(spark, sf_dir)))
     kept = latest_version(tidy, ["transaction_id"], sales_order(tidy))
     return kept.select("transaction_id", "last_modified_date", "net_revenue", "source_system")
 
 
 def distinct_rows(spark, sf_dir):
-    sales = sales_ledger(spark, sf_dir)
+    sales = sales_ledger(order_base(spark, sf_dir))
     return sales.select(
         "transaction_id", "net_revenue", "gross_revenue", "tax_amount", "transaction_date"
     ).distinct()
 
 
 def sales_clean(spark, sf_dir):
-    return cleanse_sales(sales_ledger(spark, sf_dir), YEAR)
+    return cleanse_sales(sales_ledger(order_base(spark, sf_dir)), YEAR)
 
 
 def gl_clean(spark, sf_dir):
-    return cleanse_gl(gl_ledger(spark, sf_dir), YEAR)
+    return cleanse_gl(gl_ledger(order_base(spark, sf_dir)), YEAR)
 
 
 def bank_clean(spark, sf_dir):
-    return cleanse_bank(bank_ledger(spark, sf_dir), YEAR)
+    return cleanse_bank(bank_ledger(order_base(spark, sf_dir)), YEAR)
 
 
 def gl_rolled(spark, sf_dir):
-    return gl_rollup(gl_ledger(spark, sf_dir))
+    return gl_rollup(gl_ledger(order_base(spark, sf_dir)))
 
 
 def bank_rolled(spark, sf_dir):
-    return bank_rollup(bank_ledger(spark, sf_dir))
+    return bank_rollup(bank_ledger(order_base(spark, sf_dir)))
 
 
 # ---- reconciliation
 
 
 def left_join_gl(spark, sf_dir):
-    joined = join_gl(sales_clean(spark, sf_dir), gl_clean(spark, sf_dir))
+    sales, gl, _ = cleanse_all(ledgers(order_base(spark, sf_dir)), CONFIG)
+    joined = join_gl(sales, gl)
     return joined.select(
         "transaction_id", "transaction_date", "net_revenue", "posting_date", "gl_net_amount",
         "gl_gross_amount", "gl_tax_amount", "journal_count",
@@ -198,9 +199,7 @@ def left_join_gl(spark, sf_dir):
 
 
 def _joined(spark, sf_dir):
-    return join_ledgers(
-        sales_clean(spark, sf_dir), gl_clean(spark, sf_dir), bank_clean(spark, sf_dir)
-    )
+    return join_ledgers(*cleanse_all(ledgers(order_base(spark, sf_dir)), CONFIG))
 
 
 ROW_KEY = ["transaction_id", "posting_date", "settlement_date"]
@@ -217,7 +216,7 @@ def recon_lags(spark, sf_dir):
 
 
 def _reconciled(spark, sf_dir):
-    return reconcile(ledgers(spark, sf_dir), CONFIG)
+    return reconcile(ledgers(order_base(spark, sf_dir)), CONFIG)
 
 
 def recon_status(spark, sf_dir):
@@ -289,12 +288,12 @@ def ratings(spark, sf_dir):
 
 
 def pipeline_reconciled(spark, sf_dir):
-    _, scored = process(ledgers(spark, sf_dir), CONFIG)
+    _, scored = process(ledgers(order_base(spark, sf_dir)), CONFIG)
     return _round(scored, mean_val=3, std_val=3)
 
 
 def pipeline_summary(spark, sf_dir):
-    _, scored = process(ledgers(spark, sf_dir), CONFIG)
+    _, scored = process(ledgers(order_base(spark, sf_dir)), CONFIG)
     return monthly_summary(scored)
 
 
@@ -336,7 +335,7 @@ def profile(spark, sf_dir):
 
 
 def scorecard(spark, sf_dir):
-    sales = sales_ledger(spark, sf_dir)
+    sales = sales_ledger(order_base(spark, sf_dir))
     return quality_scorecard(
         sales,
         "Sales",

@@ -8,14 +8,21 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 
 from ..config import JobConfig
+from ..functions import col
 from ..operators.anomaly import detect_anomalies
-from ..operators.cleanse import cleanse_bank, cleanse_gl, cleanse_sales, per_reference
-from ..operators.quality import quality_gate
+from ..operators.cleanse import (
+    cleanse_bank,
+    cleanse_gl,
+    cleanse_sales,
+    per_reference,
+    reconciled_columns,
+)
+from ..operators.quality import enforce, quality_scorecard
 from ..operators.reconcile import three_way_reconciliation
 from ..operators.summary import monthly_summary
 from ..sources.scan import load_ledgers
 from ..sources.sinks import refuse_overlap, write_csv, write_table
-from ..sources.staging import stage
+from ..sources.staging import settle, stage
 
 Ledgers = tuple[DataFrame, DataFrame, DataFrame]
 
@@ -30,7 +37,7 @@ class JobResult:
 
 
 def gate_all(ledgers: Ledgers, config: JobConfig) -> DataFrame:
-    """Scorecards of the three raw ledgers in one frame; raises on NULLs in their gated columns."""
+    """Scorecards of the three raw ledgers, computed in one job; raises on NULLs in their gated columns."""
     sales, gl, bank = ledgers
     s, g, b = config.sales, config.gl, config.bank
     checks = [
@@ -39,10 +46,11 @@ def gate_all(ledgers: Ledgers, config: JobConfig) -> DataFrame:
         (bank, "Bank", [b.reference, b.settled], [b.date], [b.settled, b.fee]),
     ]
     cards = [
-        quality_gate(df, name, columns, config.gated_columns, dates, amounts, config.blank_is_null)
+        quality_scorecard(df, name, columns, dates, amounts, config.blank_is_null)
         for df, name, columns, dates, amounts in checks
     ]
-    return reduce(DataFrame.unionByName, cards)
+    gated = {name: columns[: config.gated_columns] for _, name, columns, _, _ in checks}
+    return enforce(settle(reduce(DataFrame.unionByName, cards)), gated)
 
 
 def cleanse_all(ledgers: Ledgers, config: JobConfig) -> Ledgers:
@@ -55,7 +63,8 @@ def cleanse_all(ledgers: Ledgers, config: JobConfig) -> Ledgers:
         clean_bank = per_reference(clean_bank, config.bank.reference, config.bank.date)
     elif config.grain != "date":
         raise ValueError(f"grain must be 'date' or 'reference', not {config.grain!r}")
-    return cleanse_sales(sales, config.year, iso, config.sales), clean_gl, clean_bank
+    read = sales.select(*map(col, reconciled_columns(config.sales)))
+    return cleanse_sales(read, config.year, iso, config.sales), clean_gl, clean_bank
 
 
 def reconcile(ledgers: Ledgers, config: JobConfig) -> DataFrame:

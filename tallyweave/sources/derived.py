@@ -14,7 +14,8 @@ from ..config import MONEY
 from .scan import scan_parquet
 
 
-def _base(spark: SparkSession, sf_dir: str) -> DataFrame:
+def order_base(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the ledgers need of each order: key, customer, day, category and net amount."""
     order_key = F.col("o_orderkey")
     factor = F.when(order_key % 97 == 0, 20).otherwise(1)
     return scan_parquet(spark, f"{sf_dir}/orders.parquet").select(
@@ -63,7 +64,7 @@ def _rows(base: DataFrame, *rows: tuple[Column | None, dict[str, Column]]) -> Da
     return base.select(F.inline(F.array_compact(F.array(*entries))))
 
 
-def sales_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+def sales_ledger(base: DataFrame) -> DataFrame:
     k, net = F.col("k"), F.col("net")
     text = F.lit(None).cast("string")
     subscription = _left(4, 1)
@@ -101,13 +102,13 @@ def sales_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
         "service_end_date", "source_system", "last_modified_date",
     ]
     return _rows(
-        _base(spark, sf_dir),
+        base,
         (None, {name: current[name] for name in order}),
         (_left(50, 0), {name: superseded[name] for name in order}),
     )
 
 
-def gl_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+def gl_ledger(base: DataFrame) -> DataFrame:
     k = F.col("k")
 
     def posting(account: str, day: Column, net: Column, journal: str) -> dict[str, Column]:
@@ -123,7 +124,7 @@ def gl_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     wrong = F.when(_left(50, 3), _times("1.03")).otherwise(F.col("net"))
     late = _day(F.when(_left(41, 5), 9).otherwise(k % 4))
     postings = _rows(
-        _base(spark, sf_dir),
+        base,
         (~_left(33, 7), posting("REVENUE", late, wrong, "JNL-")),
         (_left(9, 2), posting("VAT", _day(), _times("0.20"), "JNV-")),
         (_left(7, 1), posting("REVENUE", _day(k % 4), F.lit("0.01").cast(MONEY), "JN2-")),
@@ -146,7 +147,7 @@ def _gross(net: str) -> Column:
     return _money(F.col(net) * F.lit("1.20").cast("decimal(4,2)"))
 
 
-def bank_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+def bank_ledger(base: DataFrame) -> DataFrame:
     k, net = F.col("k"), F.col("net")
 
     def settlement(prefix: str, day: Column, settled: Column, fee: Column, method: Column):
@@ -170,8 +171,8 @@ def bank_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     second = settlement(
         "BN2-", _day(6), F.lit("2.50").cast(MONEY), F.lit("0.03").cast(MONEY), F.lit("BACS")
     )
-    return _rows(_base(spark, sf_dir), (~_left(45, 8), main), (_left(71, 12), second))
+    return _rows(base, (~_left(45, 8), main), (_left(71, 12), second))
 
 
-def ledgers(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    return sales_ledger(spark, sf_dir), gl_ledger(spark, sf_dir), bank_ledger(spark, sf_dir)
+def ledgers(base: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    return sales_ledger(base), gl_ledger(base), bank_ledger(base)
