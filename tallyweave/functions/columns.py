@@ -25,11 +25,13 @@ def clean_text(name: str, upper: bool = False) -> Column:
 def money(name: str, default: int | None = None) -> Column:
     """An amount as decimal(18,2), rounded half up; NULL becomes ``default`` if one is given.
 
-    The cast is a checked one: under Spark's default ANSI mode NaN, infinity and amounts over 16 digits
-    stop the job rather than turn into NULL. The scorecard counts them beforehand as ``unparsable``.
+    NaN, infinity and amounts over 16 digits have no such value. They stop the job rather than turn into
+    NULL and then zero; the scorecard counts them beforehand as ``unparsable``.
     """
     amount = col(name).cast(MONEY)
-    return amount if default is None else F.coalesce(amount, F.lit(default).cast(MONEY))
+    fault = F.concat(F.lit(f"{name} holds an amount that is no money: "), col(name).cast("string"))
+    checked = F.when(col(name).isNotNull() & amount.isNull(), F.raise_error(fault)).otherwise(amount)
+    return checked if default is None else F.coalesce(checked, F.lit(default).cast(MONEY))
 
 
 def outside_range(name: str, low=None, high=None) -> Column:
