@@ -1,8 +1,9 @@
 """Three ledgers derived from an ``orders`` table, to exercise the operators at any size.
 
-Everything is a projection of one scan of ``orders``: each order is expanded into the rows it gives in the
-ledger. No shuffle, no random numbers. The remainders below are fixed values; each one plants one kind of
-fault (stray spaces, missing postings, late or wrong amounts, second postings, and so on).
+Each ledger is a projection of one scan of ``orders``: an order is repeated once per entry that it has in
+the ledger, and the columns are computed from the order and the number of the entry. No shuffle, no random
+numbers, and columns that a query does not read are not computed. The remainders below are fixed values;
+each plants one kind of fault (stray spaces, missing postings, late or wrong amounts, second postings).
 """
 
 from __future__ import annotations
@@ -27,151 +28,120 @@ def order_base(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _entries(base: DataFrame, *conditions: Column) -> DataFrame:
+    """Repeat each order for every condition that holds; ``entry`` is the number of the condition."""
+    numbers = [F.when(condition, F.lit(i)) for i, condition in enumerate(conditions)]
+    return base.select("*", F.explode(F.array_compact(F.array(*numbers))).alias("entry"))
+
+
+def _by_entry(*values: Column) -> Column:
+    """The value for the number of the entry; the last one serves all further entries."""
+    chosen = values[-1]
+    for i in reversed(range(len(values) - 1)):
+        chosen = F.when(F.col("entry") == i, values[i]).otherwise(chosen)
+    return chosen
+
+
+def _left(divisor: int, remainder: int) -> Column:
+    return F.col("k") % divisor == remainder
+
+
 def _padded(number: Column, width: int) -> Column:
     """Zero-padded to ``width`` digits; longer numbers keep all of theirs."""
     text = number.cast("string")
     return F.lpad(text, F.greatest(F.lit(width), F.length(text)), F.lit("0"))
 
 
-def _id(prefix: str) -> Column:
-    return F.concat(F.lit(prefix), _padded(F.col("k"), 7))
-
-
 def _day(offset: Column | int = 0) -> Column:
     shift = F.lit(offset) if isinstance(offset, int) else offset.cast("int")
     return F.date_add("d", shift).cast("string")
 
 
-def _left(divisor: int, remainder: int) -> Column:
-    return F.col("k") % divisor == remainder
-
-
-def _money(amount: Column) -> Column:
-    return amount.cast(MONEY)
-
-
-def _times(factor: str) -> Column:
-    """``net`` times an exact factor, to two places."""
-    return _money(F.col("net") * F.lit(factor).cast("decimal(4,2)"))
+def _money(amount: Column | str) -> Column:
+    """An expression, or a constant given as text, as money."""
+    return (F.lit(amount) if isinstance(amount, str) else amount).cast(MONEY)
 
 
-def _rows(base: DataFrame, *rows: tuple[Column | None, dict[str, Column]]) -> DataFrame:
-    """Expand each order into the rows whose condition holds (None: always)."""
-    entries = []
-    for condition, fields in rows:
-        entry = F.struct(*(value.alias(name) for name, value in fields.items()))
-        entries.append(entry if condition is None else F.when(condition, entry))
-    return base.select(F.inline(F.array_compact(F.array(*entries))))
+def _times(amount: str, factor: str) -> Column:
+    """A money column times an exact factor, to two places."""
+    return _money(F.col(amount) * F.lit(factor).cast("decimal(4,2)"))
 
 
 def sales_ledger(base: DataFrame) -> DataFrame:
     k, net = F.col("k"), F.col("net")
-    text = F.lit(None).cast("string")
-    subscription = _left(4, 1)
-    shared = {
-        "customer_id": F.concat(F.lit(" c"), _padded(F.col("ck"), 6)),
-        "product_code": F.concat(F.lit("P"), _padded(F.col("ck") % 50 + 1, 3)),
-        "transaction_date": _day(),
-        "quantity": (k % 10 + 1).cast("int"),
-        "unit_price": _money(net / (k % 10 + 1)),
-        "gross_revenue": _times("1.20"),
-        "tax_amount": _money(_times("1.20") - net),
-    }
-    current = shared | {
-        "transaction_id": F.when(_left(11, 0), F.concat(F.lit("  "), _id("TXN-"), F.lit(" ")))
-        .otherwise(_id("TXN-")),
-        "product_category": F.when(_left(53, 17), text).otherwise(F.concat(F.lit(" "), F.col("cat"))),
-        "net_revenue": F.when(_left(59, 19), F.lit(None).cast(MONEY)).otherwise(net),
-        "service_start_date": F.when(subscription, _day()),
-        "service_end_date": F.when(subscription, _day(365)),
-        "source_system": F.lit("SYSTEM_A"),
-        "last_modified_date": F.concat(_day(k % 28), F.lit(" 09:00:00")),
-    }
-    superseded = shared | {
-        "transaction_id": _id("TXN-"),
-        "product_category": F.col("cat"),
-        "net_revenue": _money(net - F.lit("1.00").cast(MONEY)),
-        "service_start_date": text,
-        "service_end_date": text,
-        "source_system": F.lit("SYSTEM_B"),
-        "last_modified_date": F.concat(_day(-1), F.lit(" 09:00:00")),
-    }
-    order = [
-        "transaction_id", "customer_id", "product_code", "product_category", "transaction_date",
-        "quantity", "unit_price", "gross_revenue", "net_revenue", "tax_amount", "service_start_date",
-        "service_end_date", "source_system", "last_modified_date",
-    ]
-    return _rows(
-        base,
-        (None, {name: current[name] for name in order}),
-        (_left(50, 0), {name: superseded[name] for name in order}),
+    absent = F.lit(None)
+    txn = F.concat(F.lit("TXN-"), _padded(k, 7))
+    spaced = F.when(_left(11, 0), F.concat(F.lit("  "), txn, F.lit(" "))).otherwise(txn)
+    category = F.when(_left(53, 17), absent).otherwise(F.concat(F.lit(" "), F.col("cat")))
+    amount = F.when(_left(59, 19), absent).otherwise(net)
+    subscription = _left(4, 1) & (F.col("entry") == 0)
+    modified = _by_entry(_day(k % 28), _day(-1))
+    # Entry 0 is the current version of a sale, entry 1 an older one with another amount.
+    return _entries(base, F.lit(True), _left(50, 0)).select(
+        _by_entry(spaced, txn).alias("transaction_id"),
+        F.concat(F.lit(" c"), _padded(F.col("ck"), 6)).alias("customer_id"),
+        F.concat(F.lit("P"), _padded(F.col("ck") % 50 + 1, 3)).alias("product_code"),
+        _by_entry(category, F.col("cat")).alias("product_category"),
+        _day().alias("transaction_date"),
+        (k % 10 + 1).cast("int").alias("quantity"),
+        _money(net / (k % 10 + 1)).alias("unit_price"),
+        _times("net", "1.20").alias("gross_revenue"),
+        _by_entry(amount, _money(net - _money("1.00"))).alias("net_revenue"),
+        _money(_times("net", "1.20") - net).alias("tax_amount"),
+        F.when(subscription, _day()).alias("service_start_date"),
+        F.when(subscription, _day(365)).alias("service_end_date"),
+        _by_entry(F.lit("SYSTEM_A"), F.lit("SYSTEM_B")).alias("source_system"),
+        F.concat(modified, F.lit(" 09:00:00")).alias("last_modified_date"),
     )
 
 
 def gl_ledger(base: DataFrame) -> DataFrame:
     k = F.col("k")
-
-    def posting(account: str, day: Column, net: Column, journal: str) -> dict[str, Column]:
-        return {
-            "journal_id": _id(journal),
-            "source_reference": _id("TXN-"),
-            "account_type": F.lit(account),
-            "posting_date": day,
-            "net_amount": net,
-            "posted_by": F.when(_left(10, 0), F.lit("manual")).otherwise(F.lit("auto_post")),
-        }
-
-    wrong = F.when(_left(50, 3), _times("1.03")).otherwise(F.col("net"))
-    late = _day(F.when(_left(41, 5), 9).otherwise(k % 4))
-    postings = _rows(
-        base,
-        (~_left(33, 7), posting("REVENUE", late, wrong, "JNL-")),
-        (_left(9, 2), posting("VAT", _day(), _times("0.20"), "JNV-")),
-        (_left(7, 1), posting("REVENUE", _day(k % 4), F.lit("0.01").cast(MONEY), "JN2-")),
-        (_left(61, 10), posting("REVENUE", _day(4), F.lit("5.00").cast(MONEY), "JN3-")),
+    number = _padded(k, 7)
+    wrong = F.when(_left(50, 3), _times("net", "1.03")).otherwise(F.col("net"))
+    late = F.when(_left(41, 5), 9).otherwise(k % 4)
+    # Entries: the sale itself, its VAT, one more cent the same day, and a second posting date.
+    postings = _entries(base, ~_left(33, 7), _left(9, 2), _left(7, 1), _left(61, 10)).select(
+        F.concat(_by_entry(*map(F.lit, ("JNL-", "JNV-", "JN2-", "JN3-"))), number).alias("journal_id"),
+        F.concat(F.lit("TXN-"), number).alias("source_reference"),
+        _by_entry(F.lit("REVENUE"), F.lit("VAT"), F.lit("REVENUE")).alias("account_type"),
+        _day(_by_entry(late, F.lit(0), k % 4, F.lit(4))).alias("posting_date"),
+        _by_entry(wrong, _times("net", "0.20"), _money("0.01"), _money("5.00")).alias("net_amount"),
+        F.when(_left(10, 0), "manual").otherwise("auto_post").alias("posted_by"),
     )
-    return postings.withColumn("debit_amount", _gross("net_amount")).select(
+    gross = _times("net_amount", "1.20")
+    return postings.select(
         F.concat(F.lit("GL-"), F.substring("journal_id", 3, 100)).alias("posting_id"),
         "journal_id",
         "source_reference",
         "account_type",
         "posting_date",
-        "debit_amount",
+        gross.alias("debit_amount"),
         "net_amount",
-        _money(F.col("debit_amount") - F.col("net_amount")).alias("tax_posted"),
+        _money(gross - F.col("net_amount")).alias("tax_posted"),
         "posted_by",
     )
 
 
-def _gross(net: str) -> Column:
-    return _money(F.col(net) * F.lit("1.20").cast("decimal(4,2)"))
-
-
 def bank_ledger(base: DataFrame) -> DataFrame:
     k, net = F.col("k"), F.col("net")
-
-    def settlement(prefix: str, day: Column, settled: Column, fee: Column, method: Column):
-        return {
-            "settlement_id": _id(prefix),
-            "reference_id": _id("TXN-"),
-            "settlement_date": day,
-            "settled_amount": settled,
-            "fee_deducted": fee,
-            "payment_method": method,
-        }
-
+    number = _padded(k, 7)
     short = (
-        F.when(_left(53, 4), F.lit("1.25").cast(MONEY))
-        .when(_left(50, 3) & _left(4, 1), F.lit(0).cast(MONEY))
-        .when(_left(50, 3), -_times("0.03"))
-        .otherwise(F.lit(0).cast(MONEY))
+        F.when(_left(53, 4), _money("1.25"))
+        .when(_left(50, 3) & _left(4, 1), _money("0"))
+        .when(_left(50, 3), -_times("net", "0.03"))
+        .otherwise(_money("0"))
     )
     method = F.when(_left(3, 0), "CARD").when(_left(3, 1), "BACS").otherwise("CHAPS")
-    main = settlement("BNK-", _day(k % 5 + 1), _money(net - short), _times("0.01"), method)
-    second = settlement(
-        "BN2-", _day(6), F.lit("2.50").cast(MONEY), F.lit("0.03").cast(MONEY), F.lit("BACS")
+    # Entries: the settlement of the sale, and a second one on a later day.
+    return _entries(base, ~_left(45, 8), _left(71, 12)).select(
+        F.concat(_by_entry(F.lit("BNK-"), F.lit("BN2-")), number).alias("settlement_id"),
+        F.concat(F.lit("TXN-"), number).alias("reference_id"),
+        _day(_by_entry(k % 5 + 1, F.lit(6))).alias("settlement_date"),
+        _by_entry(_money(net - short), _money("2.50")).alias("settled_amount"),
+        _by_entry(_times("net", "0.01"), _money("0.03")).alias("fee_deducted"),
+        _by_entry(method, F.lit("BACS")).alias("payment_method"),
     )
-    return _rows(base, (~_left(45, 8), main), (_left(71, 12), second))
 
 
 def ledgers(base: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
