@@ -28,10 +28,11 @@ def money(name: str, default: int | None = None) -> Column:
     NaN, infinity and amounts over 16 digits have no such value. They stop the job rather than turn into
     NULL and then zero; the scorecard counts them beforehand as ``unparsable``.
     """
-    amount = col(name).cast(MONEY)
     fault = F.concat(F.lit(f"{name} holds an amount that is no money: "), col(name).cast("string"))
-    checked = F.when(col(name).isNotNull() & amount.isNull(), F.raise_error(fault)).otherwise(amount)
-    return checked if default is None else F.coalesce(checked, F.lit(default).cast(MONEY))
+    choices = [col(name).cast(MONEY), F.when(col(name).isNotNull(), F.raise_error(fault))]
+    if default is not None:
+        choices.append(F.lit(default).cast(MONEY))
+    return F.coalesce(*choices)
 
 
 def outside_range(name: str, low=None, high=None) -> Column:

@@ -7,11 +7,10 @@ from pyspark.sql import functions as F
 
 from ..functions import col, z_score
 from ..functions.rules import ANOMALY, HIGH, MEDIUM, NONE, NORMAL
-from ..sources.staging import broadcast_if_small, settle
+from ..sources.staging import BROADCAST_BYTES, broadcast_if_small, settle
 
 Z_THRESHOLD = 2.0
 HIGH_MULTIPLE = 2.0
-CATEGORIES_TO_BROADCAST = 100_000
 
 
 def category_stats(
@@ -35,18 +34,18 @@ def with_z_score(
     category: str = "product_category",
     value: str = "source_net",
     null_category: str = "drop",
-    max_broadcast_rows: int = CATEGORIES_TO_BROADCAST,
+    max_broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Each row with the statistics of its category and its z-score, the category column first.
 
-    The statistics are computed once, counted, and broadcast if there are few categories; then the rows
-    are not shuffled at all. ``df`` is read twice, so pass a staged table if it is costly to compute.
+    The statistics are computed once, measured, and broadcast if they are small; then the rows are not
+    shuffled at all. ``df`` is read twice, so pass a staged table if it is costly to compute.
     ``null_category`` "drop" leaves out rows without a category, "keep" scores them as one category.
     """
     if null_category not in ("drop", "keep"):
         raise ValueError(f"null_category must be 'drop' or 'keep', not {null_category!r}")
     kept = df if null_category == "keep" else df.filter(col(category).isNotNull())
-    stats = broadcast_if_small(settle(category_stats(kept, category, value)), max_broadcast_rows)
+    stats = broadcast_if_small(settle(category_stats(kept, category, value)), max_broadcast_bytes)
     stats = stats.withColumnRenamed(category, "__category")
     same = col(category).eqNullSafe(F.col("__category"))
     if null_category == "drop":

@@ -148,6 +148,9 @@ def _unparsable(df: DataFrame, name: str, kind: str) -> Column | None:
     stored = df.schema[name].dataType
     if kind == "date" and isinstance(stored, T.StringType):
         return col(name).isNotNull() & F.try_to_date(col(name)).isNull()
+    if kind == "money" and isinstance(stored, (T.DoubleType, T.FloatType)):
+        # The same numbers as those the cast refuses, without the cost of the cast.
+        return F.isnan(col(name)) | (F.abs(col(name)) >= F.lit(1e16))
     if kind == "money":
         return col(name).isNotNull() & col(name).try_cast(MONEY).isNull()
     return None

@@ -8,6 +8,7 @@ from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from ..functions import col
@@ -17,7 +18,6 @@ from ..sources.staging import broadcast_if_small, settle, stage
 _ENTRY, _SLICE, _HOT, _COUNT, _BEFORE, _RANK = (
     "__entry", "__slice", "__hot", "__count", "__before", "__rank"
 )
-HOT_KEYS_TO_BROADCAST = 500_000
 
 
 def newest_first(version: str, tiebreak: Sequence[str] = ()) -> list[Column]:
@@ -58,7 +58,7 @@ def number_versions(
     if hot.isEmpty():
         return df.withColumn(name, rank)
 
-    marked = _lookup(df, broadcast_if_small(hot, HOT_KEYS_TO_BROADCAST), keys)
+    marked = _lookup(df, broadcast_if_small(hot), keys)
     small = marked.filter(F.col(_HOT).isNull()).drop(_HOT)
     large = marked.filter(F.col(_HOT)).drop(_HOT)
     return small.withColumn(name, rank).unionByName(
@@ -87,15 +87,18 @@ def _quoted(name: str) -> str:
 def _number_in_slices(
     df: DataFrame, keys: Sequence[str], order: Sequence[Column], name: str
 ) -> DataFrame:
-    by = [col(k).asc_nulls_first() for k in keys] + [*order, F.col(_ENTRY)]
-    # Staged, because both readers below must see the same slices and the same entry numbers.
+    # All columns take part in the order, so entry numbers tell apart nothing but identical rows. A task
+    # that is run again may number those differently without any row being lost or doubled.
+    rest = [col(f.name) for f in df.schema.fields if not isinstance(f.dataType, T.MapType)]
+    total = [*order, *rest, F.col(_ENTRY)]
+    # Staged, because both readers below must see the same slices.
     sliced = stage(
         df.withColumn(_ENTRY, F.monotonically_increasing_id())
-        .repartitionByRange(*by)
+        .repartitionByRange(*map(col, keys), *total)
         .withColumn(_SLICE, F.spark_partition_id()),
         "versions",
     )
-    within = Window.partitionBy(_SLICE, *map(col, keys)).orderBy(*order, F.col(_ENTRY))
+    within = Window.partitionBy(_SLICE, *map(col, keys)).orderBy(*total)
     earlier = (
         Window.partitionBy(*map(col, keys))
         .orderBy(_SLICE)
@@ -109,7 +112,7 @@ def _number_in_slices(
         .drop(_COUNT)
     )
     numbered = sliced.withColumn(name, F.row_number().over(within))
-    moved = _lookup(numbered, broadcast_if_small(runs, HOT_KEYS_TO_BROADCAST), [_SLICE, *keys])
+    moved = _lookup(numbered, broadcast_if_small(runs), [_SLICE, *keys])
     return moved.withColumn(name, F.col(name) + F.col(_BEFORE)).drop(
         _ENTRY, _SLICE, _BEFORE
     )

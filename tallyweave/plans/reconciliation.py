@@ -41,9 +41,9 @@ def gate_all(ledgers: Ledgers, config: JobConfig) -> DataFrame:
     sales, gl, bank = ledgers
     s, g, b = config.sales, config.gl, config.bank
     checks = [
-        (sales, "Sales", [s.key, s.net, s.date], [s.date], [s.net, s.gross, s.tax]),
-        (gl, "GL", [g.reference, g.net], [g.date], [g.net, g.gross, g.tax]),
-        (bank, "Bank", [b.reference, b.settled], [b.date], [b.settled, b.fee]),
+        (sales, "Sales", [s.key, s.net, s.date], [s.date], [s.net]),
+        (gl, "GL", [g.reference, g.net], [g.date], [g.net]),
+        (bank, "Bank", [b.reference, b.settled], [b.date], [b.settled]),
     ]
     cards = [
         quality_scorecard(df, name, columns, dates, amounts, config.blank_is_null)

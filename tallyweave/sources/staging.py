@@ -9,11 +9,17 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import reduce
+from operator import add
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from ..functions import col
 
 SHARED_DIR = "spark.checkpoint.dir"
+BROADCAST_BYTES = 64 * 1024 * 1024
 
 
 def _shared_folder(spark: SparkSession) -> str:
@@ -46,10 +52,16 @@ def settle(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def broadcast_if_small(settled: DataFrame, max_rows: int) -> DataFrame:
-    """Mark a settled frame for broadcast if it has at most ``max_rows`` rows.
+def broadcast_if_small(settled: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """Mark a settled frame for broadcast if its values take at most ``max_bytes``.
 
     Beyond that it is returned as it is, and the join shuffles both sides, hot keys being split by
     Spark's skew-join handling.
     """
-    return F.broadcast(settled) if settled.count() <= max_rows else settled
+    sizes = [F.lit(16 * len(settled.columns))]
+    for f in settled.schema.fields:
+        if isinstance(f.dataType, T.StringType):
+            sizes.append(F.coalesce(F.octet_length(col(f.name)), F.lit(0)))
+    row_bytes = reduce(add, sizes)
+    total = settled.agg(F.coalesce(F.sum(row_bytes), F.lit(0)).alias("bytes")).collect()[0]["bytes"]
+    return F.broadcast(settled) if total <= max_bytes else settled

@@ -99,7 +99,7 @@ def test_statistics_are_broadcast_and_rows_stay_in_place(spark, raw):
 
 
 def test_many_categories_are_joined_by_a_shuffle(spark, raw, no_broadcast):
-    scored = with_z_score(stage(reconcile(raw, CONFIG), "plan"), max_broadcast_rows=0)
+    scored = with_z_score(stage(reconcile(raw, CONFIG), "plan"), max_broadcast_bytes=0)
     assert "SortMergeJoin" in plan(scored)
 
 

@@ -159,3 +159,13 @@ def test_full_report(example):
 def test_typed_dates_need_no_parsing(spark):
     df = spark.createDataFrame([(date(1998, 1, 1),)], "d date")
     assert quality_scorecard(df, "t", ["d"], dates=["d"]).count() == 3
+
+
+@pytest.mark.parametrize("kind", ["double", "string", "decimal(20,2)"])
+def test_amounts_that_do_not_fit(spark, kind):
+    df = spark.createDataFrame(
+        [("9999999999999998",), ("-9999999999999998",), ("10000000000000000",), ("-1e16",), ("0",), (None,)],
+        "t string",
+    ).selectExpr(f"cast(cast(t as double) as {kind}) as x")
+    card = quality_scorecard(df, "t", ["x"], amounts=["x"])
+    assert card.filter("check = 'unparsable'").collect()[0]["rows"] == 2

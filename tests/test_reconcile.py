@@ -105,10 +105,10 @@ def scoring_rows():
     return rows
 
 
-@pytest.mark.parametrize("max_broadcast_rows", [100, 0])
-def test_scores(spark, max_broadcast_rows):
+@pytest.mark.parametrize("max_broadcast_bytes", [10_000, 0])
+def test_scores(spark, max_broadcast_bytes):
     df = spark.createDataFrame(scoring_rows(), SCORING).repartition(4)
-    scored = with_anomaly_flags(with_z_score(df, max_broadcast_rows=max_broadcast_rows))
+    scored = with_anomaly_flags(with_z_score(df, max_broadcast_bytes=max_broadcast_bytes))
     assert scored.columns[0] == "product_category"
     rows = {r["id"]: r for r in scored.collect()}
     assert not [i for i in rows if i >= 400]  # rows without a category are left out
@@ -119,10 +119,10 @@ def test_scores(spark, max_broadcast_rows):
     assert rows[300]["std_val"] == 0.0 and rows[300]["z_score"] == 0.0
 
 
-@pytest.mark.parametrize("max_broadcast_rows", [100, 0])
-def test_rows_without_category_can_be_kept(spark, max_broadcast_rows):
+@pytest.mark.parametrize("max_broadcast_bytes", [10_000, 0])
+def test_rows_without_category_can_be_kept(spark, max_broadcast_bytes):
     df = spark.createDataFrame(scoring_rows(), SCORING)
-    kept = with_z_score(df, null_category="keep", max_broadcast_rows=max_broadcast_rows)
+    kept = with_z_score(df, null_category="keep", max_broadcast_bytes=max_broadcast_bytes)
     scores = {r["id"]: r["z_score"] for r in kept.collect()}
     assert len(scores) == len(scoring_rows())
     assert scores[403] == 1.361  # of 0, 1, 4, 9: mean 3.5, deviation 4.0415
