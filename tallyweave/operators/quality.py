@@ -220,7 +220,7 @@ def quality_gate(
 
 def enforce(card: DataFrame, gated: Mapping[str, Sequence[str]]) -> DataFrame:
     """Pass on a computed scorecard, or raise if a gated column of one of its tables has NULLs."""
-    # At most one row per gated column comes to the driver.
+    # At most one row per checked column comes to the driver.
     wanted = {(table, column) for table, columns in gated.items() for column in columns}
     faults = card.filter((F.col("check") == "nulls") & (F.col("rows") > 0)).collect()
     found = {(row["table_name"], row["column_name"]): row["rows"] for row in faults}

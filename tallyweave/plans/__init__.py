@@ -1,5 +1,5 @@
 """Whole jobs composed of the operators."""
 
-from .reconciliation import JobResult, cleanse_all, gate_all, process, reconcile, run
+from .reconciliation import JobResult, cleanse_all, gate_all, process, reconcile, run, write_outputs
 
-__all__ = ["JobResult", "cleanse_all", "gate_all", "process", "reconcile", "run"]
+__all__ = ["JobResult", "cleanse_all", "gate_all", "process", "reconcile", "run", "write_outputs"]

@@ -95,15 +95,13 @@ def process(ledgers: Ledgers, config: JobConfig) -> tuple[DataFrame, DataFrame]:
     return scorecard, scored
 
 
-def run(spark: SparkSession, config: JobConfig) -> JobResult:
-    """Run the job and write ``transaction_level/``, ``summary/`` and ``summary_csv/``.
+def write_outputs(scored: DataFrame, config: JobConfig) -> tuple[DataFrame, DataFrame]:
+    """Write ``transaction_level/``, ``summary/`` and ``summary_csv/``; the written transactions and summary.
 
     The summary is computed from the written transactions and the CSV from the written summary, so that
     no step is computed twice.
     """
     out, sources = config.output_path.rstrip("/"), config.source_paths
-    refuse_overlap(out, sources)
-    scorecard, scored = process(load_ledgers(spark, config), config)
 
     def written(df: DataFrame, folder: str) -> DataFrame:
         return write_table(df, f"{out}/{folder}", config.output_format, sources=sources)
@@ -112,4 +110,12 @@ def run(spark: SparkSession, config: JobConfig) -> JobResult:
     months = monthly_summary(transactions, config.green_from, config.amber_from)
     summary = written(months, "summary").orderBy("period")
     write_csv(summary, f"{out}/summary_csv", sources)
+    return transactions, summary
+
+
+def run(spark: SparkSession, config: JobConfig) -> JobResult:
+    """The whole job: sources in, checked and processed, outputs written."""
+    refuse_overlap(config.output_path, config.source_paths)
+    scorecard, scored = process(load_ledgers(spark, config), config)
+    transactions, summary = write_outputs(scored, config)
     return JobResult(transactions, summary, scorecard)

@@ -9,7 +9,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..config import BANK_SCHEMA, GL_SCHEMA, SALES_SCHEMA, JobConfig
+from ..config import (
+    BANK_SCHEMA,
+    GL_SCHEMA,
+    SALES_SCHEMA,
+    BankColumns,
+    GlColumns,
+    JobConfig,
+    SalesColumns,
+)
 
 
 def scan_parquet(
@@ -50,17 +58,15 @@ def load_ledgers(spark: SparkSession, config: JobConfig) -> tuple[DataFrame, Dat
 
     A job that names its own columns is taken at its word: only the default layout is checked.
     """
-    standard = JobConfig(*config.source_paths, config.output_path, config.year)
-    layouts = [
-        (config.sales == standard.sales, SALES_SCHEMA),
-        (config.gl == standard.gl, GL_SCHEMA),
-        (config.bank == standard.bank, BANK_SCHEMA),
-    ]
-    sales, gl, bank = (
-        scan_parquet(spark, path, schema if default else None)
-        for path, (default, schema) in zip(config.source_paths, layouts)
+
+    def scan(path: str, standard: bool, schema: T.StructType) -> DataFrame:
+        return scan_parquet(spark, path, schema if standard else None)
+
+    return (
+        scan(config.sales_path, config.sales == SalesColumns(), SALES_SCHEMA),
+        scan(config.gl_path, config.gl == GlColumns(), GL_SCHEMA),
+        scan(config.bank_path, config.bank == BankColumns(), BANK_SCHEMA),
     )
-    return sales, gl, bank
 
 
 def ingest_audit(sources: Mapping[str, DataFrame]) -> DataFrame:

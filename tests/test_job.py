@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallyweave import JobConfig, run
+from tallyweave.functions import money
 from tallyweave.operators import QualityError
 from tallyweave.plans import process
 from tallyweave.sources import (
@@ -197,3 +198,53 @@ def test_a_cluster_must_name_the_shared_folder():
 
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         staging.scratch_path(Session(), "x")
+
+
+def outcome(scored):
+    return sorted(tuple(map(repr, row)) for row in scored.drop("std_val").collect())
+
+
+def test_ledgers_may_name_their_columns_otherwise(spark, sources):
+    raw = tuple(spark.read.parquet(p) for p in sources)
+
+    def renamed(df, columns):
+        """All columns as ``x.<name>``, and column settings that say so."""
+        settings = {field: f"x.{name}" for field, name in vars(columns).items()}
+        return df.toDF(*(f"x.{name}" for name in df.columns)), type(columns)(**settings)
+
+    plain = config(sources, "/nowhere")
+    sales, sales_columns = renamed(raw[0], plain.sales)
+    gl, gl_columns = renamed(raw[1], plain.gl)
+    bank, bank_columns = renamed(raw[2], plain.bank)
+    other = config(
+        sources, "/nowhere", sales=sales_columns, gl=gl_columns, bank=bank_columns, null_category="keep"
+    )
+    same = config(sources, "/nowhere", null_category="keep")
+    assert outcome(process((sales, gl, bank), other)[1]) == outcome(process(raw, same)[1])
+
+
+def test_the_job_does_not_depend_on_ansi_mode(spark, sources):
+    raw = tuple(spark.read.parquet(p) for p in sources)
+    strict = outcome(process(raw, config(sources, "/nowhere"))[1])
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        assert outcome(process(raw, config(sources, "/nowhere"))[1]) == strict
+        nan = spark.createDataFrame([(float("nan"),)], "x double")
+        with pytest.raises(Exception, match="no money"):
+            nan.select(money("x", default=0)).collect()
+    finally:
+        spark.conf.unset("spark.sql.ansi.enabled")
+
+
+def test_typed_dates_give_the_same_result(spark, sources):
+    raw = [spark.read.parquet(p) for p in sources]
+    dated = [
+        df.withColumn(name, F.col(name).cast(kind))
+        for df, name, kind in zip(
+            raw,
+            ("transaction_date", "posting_date", "settlement_date"),
+            ("date", "timestamp", "timestamp_ntz"),
+        )
+    ]
+    plain = config(sources, "/nowhere")
+    assert outcome(process(tuple(dated), plain)[1]) == outcome(process(tuple(raw), plain)[1])
