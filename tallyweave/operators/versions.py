@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
+from math import ceil
 from operator import and_
 
 from pyspark.sql import Column, DataFrame
@@ -52,17 +53,17 @@ def number_versions(
     """
     rank = F.row_number().over(Window.partitionBy(*map(col, keys)).orderBy(*order)).cast("bigint")
     sizes = df.groupBy(*map(col, keys)).agg(F.count(F.lit(1)).alias(_COUNT))
-    hot = settle(
-        sizes.filter(F.col(_COUNT) > max_group_rows).drop(_COUNT).withColumn(_HOT, F.lit(True))
-    )
-    if hot.isEmpty():
+    hot = settle(sizes.filter(F.col(_COUNT) > max_group_rows))
+    hot_rows = hot.agg(F.sum(_COUNT).alias(_COUNT)).collect()[0][_COUNT]
+    if hot_rows is None:
         return df.withColumn(name, rank)
+    hot = hot.drop(_COUNT).withColumn(_HOT, F.lit(True))
 
     marked = _lookup(df, broadcast_if_small(hot), keys)
     small = marked.filter(F.col(_HOT).isNull()).drop(_HOT)
     large = marked.filter(F.col(_HOT)).drop(_HOT)
     return small.withColumn(name, rank).unionByName(
-        _number_in_slices(large, keys, order, name)
+        _number_in_slices(large, keys, order, name, ceil(hot_rows / max(max_group_rows, 1)))
     )
 
 
@@ -85,8 +86,9 @@ def _quoted(name: str) -> str:
 
 
 def _number_in_slices(
-    df: DataFrame, keys: Sequence[str], order: Sequence[Column], name: str
+    df: DataFrame, keys: Sequence[str], order: Sequence[Column], name: str, least_slices: int
 ) -> DataFrame:
+    slices = max(least_slices, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     # All columns take part in the order, so entry numbers tell apart nothing but identical rows. A task
     # that is run again may number those differently without any row being lost or doubled.
     rest = [col(f.name) for f in df.schema.fields if not isinstance(f.dataType, T.MapType)]
@@ -94,7 +96,7 @@ def _number_in_slices(
     # Staged, because both readers below must see the same slices.
     sliced = stage(
         df.withColumn(_ENTRY, F.monotonically_increasing_id())
-        .repartitionByRange(*map(col, keys), *total)
+        .repartitionByRange(slices, *map(col, keys), *total)
         .withColumn(_SLICE, F.spark_partition_id()),
         "versions",
     )

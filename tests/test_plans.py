@@ -90,7 +90,7 @@ def test_sales_are_shuffled_once(raw, no_broadcast):
     assert "CartesianProduct" not in tree and "BroadcastNestedLoopJoin" not in tree
 
 
-def test_statistics_are_broadcast_and_rows_stay_in_place(spark, raw):
+def test_statistics_are_broadcast_and_rows_stay_in_place(spark, raw, no_broadcast):
     scored = with_z_score(stage(reconcile(raw, CONFIG), "plan"))
     tree = plan(scored).split("\n\n")[0]
     assert "BroadcastHashJoin" in tree and "SortMergeJoin" not in tree

@@ -76,12 +76,13 @@ def test_large_groups_are_spread_over_slices(spark, skewed):
     original = versions.stage
     try:
         versions.stage = lambda frame, label: seen.append(original(frame, label)) or seen[-1]
-        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
         number_versions(df, ["id"], newest_first("modified"), max_group_rows=50).collect()
     finally:
         versions.stage = original
-        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
     slices = {key: set() for key in ("hot", "copies", None)}
     for row in seen[0].select("id", "__slice").distinct().collect():
         slices[row["id"]].add(row["__slice"])
-    assert len(slices["hot"]) > 2 and len(slices["copies"]) > 2
+    assert len(slices["hot"]) > 4 and len(slices["copies"]) > 4
+    # 760 rows in groups of more than 50: at least 16 slices.
+    largest = seen[0].groupBy("__slice").count().agg({"count": "max"}).collect()[0][0]
+    assert largest <= 100
