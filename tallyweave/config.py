@@ -76,7 +76,7 @@ BANK_SCHEMA = _columns(
 class JobConfig:
     """One run of the job.
 
-    The defaults give the reference results. The options below them give the stricter readings:
+    The rules above the blank line have the usual values. The options below it change how data is read:
 
     grain           "date" keeps one row per sale, posting date and settlement date;
                     "reference" first brings GL and bank down to one row per reference.

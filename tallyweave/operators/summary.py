@@ -9,6 +9,10 @@ from ..config import MONEY
 from ..functions import month_of, rag_rating
 from ..functions.rules import ANOMALY, MATCHED
 
+# The columns of reconciled rows that the summary reads, the scores aside.
+SUMMARISED = (
+    "transaction_date", "product_category", "source_net", "source_vs_gl_variance", "reconciliation_status",
+)
 GREEN_FROM = 99.0
 AMBER_FROM = 95.0
 

@@ -6,7 +6,7 @@ tables themselves. Money is computed in exact decimals and turned into doubles o
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -43,6 +43,7 @@ from ..operators import (
 )
 from ..operators.cleanse import bank_rollup, gl_rollup, sales_order
 from ..operators.summary import (
+    SUMMARISED,
     anomalies_detected,
     by_month,
     matched_revenue,
@@ -235,7 +236,7 @@ def stats(spark, sf_dir):
     return _round(category_stats(reconciled), mean_val=3, std_val=3)
 
 
-def _z(spark, sf_dir, columns: list[str]):
+def _z(spark, sf_dir, columns: Sequence[str]):
     """The reconciled rows with z-scores, staged with only the columns that the query reports."""
     reconciled = stage(_reconciled(spark, sf_dir).select(*columns), "reconciled")
     return with_z_score(reconciled)
@@ -280,7 +281,7 @@ def conditional_count(spark, sf_dir):
 
 
 def summary(spark, sf_dir):
-    return monthly_summary(_scored(spark, sf_dir))
+    return monthly_summary(with_anomaly_flags(_z(spark, sf_dir, SUMMARISED)))
 
 
 def ratings(spark, sf_dir):
@@ -359,8 +360,7 @@ def quality_report(spark, sf_dir):
 
 
 def parquet_roundtrip(spark, sf_dir):
-    scored = detect_anomalies(stage(_reconciled(spark, sf_dir), "reconciled"))
-    written = write_table(scored, scratch_path(spark, "transaction_level"))
+    written = write_table(_scored(spark, sf_dir), scratch_path(spark, "transaction_level"))
     return _round(written, mean_val=3, std_val=3)
 
 
