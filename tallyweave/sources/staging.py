@@ -23,14 +23,16 @@ BROADCAST_BYTES = 64 * 1024 * 1024
 
 
 def _shared_folder(spark: SparkSession) -> str:
+    """The application's folder under the one that the session names; a temporary one in local mode."""
     context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        named = spark.conf.get(SHARED_DIR, None)
-        if named is None:
-            if not context.master.startswith("local"):
-                raise RuntimeError(f"set {SHARED_DIR} to a folder that every executor can reach")
-            named = tempfile.mkdtemp(prefix="tallyweave-")
-        context.setCheckpointDir(named)
+    named, current = spark.conf.get(SHARED_DIR, None), context.getCheckpointDir()
+    if named is not None:
+        if current is None or named.rstrip("/") not in current:
+            context.setCheckpointDir(named)
+    elif current is None:
+        if not context.master.startswith("local"):
+            raise RuntimeError(f"set {SHARED_DIR} to a folder that every executor can reach")
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="tallyweave-"))
     return context.getCheckpointDir()
 
 

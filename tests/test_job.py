@@ -181,23 +181,34 @@ def test_staged_and_settled_frames_lie_in_the_shared_folder(spark):
     assert count.value == 10  # computed once, by the checkpoint
 
 
-def test_a_cluster_must_name_the_shared_folder():
-    class Context:
-        master = "yarn"
+class Session:
+    """As much of a session as the choice of the shared folder needs."""
+
+    def __init__(self, master, named, current):
+        self.master, self.named, self.current = master, named, current
+        self.sparkContext = self.conf = self
+
+    def get(self, key, default):
+        return self.named if key == "spark.checkpoint.dir" and self.named else default
 
-        def getCheckpointDir(self):
-            return None
+    def getCheckpointDir(self):
+        return self.current
 
-    class Conf:
-        def get(self, key, default):
-            return default
+    def setCheckpointDir(self, folder):
+        self.current = f"{folder}/application"
 
-    class Session:
-        sparkContext = Context()
-        conf = Conf()
 
+@pytest.mark.parametrize("current", [None, "/tmp/elsewhere/application", "store://shared/application"])
+def test_the_folder_named_by_the_session_wins(current):
+    path = staging.scratch_path(Session("yarn", "store://shared/", current), "x")
+    assert path.startswith("store://shared/") and "application/x-" in path
+
+
+def test_a_cluster_must_name_the_shared_folder():
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
-        staging.scratch_path(Session(), "x")
+        staging.scratch_path(Session("yarn", None, None), "x")
+    assert "tallyweave-" in staging.scratch_path(Session("local[2]", None, None), "x")
+    assert staging.scratch_path(Session("yarn", None, "/set/by/caller"), "x").startswith("/set/by/caller/x-")
 
 
 def outcome(scored):
