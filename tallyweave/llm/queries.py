@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyweave.llm import sharding, simhash_dedup, token_counts
+from tallyweave.llm import decontaminate, sharding, simhash_dedup, token_counts
 from tallyweave.llm.common import Scratch, read_table
 
 MAX_TOKENS = 2048
@@ -25,6 +25,10 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(read_table(spark, sf_dir, "documents"), word_tokenizer(), MAX_TOKENS)
 
 
+def op2_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.find_leaks(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
 def op3_interleaved_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     text = F.coalesce("text", F.lit(""))
@@ -42,6 +46,7 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_token_counts": op1_token_counts,
+        "op2_benchmark_leaks": op2_benchmark_leaks,
         "op3_interleaved_shards": op3_interleaved_shards,
         "op8_simhash": op8_simhash,
     }
