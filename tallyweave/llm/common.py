@@ -73,3 +73,19 @@ class Sets:
 def join_all(sets: Sets, left: np.ndarray, right: np.ndarray) -> None:
     for i, j in zip(left.tolist(), right.tolist()):
         sets.join(i, j)
+
+
+def bit_counts(hashes: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """How often each of 64 bits is set in hashes[starts[k]:starts[k + 1]], the last to the end; no stretch is empty.
+
+    Eight bits are added at a time, as the bytes of one machine word, over stretches too short for a byte to overflow.
+    """
+    ends = np.append(starts[1:], len(hashes))
+    parts = -(-(ends - starts) // 255)
+    first = np.cumsum(parts) - parts
+    cuts = np.repeat(starts - first * 255, parts) + np.arange(parts.sum()) * 255
+    bits = np.unpackbits(hashes.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+    short = np.add.reduceat(bits.view(np.uint64), cuts, axis=0).view(np.uint8)
+    if len(cuts) == len(starts):
+        return short.astype(np.int64)
+    return np.add.reduceat(short.astype(np.int64), first, axis=0)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyweave.llm import decontaminate, sharding, simhash_dedup, token_counts
+from tallyweave.llm import decontaminate, line_dedup, sharding, simhash_dedup, token_counts
 from tallyweave.llm.common import Scratch, read_table
 
 MAX_TOKENS = 2048
@@ -43,12 +43,18 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.select("doc_id", simhash_dedup.hex_digits("point").alias("fingerprint"), "component_id")
 
 
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return line_dedup.without_repeated_lines(docs, Scratch(spark, "lines"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_token_counts": op1_token_counts,
         "op2_benchmark_leaks": op2_benchmark_leaks,
         "op3_interleaved_shards": op3_interleaved_shards,
         "op8_simhash": op8_simhash,
+        "op10_line_dedup": op10_line_dedup,
     }
 
 

@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyweave.llm.common import Scratch, Sets, texts
+from tallyweave.llm.common import Scratch, Sets, bit_counts, texts
 from tallyweave.llm.components import components
 
 #: Points that a shard holds as its own, about. Only the amount of work depends on it.
@@ -49,7 +49,7 @@ def fingerprint(text: bytes, words: int) -> int:
     for at in range(0, n, step):
         spans = zip(starts[at : min(n, at + step)].tolist(), ends[at + last : min(n, at + step) + last].tolist())
         hashes = np.array([digest(joined[a:b], 42) for a, b in spans], dtype="<u8")
-        ones += np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+        ones += bit_counts(hashes, np.zeros(1, np.int64))[0]
     return int(np.packbits(ones * 2 > n, bitorder="little").view("<u8")[0])
 
 
