@@ -7,11 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyweave.llm import decontaminate, line_dedup, sharding, simhash_dedup, token_counts
+from tallyweave.llm import decontaminate, line_dedup, packing, sharding, simhash_dedup, token_counts
 from tallyweave.llm.common import Scratch, read_table
 
 MAX_TOKENS = 2048
 SHARDS = 40
+PACK_END_ID = 1
 SIMHASH_WORDS, SIMHASH_BITS = 3, 3
 
 
@@ -43,6 +44,10 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.select("doc_id", simhash_dedup.hex_digits("point").alias("fingerprint"), "component_id")
 
 
+def op9_retrieval_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(read_table(spark, sf_dir, "documents"), word_tokenizer(), PACK_END_ID, MAX_TOKENS, Scratch(spark, "packing"))
+
+
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     return line_dedup.without_repeated_lines(docs, Scratch(spark, "lines"))
@@ -54,6 +59,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_benchmark_leaks": op2_benchmark_leaks,
         "op3_interleaved_shards": op3_interleaved_shards,
         "op8_simhash": op8_simhash,
+        "op9_retrieval_packing": op9_retrieval_packing,
         "op10_line_dedup": op10_line_dedup,
     }
 
