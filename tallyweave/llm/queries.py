@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyweave.llm import decontaminate, line_dedup, packing, sharding, simhash_dedup, token_counts
+from tallyweave.llm import decontaminate, line_dedup, packing, sharding, simhash_dedup, token_counts, toxicity
 from tallyweave.llm.common import Scratch, read_table
 
 MAX_TOKENS = 2048
@@ -38,6 +38,17 @@ def op3_interleaved_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "source")
 
 
+def toxicity_chain(spark: SparkSession, docs: DataFrame, sf_dir: str) -> toxicity.Chain:
+    """Low quality first, then toxicity, which the label table has as one category."""
+    labels = read_table(spark, sf_dir, "labels")
+    return toxicity.train(docs, labels, {"low_quality": F.col("quality") == 0, "toxic": F.col("toxic") == 1}, Scratch(spark, "toxicity"))
+
+
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity_chain(spark, docs, sf_dir))
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     groups = simhash_dedup.simhash_groups(docs, SIMHASH_WORDS, SIMHASH_BITS, Scratch(spark, "simhash"))
@@ -58,6 +69,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_token_counts": op1_token_counts,
         "op2_benchmark_leaks": op2_benchmark_leaks,
         "op3_interleaved_shards": op3_interleaved_shards,
+        "op6_toxicity": op6_toxicity,
         "op8_simhash": op8_simhash,
         "op9_retrieval_packing": op9_retrieval_packing,
         "op10_line_dedup": op10_line_dedup,
