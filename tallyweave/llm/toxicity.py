@@ -28,11 +28,11 @@ class Settings:
     #: Labelled rows the models are fitted on, at most; drawn by a hash of the id.
     sample_rows: int = 8000
     #: Features chosen for each category, at most, and the least z-score of the difference in frequency.
-    features: int = 256
+    features: int = 128
     least_z: float = 4.0
     folds: int = 5
     threshold: float = 0.5
-    l2: float = 0.3
+    l2: float = 0.1
 
 
 PLAIN = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
@@ -89,7 +89,7 @@ def logistic(x: np.ndarray, y: np.ndarray, l2: float) -> np.ndarray:
         curve = (x * (p * (1 - p) + 1e-6)[:, None]).T @ x + np.diag(penalty)
         step = np.linalg.solve(curve, slope)
         w -= step * min(1.0, 5.0 / (np.abs(step).max() + 1e-12))
-        if np.abs(step).max() < 1e-4:
+        if np.abs(step).max() < 1e-3:
             break
     return w
 
