@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyweave.llm import decontaminate, line_dedup, packing, sharding, simhash_dedup, token_counts, toxicity
+from tallyweave.llm import decontaminate, embedding_dedup, line_dedup, packing, sharding, simhash_dedup, token_counts, toxicity
 from tallyweave.llm.common import Scratch, read_table
 
 MAX_TOKENS = 2048
@@ -38,6 +38,10 @@ def op3_interleaved_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "source")
 
 
+def op5_embedding_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.embedding_groups(read_table(spark, sf_dir, "embeddings"), Scratch(spark, "embeddings"))
+
+
 def toxicity_chain(spark: SparkSession, docs: DataFrame, sf_dir: str) -> toxicity.Chain:
     """Low quality first, then toxicity, which the label table has as one category."""
     labels = read_table(spark, sf_dir, "labels")
@@ -69,6 +73,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_token_counts": op1_token_counts,
         "op2_benchmark_leaks": op2_benchmark_leaks,
         "op3_interleaved_shards": op3_interleaved_shards,
+        "op5_embedding_links": op5_embedding_links,
         "op6_toxicity": op6_toxicity,
         "op8_simhash": op8_simhash,
         "op9_retrieval_packing": op9_retrieval_packing,
