@@ -3,8 +3,10 @@
 1. Each text gets a 64-bit fingerprint of its word shingles. Equal fingerprints become one point.
 2. A vantage-point tree over a bounded sample of the points cuts the space into shards: each inner node holds a
    vantage point and a radius, points within the radius go left, the others right. Every point has one home.
-3. A point within d of a node's boundary may have a partner on the other side (triangle bound), so it visits
-   that side too; branches further away are pruned. Each shard gets its own points and its visitors.
+3. A point may have a partner in another shard only if it lies within d of the boundary between them (triangle bound).
+   Of two such points one has to visit the other: the one inside the radius visits the far side, and a visitor goes
+   on to every branch that its bound allows; other branches are pruned. Each shard gets its own points and its
+   visitors, packed by the task that sends them.
 4. A shard compares visitors with its own points and returns the links as a forest, not as all pairs.
 5. Components of the forests' links over all shards give each document its group.
 """
@@ -19,7 +21,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyweave.llm.common import Scratch, Sets, bit_counts, texts
+from tallyweave.llm.common import Scratch, Sets, bit_counts, join_all, texts
 from tallyweave.llm.components import components
 
 #: Points that a shard holds as its own, about. Only the amount of work depends on it.
@@ -93,21 +95,24 @@ class VantageTree:
         self.shards += 1
         return -self.shards
 
-    def visits(self, points: np.ndarray, distance: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-        """(shard, positions of points that visit it, whether it is their home)."""
-        stack = [(self.top, np.arange(len(points)), np.ones(len(points), bool))]
+    def visits(self, points: np.ndarray, distance: int) -> Iterator[tuple[int, np.ndarray, bool]]:
+        """(shard, its own points or its visitors, whether they are its own)."""
+        stack = [(self.top, points, True)]
         while stack:
-            node, rows, home = stack.pop()
+            node, rows, own = stack.pop()
             if not len(rows):
                 continue
             if node < 0:
-                yield -node - 1, rows, home
+                yield -node - 1, rows, own
                 continue
-            d = np.bitwise_count(points[rows] ^ self.point[node]).astype(np.int64)
-            inside = d <= self.radius[node]
-            to_near, to_far = d <= self.radius[node] + distance, d > self.radius[node] - distance
-            stack.append((self.near[node], rows[to_near], (home & inside)[to_near]))
-            stack.append((self.far[node], rows[to_far], (home & ~inside)[to_far]))
+            d, radius = np.bitwise_count(rows ^ self.point[node]).astype(np.int64), self.radius[node]
+            if own:
+                stack.append((self.near[node], rows[d <= radius], True))
+                stack.append((self.far[node], rows[d > radius], True))
+                stack.append((self.far[node], rows[(d <= radius) & (d > radius - distance)], False))
+            else:
+                stack.append((self.near[node], rows[d <= radius + distance], False))
+                stack.append((self.far[node], rows[d > radius - distance], False))
 
 
 def near(own: np.ndarray, visitors: np.ndarray, distance: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -127,24 +132,27 @@ def point_links(points: DataFrame, distance: int, shard_points: int = SHARD_POIN
 
     def routed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            values = batch.column(0).to_numpy(zero_copy_only=False)
-            for shard, rows, home in tree.visits(values.view(np.uint64), distance):
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(rows), shard, np.int32)), pa.array(values[rows]), pa.array(home)], names=["shard", "point", "home"])
+            values = batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64)
+            rows = [(shard, own, part.tobytes()) for shard, part, own in tree.visits(values, distance)]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.bool_()), pa.array([r[2] for r in rows], pa.binary())], names=["shard", "own", "packed"]
+            )
 
     def linked(table: pa.Table) -> pa.Table:
-        all_points = table.column("point").to_numpy().view(np.uint64)
-        all_points, first = np.unique(all_points, return_index=True)
-        own = np.nonzero(table.column("home").to_numpy(zero_copy_only=False)[first])[0]
-        sets = Sets(len(all_points))
-        for i, j in near(all_points[own], all_points, distance):
-            for a, b in zip(i.tolist(), own[j].tolist()):
-                sets.join(a, b)
+        parts = [np.frombuffer(p, np.uint64) for p in table.column("packed").to_pylist()]
+        mine = table.column("own").to_pylist()
+        none = [np.zeros(0, np.uint64)]
+        own = np.unique(np.concatenate(none + [p for p, m in zip(parts, mine) if m]))
+        points = np.concatenate([own, np.unique(np.concatenate(none + [p for p, m in zip(parts, mine) if not m]))])
+        sets = Sets(len(points))
+        for i, j in near(own, points, distance):
+            join_all(sets, i, j)
         root = sets.roots()
         moved = np.nonzero(root != np.arange(len(root)))[0]
-        signed = all_points.view(np.int64)
+        signed = points.view(np.int64)
         return pa.table({"a": signed[moved], "b": signed[root[moved]]})
 
-    visits = points.select("point").mapInArrow(routed, "shard int, point long, home boolean")
+    visits = points.select("point").mapInArrow(routed, "shard int, own boolean, packed binary")
     return visits.groupBy("shard").applyInArrow(linked, "a long, b long")
 
 
