@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyweave.llm import decontaminate, embedding_dedup, line_dedup, packing, sharding, simhash_dedup, token_counts, toxicity
+from tallyweave.llm import chunk_dedup, decontaminate, embedding_dedup, license_scan, line_dedup, packing, sharding, simhash_dedup, token_counts, toxicity
 from tallyweave.llm.common import Scratch, read_table
 
 MAX_TOKENS = 2048
@@ -38,6 +38,11 @@ def op3_interleaved_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "source")
 
 
+def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scanned = license_scan.scan_licenses(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return scanned.select("doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score")
+
+
 def op5_embedding_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.embedding_groups(read_table(spark, sf_dir, "embeddings"), Scratch(spark, "embeddings"))
 
@@ -53,6 +58,10 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, toxicity_chain(spark, docs, sf_dir))
 
 
+def op7_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chunk_dedup.repeated_passages(read_table(spark, sf_dir, "documents"), Scratch(spark, "chunks"))
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     groups = simhash_dedup.simhash_groups(docs, SIMHASH_WORDS, SIMHASH_BITS, Scratch(spark, "simhash"))
@@ -73,8 +82,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_token_counts": op1_token_counts,
         "op2_benchmark_leaks": op2_benchmark_leaks,
         "op3_interleaved_shards": op3_interleaved_shards,
+        "op4_license_scan": op4_license_scan,
         "op5_embedding_links": op5_embedding_links,
         "op6_toxicity": op6_toxicity,
+        "op7_repeated_passages": op7_repeated_passages,
         "op8_simhash": op8_simhash,
         "op9_retrieval_packing": op9_retrieval_packing,
         "op10_line_dedup": op10_line_dedup,
