@@ -47,15 +47,15 @@ def op5_embedding_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.embedding_groups(read_table(spark, sf_dir, "embeddings"), Scratch(spark, "embeddings"))
 
 
-def toxicity_chain(spark: SparkSession, docs: DataFrame, sf_dir: str) -> toxicity.Chain:
+def toxicity_chain(spark: SparkSession, docs: DataFrame, sf_dir: str, scratch: Scratch) -> toxicity.Chain:
     """Low quality first, then toxicity, which the label table has as one category."""
     labels = read_table(spark, sf_dir, "labels")
-    return toxicity.train(docs, labels, {"low_quality": F.col("quality") == 0, "toxic": F.col("toxic") == 1}, Scratch(spark, "toxicity"))
+    return toxicity.train(docs, labels, {"low_quality": F.col("quality") == 0, "toxic": F.col("toxic") == 1}, scratch)
 
 
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
-    return toxicity.score(docs, toxicity_chain(spark, docs, sf_dir))
+    return toxicity.score(docs, toxicity_chain(spark, docs, sf_dir, Scratch(spark, "toxicity")))
 
 
 def op7_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
