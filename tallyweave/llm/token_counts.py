@@ -11,12 +11,12 @@ from __future__ import annotations
 import heapq
 import json
 import re
+import sys
 import unicodedata
 from collections.abc import Iterator
 from functools import lru_cache
 
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame
 
 from tallyweave.llm.common import texts
@@ -25,11 +25,23 @@ from tallyweave.llm.common import texts
 REMEMBERED = 1_000_000
 
 # Fixed values of the tokenizer family: contractions, letters, single digits, everything else that isn't blank.
-WORD = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
-#: The same for texts of Latin-1 characters only, for the faster matcher of the standard library.
-LATIN_LETTER = r"a-zA-Z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\xff"
-LATIN_DIGIT = r"0-9\xb2\xb3\xb9\xbc-\xbe"
-LATIN_WORD = rf"'s|'t|'re|'ve|'m|'ll|'d|[{LATIN_LETTER}]+|[{LATIN_DIGIT}]|[^\t-\r \x85\xa0{LATIN_LETTER}{LATIN_DIGIT}]+"
+CONTRACTIONS = "'s|'t|'re|'ve|'m|'ll|'d"
+BLANK = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+
+
+@lru_cache(maxsize=4)
+def word_pattern(last: int) -> re.Pattern:
+    """Finds words of texts whose characters go up to `last`; letters and digits by their Unicode category."""
+    spans: dict[str, list[list[int]]] = {"L": [], "N": []}
+    for code in range(last + 1):
+        kind = spans.get(unicodedata.category(chr(code))[0])
+        if kind is not None:
+            if kind and kind[-1][1] == code - 1:
+                kind[-1][1] = code
+            else:
+                kind.append([code, code])
+    letter, digit = ("".join(rf"\U{a:08x}-\U{b:08x}" for a, b in spans[k]) for k in "LN")
+    return re.compile(rf"{CONTRACTIONS}|[{letter}]+|[{digit}]|[^{BLANK}{letter}{digit}]+")
 
 
 class WordMerger:
@@ -44,7 +56,7 @@ class WordMerger:
         special = [t["content"] for t in spec["added_tokens"]]
         self.special = re.compile("|".join(map(re.escape, sorted(special, key=len, reverse=True))).encode()) if special else None
         self.letter = _byte_letters()
-        self.words, self.latin_words = regex.compile(WORD), re.compile(LATIN_WORD)
+        self.latin_words = word_pattern(255)
         self.known = Chunks(self._chunk)
 
     def merged(self, word: str) -> int:
@@ -80,7 +92,7 @@ class WordMerger:
         except UnicodeEncodeError:
             chunk = unicodedata.normalize("NFC", chunk)
             # Lower case is taken character by character: no final form of sigma.
-            return self.words.findall(chunk.replace("Σ", "σ").lower())
+            return word_pattern(sys.maxunicode).findall(chunk.replace("Σ", "σ").lower())
         return self.latin_words.findall(chunk.lower())
 
     def _chunk(self, chunk: str) -> int:

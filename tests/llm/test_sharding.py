@@ -1,0 +1,44 @@
+from collections import Counter
+
+from pyspark.sql import functions as F
+
+from tallyweave.llm.sharding import interleave
+
+
+def placed(docs, scratch, shards):
+    return interleave(docs, F.col("source"), F.col("doc_id"), shards, scratch).collect()
+
+
+def test_counts_mixture_and_slots(documents, scratch):
+    sources = ["hot"] * 700 + ["b"] * 200 + ["c"] * 90 + [f"tiny{k}" for k in range(30)] + [None] * 17
+    rows = placed(documents([(k, "t", s) for k, s in enumerate(sources)]), scratch, 40)
+    per_shard = Counter(r.shard for r in rows)
+    assert len(rows) == len(sources) and max(per_shard.values()) - min(per_shard.values()) <= 1
+    for shard in range(40):
+        assert sorted(r.slot for r in rows if r.shard == shard) == list(range(per_shard[shard]))
+    for source, n in Counter(sources).items():
+        held = [sum(r.source == source for r in rows if r.shard == s) for s in range(40)]
+        if n > 40:
+            assert all(abs(h - n / 40) < 3 for h in held)
+    assert {r.doc_id for r in rows} == set(range(len(sources)))
+
+
+def test_the_same_rows_give_the_same_places(spark, documents, tmp_path, scratch):
+    docs = documents([(k, "t", "ab"[k % 2]) for k in range(100)])
+    first = {(r.doc_id, r.shard, r.slot) for r in placed(docs, scratch, 7)}
+    from tallyweave.llm.common import Scratch
+
+    again = Scratch(spark, "again")
+    assert first == {(r.doc_id, r.shard, r.slot) for r in placed(docs.repartition(9, "source"), again, 7)}
+    again.remove()
+
+
+def test_nulls_repeats_few_rows_and_names(documents, scratch, spark):
+    docs = documents([(None, None, None)] * 3 + [(5, "x", "s")] * 2).withColumnRenamed("lang", "shard")
+    rows = placed(docs, scratch, 40)
+    assert len(rows) == 5 and len({(r.shard, r.slot) for r in rows}) == 5 and all(0 <= r.shard < 40 for r in rows)
+    from tallyweave.llm.common import Scratch
+
+    empty = Scratch(spark, "empty")
+    assert placed(docs.limit(0), empty, 40) == []
+    empty.remove()

@@ -1,0 +1,80 @@
+import numpy as np
+import xxhash
+
+from tallyweave.llm.common import Scratch
+from tallyweave.llm.simhash_dedup import VantageTree, fingerprint, near, point_links, simhash_groups
+
+
+def plain_fingerprint(text, words):
+    parts = text.translate(str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")).encode().split()
+    if not parts:
+        return 0
+    shingles = [b" ".join(parts[k : k + words]) for k in range(max(1, len(parts) - words + 1))]
+    hashes = [xxhash.xxh64_intdigest(s, seed=42) for s in shingles]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def smallest_reachable(prints, distance):
+    ids = sorted(prints)
+    group = {i: i for i in ids}
+    changed = True
+    while changed:
+        changed = False
+        for a in ids:
+            for b in ids:
+                if (prints[a] ^ prints[b]).bit_count() <= distance and group[a] < group[b]:
+                    group[b], changed = group[a], True
+    return group
+
+
+def test_fingerprints(prose):
+    for text in ["", "a", "a b", "A b\tc\x0bd", "é ü x É", prose(3, 700), "same " * 900]:
+        assert fingerprint(text.encode(), 3) == plain_fingerprint(text, 3), text[:20]
+
+
+def test_groups_match_brute_force(spark, documents, scratch, prose):
+    rows, k = [], 0
+    for seed in range(25):
+        text = prose(seed, 400)
+        for cut in range(4):
+            words = text.split()
+            if cut:
+                words[cut * 7] = "changed"
+            rows.append((k, " ".join(words)))
+            k += 1
+    rows += [(k, None), (k + 1, ""), (k + 2, " \n "), (k + 3, "only"), (k + 4, "ONLY")]
+    docs = documents(rows).withColumnRenamed("lang", "point")
+    got = {r.doc_id: (r.point & 0xFFFFFFFFFFFFFFFF, r.component_id) for r in simhash_groups(docs, 3, 3, scratch, shard_points=16).collect()}
+    prints = {i: plain_fingerprint(t or "", 3) for i, t in rows}
+    assert {i: p for i, (p, _) in got.items()} == prints
+    assert {i: c for i, (_, c) in got.items()} == smallest_reachable(prints, 3)
+
+
+def test_every_close_pair_meets_in_a_shard():
+    rng = np.random.default_rng(1)
+    base = rng.integers(0, 2**64, 3000, dtype=np.uint64)
+    close = base[:600].copy()
+    for _ in range(3):
+        close ^= np.uint64(1) << rng.integers(0, 64, 600, dtype=np.uint64)
+    points = np.unique(np.concatenate([base, close]))
+    own, visitors = {}, {}
+    for shard, part, mine in VantageTree(points[::7], 32).visits(points, 3):
+        (own if mine else visitors).setdefault(shard, []).append(part)
+    assert sum(len(p) for parts in own.values() for p in parts) == len(points)
+    met = set()
+    for shard, parts in own.items():
+        mine = np.concatenate(parts)
+        every = np.concatenate(parts + visitors.get(shard, []))
+        for i, j in near(mine, every, 3):
+            met |= {frozenset(p) for p in zip(every[i].tolist(), mine[j].tolist()) if p[0] != p[1]}
+    true = {frozenset(p) for i, j in near(points, points, 3) for p in zip(points[i].tolist(), points[j].tolist()) if p[0] != p[1]}
+    assert met == true and len(true) >= 600
+
+
+def test_repeated_ids_and_empty_table(spark, documents, scratch):
+    docs = documents([(1, "a b c d"), (1, "a b c d"), (2, "a b c d")])
+    assert sorted((r.doc_id, r.component_id) for r in simhash_groups(docs, 3, 3, scratch).collect()) == [(1, 1), (1, 1), (2, 1)]
+    other = Scratch(spark, "none")
+    assert simhash_groups(docs.limit(0), 3, 3, other).count() == 0
+    assert point_links(spark.createDataFrame([], "point long"), 3).count() == 0
+    other.remove()
