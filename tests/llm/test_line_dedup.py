@@ -1,0 +1,127 @@
+import random
+
+import numpy as np
+import xxhash
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from tallyweave.llm.common import Scratch, bit_counts
+from tallyweave.llm.line_dedup import Rules, edits, lines_of, point_links, similar, simhashes, verified_links, without_repeated_lines
+
+
+def table_distance(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a):
+        new = [i + 1]
+        for j, y in enumerate(b):
+            new.append(min(row[j] + (x != y), row[j + 1] + 1, new[j] + 1))
+        row = new
+    return row[-1]
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.binary(max_size=12), st.binary(max_size=12), st.sampled_from([0.5, 0.8, 0.9]))
+def test_edit_distance(a, b, similarity):
+    assert edits(a, b, 99) == table_distance(a, b)
+    assert similar(a, b, similarity) == (table_distance(a, b) <= int((1 - similarity) * max(len(a), len(b)) + 1e-9))
+
+
+def test_bit_counts_over_long_stretches():
+    hashes = [xxhash.xxh64_intdigest(str(k)) for k in range(2000)]
+    starts = [0, 1, 256, 700, 1999]
+    got = bit_counts(np.array(hashes, np.uint64), np.array(starts))
+    for k, (a, b) in enumerate(zip(starts, [*starts[1:], 2000])):
+        assert got[k].tolist() == [sum(h >> bit & 1 for h in hashes[a:b]) for bit in range(64)]
+
+
+def brute_force(rows, rules):
+    """Lines that stay, by comparing every line with every other."""
+    occurrences = []
+    for doc, text in sorted(((d, t) for d, t in rows if d is not None), key=lambda r: r[0]):
+        for number, words in lines_of((text or "").encode(), rules.min_words):
+            occurrences.append((doc, number, b" ".join(words), int(simhashes([words])[0])))
+    up = list(range(len(occurrences)))
+
+    def root(k):
+        while up[k] != k:
+            k = up[k]
+        return k
+
+    for i, a in enumerate(occurrences):
+        for j in range(i):
+            b = occurrences[j]
+            if a[2] == b[2] or ((a[3] ^ b[3]).bit_count() <= rules.distance and similar(a[2], b[2], rules.similarity)):
+                x, y = root(i), root(j)
+                up[max(x, y)] = min(x, y)
+    gone = {(d, n) for k, (d, n, _, _) in enumerate(occurrences) if root(k) != k}
+    return {d: "\n".join(line for k, line in enumerate(t.split("\n")) if (d, k) not in gone) if t is not None else None for d, t in rows if d is not None}, gone
+
+
+def corpus(prose):
+    rng = random.Random(9)
+    lines = [prose(k, rng.randint(40, 90)) for k in range(30)] + ["All rights reserved.", "a b c d e"]
+    rows = []
+    for d in range(60):
+        picked = [rng.choice(lines) for _ in range(rng.randint(1, 6))]
+        for k, line in enumerate(picked):
+            words = line.split()
+            if rng.random() < 0.4 and len(words) > 20:
+                words[rng.randrange(len(words))] = "x" + str(rng.randrange(9))
+                picked[k] = " ".join(words)
+            elif rng.random() < 0.3:
+                picked[k] = line.upper() + "!!"
+        rows.append((d, "\n".join(picked)))
+    return rows
+
+
+def test_same_as_brute_force(documents, scratch, prose):
+    rows = corpus(prose) + [(100, None), (101, ""), (102, "\n\n"), (103, "one two three four five\n" * 4), (104, prose(5, 40_000))]
+    want, gone = brute_force(rows, Rules())
+    docs = documents([*rows, (None, "one two three four five")]).withColumnRenamed("lang", "line")
+    out = without_repeated_lines(docs, scratch)
+    assert out.columns == [*docs.columns, "n_dropped"]
+    got = {r.doc_id: r for r in out.collect()}
+    assert {d: r.text for d, r in got.items() if d is not None} == want
+    assert got[None].text == "one two three four five"
+    assert sum(r.n_dropped for r in got.values()) == len(gone) > 50
+    assert got[102].text == "\n\n" and got[100].text is None
+    # Some lines are linked only fuzzily.
+    texts = {words for _, t in rows for _, w in lines_of((t or "").encode(), 5) for words in [b" ".join(w)]}
+    assert len(gone) > sum(len(lines_of((t or "").encode(), 5)) for _, t in rows) - len(texts)
+
+
+def test_chunks_of_a_large_component_lose_no_link(spark, scratch, prose):
+    base = prose(1, 60).split()
+    lines = []
+    for k in range(70):
+        words = list(base)
+        words[k % 60] = f"w{k}"
+        line = " ".join(words).encode()
+        lines.append((1, xxhash.xxh3_128_digest(line), int(simhashes([line.split()]).view(np.int64)[0]), line))
+    frame = spark.createDataFrame(lines, "component long, digest binary, point long, text binary")
+    from tallyweave.llm.components import components
+
+    groups = [{bytes(r.node): bytes(r.component) for r in components(verified_links(frame, Rules(), chunk), scratch, f"g{chunk}").collect()} for chunk in (1000, 9)]
+    assert groups[0] == groups[1] and groups[0]
+
+
+def test_points_within_distance_are_linked(spark, scratch):
+    from tallyweave.llm.components import components
+
+    rng = np.random.default_rng(3)
+    base = rng.integers(-(2**62), 2**62, 300)
+    close = base[:50] ^ (1 << rng.integers(0, 62, 50)) ^ (1 << rng.integers(0, 62, 50))
+    points = np.unique(np.concatenate([base, close]))
+    got = {r.node: r.component for r in components(point_links(spark.createDataFrame([(int(p),) for p in points], "point long"), 3), scratch, "p").collect()}
+    for i, a in enumerate(points.tolist()):
+        for b in points[:i].tolist():
+            if ((a ^ b) & 0xFFFFFFFFFFFFFFFF).bit_count() <= 3:
+                assert got[a] == got[b]
+
+
+def test_empty_table_and_repeated_ids(spark, documents, scratch):
+    docs = documents([(1, "one two three four five"), (1, "one two three four five"), (2, "one two three four five")])
+    assert sorted((r.doc_id, r.text) for r in without_repeated_lines(docs, scratch).collect()) == [(1, "one two three four five"), (1, "one two three four five"), (2, "")]
+    other = Scratch(spark, "none")
+    assert without_repeated_lines(docs.limit(0), other).count() == 0
+    other.remove()

@@ -1,0 +1,75 @@
+import zlib
+from collections import defaultdict
+
+import numpy as np
+import pytest
+
+from tallyweave.llm.common import Scratch
+from tallyweave.llm.packing import B, K1, Index, pack, pack_documents
+from tallyweave.llm.queries import word_tokenizer
+
+tokenizers = pytest.importorskip("tokenizers")
+pytest.importorskip("public_tokenizers")
+
+
+def test_scores_are_bm25():
+    rng = np.random.default_rng(2)
+    docs = [rng.integers(0, 50, rng.integers(1, 60)).astype("<u2") for _ in range(30)]
+    held = np.array([sum(t in d for d in docs) for t in range(50)])
+    weight = np.maximum(0, np.log((30 - held + 0.5) / (held + 0.5)))
+    mean = np.mean([len(d) for d in docs])
+    index = Index(docs, weight, mean)
+    for q in range(30):
+        score = [sum(weight[t] * (n := (d == t).sum()) * (K1 + 1) / (n + K1 * (1 - B + B * len(d) / mean)) for t in np.unique(docs[q]) if t in d) for d in docs]
+        ranked = index.neighbours(q)
+        assert np.all(np.diff(np.array(score)[ranked]) <= 1e-9)
+
+
+def test_windows_are_filled_with_the_best_unused():
+    docs = [np.array(d, "<u2") for d in ([1, 2, 3], [9, 9, 9], [1, 2, 7, 7], [9, 8])]
+    weight = np.ones(20)
+    pieces = pack(docs, Index(docs, weight, 3.0), 6)
+    # Document 0 opens; 2 shares most with it, then what is left of 2 opens the next window.
+    assert pieces[:3] == [(0, 0, 3, 0, 0, 0), (2, 0, 3, 0, 3, 0), (2, 3, 1, 1, 0, 2)]
+    assert sum(p[2] for p in pieces) == 12
+
+
+@pytest.mark.parametrize("shard_tokens", [1 << 19, 700])
+def test_every_id_lies_in_one_piece(spark, documents, prose, shard_tokens):
+    library = tokenizers.Tokenizer.from_file(word_tokenizer())
+    rows = [(k, prose(k, 5 + 13 * k % 400)) for k in range(40)] + [(50, None), (51, ""), (52, "a<|endoftext|>b ΣΑΣ"), (53, prose(99, 4000)), (None, "no id"), (7, prose(7, 96))]
+    work = Scratch(spark, "pack")
+    docs = documents(rows).withColumnRenamed("lang", "seed")
+    got = pack_documents(docs, word_tokenizer(), 1, 256, work, shard_tokens).collect()
+    work.remove()
+    ids = defaultdict(list)
+    for i, text in rows:
+        ids[i].append(library.encode(text or "", add_special_tokens=False).ids + [1])
+    for i, held in ids.items():
+        if len(held) > 1:
+            continue
+        pieces = sorted((r.start, r.length, r.ids_crc32, r.doc_tokens) for r in got if r.doc_id == i)
+        at = 0
+        for start, length, crc, whole in pieces:
+            assert start == at and whole == len(held[0])
+            assert crc == zlib.crc32(np.array(held[0][start : start + length], "<u4").tobytes())
+            at += length
+        assert at == len(held[0])
+    assert sum(r.length for r in got) == sum(len(h) for held in ids.values() for h in held)
+    windows = defaultdict(list)
+    for r in got:
+        windows[r.sequence_id].append((r.offset, r.length))
+    for pieces in windows.values():
+        at = 0
+        for offset, length in sorted(pieces):
+            assert offset == at
+            at += length
+        assert at <= 256
+    shards = len({s >> 32 for s in windows})
+    assert sum(sum(n for _, n in p) < 256 for p in windows.values()) <= shards
+
+
+def test_empty_table(spark, documents):
+    work = Scratch(spark, "pack")
+    assert pack_documents(documents([(1, "x")]).limit(0), word_tokenizer(), 1, 256, work).count() == 0
+    work.remove()
