@@ -47,28 +47,47 @@ class BankColumns:
     fee: str = "fee_deducted"
 
 
-def _columns(text: str) -> T.StructType:
-    schema = T.StructType()
-    for entry in text.split(", "):
-        name, kind = entry.split()
-        schema.add(name, kind)
-    return schema
-
-
 # The schemas of the three source ledgers. Dates and times are kept as ISO text.
-SALES_SCHEMA = _columns(
-    "transaction_id string, customer_id string, product_code string, product_category string, "
-    "transaction_date string, quantity integer, unit_price double, gross_revenue double, "
-    "net_revenue double, tax_amount double, service_start_date string, service_end_date string, "
-    "source_system string, last_modified_date string"
+SALES_SCHEMA = T.StructType(
+    [
+        T.StructField("transaction_id", T.StringType()),
+        T.StructField("customer_id", T.StringType()),
+        T.StructField("product_code", T.StringType()),
+        T.StructField("product_category", T.StringType()),
+        T.StructField("transaction_date", T.StringType()),
+        T.StructField("quantity", T.IntegerType()),
+        T.StructField("unit_price", T.DoubleType()),
+        T.StructField("gross_revenue", T.DoubleType()),
+        T.StructField("net_revenue", T.DoubleType()),
+        T.StructField("tax_amount", T.DoubleType()),
+        T.StructField("service_start_date", T.StringType()),
+        T.StructField("service_end_date", T.StringType()),
+        T.StructField("source_system", T.StringType()),
+        T.StructField("last_modified_date", T.StringType()),
+    ]
 )
-GL_SCHEMA = _columns(
-    "posting_id string, journal_id string, source_reference string, account_type string, "
-    "posting_date string, debit_amount double, net_amount double, tax_posted double, posted_by string"
+GL_SCHEMA = T.StructType(
+    [
+        T.StructField("posting_id", T.StringType()),
+        T.StructField("journal_id", T.StringType()),
+        T.StructField("source_reference", T.StringType()),
+        T.StructField("account_type", T.StringType()),
+        T.StructField("posting_date", T.StringType()),
+        T.StructField("debit_amount", T.DoubleType()),
+        T.StructField("net_amount", T.DoubleType()),
+        T.StructField("tax_posted", T.DoubleType()),
+        T.StructField("posted_by", T.StringType()),
+    ]
 )
-BANK_SCHEMA = _columns(
-    "settlement_id string, reference_id string, settlement_date string, settled_amount double, "
-    "fee_deducted double, payment_method string"
+BANK_SCHEMA = T.StructType(
+    [
+        T.StructField("settlement_id", T.StringType()),
+        T.StructField("reference_id", T.StringType()),
+        T.StructField("settlement_date", T.StringType()),
+        T.StructField("settled_amount", T.DoubleType()),
+        T.StructField("fee_deducted", T.DoubleType()),
+        T.StructField("payment_method", T.StringType()),
+    ]
 )
 
 
@@ -83,8 +102,8 @@ class JobConfig:
     null_category   "drop" leaves sales without a category out of the scored rows; "keep" scores them
                     as a category of their own.
     grace_days      days after the year's end in which GL and bank rows still count.
-    iso_text_dates  promise that text dates are all ``yyyy-MM-dd...``; lets Parquet skip row groups.
     blank_is_null   the quality gate counts blank text as missing.
+    staging_path    folder for intermediate tables, which the job removes; by default below the output.
     """
 
     sales_path: str
@@ -104,14 +123,19 @@ class JobConfig:
     grain: str = "date"
     null_category: str = "drop"
     grace_days: int = 0
-    iso_text_dates: bool = False
     blank_is_null: bool = False
     output_format: str = "parquet"
+    staging_path: str | None = None
 
     sales: SalesColumns = field(default_factory=SalesColumns)
     gl: GlColumns = field(default_factory=GlColumns)
     bank: BankColumns = field(default_factory=BankColumns)
 
+    @property
+    def staging_folder(self) -> str | None:
+        """Where intermediate tables go; None, the session's shared folder, for a job without output."""
+        return self.staging_path or (f"{self.output_path.rstrip('/')}/_staging" if self.output_path else None)
+
     @property
     def source_paths(self) -> tuple[str, str, str]:
         return self.sales_path, self.gl_path, self.bank_path

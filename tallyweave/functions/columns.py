@@ -26,7 +26,7 @@ def money(name: str, default: int | None = None) -> Column:
     """An amount as decimal(18,2), rounded half up; NULL becomes ``default`` if one is given.
 
     NaN, infinity and amounts over 16 digits have no such value. They stop the job rather than turn into
-    NULL and then zero; the scorecard counts them beforehand as ``unparsable``.
+    NULL and then zero; the gate finds them beforehand.
     """
     fault = F.concat(F.lit(f"{name} holds an amount that is no money: "), col(name).cast("string"))
     choices = [col(name).cast(MONEY), F.when(col(name).isNotNull(), F.raise_error(fault))]

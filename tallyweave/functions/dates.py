@@ -34,14 +34,23 @@ def month_of(name: str) -> Column:
     return F.date_format(col(name), "yyyy-MM")
 
 
-def in_year(
-    df: DataFrame, name: str, year: int, grace_days: int = 0, iso_text: bool = False
-) -> Column:
+def _may_lie_in(name: str, first: int, last: int) -> Column:
+    """True of every text that reads as a date in the years ``first`` to ``last``, of four digits each.
+
+    Such a text begins with the year, or with something that sorts before "1" (blanks, tabs, signs, zeros)
+    or after "9" (a DEL). A comparison of the raw text can be pushed to the Parquet scan.
+    """
+    text = col(name)
+    begins = (text >= str(first)) & (text < str(last + 1))
+    return (text < "1") | begins | (text >= "\x7f")
+
+
+def in_year(df: DataFrame, name: str, year: int, grace_days: int = 0) -> Column:
     """True from 1 January of ``year`` up to its end, or ``grace_days`` past it.
 
     Date and timestamp columns are compared as stored, so the range reaches the Parquet scan. Text is
-    parsed first, which cannot be pushed; with ``iso_text`` the same range on the raw text goes along with
-    it and can. That is right only where every text starts with ``yyyy-MM-dd``.
+    parsed, which cannot be pushed; a range on the raw text that loses no readable date goes along with it
+    and can.
     """
     start, end = date(year, 1, 1), date(year + 1, 1, 1) + timedelta(days=grace_days)
     stored = _stored_as(df, name)
@@ -49,8 +58,9 @@ def in_year(
         return (col(name) >= _moment(start, stored)) & (col(name) < _moment(end, stored))
     day = as_date(df, name)
     inside = (day >= F.lit(start)) & (day < F.lit(end))
-    if iso_text and isinstance(stored, T.StringType):
-        inside = inside & (col(name) >= start.isoformat()) & (col(name) < end.isoformat())
+    last = (end - timedelta(days=1)).year
+    if isinstance(stored, T.StringType) and 1000 <= year and last < 9999:
+        inside = _may_lie_in(name, year, last) & inside
     return inside
 
 

@@ -48,8 +48,9 @@ def reconciliation_status(
         (off_bank, BANK_VARIANCE),
         (days_to_post > F.lit(late_after_days), TIMING_DIFFERENCE),
     ]
-    status = F
-    for test, name in rules:
+    (test, name), *rest = rules
+    status = F.when(test, F.lit(name))
+    for test, name in rest:
         status = status.when(test, F.lit(name))
     return status.otherwise(F.lit(MATCHED))
 

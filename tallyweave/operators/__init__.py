@@ -9,6 +9,7 @@ from .quality import (
     duplicate_report,
     duplicate_summary,
     enforce,
+    full_check,
     full_report,
     null_report,
     numeric_profile,
@@ -30,8 +31,8 @@ from .versions import latest_version, number_versions
 
 __all__ = [
     "QualityError", "assert_no_nulls", "category_stats", "cleanse_bank", "cleanse_gl", "cleanse_sales",
-    "date_range_check", "detect_anomalies", "duplicate_report", "duplicate_summary", "enforce", "full_report",
-    "join_gl", "join_ledgers", "latest_version", "monthly_summary", "null_report", "number_versions",
+    "date_range_check", "detect_anomalies", "duplicate_report", "duplicate_summary", "enforce", "full_check",
+    "full_report", "join_gl", "join_ledgers", "latest_version", "monthly_summary", "null_report", "number_versions",
     "numeric_profile", "per_reference", "quality_gate", "quality_scorecard", "roll_up", "status_counts",
     "three_way_reconciliation", "tidy_sales", "value_range_check", "with_anomaly_flags", "with_lags",
     "with_status", "with_variances", "with_z_score",

@@ -47,14 +47,14 @@ def sales_order(df: DataFrame, columns: SalesColumns = SalesColumns()) -> list[C
 
 
 def cleanse_sales(
-    df: DataFrame, year: int, iso_text: bool = False, columns: SalesColumns = SalesColumns()
+    df: DataFrame, year: int, columns: SalesColumns = SalesColumns()
 ) -> DataFrame:
     """Tidy sales of one year, one row per key: the version modified last within that year.
 
     The year is filtered before the versions are compared, so a later version dated in another year does
     not replace one of this year.
     """
-    period = df.filter(in_year(df, columns.date, year, iso_text=iso_text))
+    period = df.filter(in_year(df, columns.date, year))
     tidy = tidy_sales(period, columns)
     return latest_version(tidy, [columns.key], sales_order(tidy, columns))
 
@@ -83,13 +83,12 @@ def cleanse_gl(
     year: int,
     account_type: str = "REVENUE",
     grace_days: int = 0,
-    iso_text: bool = False,
     columns: GlColumns = GlColumns(),
 ) -> DataFrame:
     """Postings to one type of account in one year, added up per reference and posting date."""
     c = columns
     period = df.filter(
-        (col(c.account) == account_type) & in_year(df, c.date, year, grace_days, iso_text)
+        (col(c.account) == account_type) & in_year(df, c.date, year, grace_days)
     )
     tidy = period.withColumns(
         {
@@ -117,12 +116,11 @@ def cleanse_bank(
     df: DataFrame,
     year: int,
     grace_days: int = 0,
-    iso_text: bool = False,
     columns: BankColumns = BankColumns(),
 ) -> DataFrame:
     """Settlements of one year, added up per reference and settlement date."""
     c = columns
-    period = df.filter(in_year(df, c.date, year, grace_days, iso_text))
+    period = df.filter(in_year(df, c.date, year, grace_days))
     tidy = period.withColumns(
         {
             c.reference: clean_text(c.reference),

@@ -8,6 +8,7 @@ that a hot key or a group of copies is folded together before the shuffle.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -15,7 +16,7 @@ from pyspark.sql import types as T
 
 from ..config import MONEY
 from ..functions import col, outside_dates, outside_range
-from ..sources.staging import settle
+from ..sources.staging import stage
 
 SCORECARD_COLUMNS = ["table_name", "column_name", "check", "rows", "pct"]
 REPORT_COLUMNS = ["table_name", "section", "column_name", "metric", "value"]
@@ -124,13 +125,17 @@ def _profile_aggregates(names: Sequence[str]) -> list[Column]:
 
 
 PROFILE_METRICS = ("count", "mean", "stddev", "min", "max")
+PROFILE_SCHEMA = "column_name string, count bigint, mean double, stddev double, min double, max double"
 
 
 def numeric_profile(df: DataFrame) -> DataFrame:
-    """Count, mean, sample deviation, minimum and maximum of every numeric column, in one pass."""
+    """Count, mean, sample deviation, minimum and maximum of every numeric column, in one pass.
+
+    A frame without numeric columns gives no rows.
+    """
     names = _numeric(df)
     if not names:
-        raise ValueError("the frame has no numeric column")
+        return df.sparkSession.createDataFrame([], PROFILE_SCHEMA)
     return _tidy(
         df.agg(*_profile_aggregates(names)),
         [
@@ -163,11 +168,14 @@ def quality_scorecard(
     dates: Sequence[str] = (),
     amounts: Sequence[str] = (),
     blank_is_null: bool = False,
+    used: Column | None = None,
 ) -> DataFrame:
     """One row per table, column and check.
 
     Checks: the rows of the table; NULLs of each of ``columns``; duplicates on the first of them; and for
-    the ``dates`` and ``amounts`` given, values that are no date or do not fit into money.
+    the ``dates`` and ``amounts`` given, values that are no date or do not fit into money. With ``used``, a
+    condition on the rows that will be converted, such amounts in those rows are counted once more, as
+    "unconvertible". One pass: rows are counted per key, partly before the shuffle, and then added up.
     """
     checks = [(c, "nulls", _missing(df, c, blank_is_null)) for c in columns]
     for kind, listed in (("date", dates), ("money", amounts)):
@@ -175,30 +183,35 @@ def quality_scorecard(
             test = _unparsable(df, c, kind)
             if test is not None:
                 checks.append((c, "unparsable", test))
+                if used is not None and kind == "money":
+                    checks.append((c, "unconvertible", test & used))
 
-    counted = df.agg(
-        F.count(F.lit(1)).alias("total"),
+    per_key = df.groupBy(col(columns[0]).alias("key")).agg(
+        F.count(F.lit(1)).alias("n"),
         *(F.count_if(test).alias(f"n{i}") for i, (_, _, test) in enumerate(checks)),
     )
+
+    def added(column: str) -> Column:
+        return F.coalesce(F.sum(column), F.lit(0)).alias(column)
+
+    counted = per_key.agg(
+        added("n"), F.count(F.lit(1)).alias("keys"), *(added(f"n{i}") for i in range(len(checks)))
+    )
     no_pct = F.lit(None).cast("double")
 
     def entry(column: str, check: str, rows: Column, pct: Column) -> Column:
         values = (F.lit(name), F.lit(column), F.lit(check), rows, pct)
         return F.struct(*(v.alias(n) for n, v in zip(SCORECARD_COLUMNS, values)))
 
-    columns_part = _tidy(
+    return _tidy(
         counted,
-        [entry("*", "rows", F.col("total"), no_pct)]
+        [entry("*", "rows", F.col("n"), no_pct)]
         + [
-            entry(c, check, F.col(f"n{i}"), _percent(F.col(f"n{i}"), F.col("total")))
+            entry(c, check, F.col(f"n{i}"), _percent(F.col(f"n{i}"), F.col("n")))
             for i, (c, check, _) in enumerate(checks)
-        ],
+        ]
+        + [entry(columns[0], "duplicates", F.col("n") - F.col("keys"), no_pct)],
     )
-    keys_part = _tidy(
-        duplicate_summary(df, [columns[0]]),
-        [entry(columns[0], "duplicates", F.col("duplicate_row_count"), no_pct)],
-    )
-    return columns_part.unionByName(keys_part)
 
 
 def quality_gate(
@@ -214,24 +227,34 @@ def quality_gate(
 
     The error names the first such column in the order listed. NULLs of later columns are only reported.
     """
-    card = settle(quality_scorecard(df, name, columns, dates, amounts, blank_is_null))
+    card = stage(quality_scorecard(df, name, columns, dates, amounts, blank_is_null), "scorecard")
     return enforce(card, {name: columns[:gated]})
 
 
 def enforce(card: DataFrame, gated: Mapping[str, Sequence[str]]) -> DataFrame:
-    """Pass on a computed scorecard, or raise if a gated column of one of its tables has NULLs."""
+    """Pass on a computed scorecard, or raise if it holds what would stop the job or falsify it.
+
+    That is NULLs in a gated column, in the order listed, or amounts that cannot be converted in rows that
+    will be.
+    """
     # At most one row per checked column comes to the driver.
     wanted = {(table, column) for table, columns in gated.items() for column in columns}
     faults = card.filter((F.col("check") == "nulls") & (F.col("rows") > 0)).collect()
     found = {(row["table_name"], row["column_name"]): row["rows"] for row in faults}
     for table, columns in gated.items():
         _raise_first(table, columns, {c: found[t, c] for t, c in wanted & found.keys() if t == table})
+    stopping = (F.col("check") == "unconvertible") & (F.col("rows") > 0)
+    for row in card.filter(stopping).orderBy("table_name", "column_name").collect():
+        raise QualityError(
+            f"{row['column_name']!r} of {row['table_name']} holds {row['rows']} amounts that are no money in "
+            "rows to be converted; nothing was processed"
+        )
     return card
 
 
 def assert_no_nulls(df: DataFrame, columns: Sequence[str], name: str = "table") -> DataFrame:
     """The null report of ``columns``, computed; raises if any of them has NULLs."""
-    report = settle(null_report(df.select(*map(col, columns))))
+    report = stage(null_report(df.select(*map(col, columns))), "nulls")
     faults = report.filter(F.col("null_count") > 0).collect()
     _raise_first(name, columns, {row["column_name"]: row["null_count"] for row in faults})
     return report
@@ -249,8 +272,8 @@ def full_report(df: DataFrame, name: str, keys: Sequence[str] | None = None) ->
     """All checks on a table as rows of (table_name, section, column_name, metric, value).
 
     Sections: "table" (rows, columns), "nulls", "duplicates" on ``keys`` (the first column if none are
-    given) and "numeric". The offending keys themselves are what ``duplicate_report`` returns. Two passes:
-    one over all columns, one over the keys.
+    given) and "numeric". Two passes: one over all columns, one over the keys. ``full_check`` returns the
+    offending keys as well.
     """
     keys = list(keys or df.columns[:1])
     numeric = _numeric(df)
@@ -280,3 +303,16 @@ def full_report(df: DataFrame, name: str, keys: Sequence[str] | None = None) ->
         ],
     )
     return _tidy(whole, entries).unionByName(by_key)
+
+
+class FullCheck(NamedTuple):
+    """A full report, and the keys that occur more than once."""
+
+    report: DataFrame
+    duplicates: DataFrame
+
+
+def full_check(df: DataFrame, name: str, keys: Sequence[str] | None = None) -> FullCheck:
+    """The full report together with the offending keys, most frequent first."""
+    keys = list(keys or df.columns[:1])
+    return FullCheck(full_report(df, name, keys), duplicate_report(df, keys))

@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from ..functions import col
-from ..sources.staging import broadcast_if_small, settle, stage
+from ..sources.staging import broadcast_if_small, stage
 
 # Names of helper columns; none of them is in a result.
 _ENTRY, _SLICE, _HOT, _COUNT, _BEFORE, _RANK = (
@@ -36,24 +36,45 @@ def latest_version(df: DataFrame, keys: Sequence[str], order: Sequence[Column])
     return df.withColumn(_RANK, rank).filter(F.col(_RANK) == 1).drop(_RANK)
 
 
+def _sortable(kind: T.DataType) -> bool:
+    """False for maps, and whatever holds one."""
+    if isinstance(kind, T.StructType):
+        return all(_sortable(f.dataType) for f in kind.fields)
+    if isinstance(kind, T.ArrayType):
+        return _sortable(kind.elementType)
+    return not isinstance(kind, T.MapType)
+
+
+def _total(df: DataFrame, order: Sequence[Column]) -> list[Column]:
+    """``order`` and then all columns; those that hold maps, which cannot be sorted, by their JSON text."""
+    rest = [
+        col(f.name) if _sortable(f.dataType) else F.to_json(F.struct(col(f.name)))
+        for f in df.schema.fields
+    ]
+    return [*order, *rest]
+
+
 def number_versions(
     df: DataFrame,
     keys: Sequence[str],
     order: Sequence[Column],
     name: str = "rn",
     max_group_rows: int = 5_000_000,
+    folder: str | None = None,
 ) -> DataFrame:
-    """All rows, numbered from 1 within their key in ``order``.
+    """All rows, numbered from 1 within their key in ``order``, ties by all columns.
 
-    Keys of up to ``max_group_rows`` rows are numbered by a plain window. A larger key would keep one
-    task busy with all its rows, so such keys go another way: their rows are range-partitioned by key and
-    order, numbered within each slice, and moved up by the rows of the same key in earlier slices. That
-    holds for groups of identical rows too. The number of large keys is at most the row count divided by
-    ``max_group_rows``.
+    The input is computed once, staged. Keys of up to ``max_group_rows`` rows are numbered by a plain window. A
+    larger key would keep one task busy with all its rows, so such keys go another way: their rows are
+    range-partitioned by key and order, numbered within each slice, and moved up by the rows of the same
+    key in earlier slices. That holds for groups of identical rows too. Both ways sort alike, so the numbers
+    do not depend on the limit. The number of large keys is at most the row count divided by the limit.
     """
-    rank = F.row_number().over(Window.partitionBy(*map(col, keys)).orderBy(*order)).cast("bigint")
+    df = stage(df, "unnumbered", folder)
+    total = _total(df, order)
+    rank = F.row_number().over(Window.partitionBy(*map(col, keys)).orderBy(*total)).cast("bigint")
     sizes = df.groupBy(*map(col, keys)).agg(F.count(F.lit(1)).alias(_COUNT))
-    hot = settle(sizes.filter(F.col(_COUNT) > max_group_rows))
+    hot = stage(sizes.filter(F.col(_COUNT) > max_group_rows), "large", folder)
     hot_rows = hot.agg(F.sum(_COUNT).alias(_COUNT)).collect()[0][_COUNT]
     if hot_rows is None:
         return df.withColumn(name, rank)
@@ -62,8 +83,9 @@ def number_versions(
     marked = _lookup(df, broadcast_if_small(hot), keys)
     small = marked.filter(F.col(_HOT).isNull()).drop(_HOT)
     large = marked.filter(F.col(_HOT)).drop(_HOT)
+    slices = ceil(hot_rows / max(max_group_rows, 1))
     return small.withColumn(name, rank).unionByName(
-        _number_in_slices(large, keys, order, name, ceil(hot_rows / max(max_group_rows, 1)))
+        _number_in_slices(large, keys, total, name, slices, folder)
     )
 
 
@@ -86,19 +108,24 @@ def _quoted(name: str) -> str:
 
 
 def _number_in_slices(
-    df: DataFrame, keys: Sequence[str], order: Sequence[Column], name: str, least_slices: int
+    df: DataFrame,
+    keys: Sequence[str],
+    total: Sequence[Column],
+    name: str,
+    least_slices: int,
+    folder: str | None,
 ) -> DataFrame:
     slices = max(least_slices, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     # All columns take part in the order, so entry numbers tell apart nothing but identical rows. A task
     # that is run again may number those differently without any row being lost or doubled.
-    rest = [col(f.name) for f in df.schema.fields if not isinstance(f.dataType, T.MapType)]
-    total = [*order, *rest, F.col(_ENTRY)]
+    total = [*total, F.col(_ENTRY)]
     # Staged, because both readers below must see the same slices.
     sliced = stage(
         df.withColumn(_ENTRY, F.monotonically_increasing_id())
         .repartitionByRange(slices, *map(col, keys), *total)
         .withColumn(_SLICE, F.spark_partition_id()),
         "versions",
+        folder,
     )
     within = Window.partitionBy(_SLICE, *map(col, keys)).orderBy(*total)
     earlier = (
@@ -107,11 +134,13 @@ def _number_in_slices(
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     # One row per key and slice: a key has no more of them than there are slices.
-    runs = settle(
+    runs = stage(
         sliced.groupBy(_SLICE, *map(col, keys))
         .agg(F.count(F.lit(1)).alias(_COUNT))
         .withColumn(_BEFORE, F.sum(_COUNT).over(earlier) - F.col(_COUNT))
-        .drop(_COUNT)
+        .drop(_COUNT),
+        "runs",
+        folder,
     )
     numbered = sliced.withColumn(name, F.row_number().over(within))
     moved = _lookup(numbered, broadcast_if_small(runs), [_SLICE, *keys])

@@ -7,12 +7,13 @@ tables themselves. Money is computed in exact decimals and turned into doubles o
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..config import JobConfig
+from ..config import MONEY, JobConfig
 from ..functions import as_date, clean_text, col, in_year, money, month_of
 from ..operators import (
     assert_no_nulls,
@@ -50,8 +51,8 @@ from ..operators.summary import (
     total_unreconciled,
 )
 from ..sources import ingest_audit, scan_parquet, scratch_path, stage, write_csv, write_table
-from ..sources.derived import bank_ledger, gl_ledger, ledgers, order_base, sales_ledger
-from .reconciliation import cleanse_all, process, reconcile
+from .derived import bank_ledger, gl_ledger, ledgers, order_base, sales_ledger
+from .reconciliation import JobResult, cleanse_all, process, reconcile, run
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -88,6 +89,10 @@ def _round(df: DataFrame, **places: int) -> DataFrame:
 
 
 def scan(spark, sf_dir):
+    return _table(spark, sf_dir, "orders").withColumn("o_orderdate", F.col("o_orderdate").cast("date"))
+
+
+def scan_projection(spark, sf_dir):
     orders = _table(spark, sf_dir, "orders")
     return orders.select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice")
 
@@ -103,6 +108,16 @@ def period_filter(spark, sf_dir):
     return kept.select("transaction_id", "transaction_date", "source_system")
 
 
+def period_filter_spellings(spark, sf_dir):
+    """Order dates as text with stray blanks and short months and days, read from a Parquet table."""
+    day = F.col("o_orderdate").cast("date")
+    short = F.concat_ws("-", F.year(day), F.month(day), F.day(day))
+    spelled = F.when(F.col("o_orderkey") % 3 == 0, short).otherwise(day.cast("string"))
+    spelled = F.when(F.col("o_orderkey") % 5 == 0, F.concat(F.lit(" "), spelled)).otherwise(spelled)
+    text = stage(_table(spark, sf_dir, "orders").select("o_orderkey", spelled.alias("day")), "spelled")
+    return text.filter(in_year(text, "day", YEAR))
+
+
 def account_filter(spark, sf_dir):
     gl = gl_ledger(order_base(spark, sf_dir)).filter(F.col("account_type") == CONFIG.account_type)
     return gl.select("posting_id", "source_reference", "account_type", "net_amount")
@@ -147,11 +162,20 @@ def scalar_money(spark, sf_dir):
 # ---- versions, roll-ups, cleansing
 
 
-def row_number_rank(spark, sf_dir):
+def _numbered(spark, sf_dir, **limit):
     tidy = tidy_sales(sales_ledger(order_base(spark, sf_dir)))
     in_period = tidy.filter(in_year(tidy, "transaction_date", YEAR))
     narrow = in_period.select("transaction_id", "last_modified_date", "net_revenue", "source_system")
-    return number_versions(narrow, ["transaction_id"], sales_order(narrow))
+    return number_versions(narrow, ["transaction_id"], sales_order(narrow), **limit)
+
+
+def row_number_rank(spark, sf_dir):
+    return _numbered(spark, sf_dir)
+
+
+def row_number_large_groups(spark, sf_dir):
+    """The same with every key of more than one row taken for a large one."""
+    return _numbered(spark, sf_dir, max_group_rows=1)
 
 
 def dedup_latest(spark, sf_dir):
@@ -298,6 +322,36 @@ def pipeline_summary(spark, sf_dir):
     return monthly_summary(scored)
 
 
+def _with_option(**option) -> Query:
+    def query(spark, sf_dir):
+        _, scored = process(ledgers(order_base(spark, sf_dir)), replace(CONFIG, **option))
+        return _round(scored, mean_val=3, std_val=3)
+
+    return query
+
+
+def _job(spark, sf_dir) -> JobResult:
+    """The whole job with the default gate, from ledgers without NULL amounts in folders of their own."""
+    root = scratch_path(spark, "job")
+    sales, gl, bank = ledgers(order_base(spark, sf_dir))
+    complete = sales.withColumn("net_revenue", F.coalesce("net_revenue", F.lit(0).cast(MONEY)))
+    for df, name in ((complete, "sales"), (gl, "gl"), (bank, "bank")):
+        write_table(df, f"{root}/in/{name}")
+    return run(spark, JobConfig(f"{root}/in/sales", f"{root}/in/gl", f"{root}/in/bank", f"{root}/out", year=YEAR))
+
+
+def job_transactions(spark, sf_dir):
+    return _round(_job(spark, sf_dir).transactions, mean_val=3, std_val=3)
+
+
+def job_summary(spark, sf_dir):
+    return _job(spark, sf_dir).summary
+
+
+def job_audit(spark, sf_dir):
+    return _job(spark, sf_dir).audit
+
+
 # ---- data quality
 
 
@@ -308,6 +362,14 @@ def nulls(spark, sf_dir):
     return null_report(present.join(labels, "doc_id", "left"))
 
 
+def blank_nulls(spark, sf_dir):
+    """Blank text counted as missing."""
+    remainder = F.col("o_orderkey") % 4
+    note = F.when(remainder == 0, F.lit("  ")).when(remainder > 1, F.col("o_orderpriority"))
+    orders = _table(spark, sf_dir, "orders").select("o_orderkey", note.alias("note"))
+    return null_report(orders, blank_is_null=True)
+
+
 LINE_KEY = ["l_orderkey", "l_linenumber"]
 
 
@@ -373,13 +435,16 @@ def csv_roundtrip(spark, sf_dir):
 
 QUERIES: dict[str, Query] = {
     "scan_parquet": scan,
+    "scan_projection": scan_projection,
     "ingest_audit": audit,
     "period_filter": period_filter,
+    "period_filter_spellings": period_filter_spellings,
     "account_filter": account_filter,
     "scalar_string_clean": scalar_string_clean,
     "scalar_dates": scalar_dates,
     "scalar_money": scalar_money,
     "row_number_rank": row_number_rank,
+    "row_number_large_groups": row_number_large_groups,
     "dedup_latest": dedup_latest,
     "distinct_rows": distinct_rows,
     "cleanse_sales": sales_clean,
@@ -405,7 +470,14 @@ QUERIES: dict[str, Query] = {
     "monthly_summary": summary,
     "pipeline_reconciled": pipeline_reconciled,
     "pipeline_summary": pipeline_summary,
+    "pipeline_reference_grain": _with_option(grain="reference"),
+    "pipeline_null_category": _with_option(null_category="keep"),
+    "pipeline_grace_days": _with_option(grace_days=31),
+    "job_transactions": job_transactions,
+    "job_summary": job_summary,
+    "job_audit": job_audit,
     "null_report": nulls,
+    "null_report_blanks": blank_nulls,
     "duplicate_report": repeated_lines,
     "duplicate_summary": line_duplicates,
     "value_range_min": _balance_outside(low=0),

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import MONEY
-from .scan import scan_parquet
+from ..sources import scan_parquet
 
 
 def order_base(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -222,9 +222,57 @@ SUMMARY_ROW = (
     + _num("total_source_revenue", "matched_revenue", "total_unreconciled")
     + ", anomalies_detected, reconciliation_rate_pct, rag_status"
 )
-SCORED_ROWS = _with(TO_SCORED, f"select {SCORED_ROW} from scored")
+SCORED_SELECT = f"select {SCORED_ROW} from scored"
+SCORED_ROWS = _with(TO_SCORED, SCORED_SELECT)
 SUMMARY_ROWS = _with(TO_SUMMARY, f"select {SUMMARY_ROW} from rated order by period")
 
+NUMBERED = _with(
+    TO_TIDY,
+    f"""
+    select transaction_id, last_modified_date, net_revenue::double net_revenue, source_system,
+      row_number() over (partition by transaction_id
+        order by last_modified_date desc nulls last, net_revenue desc, source_system desc) rn
+    from tidy where year(transaction_date) = {YEAR}
+    """,
+)
+AUDIT = _with(
+    [BASE, SALES, GL, BANK],
+    """
+    select 'sales' source, count(*) row_count, 14::bigint column_count from sales_src
+    union all select 'gl', count(*), 9 from gl_src
+    union all select 'bank', count(*), 6 from bank_src
+    """,
+)
+
+# The job's options.
+TO_CLEAN = [*TO_TIDY, GL, BANK, SALES_CLEAN, GL_CLEAN, BANK_CLEAN]
+PER_REFERENCE = """
+gl_once as (
+  select source_reference, min(posting_date) posting_date, sum(gl_net_amount) gl_net_amount,
+    sum(gl_gross_amount) gl_gross_amount, sum(gl_tax_amount) gl_tax_amount, sum(journal_count) journal_count
+  from gl_clean group by source_reference
+),
+bank_once as (
+  select reference_id, min(settlement_date) settlement_date, sum(bank_settled_amount) bank_settled_amount,
+    sum(bank_fees) bank_fees, sum(settlement_count) settlement_count
+  from bank_clean group by reference_id
+)"""
+BY_REFERENCE = RECONCILED.replace("join gl_clean", "join gl_once").replace("join bank_clean", "join bank_once")
+SCORED_WITH_NULL = SCORED.replace(
+    "r.product_category = s.product_category", "r.product_category is not distinct from s.product_category"
+)
+
+
+def with_grace(clean: str) -> str:
+    """A year and the January after it."""
+    for column in ("posting_date", "settlement_date"):
+        clean = clean.replace(
+            f"year({column}::date) = {YEAR}",
+            f"{column}::date >= date '{YEAR}-01-01' and {column}::date < date '{YEAR + 1}-02-01'",
+        )
+    return clean
+
+
 DOCUMENT_COLUMNS = ["doc_id", "text", "lang", "source", "n_chars", "quality", "toxic"]
 LINE_COLUMNS = [
     "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount",
@@ -321,20 +369,20 @@ def _balance(condition: str) -> str:
 
 
 ORACLE: dict[str, str] = {
-    "scan_parquet": "select o_orderkey, o_custkey, o_orderstatus, o_totalprice from orders",
-    "ingest_audit": _with(
-        [BASE, SALES, GL, BANK],
-        """
-        select 'sales' source, count(*) row_count, 14::bigint column_count from sales_src
-        union all select 'gl', count(*), 9 from gl_src
-        union all select 'bank', count(*), 6 from bank_src
-        """,
-    ),
+    "scan_parquet": "select * replace (strftime(o_orderdate, '%Y-%m-%d') as o_orderdate) from orders",
+    "scan_projection": "select o_orderkey, o_custkey, o_orderstatus, o_totalprice from orders",
+    "ingest_audit": AUDIT,
     "period_filter": _with(
         TO_SALES,
         "select transaction_id, transaction_date, source_system from sales_src "
         f"where year(transaction_date::date) = {YEAR}",
     ),
+    "period_filter_spellings": (
+        "select o_orderkey, case when o_orderkey % 5 = 0 then ' ' else '' end || "
+        "case when o_orderkey % 3 = 0 then year(o_orderdate) || '-' || month(o_orderdate) || '-' || "
+        "day(o_orderdate) else strftime(o_orderdate, '%Y-%m-%d') end \"day\" "
+        f"from orders where year(o_orderdate) = {YEAR}"
+    ),
     "account_filter": _with(
         TO_GL,
         "select posting_id, source_reference, account_type, net_amount::double net_amount from gl_src "
@@ -364,15 +412,8 @@ ORACLE: dict[str, str] = {
         from sales_src
         """,
     ),
-    "row_number_rank": _with(
-        TO_TIDY,
-        f"""
-        select transaction_id, last_modified_date, net_revenue::double net_revenue, source_system,
-          row_number() over (partition by transaction_id
-            order by last_modified_date desc nulls last, net_revenue desc, source_system desc) rn
-        from tidy where year(transaction_date) = {YEAR}
-        """,
-    ),
+    "row_number_rank": NUMBERED,
+    "row_number_large_groups": NUMBERED,
     "dedup_latest": _with(
         TO_TIDY,
         """
@@ -462,7 +503,24 @@ ORACLE: dict[str, str] = {
     "monthly_summary": SUMMARY_ROWS,
     "pipeline_reconciled": SCORED_ROWS,
     "pipeline_summary": SUMMARY_ROWS,
+    "pipeline_reference_grain": _with([*TO_CLEAN, PER_REFERENCE, BY_REFERENCE, SCORED], SCORED_SELECT),
+    "pipeline_null_category": _with([*TO_RECONCILED, SCORED_WITH_NULL], SCORED_SELECT),
+    "pipeline_grace_days": _with(
+        [*TO_TIDY, GL, BANK, SALES_CLEAN, with_grace(GL_CLEAN), with_grace(BANK_CLEAN), RECONCILED, SCORED],
+        SCORED_SELECT,
+    ),
+    "job_transactions": SCORED_ROWS,
+    "job_summary": SUMMARY_ROWS,
+    "job_audit": AUDIT,
     "null_report": _null_report(),
+    "null_report_blanks": (
+        "with noted as (select o_orderkey, case o_orderkey % 4 when 0 then '  ' when 1 then null "
+        "else o_orderpriority end note from orders) "
+        "select 'o_orderkey' column_name, count(*) - count(o_orderkey) null_count, "
+        "round(100.0::double * (count(*) - count(o_orderkey)) / count(*), 2) null_pct from noted union all "
+        "select 'note', count(*) filter (note is null or trim(note, ' ') = ''), "
+        "round(100.0::double * count(*) filter (note is null or trim(note, ' ') = '') / count(*), 2) from noted"
+    ),
     "duplicate_report": LINE_KEYS + (
         "select l_orderkey, l_linenumber::bigint l_linenumber, n row_count from keys where n > 1 "
         "order by n desc, l_orderkey, l_linenumber"
@@ -483,9 +541,10 @@ ORACLE: dict[str, str] = {
     "numeric_profile": _profile(),
     "quality_scorecard": _scorecard(),
     "null_gate": (
-        "select 'l_orderkey' column_name, count(*) - count(l_orderkey) null_count, 0.0::double null_pct "
-        "from lineitem union all "
-        "select 'l_linenumber', count(*) - count(l_linenumber), 0.0 from lineitem"
+        "select 'l_orderkey' column_name, count(*) - count(l_orderkey) null_count, "
+        "round(100.0::double * (count(*) - count(l_orderkey)) / count(*), 2) null_pct from lineitem union all "
+        "select 'l_linenumber', count(*) - count(l_linenumber), "
+        "round(100.0::double * (count(*) - count(l_linenumber)) / count(*), 2) from lineitem"
     ),
     "full_quality_report": _full_report(),
     "sink_roundtrip_parquet": SCORED_ROWS,

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 
 from ..config import JobConfig
-from ..functions import col
+from ..functions import col, in_year
 from ..operators.anomaly import detect_anomalies
 from ..operators.cleanse import (
     cleanse_bank,
@@ -20,51 +20,65 @@ from ..operators.cleanse import (
 from ..operators.quality import enforce, quality_scorecard
 from ..operators.reconcile import three_way_reconciliation
 from ..operators.summary import monthly_summary
-from ..sources.scan import load_ledgers
+from ..sources.scan import ingest_audit, load_ledgers
 from ..sources.sinks import refuse_overlap, write_csv, write_table
-from ..sources.staging import settle, stage
+from ..sources.staging import remove, scratch_path, stage
 
 Ledgers = tuple[DataFrame, DataFrame, DataFrame]
 
 
 @dataclass(frozen=True)
 class JobResult:
-    """The tables a run has written, and the scorecard of its sources."""
+    """The tables a run has written, the scorecard of its sources, and their row and column counts."""
 
     transactions: DataFrame
     summary: DataFrame
     scorecard: DataFrame
+    audit: DataFrame
 
 
 def gate_all(ledgers: Ledgers, config: JobConfig) -> DataFrame:
-    """Scorecards of the three raw ledgers, computed in one job; raises on NULLs in their gated columns."""
+    """Scorecards of the three raw ledgers, computed in one job.
+
+    Raises on NULLs in their gated columns, and on amounts that are no money in rows of the period, which the
+    job would convert.
+    """
     sales, gl, bank = ledgers
     s, g, b = config.sales, config.gl, config.bank
+    year, grace = config.year, config.grace_days
+    of_account = (col(g.account) == config.account_type) & in_year(gl, g.date, year, grace)
     checks = [
-        (sales, "Sales", [s.key, s.net, s.date], [s.date], [s.net]),
-        (gl, "GL", [g.reference, g.net], [g.date], [g.net]),
-        (bank, "Bank", [b.reference, b.settled], [b.date], [b.settled]),
+        (sales, "Sales", [s.key, s.net, s.date], s.date, [s.net, s.gross], in_year(sales, s.date, year)),
+        (gl, "GL", [g.reference, g.net], g.date, [g.net, g.gross, g.tax], of_account),
+        (bank, "Bank", [b.reference, b.settled], b.date, [b.settled, b.fee],
+         in_year(bank, b.date, year, grace)),
     ]
     cards = [
-        quality_scorecard(df, name, columns, dates, amounts, config.blank_is_null)
-        for df, name, columns, dates, amounts in checks
+        quality_scorecard(df, name, columns, [day], amounts, config.blank_is_null, used)
+        for df, name, columns, day, amounts, used in checks
     ]
-    gated = {name: columns[: config.gated_columns] for _, name, columns, _, _ in checks}
-    return enforce(settle(reduce(DataFrame.unionByName, cards)), gated)
+    gated = {name: columns[: config.gated_columns] for _, name, columns, *_ in checks}
+    card = _small(reduce(DataFrame.unionByName, cards))
+    return enforce(card, gated)
+
+
+def _small(report: DataFrame) -> DataFrame:
+    """A report of a few rows per ledger, computed once and kept by the driver."""
+    return report.sparkSession.createDataFrame(report.collect(), report.schema)
 
 
 def cleanse_all(ledgers: Ledgers, config: JobConfig) -> Ledgers:
     sales, gl, bank = ledgers
-    iso, grace = config.iso_text_dates, config.grace_days
-    clean_gl = cleanse_gl(gl, config.year, config.account_type, grace, iso, config.gl)
-    clean_bank = cleanse_bank(bank, config.year, grace, iso, config.bank)
+    grace = config.grace_days
+    clean_gl = cleanse_gl(gl, config.year, config.account_type, grace, config.gl)
+    clean_bank = cleanse_bank(bank, config.year, grace, config.bank)
     if config.grain == "reference":
         clean_gl = per_reference(clean_gl, config.gl.reference, config.gl.date)
         clean_bank = per_reference(clean_bank, config.bank.reference, config.bank.date)
     elif config.grain != "date":
         raise ValueError(f"grain must be 'date' or 'reference', not {config.grain!r}")
     read = sales.select(*map(col, reconciled_columns(config.sales)))
-    return cleanse_sales(read, config.year, iso, config.sales), clean_gl, clean_bank
+    return cleanse_sales(read, config.year, config.sales), clean_gl, clean_bank
 
 
 def reconcile(ledgers: Ledgers, config: JobConfig) -> DataFrame:
@@ -79,18 +93,21 @@ def reconcile(ledgers: Ledgers, config: JobConfig) -> DataFrame:
     )
 
 
-def process(ledgers: Ledgers, config: JobConfig) -> tuple[DataFrame, DataFrame]:
+def process(
+    ledgers: Ledgers, config: JobConfig, folder: str | None = None
+) -> tuple[DataFrame, DataFrame]:
     """Gate the raw ledgers, then reconcile and score them: (scorecard, scored rows).
 
-    The reconciled rows are staged, because scoring reads them twice: once for the statistics, which
-    needs two columns, and once for the rows.
+    The reconciled rows are staged in ``folder``, or else in the shared folder, because scoring reads them
+    three times: twice for the statistics, which need two columns, and once for the rows.
     """
     scorecard = gate_all(ledgers, config)
     scored = detect_anomalies(
-        stage(reconcile(ledgers, config), "reconciled"),
+        stage(reconcile(ledgers, config), "reconciled", folder),
         config.z_threshold,
         config.high_multiple,
         null_category=config.null_category,
+        folder=folder,
     )
     return scorecard, scored
 
@@ -114,8 +131,15 @@ def write_outputs(scored: DataFrame, config: JobConfig) -> tuple[DataFrame, Data
 
 
 def run(spark: SparkSession, config: JobConfig) -> JobResult:
-    """The whole job: sources in, checked and processed, outputs written."""
+    """The whole job: sources in, counted, checked and processed, outputs written, staged tables removed."""
     refuse_overlap(config.output_path, config.source_paths)
-    scorecard, scored = process(load_ledgers(spark, config), config)
-    transactions, summary = write_outputs(scored, config)
-    return JobResult(transactions, summary, scorecard)
+    ledgers = load_ledgers(spark, config)
+    audit = _small(ingest_audit(dict(zip(("sales", "gl", "bank"), ledgers))))
+    folder = scratch_path(spark, "run", config.staging_folder)
+    refuse_overlap(folder, config.source_paths)
+    try:
+        scorecard, scored = process(ledgers, config, folder)
+        transactions, summary = write_outputs(scored, config)
+    finally:
+        remove(spark, folder)
+    return JobResult(transactions, summary, scorecard, audit)

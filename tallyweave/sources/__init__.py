@@ -2,9 +2,9 @@
 
 from .scan import ingest_audit, load_ledgers, scan_parquet
 from .sinks import refuse_overlap, write_csv, write_table
-from .staging import broadcast_if_small, scratch_path, settle, stage
+from .staging import broadcast_if_small, remove, scratch_path, stage
 
 __all__ = [
-    "broadcast_if_small", "ingest_audit", "load_ledgers", "refuse_overlap", "scan_parquet",
-    "scratch_path", "settle", "stage", "write_csv", "write_table",
+    "broadcast_if_small", "ingest_audit", "load_ledgers", "refuse_overlap", "remove",
+    "scan_parquet", "scratch_path", "stage", "write_csv", "write_table",
 ]

@@ -43,11 +43,13 @@ def write_table(
     return df.sparkSession.read.format(format).load(path)
 
 
-def write_csv(df: DataFrame, path: str, sources: Iterable[str] = ()) -> None:
-    """Write a report as one CSV file with a header.
+def write_csv(df: DataFrame, path: str, sources: Iterable[str] = (), files: int | None = 1) -> None:
+    """Write a report as CSV with a header, in at most ``files`` files.
 
-    One task writes it, so it is for reports of a few rows. Give it a table that is already computed:
-    a lazy frame would run its last stage in that one task too.
+    One file is for reports of a few rows, as one task writes it; None leaves the frame's partitions as
+    they are. Give it a table that is already computed: a lazy frame would run its last stage in those few
+    tasks too.
     """
     refuse_overlap(path, sources)
-    df.coalesce(1).write.mode("overwrite").option("header", "true").csv(path)
+    parts = df if files is None else df.coalesce(files)
+    parts.write.mode("overwrite").option("header", "true").csv(path)

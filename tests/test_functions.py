@@ -1,4 +1,4 @@
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 from decimal import Decimal
 
 import pytest
@@ -40,15 +40,35 @@ def test_text_that_is_no_date_becomes_null(spark):
 DAYS = ["1997-12-31", "1998-01-01", "1998-12-31", "1999-01-01", "1999-01-03", "1999-01-04", "junk", None]
 
 
-@pytest.mark.parametrize("iso_text", [False, True])
-def test_year_is_half_open(spark, iso_text):
+def test_year_is_half_open(spark):
     df = spark.createDataFrame([(d,) for d in DAYS], "d string")
-    kept = df.filter(in_year(df, "d", 1998, iso_text=iso_text)).collect()
+    kept = df.filter(in_year(df, "d", 1998)).collect()
     assert [r["d"] for r in kept] == ["1998-01-01", "1998-12-31"]
-    graced = df.filter(in_year(df, "d", 1998, grace_days=3, iso_text=iso_text)).collect()
+    graced = df.filter(in_year(df, "d", 1998, grace_days=3)).collect()
     assert [r["d"] for r in graced] == DAYS[1:5]
 
 
+SPELLINGS = [
+    "1998-02-03", " 1998-02-03", "\t1998-02-03", "\n 1998-02-03 ", "+1998-02-03", "01998-02-03", "001998-2-3",
+    "\x7f1998-02-03", "1998", "1998-02", "1998-2-3", "1998-02-03 10:11:12", "1998-02-03T10:11:12", "1999-01-02",
+    " 1999-1-2", "1997-12-31", "2999-01-01", "998-02-03", "", " ", "soon", "\x001998-02-03",
+]
+
+
+@pytest.mark.parametrize("year, grace", [(1998, 0), (1998, 40), (9999, 0), (9998, 10), (2999, 365)])
+def test_the_pushed_range_loses_no_readable_date(spark, year, grace):
+    df = spark.createDataFrame([(d,) for d in SPELLINGS], "d string")
+    end = date(year + 1, 1, 1) + timedelta(days=grace) if year < 9999 else None
+    if end is None:
+        with pytest.raises(ValueError):
+            in_year(df, "d", year, grace)
+        return
+    readable = {r["d"]: r["day"] for r in df.select("d", as_date(df, "d").alias("day")).collect()}
+    want = {d for d, day in readable.items() if day is not None and date(year, 1, 1) <= day < end}
+    assert {r["d"] for r in df.filter(in_year(df, "d", year, grace)).collect()} == want
+    assert year != 1998 or len(want) >= 11
+
+
 @pytest.mark.parametrize("kind", ["date", "timestamp", "timestamp_ntz"])
 def test_year_of_typed_columns(spark, kind):
     df = spark.createDataFrame([(d,) for d in DAYS[:6]], "d string")

@@ -7,12 +7,12 @@ import re
 import pytest
 
 from tallyweave.operators import (
-    cleanse_gl, cleanse_sales, date_range_check, status_counts, value_range_check, with_z_score,
+    cleanse_bank, cleanse_gl, cleanse_sales, date_range_check, status_counts, value_range_check, with_z_score,
 )
 from tallyweave.plans import cleanse_all, reconcile
 from tallyweave.plans.catalog import CONFIG, QUERIES
 from tallyweave.sources import stage
-from tallyweave.sources.derived import ledgers, order_base
+from tallyweave.plans.derived import ledgers, order_base
 
 
 def plan(df):
@@ -51,10 +51,15 @@ def test_account_filter_reaches_the_scan(raw):
     assert "EqualTo(account_type,REVENUE)" in text
 
 
-def test_iso_text_range_reaches_the_scan(raw):
-    wanted = "GreaterThanOrEqual(transaction_date,1998-01-01), LessThan(transaction_date,1999-01-01)"
-    assert wanted in plan(cleanse_sales(raw[0], 1998, iso_text=True))
-    assert wanted not in plan(cleanse_sales(raw[0], 1998))
+def test_text_date_ranges_reach_the_scan(raw):
+    frames = (
+        (cleanse_sales(raw[0], 1998), "transaction_date"),
+        (cleanse_gl(raw[1], 1998), "posting_date"),
+        (cleanse_bank(raw[2], 1998), "settlement_date"),
+    )
+    for df, name in frames:
+        year = f"And(GreaterThanOrEqual({name},1998),LessThan({name},1999))"
+        assert f"Or(Or(LessThan({name},1),{year}),GreaterThanOrEqual({name},\x7f))" in plan(df)
 
 
 def test_ranges_reach_the_scan(spark, tables):

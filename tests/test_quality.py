@@ -4,7 +4,7 @@ import pytest
 
 from tallyweave.operators import (
     QualityError, assert_no_nulls, date_range_check, duplicate_report, duplicate_summary, full_report,
-    null_report, numeric_profile, quality_gate, quality_scorecard, value_range_check,
+    full_check, null_report, numeric_profile, quality_gate, quality_scorecard, value_range_check,
 )
 
 SCHEMA = "transaction_id string, customer_id string, transaction_date string, net_revenue double"
@@ -169,3 +169,20 @@ def test_amounts_that_do_not_fit(spark, kind):
     ).selectExpr(f"cast(cast(t as double) as {kind}) as x")
     card = quality_scorecard(df, "t", ["x"], amounts=["x"])
     assert card.filter("check = 'unparsable'").collect()[0]["rows"] == 2
+
+
+def test_profile_of_a_frame_without_numbers_is_empty(spark):
+    none = numeric_profile(spark.createDataFrame([("a",)], "t string"))
+    assert none.columns == ["column_name", "count", "mean", "stddev", "min", "max"] and none.count() == 0
+
+
+def test_full_check_returns_the_offending_keys(spark, example):
+    check = full_check(example, "t", ["transaction_id"])
+    assert check.report.count() == full_report(example, "t", ["transaction_id"]).count()
+    assert rows(check.duplicates) == rows(duplicate_report(example, ["transaction_id"])) != []
+
+
+def test_a_scorecard_reads_its_table_once(spark, tables):
+    sales = spark.read.parquet(f"{tables()}/orders.parquet")
+    plan = quality_scorecard(sales, "t", ["o_orderkey"])._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1

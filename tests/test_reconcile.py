@@ -3,6 +3,7 @@ from datetime import date
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import functions as F
 
 from tallyweave.operators import (
     category_stats, detect_anomalies, monthly_summary, three_way_reconciliation, with_anomaly_flags,
@@ -183,3 +184,25 @@ def test_mean_does_not_depend_on_row_order(spark):
         for part, n in ((rows, 1), (rows[::-1], 3), (rows, 7))
     }
     assert len(means) == 1
+
+
+def test_deviation_does_not_depend_on_the_order_of_rows(spark):
+    rows = spark.range(20_000).selectExpr(
+        "concat('c', id % 3) product_category",
+        "cast((hash(id) % 100000000) / 100.0 as decimal(18,2)) source_net",
+    )
+    results = []
+    for seed, parts in ((1, 3), (2, 8)):
+        shuffled = rows.orderBy(F.rand(seed)).repartition(parts)
+        results.append(sorted(map(tuple, category_stats(shuffled).collect())))
+    assert results[0] == results[1]
+    usual = dict(rows.groupBy("product_category").agg(F.stddev_samp(F.col("source_net").cast("double"))).collect())
+    for category, _, deviation in results[0]:
+        assert abs(deviation - usual[category]) < 1e-6 * usual[category]
+
+
+def test_deviation_of_the_largest_amounts(spark):
+    big = "9999999999999999.99"
+    rows = spark.sql(f"select 'c' product_category, explode(array({big}BD, -{big}BD)) source_net")
+    row = category_stats(rows).collect()[0]
+    assert row["mean_val"] == 0.0 and abs(row["std_val"] / (1e16 * 2**0.5) - 1) < 1e-12

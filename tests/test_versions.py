@@ -75,14 +75,42 @@ def test_large_groups_are_spread_over_slices(spark, skewed):
     seen = []
     original = versions.stage
     try:
-        versions.stage = lambda frame, label: seen.append(original(frame, label)) or seen[-1]
+        versions.stage = lambda frame, label, folder=None: seen.append((label, original(frame, label))) or seen[-1][1]
         number_versions(df, ["id"], newest_first("modified"), max_group_rows=50).collect()
     finally:
         versions.stage = original
+    (sliced,) = [frame for label, frame in seen if label == "versions"]
     slices = {key: set() for key in ("hot", "copies", None)}
-    for row in seen[0].select("id", "__slice").distinct().collect():
+    for row in sliced.select("id", "__slice").distinct().collect():
         slices[row["id"]].add(row["__slice"])
     assert len(slices["hot"]) > 4 and len(slices["copies"]) > 4
     # 760 rows in groups of more than 50: at least 16 slices.
-    largest = seen[0].groupBy("__slice").count().agg({"count": "max"}).collect()[0][0]
+    largest = sliced.groupBy("__slice").count().agg({"count": "max"}).collect()[0][0]
     assert largest <= 100
+
+
+@pytest.mark.parametrize("kind", ["string", "map<string,int>", "struct<m:map<string,int>>", "array<map<string,int>>"])
+def test_ties_are_numbered_alike_whatever_the_limit(spark, kind):
+    value = {"string": "string(n)", "map<string,int>": "map('n', n)", "struct<m:map<string,int>>": "named_struct('m', map('n', n))",
+             "array<map<string,int>>": "array(map('n', n))"}[kind]
+    rows = spark.range(200).selectExpr("'k' id", "'1998' modified", "cast(id % 37 as int) n", "id other")
+    df = rows.selectExpr("id", "modified", "other", f"{value} v").repartition(5)
+    results = []
+    for limit in (0, 50, 1_000_000):
+        out = number_versions(df, ["id"], newest_first("modified"), max_group_rows=limit)
+        results.append({(r["other"], r["rn"]) for r in out.collect()})
+    assert results[0] == results[1] == results[2] and len(results[0]) == 200
+
+
+@pytest.mark.parametrize("limit", [10, 1_000_000])
+def test_the_input_is_computed_once(spark, limit):
+    count = spark.sparkContext.accumulator(0)
+
+    def seen(batches):
+        for batch in batches:
+            count.add(batch.num_rows)
+            yield batch
+
+    df = spark.range(300).selectExpr("'k' id", "id modified").mapInArrow(seen, "id string, modified bigint")
+    assert number_versions(df, ["id"], newest_first("modified"), max_group_rows=limit).count() == 300
+    assert count.value == 300
