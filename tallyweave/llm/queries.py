@@ -92,5 +92,27 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     }
 
 
+EMBEDDING_LINKS_SQL = """
+with recursive usable as (
+  select vec_id, embedding::double[] e from embeddings
+  where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+    and len(list_filter(embedding, lambda x: x <> 0)) > 0
+),
+links as (
+  select a.vec_id a, b.vec_id b from usable a join usable b on a.vec_id <> b.vec_id and len(a.e) = len(b.e)
+  where list_cosine_similarity(a.e, b.e) >= 0.95
+),
+reach(node, other) as (
+  select vec_id, vec_id from embeddings
+  union select reach.node, links.b from reach join links on reach.other = links.a
+),
+least as (select node, min(other) component_id from reach group by node),
+degree as (select a node, count(*) n_links from links group by a)
+select vec_id, coalesce(n_links, 0) n_links, component_id, vec_id = component_id kept
+from embeddings join least on least.node = vec_id left join degree on degree.node = vec_id
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    """SQL has no byte-pair merging, XXH64, CRC-32, look-ahead in patterns or packing; tests hold those against brute force."""
+    return {"op5_embedding_links": EMBEDDING_LINKS_SQL}
