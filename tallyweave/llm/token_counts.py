@@ -23,6 +23,8 @@ from tallyweave.llm.common import texts
 
 #: Chunks a Python worker remembers at most; then it starts afresh.
 REMEMBERED = 1_000_000
+#: Bytes of a chunk that is remembered, at most.
+LONGEST_REMEMBERED = 64
 
 # Fixed values of the tokenizer family: contractions, letters, single digits, everything else that isn't blank.
 CONTRACTIONS = "'s|'t|'re|'ve|'m|'ll|'d"
@@ -99,11 +101,14 @@ class WordMerger:
         words = self.split(chunk)
         if len(words) == 1:
             return self.merged(words[0])
-        total = 0
+        # "word," and "word." have most of their work in common; a word is not split again, so it has a key of its own kind.
+        total, known = 0, self.known
         for word in words:
-            tokens = self.known.get(key := word.encode())
+            tokens = known.get(word)
             if tokens is None:
-                tokens = self.known[key] = self.merged(word)
+                tokens = self.merged(word)
+                if len(word) <= LONGEST_REMEMBERED:
+                    known[word] = tokens
             total += tokens
         return total
 
@@ -130,7 +135,9 @@ class Chunks(dict):
         self.work_out = work_out
 
     def __missing__(self, chunk: bytes):
-        value = self[chunk] = self.work_out(chunk.decode())
+        value = self.work_out(chunk.decode())
+        if len(chunk) <= LONGEST_REMEMBERED:
+            self[chunk] = value
         return value
 
 

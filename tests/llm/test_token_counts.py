@@ -23,7 +23,7 @@ def mine():
     return WordMerger(word_tokenizer())
 
 
-ODD = ["ΣΑΣ ΟΔΟΣ", "İstanbul", "a\x1cb\x85c d e", "ȩ́ ẛ̣", "don't we'll 'twas 's", "<|endoftext|>x<|startoftext|>", "<|ENDOFTEXT|>", "中文 ½² ٣", "…—“x”", "a" * 500, ""]
+ODD = ["ΣΑΣ ΟΔΟΣ", "İstanbul", "a\x1cb\x85c d e", "ȩ́ ẛ̣", "don't we'll 'twas 's", "<|endoftext|>x<|startoftext|>", "<|ENDOFTEXT|>", "中文 ½² ٣", "…—“x”", "a" * 500, "İ̜ İ̗x", ""]
 
 
 @settings(max_examples=300, deadline=None)
