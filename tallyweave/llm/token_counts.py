@@ -30,6 +30,18 @@ LONGEST_REMEMBERED = 64
 CONTRACTIONS = "'s|'t|'re|'ve|'m|'ll|'d"
 BLANK = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 
+# Characters of later Unicode versions that the tokenizers know and Python's tables may lack.
+NEW_LETTERS = (
+    "1c89-1c8a a7cb-a7cd a7da-a7dc 105c0-105f3 10d4a-10d65 10d6f-10d85 10ec2-10ec4 11380-11389 1138b-1138b 1138e-1138e "
+    "11390-113b5 113b7-113b7 113d1-113d1 113d3-113d3 11bc0-11be0 13460-143fa 16100-1611d 16d40-16d6c 18cff-18cff "
+    "1e5d0-1e5ed 1e5f0-1e5f0"
+)
+NEW_DIGITS = "10d40-10d49 116d0-116e3 11bf0-11bf9 16130-16139 16d70-16d79 1ccf0-1ccf9 1e5f1-1e5fa"
+NEW_LOWER = {0x1C89: 0x1C8A, 0xA7CB: 0x264, 0xA7CC: 0xA7CD, 0xA7CE: 0xA7CF, 0xA7D2: 0xA7D3, 0xA7D4: 0xA7D5, 0xA7DA: 0xA7DB, 0xA7DC: 0x19B}
+NEW_LOWER |= {c: c + 0x20 for c in range(0x10D50, 0x10D66)} | {c: c + 0x1B for c in range(0x16EA0, 0x16EB9)}
+#: Lower case is taken character by character: no final form of sigma.
+LOWER_FIRST = NEW_LOWER | {ord("Σ"): ord("σ")}
+
 
 @lru_cache(maxsize=4)
 def word_pattern(last: int) -> re.Pattern:
@@ -42,6 +54,8 @@ def word_pattern(last: int) -> re.Pattern:
                 kind[-1][1] = code
             else:
                 kind.append([code, code])
+    for kind, added in (("L", NEW_LETTERS), ("N", NEW_DIGITS)):
+        spans[kind] += [[a, b] for a, b in (map(lambda x: int(x, 16), r.split("-")) for r in added.split()) if b <= last]
     letter, digit = ("".join(rf"\U{a:08x}-\U{b:08x}" for a, b in spans[k]) for k in "LN")
     return re.compile(rf"{CONTRACTIONS}|[{letter}]+|[{digit}]|[^{BLANK}{letter}{digit}]+")
 
@@ -93,8 +107,7 @@ class WordMerger:
             chunk.encode("latin-1")
         except UnicodeEncodeError:
             chunk = unicodedata.normalize("NFC", chunk)
-            # Lower case is taken character by character: no final form of sigma.
-            return word_pattern(sys.maxunicode).findall(chunk.replace("Σ", "σ").lower())
+            return word_pattern(sys.maxunicode).findall(chunk.translate(LOWER_FIRST).lower())
         return self.latin_words.findall(chunk.lower())
 
     def _chunk(self, chunk: str) -> int:

@@ -6,7 +6,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from tallyweave.llm.queries import word_tokenizer
-from tallyweave.llm.token_counts import WordMerger, count_tokens
+from tallyweave.llm.token_counts import NEW_DIGITS, NEW_LETTERS, WordMerger, count_tokens
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 tokenizers = pytest.importorskip("tokenizers")
@@ -27,11 +27,19 @@ ODD = ["ΣΑΣ ΟΔΟΣ", "İstanbul", "a\x1cb\x85c d e", "ȩ́ ẛ̣", "don
 
 
 @settings(max_examples=300, deadline=None)
-@given(st.text(max_size=40))
+@given(st.text(st.characters(exclude_categories=["Cs", "Cn"]), max_size=40))
 def test_any_text_counts_as_the_library_counts(library, mine, text):
     assert mine.count(text.encode()) == len(library.encode(text, add_special_tokens=False))
 
 
+def test_characters_that_python_may_not_know(library, mine):
+    for ranges in (NEW_LETTERS, NEW_DIGITS):
+        for span in ranges.split():
+            for code in {int(end, 16) for end in span.split("-")}:
+                for text in (f"a{chr(code)}b", chr(code) * 3, f"{chr(code)}\u00ce!"):
+                    assert mine.count(text.encode()) == len(library.encode(text, add_special_tokens=False)), hex(code)
+
+
 def test_odd_texts(library, mine):
     rng = random.Random(2)
     for text in ODD + ["".join(rng.choice(ODD)[:6] for _ in range(8)) for _ in range(200)]:
