@@ -20,6 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from tallyweave.llm.common import texts
 
@@ -262,6 +263,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, rules: Rules = Rules(), do
     """
     context = docs.sparkSession.sparkContext
     doc_kind, item_kind = docs.schema[doc_id].dataType.simpleString(), benchmark.schema[item_id].dataType
+    item_arrow = to_arrow_type(item_kind)
     rows = docs.select(docs[doc_id].alias("d"), docs[text].alias("text"))
     schema = f"`{doc_id}` {doc_kind}, `{item_id}` {item_kind.simpleString()}, n_windows int, edits int, span_start long, span_end long"
     out = None
@@ -278,7 +280,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, rules: Rules = Rules(), do
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).take(pa.array([d for d, _ in at], pa.int64())),
-                        pa.array([names[i] for _, i in at], pa.int64() if item_kind.simpleString() == "bigint" else None),
+                        pa.array([names[i] for _, i in at], item_arrow),
                         pa.array([len({f[0] for f in found[k]}) for k in at], pa.int32()),
                         pa.array([min(f[1] for f in found[k]) for k in at], pa.int32()),
                         pa.array([s[0] for s in spans], pa.int64()),

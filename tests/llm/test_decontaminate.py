@@ -98,3 +98,10 @@ def test_blocks_give_the_same_rows(spark, documents, prose, monkeypatch):
     whole = {tuple(r) for r in find_leaks(docs, benchmark).collect()}
     monkeypatch.setattr(module, "BLOCK_BYTES", 600)
     assert {tuple(r) for r in find_leaks(docs, benchmark).collect()} == whole and len(whole) == 20
+
+
+def test_ids_of_other_types(spark, documents, prose):
+    docs = documents([(1, prose(1, 40)), (2, prose(2, 40))])
+    for kind, value in (("string", "one"), ("int", 7)):
+        benchmark = spark.createDataFrame([(value, prose(1, 40))], f"item_id {kind}, text string")
+        assert [tuple(r)[:2] for r in find_leaks(docs, benchmark).collect()] == [(1, value)]
