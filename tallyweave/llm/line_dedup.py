@@ -149,6 +149,10 @@ def similar(a: bytes, b: bytes, similarity: float) -> bool:
     most = int((1 - similarity) * longest + 1e-9)
     if abs(len(a) - len(b)) > most:
         return False
+    # Words that differ in place bound the edits from above.
+    left, right = a.split(b" "), b.split(b" ")
+    if len(left) == len(right) and sum(max(len(x), len(y)) for x, y in zip(left, right) if x != y) <= most:
+        return True
     # Common ends cost nothing and leave little to compare.
     start = _common(a, b)
     a, b = a[start:], b[start:]
@@ -241,7 +245,7 @@ def _fetch(docs: DataFrame, wanted: DataFrame, rules: Rules, id_column: str, tex
             kinds = [pa.int64(), pa.binary(), pa.int64(), pa.binary()]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=["component", "digest", "point", "text"])
 
-    found = holders.join(per_doc, "doc").select("text", "wanted").mapInArrow(pick, f"component {kind}, digest binary, point long, text binary")
+    found = holders.join(per_doc.hint("merge"), "doc").select("text", "wanted").mapInArrow(pick, f"component {kind}, digest binary, point long, text binary")
     return found.dropDuplicates(["digest"])
 
 
@@ -294,5 +298,6 @@ def without_repeated_lines(docs: DataFrame, scratch: Scratch, rules: Rules = Rul
             out = [pa.array(kept, pa.string()) if k == at else batch.column(k) for k in range(len(columns))]
             yield pa.RecordBatch.from_arrays([*out, pa.array(dropped, pa.int32())], names=[*columns, "n_dropped"])
 
-    marked = docs.select(*columns).join(per_doc, docs[id_column] == per_doc["_doc"], "left").select(*columns, "_gone")
+    # The lists are stored compressed, so their size on disk is no ground for a broadcast.
+    marked = docs.select(*columns).join(per_doc.hint("merge"), docs[id_column] == per_doc["_doc"], "left").select(*columns, "_gone")
     return marked.mapInArrow(drop, ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in columns) + ", n_dropped int")
