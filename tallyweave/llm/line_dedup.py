@@ -213,9 +213,9 @@ def _verified(table: pa.Table, rules: Rules, own: bool) -> pa.Table:
     return pa.table({"a": pa.array([digest[k] for k in moved], pa.binary()), "b": pa.array([digest[root[k]] for k in moved], pa.binary())})
 
 
-def verified_links(lines: DataFrame, rules: Rules, chunk: int = CHUNK) -> DataFrame:
+def verified_links(lines: DataFrame, rules: Rules, scratch: Scratch, chunk: int = CHUNK) -> DataFrame:
     """Links (a, b) between digests of lines (component, digest, point, text)."""
-    sizes = lines.groupBy("component").agg(F.count("*").alias("size"))
+    sizes = scratch.write(lines.groupBy("component").agg(F.count("*").alias("size")), "sizes")
     spread = lines.join(sizes, "component").withColumn("chunks", F.expr(f"cast((size + {chunk - 1}) div {chunk} as int)"))
     spread = spread.withColumn("mine", F.pmod(F.xxhash64("digest"), "chunks").cast("int"))
     # Each chunk meets every chunk once: tile (i, j) with i <= j.
@@ -263,10 +263,11 @@ def repeated_lines(docs: DataFrame, scratch: Scratch, rules: Rules = Rules(), id
     alike = alike.select("point", F.coalesce("component", "point").alias("component"))
     wanted = distinct.join(alike, "point").select("component", "digest", "point", "first.doc", "first.line")
     fetched = scratch.write(_fetch(docs, wanted, rules, id_column, text_column), "fetched")
-    groups = components(verified_links(fetched, rules), scratch, "groups")
+    groups = components(verified_links(fetched, rules, scratch), scratch, "groups")
     grouped = distinct.join(groups.withColumnRenamed("node", "digest"), "digest", "left").where("times > 1 or component is not null")
     grouped = scratch.write(grouped.select("digest", "first", F.coalesce("component", "digest").alias("component")), "grouped")
-    keep = grouped.groupBy("component").agg(F.min("first").alias("keep"))
+    # Written, so that the join has an exchange of its own and Spark can split a large group.
+    keep = scratch.write(grouped.groupBy("component").agg(F.min("first").alias("keep")), "keep")
     decided = grouped.join(keep, "component").select("digest", "keep")
     return lines.join(decided, "digest").where("keep.doc <> doc or keep.line <> line").select("doc", "line", F.col("keep.doc").alias("keep_doc"), F.col("keep.line").alias("keep_line"))
 

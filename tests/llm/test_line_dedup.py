@@ -101,7 +101,11 @@ def test_chunks_of_a_large_component_lose_no_link(spark, scratch, prose):
     frame = spark.createDataFrame(lines, "component long, digest binary, point long, text binary")
     from tallyweave.llm.components import components
 
-    groups = [{bytes(r.node): bytes(r.component) for r in components(verified_links(frame, Rules(), chunk), scratch, f"g{chunk}").collect()} for chunk in (1000, 9)]
+    groups = []
+    for chunk in (1000, 9):
+        work = Scratch(spark, f"chunk{chunk}")
+        groups.append({bytes(r.node): bytes(r.component) for r in components(verified_links(frame, Rules(), work, chunk), work, "g").collect()})
+        work.remove()
     assert groups[0] == groups[1] and groups[0]
 
 
