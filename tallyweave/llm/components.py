@@ -3,8 +3,8 @@
 In a large-star step every neighbour of a node that is larger than the node is linked to the smallest neighbour;
 in a small-star step every neighbour that is not larger is. The components stay the same and the number of links
 does not grow; after some rounds (logarithmic in the longest chain) every node is linked to the smallest of its
-component only. A node with very many links is no burden: its smallest neighbour is found by a partial minimum, and the
-join that hands it out can be split by Spark.
+component only. The smallest neighbour of a node with very many links is found by a partial minimum; the join that hands it
+out keeps such a node's links in one task, two numbers each. Callers return forests, so there are fewer links than nodes.
 """
 
 from __future__ import annotations
