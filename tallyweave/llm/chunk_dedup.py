@@ -99,6 +99,8 @@ def repeated_passages(docs: DataFrame, scratch: Scratch, settings: Settings = Se
     """
     table = scratch.write(chunks(docs, settings, id_column, text_column), "chunks")
     repeated = table.groupBy("digest").agg(F.count("*").alias("times"), F.min(F.struct("doc", "start")).alias("first")).where("times > 1")
+    # Written, so that the join has an exchange of its own and Spark can split the chunks of a very common passage.
+    repeated = scratch.write(repeated, "repeated")
     found = table.join(repeated, "digest").select("doc", "start", "length", (F.struct("doc", "start") != F.col("first")).alias("gone"))
     order = Window.partitionBy("doc").orderBy("start", "length")
     ends = F.lag(F.col("start") + F.col("length")).over(order)
