@@ -100,8 +100,9 @@ def compare(x: np.ndarray, pivots: np.ndarray, pivot: int, left: np.ndarray, rig
     step = max(1, 1_000_000 // max(1, len(right)))
     for at in range(0, len(left), step):
         rows = left[at : at + step]
-        common = held[rows] @ held[right].T
-        i, j = np.nonzero(common >= least)
+        candidates = held[rows] @ held[right].T >= least
+        # All cosines of a block at once are cheaper than gathering the candidates' vectors; those that may do are verified.
+        i, j = np.nonzero(candidates & (x[rows] @ x[right].T >= settings.cosine - 1e-9))
         i, j = rows[i], right[j]
         for b in range(0, len(i), 200_000):
             p, q = i[b : b + 200_000], j[b : b + 200_000]
