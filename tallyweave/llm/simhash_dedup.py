@@ -167,7 +167,8 @@ def simhash_groups(docs: DataFrame, words: int, distance: int, scratch: Scratch,
     links = components(point_links(points, distance, shard_points), scratch, "links")
     # Only points that have a partner go through the grouping.
     grouped = points.join(links.withColumnRenamed("node", "point"), "point", "left").withColumn("component", F.coalesce("component", "point"))
-    least = grouped.groupBy("component").agg(F.min("least").alias("component_id"))
+    # Written, so that the join has an exchange of its own and Spark can split a large group.
+    least = scratch.write(grouped.groupBy("component").agg(F.min("least").alias("component_id")), "least")
     group_of = grouped.join(least, "component").select("point", "component_id")
     return prints.join(group_of, "point").select(id_column, "point", "component_id")
 
