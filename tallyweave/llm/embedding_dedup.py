@@ -1,7 +1,8 @@
 """Embedding near-duplicates by a pivot-permutation index.
 
 1. Vectors of equal content become one. Pivots are drawn from a bounded sample, about the square root of
-   the number of vectors for each dimension.
+   the number of vectors for each dimension, and thinned, so that no two are close: else a group that holds many rows
+   would hold as many pivots, and the order of those would be noise.
 2. Each vector is described by its nearest pivots in order and filed under each of them in an inverted list.
 3. Pairs in a list that share enough pivots are candidates; their cosine is computed in double precision. A pair
    that shares several pivots counts only in the list of its smallest shared pivot.
@@ -55,14 +56,25 @@ def stacked(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
     return flat.flatten().to_numpy(zero_copy_only=False).reshape(len(flat), -1)
 
 
+def thinned(sample: np.ndarray, cosine: float) -> np.ndarray:
+    """Unit vectors without those that are twice as near to an earlier one as a linked pair may be apart, or nearer."""
+    most, kept = 1 - 4 * (1 - cosine), np.zeros(len(sample), bool)
+    gone = np.zeros(len(sample), bool)
+    for k in range(len(sample)):
+        if not gone[k]:
+            kept[k] = True
+            gone[k + 1 :] |= sample[k + 1 :] @ sample[k] >= most
+    return sample[kept]
+
+
 def _pivots(points: DataFrame, settings: Settings) -> dict[int, np.ndarray]:
-    """Pivots by dimension: the vectors whose hash is smallest."""
+    """Pivots by dimension: the vectors whose hash is smallest, thinned."""
     sizes = points.groupBy(F.size("vector").alias("dim")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), "dim").limit(64).collect()
     out = {}
     for row in sizes:
         wanted = min(settings.pivots_most, max(1, math.isqrt(row["n"])))
         sample = points.where(F.size("vector") == row["dim"]).select("vector").orderBy(F.xxhash64("vector"), "vector").limit(wanted).collect()
-        out[row["dim"]] = unit(np.array([r[0] for r in sample], np.float64))
+        out[row["dim"]] = thinned(unit(np.array([r[0] for r in sample], np.float64)), settings.cosine)
     return out
 
 
@@ -97,10 +109,12 @@ def compare(x: np.ndarray, pivots: np.ndarray, pivot: int, left: np.ndarray, rig
     held = np.zeros((len(x), len(names)), np.float32)
     held[np.arange(len(x))[:, None], np.searchsorted(names, pivots)] = 1
     least = min(settings.shared, pivots.shape[1])
+    smaller = held[:, : np.searchsorted(names, pivot)]
     step = max(1, 1_000_000 // max(1, len(right)))
     for at in range(0, len(left), step):
         rows = left[at : at + step]
-        candidates = held[rows] @ held[right].T >= least
+        # The list of the smallest shared pivot counts the pair.
+        candidates = (held[rows] @ held[right].T >= least) & (smaller[rows] @ smaller[right].T == 0)
         # All cosines of a block at once are cheaper than gathering the candidates' vectors; those that may do are verified.
         i, j = np.nonzero(candidates & (x[rows] @ x[right].T >= settings.cosine - 1e-9))
         i, j = rows[i], right[j]
@@ -108,11 +122,7 @@ def compare(x: np.ndarray, pivots: np.ndarray, pivot: int, left: np.ndarray, rig
             p, q = i[b : b + 200_000], j[b : b + 200_000]
             p, q = p[p < q], q[p < q]
             close = np.einsum("ij,ij->i", x[p], x[q]) >= settings.cosine
-            p, q = p[close], q[close]
-            # The list of the smallest shared pivot counts the pair.
-            both = (pivots[p][:, :, None] == pivots[q][:, None, :]).any(axis=2)
-            first = np.where(both, pivots[p], np.iinfo(np.int32).max).min(axis=1, initial=np.iinfo(np.int32).max)
-            yield p[first == pivot], q[first == pivot]
+            yield p[close], q[close]
 
 
 def _links(key: tuple, table: pa.Table, settings: Settings) -> pa.Table:
@@ -127,7 +137,9 @@ def _links(key: tuple, table: pa.Table, settings: Settings) -> pa.Table:
     for p, q in [*compare(x, pivots, pivot, left, right, settings)] + ([] if i == j else [*compare(x, pivots, pivot, right, left, settings)]):
         np.add.at(links, p, times[q])
         np.add.at(links, q, times[p])
-        join_all(sets, p, q)
+        root = sets.roots()
+        apart = root[p] != root[q]
+        join_all(sets, p[apart], q[apart])
     found = np.nonzero(links)[0]
     ids = table.column("id").combine_chunks()
     return pa.table({"id": ids.take(pa.array(found)), "links": links[found], "root": ids.take(pa.array(sets.roots()[found]))})

@@ -2,10 +2,11 @@ import math
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tallyweave.llm.common import Scratch
-from tallyweave.llm.embedding_dedup import Settings, brute_force, embedding_groups
+from tallyweave.llm.embedding_dedup import Settings, brute_force, embedding_groups, unit
 
 NAN, INF = float("nan"), float("inf")
 
@@ -54,6 +55,27 @@ def test_recall_and_no_false_link(spark, tile):
     assert sum(n for n, _ in got.values()) >= 0.9 * sum(n for n, _ in want.values()) > 1000
 
 
+def hot(n, dim=64):
+    """Vectors, a third of them in one group whose pairs are a little closer than the limit."""
+    rng = np.random.default_rng(5)
+    base = rng.normal(size=(n - n // 3, dim))
+    base[-n // 10 :] = base[: n // 10] + rng.normal(size=(n // 10, dim)) * 0.2
+    group = base[0] / np.linalg.norm(base[0]) + rng.normal(size=(n // 3, dim)) * 0.21 / math.sqrt(dim)
+    return np.concatenate([base, group]).astype(np.float32)
+
+
+def test_recall_with_a_hot_group_and_hundreds_of_pivots(spark):
+    x = hot(30_000)
+    frame = spark.createDataFrame(pa.table({"vec_id": np.arange(len(x)), "embedding": pa.array(list(x), pa.list_(pa.float32()))})).repartition(8)
+    work = Scratch(spark, "emb")
+    got = {r.vec_id: r.n_links for r in embedding_groups(frame, work).collect()}
+    work.remove()
+    u = unit(x.astype(float))
+    want = np.concatenate([(u[a : a + 1000] @ u.T >= 0.95).sum(axis=1) - 1 for a in range(0, len(u), 1000)])
+    assert all(got[k] <= n for k, n in enumerate(want.tolist()))
+    assert sum(got.values()) >= 0.99 * want.sum() > 1e7
+
+
 def test_tiles_do_not_change_the_result(spark):
     rows, out = clustered(2, 300), []
     for tile in (2048, 20):
