@@ -1,7 +1,7 @@
 """License scans by ordered signature rules.
 
-A rule is a pattern with the keyword that every match of it contains, a label, a priority and a confidence. A text
-is searched only with the rules whose keyword it contains. Where detections overlap, one that lies inside another of the same or
+A rule is a pattern with the keyword that every match of it contains once runs of blanks and line ends are made one blank, a
+label, a priority and a confidence. A text is searched only with the rules whose keyword it then contains. Where detections overlap, one that lies inside another of the same or
 a higher priority is suppressed; of two equal ones the earlier rule stays. Besides the rules, fixed base phrases are looked for as
 consecutive words; their labels always stay.
 
@@ -61,8 +61,8 @@ def _creative_commons() -> list[Rule]:
         number, label = version.replace(".", "[.]"), f"cc-{kind}-{version}"
         long = r"[-\s]+".join(words[p] for p in kind.split("-"))
         rules += [
-            Rule(label, "cc by", rf"\bcc {kind.replace('-', '[- ]')}[- ]{number}", VERSIONED, 0.9),
-            Rule(label, "cc-by", rf"\bcc-{kind}[- ]{number}", VERSIONED, 0.9),
+            Rule(label, "cc by", rf"\bcc\s+{kind.replace('-', r'[-\s]+')}[-\s]+{number}", VERSIONED, 0.9),
+            Rule(label, "cc-by", rf"\bcc-{kind}[-\s]+{number}", VERSIONED, 0.9),
             Rule(label, "creative commons", rf"creative\s+commons\s+{long}{V}{number}", VERSIONED, 0.9),
             Rule(label, "creative commons", rf"creative\s+commons\s+{long}\s+{number}\s+international", NOTICE, 0.95),
             Rule(label, "creativecommons.org", rf"creativecommons[.]org/licenses/{kind}/{number}", EXACT, 1.0),
@@ -87,7 +87,7 @@ def _notices() -> list[Rule]:
         Rule("bsd-2-clause", "bsd", r"\b(?:simplified|freebsd|2-clause|two-clause)\s+bsd(?:\s+licen[sc]e)?|\bbsd[- ]2-clause", VERSIONED, 0.9),
         Rule("bsd-3-clause", "bsd", r"\b(?:new|modified|revised|3-clause|three-clause)\s+bsd(?:\s+licen[sc]e)?|\bbsd[- ]3-clause", VERSIONED, 0.9),
         Rule("bsd-4-clause", "bsd", r"\b(?:original|4-clause|four-clause)\s+bsd(?:\s+licen[sc]e)?|\bbsd[- ]4-clause", VERSIONED, 0.9),
-        Rule("bsd-3-clause", "neither the name of", r"neither\s+the\s+name\s+of\b.{1,120}?may\s+be\s+used\s+to\s+endorse", NOTICE, 0.9),
+        Rule("bsd-3-clause", "neither the name of", r"neither\s+the\s+name\s+of\b[\s\S]{1,120}?may\s+be\s+used\s+to\s+endorse", NOTICE, 0.9),
         Rule("bsd", "redistribution and use", r"redistribution\s+and\s+use\s+in\s+source\s+and\s+binary\s+forms", NOTICE, 0.8),
         Rule("bsd", "bsd", r"\bbsd(?:[- ]style)?\s+licen[sc]e", NAME, 0.7),
         Rule("zlib", "zlib", r"\bzlib(?:/libpng)?\s+licen[sc]e", VERSIONED, 0.9),
@@ -96,7 +96,8 @@ def _notices() -> list[Rule]:
         Rule("unlicense", "released into the public domain", r"free\s+and\s+unencumbered\s+software\s+released\s+into\s+the\s+public\s+domain", NOTICE, 0.95),
         Rule("public-domain", "public domain", r"(?:in|into|to)\s+the\s+public\s+domain", NAME, 0.5),
         Rule("wtfpl", "wtfpl", r"\bwtfpl\b", VERSIONED, 0.9),
-        Rule("boost-1.0", "boost", r"\bboost\s+software\s+licen[sc]e(?:[\s,-]+(?:version\s+)?1[.]0)?|\bbsl-1[.]0", VERSIONED, 0.9),
+        Rule("boost-1.0", "boost", r"\bboost\s+software\s+licen[sc]e(?:[\s,-]+(?:version\s+)?1[.]0)?", VERSIONED, 0.9),
+        Rule("boost-1.0", "bsl", r"\bbsl-1[.]0", VERSIONED, 0.9),
         Rule("postgresql", "postgresql", r"\bpostgresql\s+licen[sc]e", VERSIONED, 0.9),
         Rule("openssl", "openssl", r"\bopenssl\s+licen[sc]e", VERSIONED, 0.9),
         Rule("sleepycat", "sleepycat", r"\bsleepycat\s+licen[sc]e", VERSIONED, 0.9),
@@ -110,12 +111,12 @@ def _notices() -> list[Rule]:
         Rule("jquery", "jquery", r"\bjquery\s+licen[sc]e", VERSIONED, 0.8),
         Rule("sil", "sil open font", r"\bsil\s+open\s+font\s+licen[sc]e", NAME, 0.8),
         Rule("gpl", "free software foundation", r"under\s+the\s+terms\s+of\s+the\s+gnu\s+general\s+public\s+licen[sc]e\s+as\s+published\s+by\s+the\s+free\s+software\s+foundation", NOTICE, 0.95),
-        Rule("lgpl", "free software foundation", r"under\s+the\s+terms\s+of\s+the\s+gnu\s+(?:lesser|library)\s+general\s+public\s+licen[sc]e\s+as\s+published", NOTICE, 0.95),
+        Rule("lgpl", "general public", r"under\s+the\s+terms\s+of\s+the\s+gnu\s+(?:lesser|library)\s+general\s+public\s+licen[sc]e\s+as\s+published", NOTICE, 0.95),
         Rule("agpl", "affero", r"under\s+the\s+terms\s+of\s+the\s+gnu\s+affero\s+general\s+public\s+licen[sc]e", NOTICE, 0.95),
         Rule("apache", "apache software foundation", r"licensed\s+to\s+the\s+apache\s+software\s+foundation", NOTICE, 0.9),
         Rule("proprietary", "all rights reserved", r"all\s+rights\s+reserved", NAME, 0.5),
         Rule("proprietary", "proprietary", r"proprietary\s+and\s+confidential", NOTICE, 0.9),
-        Rule("proprietary", "without permission", r"may\s+not\s+be\s+(?:copied|reproduced|distributed)\b.{0,60}?without\s+permission", NOTICE, 0.7),
+        Rule("proprietary", "without permission", r"may\s+not\s+be\s+(?:copied|reproduced|distributed)\b[\s\S]{0,60}?without\s+permission", NOTICE, 0.7),
     ]
 
 
@@ -192,7 +193,9 @@ def scan_licenses(docs: DataFrame, text_column: str = "text", ordered: list[Rule
     text = F.col("_text")
     keywords = sorted({r.keyword for r in ordered})
     table = F.array(*[F.struct(F.lit(r.keyword).alias("keyword"), F.lit(r.label).alias("label"), F.lit(r.pattern).alias("pattern"), F.lit(r.priority).alias("priority"), F.lit(r.confidence).alias("confidence"), F.lit(k).alias("rule")) for k, r in enumerate(ordered)])
-    held = F.array_compact(F.array(*[F.when(F.contains(text, F.lit(k)), F.lit(k)) for k in keywords]))
+    # Patterns allow any blanks between words, keywords one.
+    out = out.withColumn("_even", F.regexp_replace(text, r"[\t-\r]\s*| \s+", " "))
+    held = F.array_compact(F.array(*[F.when(F.contains(F.col("_even"), F.lit(k)), F.lit(k)) for k in keywords]))
     out = out.withColumn("_held", held)
     applied = F.filter(table, lambda r: F.array_contains(F.col("_held"), r["keyword"]))
     found = F.flatten(F.transform(applied, lambda r: _spans(text, r)))
@@ -231,4 +234,4 @@ def scan_licenses(docs: DataFrame, text_column: str = "text", ordered: list[Rule
             "score": confidence,
         }
     )
-    return out.drop("_text", "_held", "_found", "_words")
+    return out.drop("_text", "_even", "_held", "_found", "_words")

@@ -1,4 +1,6 @@
+import random
 import re
+from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
@@ -83,6 +85,59 @@ def test_every_match_holds_its_keyword():
         assert r.keyword == r.keyword.lower() and 0 < r.confidence <= 1
 
 
+def drawn(tree, rng):
+    """A text that the parsed pattern matches; runs of blanks are a line end with indentation, or two blanks."""
+    out = ""
+    for op, arg in tree:
+        op = str(op)
+        if op == "LITERAL":
+            out += chr(arg)
+        elif op == "IN":
+            kind, last = arg[-1]
+            out += "\n" if str(kind) == "CATEGORY" else chr(last) if str(kind) == "LITERAL" else "0"
+        elif op == "ANY":
+            out += "."
+        elif op in ("MAX_REPEAT", "MIN_REPEAT"):
+            low, high, part = arg
+            blank = str(part[0]) == "(IN, [(CATEGORY, CATEGORY_SPACE)])" and high > 1
+            out += rng.choice(["\n  ", "  "]) if blank and low else "".join(drawn(part, rng) for _ in range(rng.randint(low, min(high, low + 1))))
+        elif op == "SUBPATTERN":
+            out += drawn(arg[-1], rng)
+        elif op == "BRANCH":
+            out += drawn(rng.choice(arg[1]), rng)
+        else:
+            assert op in ("AT", "ASSERT_NOT"), op
+    return out
+
+
+def test_gate_loses_no_match_of_wrapped_text(spark, documents):
+    rng, ordered, texts = random.Random(3), rules(), []
+    for r in ordered:
+        tree = re._parser.parse(r.pattern)
+        found = {t for t in (drawn(tree, rng) for _ in range(8)) if re.search(r.pattern, t)}
+        assert found, r.pattern
+        texts += sorted(found)
+    docs = documents(list(enumerate(texts)), 8)
+    gated = {r.doc_id: r for r in scan_licenses(docs).collect()}
+    free = {r.doc_id: r for r in scan_licenses(docs, ordered=[replace(r, keyword="") for r in ordered]).collect()}
+    for k, text in enumerate(texts):
+        assert gated[k].labels == free[k].labels and sorted(gated[k].detections) == sorted(free[k].detections), text
+    assert len(texts) > 1000
+
+
+def test_wrapped_names_and_notices(spark, documents):
+    texts = {
+        "lgpl-2.1": "GNU Lesser General\nPublic License, version 2.1",
+        "boost-1.0": "under BSL-1.0",
+        "bsd-3-clause": "Neither the name of the University nor the names of its\n contributors may be used to\nendorse",
+        "proprietary": "may not be copied\nin whole or part without\npermission",
+        "cc-by-sa-4.0": "CC BY-SA\n4.0",
+        "lgpl": "under the terms of the GNU Library General Public License as published by others",
+    }
+    got = {r.doc_id: r.labels.split(",") for r in scan_licenses(documents(list(enumerate(texts.values())))).collect()}
+    assert all(label in got[k] for k, label in enumerate(texts)), got
+
+
 def test_empty_table_and_own_rules(spark, documents):
     docs = documents([(1, "alpha beta alpha")])
     assert scan_licenses(docs.limit(0)).count() == 0
