@@ -123,6 +123,12 @@ def test_points_within_distance_are_linked(spark, scratch):
                 assert got[a] == got[b]
 
 
+def test_short_lines_and_lines_without_blanks(documents, scratch):
+    rows = [(1, "Read more\n\n这是一个没有空格的长句子\nmenu"), (2, "read more!\n\n这是一个没有空格的长句子\nMENU\nmend"), (3, "---\nmenu\n---")]
+    got = {r.doc_id: (r.text, r.n_dropped) for r in without_repeated_lines(documents(rows), scratch).collect()}
+    assert got == {1: (rows[0][1], 0), 2: ("\nmend", 3), 3: ("---\n---", 1)}
+
+
 def test_empty_table_and_repeated_ids(spark, documents, scratch):
     docs = documents([(1, "one two three four five"), (1, "one two three four five"), (2, "one two three four five")])
     assert sorted((r.doc_id, r.text) for r in without_repeated_lines(docs, scratch).collect()) == [(1, "one two three four five"), (1, "one two three four five"), (2, "")]
