@@ -1,0 +1,102 @@
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from tallyweave.llm.prefix_forest import BITS, Forest, Settings, _shared, nearest_vectors
+from tallyweave.llm.queries import NEIGHBOURS, QUERY_EVERY, op12_nearest_vectors
+
+SCHEMA = "vec_id long, embedding array<float>, label int"
+
+
+def plain(rows, top, every=QUERY_EVERY):
+    """(query, rank, id, score) by comparing every query with every other row."""
+    good = [(i, np.array(v, np.float64)) for i, v in rows if i is not None and v and all(c is not None and np.isfinite(c) for c in v) and any(v)]
+    out = []
+    for a, (i, q) in enumerate(good):
+        if i % every == 0:
+            scores = sorted((-sum(float(x) * float(y) for x, y in zip(v, q)), j) for b, (j, v) in enumerate(good) if a != b and len(v) == len(q))
+            out += [(i, r, j, -s) for r, (s, j) in enumerate(scores[:top], 1)]
+    return out
+
+
+def got(df):
+    return [tuple(r) for r in df.select("query_id", "rank", "vec_id", "score").orderBy("query_id", "rank", "vec_id").collect()]
+
+
+def table(spark, rows):
+    as_floats = [(i, None if v is None else [None if c is None else float(c) for c in v], 0) for i, v in rows]
+    return spark.createDataFrame(as_floats, SCHEMA).repartition(3)
+
+
+def test_few_vectors_are_all_compared(spark, scratch):
+    rng = np.random.default_rng(1)
+    rows = [(k, rng.integers(-3, 4, 4).tolist()) for k in range(15)] + [(20, [1, 1, 0, 0]), (40, [1, 1, 0, 0]), (60, [2, 0]), (61, [1, 1]), (62, [0, 5])]
+    rows += [(80, None), (100, []), (120, [0, 0, 0, 0]), (140, [1, None, 0, 0]), (160, [float("nan"), 0, 0, 1]), (None, [1, 1, 1, 1]), (180, [float("inf"), 1, 1, 1])]
+    rows += [(20, [1, 1, 0, 0]), (7, [1, 1, 0, 0])]
+    df = table(spark, rows).withColumn("key", F.lit("clash")).withColumn("part", F.lit(9)).withColumn("vector", F.lit(0))
+    # Whole numbers, so that scores are exact however they are added up.
+    found = got(nearest_vectors(df, F.col("id") % 20 == 0, scratch, 30))
+    assert found == sorted(plain(rows, 30), key=lambda r: (r[0], r[1], r[2]))
+
+
+def test_empty(spark, scratch):
+    assert nearest_vectors(table(spark, [(1, [1.0])]).limit(0), F.col("id") % 20 == 0, scratch).count() == 0
+    assert got(nearest_vectors(table(spark, [(0, [1.0])]), F.col("id") % 20 == 0, scratch.__class__(spark, "one"))) == []
+
+
+def recall(found, x, ids, every, top):
+    q = np.nonzero(ids % every == 0)[0]
+    s = x[q] @ x.T
+    s[np.arange(len(q)), q] = -np.inf
+    best = {int(ids[a]): set(ids[np.argsort(-row, kind="stable")[:top]].tolist()) for a, row in zip(q, s)}
+    held = {}
+    for i, _, j, _ in found:
+        held.setdefault(i, set()).add(j)
+    return sum(len(best[i] & held.get(i, set())) for i in best) / sum(len(b) for b in best.values())
+
+
+@pytest.mark.parametrize("kind", ["random", "groups", "lengths"])
+def test_recall(spark, scratch, kind):
+    rng = np.random.default_rng(5)
+    n, dim = 6000, 32
+    x = rng.standard_normal((n, dim))
+    if kind == "groups":  # a third of all rows near one vector
+        x[: n // 3] = x[0] + 0.05 * rng.standard_normal((n // 3, dim))
+        x[n // 3 :] = x[rng.integers(n // 3, n // 3 + 100, n - n // 3)] + 0.3 * rng.standard_normal((n - n // 3, dim))
+    if kind == "lengths":
+        x *= rng.lognormal(0, 0.7, (n, 1))
+    x, ids = x.astype(np.float32).astype(np.float64), rng.permutation(n)
+    found = got(nearest_vectors(table(spark, list(zip(ids.tolist(), x.tolist()))), F.col("id") % 20 == 0, scratch, 20, Settings(part_least=1500, part_most=1500, block=100)))
+    assert recall(found, x, ids, 20, 20) >= 0.9
+    where = {i: k for k, i in enumerate(ids.tolist())}
+    for i, rank, j, score in found:
+        assert i != j and score == pytest.approx(float(x[where[i]] @ x[where[j]]), rel=1e-12, abs=1e-12)
+
+
+def test_the_query_reaches_nine_tenths(spark, tables):
+    rows = spark.read.parquet(f"{tables('0.01')}/embeddings.parquet").collect()
+    found = got(op12_nearest_vectors(spark, tables("0.01")))
+    x, ids = np.array([r.embedding for r in rows], np.float64), np.array([r.vec_id for r in rows])
+    assert recall(found, x, ids, QUERY_EVERY, NEIGHBOURS) >= 0.9
+    assert {r[0] for r in found} == {i for i in ids.tolist() if i % QUERY_EVERY == 0}
+
+
+def test_ranges_hold_all_strings_of_a_prefix():
+    rng = np.random.default_rng(2)
+    x = rng.standard_normal((300, 8))
+    forest = Forest(x, Settings(trees=3))
+    q = rng.standard_normal((5, 8))
+    asked = forest.strings_of(q)
+    begin, end = forest.descend_and_ascend(asked, 40)
+    some = forest.candidates(begin, end)
+    for k in range(5):
+        depths = []
+        for t in range(3):
+            own = np.empty(300, np.uint64)
+            own[forest.rows[t]] = forest.sorted[t]
+            depths.append(_shared(own, np.full(300, asked[t, k])))
+        depths = np.array(depths)
+        stop = max(d for d in range(BITS + 1) if (depths >= d).sum() >= 40)
+        assert some[k].tolist() == (depths >= stop).any(axis=0).tolist()
+        rows = np.arange(300)
+        assert forest.needed(asked[:, k], rows).tolist() == [(depths >= d).sum() for d in depths.max(axis=0)]
