@@ -9,7 +9,9 @@ from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def let_workers_import(spark: SparkSession) -> None:
@@ -52,6 +54,37 @@ class Scratch:
         path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def quoted(df: DataFrame, name: str) -> Column:
+    """A column of `df` whatever characters its name holds."""
+    return df["`" + name.replace("`", "``") + "`"]
+
+
+def free_name(df: DataFrame, wanted: str) -> str:
+    """A column name that `df` doesn't have, in any case of letters."""
+    taken = {c.lower() for c in df.columns}
+    while wanted in taken:
+        wanted += "_"
+    return wanted
+
+
+def with_row_keys(docs: DataFrame, scratch: Scratch) -> tuple[DataFrame, str]:
+    """`docs` with a column that numbers its rows, and that column's name. Every pass over the result gives a row the same number.
+
+    Rows that come straight from files are numbered by the file splits that they lie in, which all passes share; any
+    other table is written once.
+    """
+    name = free_name(docs, "row_key")
+    try:
+        docs.select("_metadata.row_index")
+        plain = True
+    except AnalysisException:
+        plain = False
+    number = F.monotonically_increasing_id().alias(name)
+    if plain:
+        return docs.select("*", number), name
+    return scratch.write(docs.select("*", number), "rows"), name
+
+
 def texts(batch: pa.RecordBatch, column: str = "text") -> Iterator[bytes]:
     """Whole texts of a batch as UTF-8, null as empty, without making Python strings of them."""
     col = batch.column(batch.schema.get_field_index(column))

@@ -1,20 +1,23 @@
 """Fuzzy line deduplication.
 
-1. Lines are normalised; each gets a digest and a 64-bit SimHash of its words. Equal digests become one line.
-2. SimHashes within d bits agree on one of d + 1 blocks (pigeonhole). They are dealt out by (block, value) and
-   compared there; each bucket returns a forest of its links, not all pairs. Components of the forests
-   bring together all lines that could be linked.
-3. The texts of just these lines are fetched. Within each component, pairs within d bits are verified by edit
-   similarity; a component beyond a size is cut into chunks, and every pair of chunks is a task of its own.
-4. Lines linked by verified pairs form groups. The first occurrence of each group, by document id and line number,
-   stays.
-
-Lines of every length count, only blank ones aside (also those of ASCII punctuation alone). The edit similarity bounds the fuzzy
-comparison by itself: at 0.9, lines under ten bytes have to be equal.
+1. Lines are normalised. Each gets a digest; equal digests become one line. A line too short for the edit similarity to allow
+   an edit can only be equal to another and goes no further.
+2. The others get a SimHash of their longer words, 320 bits in 20 blocks. Lines that agree in a block, as by the pigeonhole
+   principle all within 19 bits do and most within 50, and whose lengths allow the similarity, are compared by the first
+   64 bits. Entries are dealt out by (block, value), packed by the sending task; a bucket of a very common value is cut
+   into tiles, each a task of its own. Each task returns a forest of its links, not all pairs.
+3. Components of the forests bring together all lines that could be linked. The texts of just these lines are
+   fetched. Within each component, pairs within the bit distance are verified by edit similarity; a component
+   beyond a size is cut into chunks, and every pair of chunks is a task of its own.
+4. Lines linked by verified pairs form groups. The first occurrence of each group stays, by document id, row and line number.
+
+Lines of every length count, only blank ones aside (also those of ASCII punctuation alone). Rows are told apart by a key of
+their own, not by their id.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import chain
@@ -24,124 +27,281 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tallyweave.llm.common import Scratch, Sets, bit_counts, texts
+from tallyweave.llm.common import Scratch, Sets, free_name, join_all, quoted, texts, with_row_keys
 from tallyweave.llm.components import components
 
 #: Lines of a component that one task compares with each other or with as many others.
 CHUNK = 1000
 #: Pairs of SimHashes that are compared at once.
 TILE = 2_000_000
+#: Blocks of 16 bits in a SimHash.
+BLOCKS = 20
+#: Bytes of packed entries that one task compares, about; entries of a bucket that isn't cut into tiles.
+PART_BYTES = 16 << 20
+HOT = 20_000
+#: Words that a worker remembers.
+REMEMBERED = 400_000
+#: A step of length classes: eight make the share that the similarity leaves.
+STEPS = 8
+#: Bytes beyond which two lines are compared by wavefronts.
+LONG = 4096
 
 
 @dataclass(frozen=True)
 class Rules:
-    min_words: int = 1
-    distance: int = 3
+    #: Bits of the first 64 of a SimHash in which lines that are compared may differ.
+    distance: int = 14
     similarity: float = 0.9
 
+    def may_be_edited(self, length: int) -> bool:
+        """False if an edit makes any line of this length, or a similar one, too different."""
+        return int((1 - self.similarity) * (length / self.similarity) + 1e-9) > 0
+
 
 # Letters in lower case, digits alike, other ASCII as blanks; line ends stay.
 PLAIN = bytes(10 if b == 10 else b + 32 if 65 <= b <= 90 else 48 if 48 <= b <= 57 else b if b >= 128 or 97 <= b <= 122 else 32 for b in range(256))
 
 
-def lines_of(text: bytes, min_words: int) -> list[tuple[int, list[bytes]]]:
-    """(line number, words) of the normalised lines that are long enough."""
-    out = []
-    for number, line in enumerate(text.translate(PLAIN).split(b"\n")):
-        words = line.split()
-        if len(words) >= min_words:
-            out.append((number, words))
-    return out
+def lines_of(text: bytes) -> list[tuple[int, list[bytes]]]:
+    """(line number, words) of the normalised lines that aren't blank."""
+    return [(number, words) for number, line in enumerate(text.translate(PLAIN).split(b"\n")) if (words := line.split())]
 
 
-def simhashes(lines: list[list[bytes]]) -> np.ndarray:
-    """Bit i of a line's SimHash is 1 if it is set in more than half of its words' hashes. Lines are not empty."""
-    out = np.zeros(len(lines), np.uint64)
-    begin = 0
-    while begin < len(lines):
-        end, size = begin, 0
-        while end < len(lines) and (end == begin or size + len(lines[end]) <= 50_000):
-            size += len(lines[end])
-            end += 1
-        count = np.fromiter(map(len, lines[begin:end]), np.int64, end - begin)
-        hashes = np.fromiter(map(xxhash.xxh64_intdigest, chain.from_iterable(lines[begin:end])), np.uint64, size)
-        ones = bit_counts(hashes, np.cumsum(count) - count)
-        out[begin:end] = np.packbits(ones * 2 > count[:, None], axis=1, bitorder="little").view("<u8")[:, 0]
-        begin = end
+def features(words: list[bytes]) -> list[bytes]:
+    """The words of four bytes or more, or all if there are none; of a very long one, as in scripts without blanks, its shingles."""
+    out = [w for w in words if len(w) > 3] or words
+    if max(map(len, out)) > 24:
+        out = [f for w in out for f in ([w] if len(w) <= 24 else [w[k : k + 6] for k in range(len(w) - 5)])]
     return out
 
 
-def line_table(docs: DataFrame, rules: Rules, id_column: str, text_column: str) -> DataFrame:
-    """(doc, line, digest, point) of every line that is long enough."""
+class Known(dict):
+    """Numbers of features, from 1, and their hashes as rows; row 0 is empty."""
+
+    def __init__(self, lanes: int):
+        self.lanes, self.hashes = lanes, bytearray(8 * lanes)
+
+    def __missing__(self, feature: bytes) -> int:
+        long = b"".join(xxhash.xxh3_128_digest(feature, seed) for seed in range((self.lanes + 1) // 2))
+        self.hashes += long[: 8 * self.lanes]
+        self[feature] = number = len(self) + 1
+        return number
+
+
+class SimHashes:
+    """Bit i of a line's SimHash is 1 if it is set in more than half of its features' hashes."""
+
+    def __init__(self, lanes: int):
+        self.lanes, self.known = lanes, Known(lanes)
+
+    def __call__(self, lines: list[list[bytes]]) -> np.ndarray:
+        """(lines, lanes) of 64 bits each; lines are not empty."""
+        found = [features(words) for words in lines]
+        count = np.fromiter(map(len, found), np.int64, len(found))
+        out = np.zeros((len(found), self.lanes), np.uint64)
+        order = np.argsort(count, kind="stable")
+        begin = 0
+        while begin < len(order):
+            # Lines of about the same size are added up side by side.
+            end = begin + 1
+            most = count[order[begin]] * 1.25 + 2
+            while end < len(order) and end - begin < 4096 and count[order[end]] <= most:
+                end += 1
+            rows = order[begin:end]
+            out[rows] = self._majority([found[r] for r in rows.tolist()], count[rows])
+            begin = end
+        return out
+
+    def _majority(self, lines: list[list[bytes]], count: np.ndarray) -> np.ndarray:
+        if len(self.known) > REMEMBERED:
+            self.known = Known(self.lanes)
+        total = int(count.sum())
+        number = np.fromiter(map(self.known.__getitem__, chain.from_iterable(lines)), np.int64, total)
+        table = np.frombuffer(self.known.hashes, np.uint64).reshape(-1, self.lanes)
+        longest = int(count.max())
+        if longest > 32 * len(lines):
+            ends = np.cumsum(count).tolist()
+            return np.concatenate([self._of_long(table, number[a:b]) for a, b in zip([0, *ends], ends)])
+        # Row 0 pads the shorter lines.
+        grid = np.zeros((longest, len(lines)), np.int64)
+        row = np.repeat(np.arange(len(lines)), count)
+        grid[np.arange(total) - np.repeat(np.cumsum(count) - count, count), row] = number
+        # Counters of all bits as planes of binary digits.
+        planes: list[np.ndarray] = []
+        for k in range(longest):
+            carry = table[grid[k]]
+            for p in range((k + 1).bit_length() - 1 if k else 0):
+                planes[p], carry = planes[p] ^ carry, planes[p] & carry
+            if (k + 1) & k == 0:
+                planes.append(carry)
+            else:
+                planes[-1] = planes[-1] ^ carry
+        half = count // 2
+        above, equal = np.zeros_like(planes[0]), np.full_like(planes[0], np.uint64(0xFFFFFFFFFFFFFFFF))
+        for p in range(len(planes) - 1, -1, -1):
+            digit = np.where((half >> p & 1).astype(bool), np.uint64(0xFFFFFFFFFFFFFFFF), np.uint64(0))[:, None]
+            above |= equal & planes[p] & ~digit
+            equal &= ~(planes[p] ^ digit)
+        return above
+
+
+    def _of_long(self, table: np.ndarray, number: np.ndarray) -> np.ndarray:
+        ones = np.zeros(64 * self.lanes, np.int64)
+        for at in range(0, len(number), 4096):
+            ones += np.unpackbits(table[number[at : at + 4096]].view(np.uint8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+        return np.packbits(ones * 2 > len(number), bitorder="little").view(np.uint64)[None, :]
+
+
+def simhashes(lines: list[list[bytes]], lanes: int = 1) -> np.ndarray:
+    return SimHashes(lanes)(lines)
+
+
+def _in_portions(batch: pa.RecordBatch, size: int = 2_000_000) -> Iterator[list[tuple[int, int, list[bytes]]]]:
+    """(row, line number, words) of a batch's lines, some megabytes at a time."""
+    portion, held = [], 0
+    for row, text in enumerate(texts(batch, "text")):
+        portion += [(row, number, words) for number, words in lines_of(text)]
+        held += len(text)
+        if held > size:
+            yield portion
+            portion, held = [], 0
+    yield portion
+
+
+def line_table(docs: DataFrame, rules: Rules, kind: str) -> DataFrame:
+    """(doc, key, line, digest, point) of every line of (doc, key, text); no point if the line can only be equal to another."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashed = SimHashes(1)
         for batch in batches:
-            rows, numbers, digests, points, waiting, size = [], [], [], [], [], 0
-
-            def flush() -> None:
-                points.append(simhashes(waiting))
-                digests.extend(xxhash.xxh3_128_digest(b" ".join(words)) for words in waiting)
-                waiting.clear()
-
-            for row, text in enumerate(texts(batch, "text")):
-                for number, words in lines_of(text, rules.min_words):
-                    rows.append(row)
-                    numbers.append(number)
-                    waiting.append(words)
-                size += len(text)
-                if size > 2_000_000:
-                    flush()
-                    size = 0
-            flush()
+            for portion in _in_portions(batch):
+                plain = [b" ".join(words) for _, _, words in portion]
+                fuzzy = [k for k, line in enumerate(plain) if rules.may_be_edited(len(line))]
+                points = np.zeros(len(plain), np.int64)
+                points[fuzzy] = hashed([portion[k][2] for k in fuzzy])[:, 0].view(np.int64)
+                exact = np.ones(len(plain), bool)
+                exact[fuzzy] = False
+                rows = pa.array([r for r, _, _ in portion], pa.int64())
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch.column(0).take(rows),
+                        batch.column(1).take(rows),
+                        pa.array([n for _, n, _ in portion], pa.int32()),
+                        pa.array([xxhash.xxh3_128_digest(line) for line in plain], pa.binary()),
+                        pa.array(points, pa.int64(), mask=exact),
+                    ],
+                    names=["doc", "key", "line", "digest", "point"],
+                )
+
+    return docs.select("doc", "key", "text").mapInArrow(cut, f"doc {kind}, key long, line int, digest binary, point long")
+
+
+# An entry is a bucket (block and value), a length class in its lowest bits, and the first 64 bits.
+ENTRY = np.dtype([("code", "<u4"), ("point", "<u8")])
+CLASS_BITS = 11
+
+
+def _length_class(length: np.ndarray, similarity: float) -> np.ndarray:
+    return np.minimum(np.log(length) / -math.log(similarity) * STEPS, (1 << CLASS_BITS) - 2 * STEPS).astype(np.uint32)
+
+
+def _portions_hashed(batches: Iterator[pa.RecordBatch], rules: Rules) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(SimHashes, length classes) of the distinct lines of each portion that an edit may leave similar."""
+    hashed = SimHashes(-(-BLOCKS // 4))
+    for batch in batches:
+        for portion in _in_portions(batch):
+            lines = {b" ".join(words): words for _, _, words in portion}
+            lines = {line: words for line, words in lines.items() if rules.may_be_edited(len(line))}
+            if lines:
+                length = np.fromiter(map(len, lines), np.int64, len(lines))
+                yield hashed(list(lines.values())), _length_class(length, rules.similarity)
+
+
+def _buckets(hashes: np.ndarray) -> np.ndarray:
+    """(blocks, lines): the bucket of each block's value."""
+    values = hashes.view("<u2").reshape(len(hashes), -1)[:, :BLOCKS]
+    return (values.astype(np.uint32) + (np.arange(BLOCKS, dtype=np.uint32) << np.uint32(16))).T
+
+
+def point_links(docs: DataFrame, rules: Rules, parts: int, scratch: Scratch, hot: int = HOT) -> DataFrame:
+    """Links (a, b) between the first 64 bits of lines of (text) that agree in a block, and are of like length and near enough."""
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for hashes, length in _portions_hashed(batches, rules):
+            entries = np.empty((BLOCKS, len(hashes)), ENTRY)
+            buckets = _buckets(hashes)
+            entries["code"] = buckets << np.uint32(CLASS_BITS) | length
+            entries["point"] = hashes[:, 0]
+            part = ((buckets * np.uint32(2654435761)) >> np.uint32(8)).ravel() % np.uint32(parts)
+            order = np.argsort(part, kind="stable")
+            packed, part = entries.ravel()[order], part[order]
+            begin = np.concatenate(([0], np.nonzero(np.diff(part))[0] + 1, [len(part)])).tolist()
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(pa.array(rows, pa.int64())), pa.array(numbers, pa.int32()), pa.array(digests, pa.binary()), pa.array(np.concatenate(points).view(np.int64))],
-                names=["doc", "line", "digest", "point"],
+                [pa.array(part[begin[:-1]].astype(np.int32)), pa.array([packed[a:b].tobytes() for a, b in zip(begin, begin[1:])], pa.binary())], names=["part", "packed"]
             )
 
-    kind = docs.schema[id_column].dataType.simpleString()
-    return docs.select(docs[id_column].alias("doc"), docs[text_column].alias("text")).mapInArrow(cut, f"doc {kind}, line int, digest binary, point long")
-
-
-def point_links(points: DataFrame, distance: int) -> DataFrame:
-    """Links (a, b) between distinct SimHashes whose components are those of all pairs within `distance`."""
-    blocks = distance + 1
-    edges = [64 * k // blocks for k in range(blocks + 1)]
-    keys = [
-        F.struct(F.lit(k).alias("block"), F.shiftrightunsigned("point", edges[k]).bitwiseAND(F.lit((1 << (edges[k + 1] - edges[k])) - 1)).alias("value"))
-        for k in range(blocks)
-    ]
-
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = [b for b in batches if b.num_rows]
-        if not rows:
-            return
-        key = np.concatenate([b.column(0).to_numpy() for b in rows])
-        point = np.concatenate([b.column(1).to_numpy() for b in rows])
-        order = np.argsort(key, kind="stable")
-        key, point = key[order], point[order].view(np.uint64)
-        begin = np.concatenate(([0], np.nonzero(np.diff(key))[0] + 1, [len(key)]))
-        left, right = [], []
-        for a, b in zip(begin[:-1].tolist(), begin[1:].tolist()):
-            if b - a < 2:
-                continue
-            bucket = np.unique(point[a:b])
-            sets, step = Sets(len(bucket)), max(1, TILE // len(bucket))
-            for at in range(0, len(bucket), step):
-                i, j = np.nonzero(np.bitwise_count(bucket[at : at + step, None] ^ bucket[None, :]) <= distance)
-                for x, y in zip((i + at).tolist(), j.tolist()):
-                    if x < y:
-                        sets.join(x, y)
-            root = sets.roots()
-            moved = np.nonzero(root != np.arange(len(root)))[0]
-            left.append(bucket[moved])
-            right.append(bucket[root[moved]])
-        if left:
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(left).view(np.int64)), pa.array(np.concatenate(right).view(np.int64))], names=["a", "b"])
-
-    dealt = points.select(F.explode(F.array(*keys)).alias("k"), "point")
-    dealt = dealt.select((F.col("k.value") * blocks + F.col("k.block")).alias("key"), "point")
-    return dealt.repartition("key").mapInArrow(compare, "a long, b long")
+    def compare(table: pa.Table) -> pa.Table:
+        entries = np.unique(np.frombuffer(b"".join(table.column("packed").to_pylist()), ENTRY))
+        bucket = entries["code"] >> CLASS_BITS
+        begin = np.concatenate(([0], np.nonzero(np.diff(bucket))[0] + 1, [len(entries)]))
+        large = np.nonzero(np.diff(begin) > hot)[0].tolist()
+        small = np.ones(len(entries), bool)
+        tiles: list[tuple[bytes, bytes]] = []
+        for k in large:
+            small[begin[k] : begin[k + 1]] = False
+            chunks = [entries[at : min(at + hot, begin[k + 1])] for at in range(begin[k], begin[k + 1], hot)]
+            for i, left in enumerate(chunks):
+                for right in chunks[i:]:  # by length: once one is too long, so are all behind it
+                    if right is left or right["code"][0] - left["code"][-1] <= STEPS + 1:
+                        tiles.append((left.tobytes(), b"" if right is left else right.tobytes()))
+        a, b = _forest(entries[small], rules.distance)
+        links = pa.table({"a": a, "b": b, "left": pa.nulls(len(a), pa.binary()), "right": pa.nulls(len(a), pa.binary())})
+        none = pa.nulls(len(tiles), pa.int64())
+        return pa.concat_tables([links, pa.table({"a": none, "b": none, "left": pa.array([t[0] for t in tiles], pa.binary()), "right": pa.array([t[1] for t in tiles], pa.binary())})])
+
+    def compare_tiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for left, right in zip(batch.column(0), batch.column(1)):
+                both = np.frombuffer(left.as_py() + right.as_py(), ENTRY)
+                a, b = _forest(both, rules.distance)
+                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
+
+    dealt = docs.select("text").mapInArrow(deal, "part int, packed binary")
+    compared = scratch.write(dealt.groupBy("part").applyInArrow(compare, "a long, b long, left binary, right binary"), "compared")
+    tiles = compared.where("left is not null").select("left", "right").repartition(F.xxhash64("left", "right"))
+    return compared.where("left is null").select("a", "b").union(tiles.mapInArrow(compare_tiles, "a long, b long"))
+
+
+def _forest(entries: np.ndarray, distance: int) -> tuple[np.ndarray, np.ndarray]:
+    """A forest (a, b) of the links between sorted entries of one bucket that are of like length and within the distance."""
+    code, point = entries["code"].astype(np.int64), np.ascontiguousarray(entries["point"])
+    # One class more than the similarity leaves, as classes are rounded down.
+    end = np.searchsorted(code, code + STEPS + 1, "right")
+    left, right = [], []
+    active, ahead = np.arange(len(code)), 1
+    while len(active := active[active + ahead < end[active]]):
+        step = max(1, TILE // len(active))
+        for k in range(ahead, ahead + step):
+            rows = active[active + k < end[active]] if k > ahead else active
+            if not len(rows):
+                break
+            x, y = point[rows], point[rows + k]
+            near = np.nonzero((np.bitwise_count(x ^ y) <= distance) & (x != y))[0]
+            left.append(x[near])
+            right.append(y[near])
+        ahead += step
+    if not left or not sum(map(len, left)):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    a, b = np.concatenate(left), np.concatenate(right)
+    points, both = np.unique(np.concatenate([a, b]), return_inverse=True)
+    sets = Sets(len(points))
+    join_all(sets, both[: len(a)], both[len(a) :])
+    root = sets.roots()
+    moved = np.nonzero(root != np.arange(len(root)))[0]
+    points = points.view(np.int64)
+    return points[moved], points[root[moved]]
 
 
 def similar(a: bytes, b: bytes, similarity: float) -> bool:
@@ -172,6 +332,8 @@ def edits(a: bytes, b: bytes, most: int) -> int:
     """Edit distance, or any number above `most` once it is sure to exceed it."""
     if not a or not b:
         return max(len(a), len(b))
+    if min(len(a), len(b)) > LONG:
+        return wavefront_edits(a, b, most)
     where: dict[int, int] = {}
     for i, byte in enumerate(a):
         where[byte] = where.get(byte, 0) | 1 << i
@@ -195,15 +357,67 @@ def edits(a: bytes, b: bytes, most: int) -> int:
     return cost
 
 
+def wavefront_edits(a: bytes, b: bytes, most: int) -> int:
+    """As `edits`, by wavefronts: how far each diagonal gets with 0, 1, 2 ... edits. Long texts that differ little cost little."""
+    m, n = len(a), len(b)
+    x, y = (np.lib.stride_tricks.sliding_window_view(np.frombuffer(t + bytes([pad]) * 8, np.uint8), 8) for t, pad in ((a, 1), (b, 2)))
+    x, y = (np.ascontiguousarray(t).view("<u8")[:, 0] for t in (x, y))
+    low, reach = 0, np.array([_run(a, b, 0, 0)])
+    for cost in range(most + 1):
+        at = n - m - low
+        if 0 <= at < len(reach) and reach[at] >= n:
+            return cost
+        # The column that each diagonal (column less row) reaches: by a byte more of b, of both, or of a.
+        padded = np.concatenate(([-2, -2], reach, [-2, -2]))
+        best = np.maximum(np.maximum(padded[:-2] + 1, padded[1:-1] + 1), padded[2:])
+        low -= 1
+        # Diagonals from which the end is too far are left out.
+        skip = max(0, (n - m) - (most - cost - 1) - low)
+        keep = min(len(best), (n - m) + (most - cost - 1) - low + 1)
+        best, low = best[skip:keep], low + skip
+        if not len(best):
+            break
+        diagonal = np.arange(low, low + len(best))
+        best = np.minimum(best, np.minimum(n, m + diagonal))
+        going = np.nonzero((best >= 0) & (best - diagonal >= 0))[0]
+        for _ in range(4):
+            column = best[going]
+            differ = x[column - diagonal[going]] ^ y[column]
+            same = np.bitwise_count((differ & -differ) - np.uint64(1)) // 8
+            best[going] = column + np.where(differ == 0, 8, same)
+            going = going[differ == 0]
+        best = np.minimum(best, np.minimum(n, m + diagonal))
+        for k in going.tolist():
+            best[k] = _run(a, b, int(best[k] - diagonal[k]), int(best[k]))
+        reach = best
+    return most + 1
+
+
+def _run(a: bytes, b: bytes, i: int, j: int) -> int:
+    """The column up to which a from i and b from j are equal."""
+    step = 256
+    while True:
+        x, y = a[i : i + step], b[j : j + step]
+        n = min(len(x), len(y))
+        if x[:n] != y[:n]:
+            return j + _common(x, y)
+        if n < step:
+            return j + n
+        i, j, step = i + n, j + n, step * 4
+
+
 def _verified(table: pa.Table, rules: Rules, own: bool) -> pa.Table:
     """A forest of the verified links between lines of one chunk, or between those of two."""
     table = table.sort_by("digest")
     digest, text = table.column("digest").to_pylist(), table.column("text").to_pylist()
     point = table.column("point").to_numpy().view(np.uint64)
+    length = np.fromiter(map(len, text), np.float64, len(text))
     side = table.column("side").to_numpy()
     sets, step = Sets(len(digest)), max(1, TILE // max(1, len(digest)))
     for at in range(0, len(digest), step):
-        i, j = np.nonzero(np.bitwise_count(point[at : at + step, None] ^ point[None, :]) <= rules.distance)
+        near = np.bitwise_count(point[at : at + step, None] ^ point[None, :]) <= rules.distance
+        long = length[at : at + step, None]
+        i, j = np.nonzero(near & (length >= rules.similarity * long - 1e-9) & (long >= rules.similarity * length - 1e-9))
         i += at
         wanted = (i < j) if own else (i < j) & (side[i] != side[j])
         for x, y in zip(i[wanted].tolist(), j[wanted].tolist()):
@@ -225,63 +439,71 @@ def verified_links(lines: DataFrame, rules: Rules, scratch: Scratch, chunk: int
     return tiles.groupBy("component", "i", "j").applyInArrow(lambda key, table: _verified(table, rules, key[1].as_py() == key[2].as_py()), "a binary, b binary")
 
 
-def _fetch(docs: DataFrame, wanted: DataFrame, rules: Rules, id_column: str, text_column: str) -> DataFrame:
-    """(component, digest, point, text) of wanted lines (component, digest, point, doc, line)."""
+def _fetch(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(component, digest, point, text) of wanted lines (component, digest, point, key, line) of (key, text)."""
     kind = wanted.schema["component"].dataType.simpleString()
-    per_doc = wanted.groupBy("doc").agg(F.collect_list(F.struct("line", "component", "digest", "point")).alias("wanted"))
-    holders = docs.select(docs[id_column].alias("doc"), docs[text_column].alias("text"))
+    per_row = wanted.groupBy("key").agg(F.collect_list(F.struct("line", "component", "digest", "point")).alias("wanted"))
 
     def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
-            lists = batch.column(1).to_pylist()
-            for text, wants in zip(texts(batch, "text"), lists):
-                lines = dict(lines_of(text, rules.min_words))
-                for w in wants:
-                    words = lines.get(w["line"])
-                    # Several rows may have the same id; only the one that holds the line gives it.
-                    if words and xxhash.xxh3_128_digest(line := b" ".join(words)) == w["digest"]:
-                        rows.append((w["component"], w["digest"], w["point"], line))
+            for text, wants in zip(texts(batch, "text"), batch.column(1).to_pylist()):
+                lines = dict(lines_of(text))
+                rows += [(w["component"], w["digest"], w["point"], b" ".join(lines[w["line"]])) for w in wants]
             columns = list(zip(*rows)) or [[], [], [], []]
             kinds = [pa.int64(), pa.binary(), pa.int64(), pa.binary()]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=["component", "digest", "point", "text"])
 
-    found = holders.join(per_doc.hint("merge"), "doc").select("text", "wanted").mapInArrow(pick, f"component {kind}, digest binary, point long, text binary")
-    return found.dropDuplicates(["digest"])
-
+    return docs.join(per_row.hint("merge"), "key").select("text", "wanted").mapInArrow(pick, f"component {kind}, digest binary, point long, text binary")
 
-def repeated_lines(docs: DataFrame, scratch: Scratch, rules: Rules = Rules(), id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """(doc, line, keep_doc, keep_line): every line that goes, and the line that stays for its group.
 
-    `docs` needs an id that is not null and unique. Lines count from 0 between line ends.
-    """
-    lines = scratch.write(line_table(docs, rules, id_column, text_column), "lines")
-    distinct = lines.groupBy("digest").agg(F.min(F.struct("doc", "line")).alias("first"), F.max("point").alias("point"), F.count("*").alias("times"))
+def _repeated(docs: DataFrame, scratch: Scratch, rules: Rules) -> DataFrame:
+    """(doc, key, line, keep) of rows (doc, key, text): every line that goes, and the place (doc, key, line) of the one that stays."""
+    lines = scratch.write(line_table(docs, rules, docs.schema["doc"].dataType.simpleString()), "lines")
+    distinct = lines.groupBy("digest").agg(F.min(F.struct("doc", "key", "line")).alias("first"), F.max("point").alias("point"), F.count("*").alias("times"))
     distinct = scratch.write(distinct, "distinct")
-    points = distinct.groupBy("point").agg(F.count("*").alias("texts"))
-    linked = components(point_links(points.select("point"), rules.distance), scratch, "points")
+    points = distinct.where("point is not null").groupBy("point").agg(F.count("*").alias("texts"))
+    fuzzy = points.agg(F.coalesce(F.sum("texts"), F.lit(0))).first()[0]
+    parts = max(1, fuzzy * BLOCKS * ENTRY.itemsize // PART_BYTES)
+    linked = components(point_links(docs, rules, parts, scratch), scratch, "points")
     alike = points.join(linked.withColumnRenamed("node", "point"), "point", "left").where("component is not null or texts > 1")
     alike = alike.select("point", F.coalesce("component", "point").alias("component"))
-    wanted = distinct.join(alike, "point").select("component", "digest", "point", "first.doc", "first.line")
-    fetched = scratch.write(_fetch(docs, wanted, rules, id_column, text_column), "fetched")
+    wanted = distinct.join(alike, "point").select("component", "digest", "point", "first.key", "first.line")
+    fetched = scratch.write(_fetch(docs.select("key", "text"), wanted), "fetched")
     groups = components(verified_links(fetched, rules, scratch), scratch, "groups")
     grouped = distinct.join(groups.withColumnRenamed("node", "digest"), "digest", "left").where("times > 1 or component is not null")
     grouped = scratch.write(grouped.select("digest", "first", F.coalesce("component", "digest").alias("component")), "grouped")
     # Written, so that the join has an exchange of its own and Spark can split a large group.
     keep = scratch.write(grouped.groupBy("component").agg(F.min("first").alias("keep")), "keep")
     decided = grouped.join(keep, "component").select("digest", "keep")
-    return lines.join(decided, "digest").where("keep.doc <> doc or keep.line <> line").select("doc", "line", F.col("keep.doc").alias("keep_doc"), F.col("keep.line").alias("keep_line"))
+    return lines.join(decided, "digest").where("keep.key <> key or keep.line <> line").select("doc", "key", "line", "keep")
+
+
+def _keyed(docs: DataFrame, scratch: Scratch, id_column: str, text_column: str) -> tuple[DataFrame, str, DataFrame]:
+    """`docs` with a key for each row, the key's name, and (doc, key, text)."""
+    keyed, key = with_row_keys(docs, scratch)
+    return keyed, key, keyed.select(quoted(keyed, id_column).alias("doc"), quoted(keyed, key).alias("key"), quoted(keyed, text_column).alias("text"))
+
+
+def repeated_lines(docs: DataFrame, scratch: Scratch, rules: Rules = Rules(), id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """(doc, line, keep_doc, keep_line): every line that goes, and the line that stays for its group. Lines count from 0 between line ends."""
+    _, _, rows = _keyed(docs, scratch, id_column, text_column)
+    return _repeated(rows, scratch, rules).select("doc", "line", F.col("keep.doc").alias("keep_doc"), F.col("keep.line").alias("keep_line"))
 
 
 def without_repeated_lines(docs: DataFrame, scratch: Scratch, rules: Rules = Rules(), id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """`docs` and a column n_dropped: texts without the lines that repeat a line seen before, fuzzily.
 
-    All rows and columns stay; n_dropped replaces a column of that name. Null and empty texts stay as they are and so
-    do rows with a null id. Of rows that share an id, a line goes where its number is listed for that id. A text all
-    of whose lines went is empty. An empty table gives an empty one.
+    All rows and columns stay; n_dropped replaces a column of that name. The order is that of ids, a null id first; rows that
+    share an id, or are repeated, are documents of their own in the order of their keys, so all but one of equal rows
+    lose all lines. Null and empty texts stay as they are; a text all of whose lines went is empty. Lines as
+    similar as each other form one group, of which the first stays. An empty table gives an empty one. A long text costs
+    its task time in proportion; two long lines are compared in time that grows with their length times their edits.
     """
-    gone = repeated_lines(docs.where(docs[id_column].isNotNull()), scratch, rules, id_column, text_column)
-    per_doc = scratch.write(gone.groupBy(F.col("doc").alias("_doc")).agg(F.collect_set("line").alias("_gone")), "gone")
+    keyed, key, rows = _keyed(docs, scratch, id_column, text_column)
+    gone = _repeated(rows, scratch, rules)
+    # Written, so that the join has an exchange of its own on either side.
+    per_row = scratch.write(gone.groupBy(F.col("key").alias("row")).agg(F.sort_array(F.collect_list("line")).alias("gone")), "gone")
     columns = [c for c in docs.columns if c != "n_dropped"]
     at = columns.index(text_column)
 
@@ -290,16 +512,16 @@ def without_repeated_lines(docs: DataFrame, scratch: Scratch, rules: Rules = Rul
             kept, dropped = [], []
             for text, gone in zip(batch.column(at), batch.column(len(columns))):
                 value, gone = text.as_py(), gone.as_py()
-                if gone and value is not None:
-                    gone = set(gone)
-                    parts = value.split("\n")
-                    value = "\n".join(p for i, p in enumerate(parts) if i not in gone)
-                    gone = {i for i in gone if i < len(parts)}
+                if gone:
+                    without = set(gone)
+                    value = "\n".join(p for i, p in enumerate(value.split("\n")) if i not in without)
                 kept.append(value)
                 dropped.append(len(gone or ()))
             out = [pa.array(kept, pa.string()) if k == at else batch.column(k) for k in range(len(columns))]
             yield pa.RecordBatch.from_arrays([*out, pa.array(dropped, pa.int32())], names=[*columns, "n_dropped"])
 
     # The lists are stored compressed, so their size on disk is no ground for a broadcast.
-    marked = docs.select(*columns).join(per_doc.hint("merge"), docs[id_column] == per_doc["_doc"], "left").select(*columns, "_gone")
-    return marked.mapInArrow(drop, ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in columns) + ", n_dropped int")
+    lists = per_row.select(F.col("row").alias(row := free_name(keyed, "row")), F.col("gone").alias(gone_name := free_name(keyed, "gone"))).hint("merge")
+    marked = keyed.join(lists, quoted(keyed, key) == lists[row], "left").select(*(quoted(keyed, c) for c in columns), lists[gone_name])
+    schema = T.StructType([*(T.StructField(f.name, f.dataType) for f in docs.schema if f.name != "n_dropped"), T.StructField("n_dropped", T.IntegerType())])
+    return marked.mapInArrow(drop, schema)

@@ -1,12 +1,15 @@
 import random
+import time
 
 import numpy as np
 import xxhash
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from tallyweave.llm import line_dedup
 from tallyweave.llm.common import Scratch, bit_counts
-from tallyweave.llm.line_dedup import Rules, edits, lines_of, point_links, similar, simhashes, verified_links, without_repeated_lines
+from tallyweave.llm.components import components
+from tallyweave.llm.line_dedup import Rules, edits, features, lines_of, point_links, repeated_lines, similar, simhashes, verified_links, wavefront_edits, without_repeated_lines
 
 
 def table_distance(a, b):
@@ -34,12 +37,18 @@ def test_bit_counts_over_long_stretches():
         assert got[k].tolist() == [sum(h >> bit & 1 for h in hashes[a:b]) for bit in range(64)]
 
 
+def plain_simhash(words):
+    """The first 64 bits, bit by bit."""
+    hashes = [int.from_bytes(xxhash.xxh3_128_digest(f)[:8], "little") for f in features(words)]
+    return sum(1 << bit for bit in range(64) if sum(h >> bit & 1 for h in hashes) * 2 > len(hashes))
+
+
 def brute_force(rows, rules):
-    """Lines that stay, by comparing every line with every other."""
+    """Texts of (id, text) rows in their order, and (row, line) of the lines that go, by comparing every line with every other."""
     occurrences = []
-    for doc, text in sorted(((d, t) for d, t in rows if d is not None), key=lambda r: r[0]):
-        for number, words in lines_of((text or "").encode(), rules.min_words):
-            occurrences.append((doc, number, b" ".join(words), int(simhashes([words])[0])))
+    for row in sorted(range(len(rows)), key=lambda k: (rows[k][0] is not None, rows[k][0] or 0, k)):
+        for number, words in lines_of((rows[row][1] or "").encode()):
+            occurrences.append((row, number, b" ".join(words), plain_simhash(words)))
     up = list(range(len(occurrences)))
 
     def root(k):
@@ -53,8 +62,8 @@ def brute_force(rows, rules):
             if a[2] == b[2] or ((a[3] ^ b[3]).bit_count() <= rules.distance and similar(a[2], b[2], rules.similarity)):
                 x, y = root(i), root(j)
                 up[max(x, y)] = min(x, y)
-    gone = {(d, n) for k, (d, n, _, _) in enumerate(occurrences) if root(k) != k}
-    return {d: "\n".join(line for k, line in enumerate(t.split("\n")) if (d, k) not in gone) if t is not None else None for d, t in rows if d is not None}, gone
+    gone = {(r, n) for k, (r, n, _, _) in enumerate(occurrences) if root(k) != k}
+    return ["\n".join(line for k, line in enumerate(t.split("\n")) if (r, k) not in gone) if t is not None else None for r, (_, t) in enumerate(rows)], gone
 
 
 def corpus(prose):
@@ -74,20 +83,103 @@ def corpus(prose):
     return rows
 
 
+def as_pairs(df):
+    return sorted(((r.doc_id, r.text) for r in df.collect()), key=str)
+
+
 def test_same_as_brute_force(documents, scratch, prose):
-    rows = corpus(prose) + [(100, None), (101, ""), (102, "\n\n"), (103, "one two three four five\n" * 4), (104, prose(5, 40_000))]
+    rows = corpus(prose) + [(100, None), (101, ""), (102, "\n\n"), (103, "one two three four five\n" * 4), (104, prose(5, 40_000)), (None, "one two three four five")]
     want, gone = brute_force(rows, Rules())
-    docs = documents([*rows, (None, "one two three four five")]).withColumnRenamed("lang", "line")
+    docs = documents(rows, parts=1)
+    for name, new in (("lang", "line"), ("source", "gone"), ("n_chars", "row")):
+        docs = docs.withColumnRenamed(name, new)
+    docs = docs.selectExpr("*", "1 as _gone", "2 as _doc", "3 as row_key", "map('a', 1) as m", "struct(1 as `odd name`, 2 as `b.c`) as st", "4 as n_dropped")
     out = without_repeated_lines(docs, scratch)
-    assert out.columns == [*docs.columns, "n_dropped"]
-    got = {r.doc_id: r for r in out.collect()}
-    assert {d: r.text for d, r in got.items() if d is not None} == want
-    assert got[None].text == "one two three four five"
-    assert sum(r.n_dropped for r in got.values()) == len(gone) > 50
-    assert got[102].text == "\n\n" and got[100].text is None
+    assert out.columns == docs.columns
+    got = out.collect()
+    assert sorted(((r.doc_id, r.text) for r in got), key=str) == sorted(zip([i for i, _ in rows], want), key=str)
+    assert sum(r.n_dropped for r in got) == len(gone) > 50
+    assert {(r._gone, r._doc, r.row_key, r.m["a"], r.st["b.c"]) for r in got} == {(1, 2, 3, 1, 2)}
     # Some lines are linked only fuzzily.
-    texts = {words for _, t in rows for _, w in lines_of((t or "").encode(), 5) for words in [b" ".join(w)]}
-    assert len(gone) > sum(len(lines_of((t or "").encode(), 5)) for _, t in rows) - len(texts)
+    lines = [b" ".join(w) for _, t in rows for _, w in lines_of((t or "").encode())]
+    assert len(gone) > len(lines) - len(set(lines))
+
+
+def test_rows_that_share_an_id(documents, scratch):
+    a, b, c = "a first text of some words", "quite another one that resembles nothing", "the third, written twice"
+    rows = [(5, a), (7, a), (7, b), (1, c), (1, c), (None, c), (None, b + " at all")]
+    got = as_pairs(without_repeated_lines(documents(rows), scratch))
+    assert got == sorted([(5, a), (7, ""), (7, b), (1, ""), (1, ""), (None, c), (None, b + " at all")], key=str)
+
+
+def near_lines(texts):
+    """All pairs of different normalised lines with an edit similarity of 0.9 or more."""
+    lines = sorted({b" ".join(words) for t in texts for _, words in lines_of((t or "").encode())}, key=len)
+    lines = [line for line in lines if 9 < len(line) <= 300]
+    held = np.array([np.bincount(np.frombuffer(line, np.uint8), minlength=256) for line in lines], np.int16)
+    length, out = np.array([len(line) for line in lines]), []
+    for k in range(len(lines)):
+        end = int(np.searchsorted(length, length[k] / 0.9, "right"))
+        # An edit changes two counts of bytes by one at most.
+        apart = np.abs(held[k + 1 : end] - held[k]).sum(axis=1)
+        for j in (np.nonzero(apart <= 0.2 * length[k + 1 : end] + 1)[0] + k + 1).tolist():
+            if similar(lines[k], lines[j], 0.9):
+                out.append((lines[k], lines[j]))
+    return out
+
+
+def test_recall_against_edit_similarity_alone(spark, scratch, tables):
+    docs = spark.read.parquet(f"{tables('0.01')}/documents.parquet")
+    pairs = near_lines([r.text for r in docs.select("text").collect()])
+    lines = sorted({line for pair in pairs for line in pair})
+    rows = spark.createDataFrame([(k, line.decode(errors="replace")) for k, line in enumerate(lines)], "doc_id long, text string")
+    number = {line: k for k, line in enumerate(lines)}
+    up = {r.doc: r.keep_doc for r in repeated_lines(rows, scratch).collect()}
+    caught = sum(up.get(number[a], number[a]) == up.get(number[b], number[b]) for a, b in pairs)
+    assert len(pairs) > 10 and caught >= 0.9 * len(pairs), f"{caught} of {len(pairs)} pairs"
+
+
+def test_lines_that_can_only_be_equal_go_by_digest():
+    rules = Rules()
+    for a in range(1, 40):
+        for b in range(a, 40):
+            allowed = int(0.1 * b + 1e-9) >= max(1, b - a)
+            assert not allowed or (rules.may_be_edited(a) and rules.may_be_edited(b))
+    assert not rules.may_be_edited(8)
+
+
+def test_long_lines(prose):
+    rng = random.Random(1)
+    line = prose(1, 60_000).encode()[:340_000]
+    other = bytearray(line)
+    for _ in range(120):
+        at = rng.randrange(len(other))
+        other[at : at + rng.choice([0, 1, 2])] = rng.choice([b"", b"q", b"zu"])
+    began = time.perf_counter()
+    found = edits(line, bytes(other), len(line) // 10)
+    assert 60 <= found <= 360 and time.perf_counter() - began < 5
+    for _ in range(30):
+        a = prose(rng.randrange(99), 30).encode()
+        b = bytearray(a)
+        for _ in range(rng.randrange(20)):
+            at = rng.randrange(len(b))
+            b[at : at + rng.choice([0, 1, 5])] = rng.choice([b"", b"q", b"zu"])
+        for most in (0, 3, 40, 500):
+            real = table_distance(a, b)
+            found = wavefront_edits(a, bytes(b), most)
+            assert found == real if real <= most else found > most
+
+
+def test_buckets_in_tiles_give_the_same_groups(spark, documents, prose):
+    base = [prose(k, 40) for k in range(4)]
+    rows = [(k, " ".join(w if i != k % 37 else f"word{k}" for i, w in enumerate(base[k % 4].split()))) for k in range(300)]
+    groups = []
+    for hot in (20_000, 15):
+        work = Scratch(spark, f"hot{hot}")
+        links = point_links(documents(rows), Rules(), 3, work, hot)
+        groups.append({r.node: r.component for r in components(links, work, "g").collect()})
+        work.remove()
+    assert groups[0] == groups[1] and len(groups[0]) > 100
 
 
 def test_chunks_of_a_large_component_lose_no_link(spark, scratch, prose):
@@ -97,10 +189,8 @@ def test_chunks_of_a_large_component_lose_no_link(spark, scratch, prose):
         words = list(base)
         words[k % 60] = f"w{k}"
         line = " ".join(words).encode()
-        lines.append((1, xxhash.xxh3_128_digest(line), int(simhashes([line.split()]).view(np.int64)[0]), line))
+        lines.append((1, xxhash.xxh3_128_digest(line), int(simhashes([line.split()]).view(np.int64)[0, 0]), line))
     frame = spark.createDataFrame(lines, "component long, digest binary, point long, text binary")
-    from tallyweave.llm.components import components
-
     groups = []
     for chunk in (1000, 9):
         work = Scratch(spark, f"chunk{chunk}")
@@ -109,18 +199,11 @@ def test_chunks_of_a_large_component_lose_no_link(spark, scratch, prose):
     assert groups[0] == groups[1] and groups[0]
 
 
-def test_points_within_distance_are_linked(spark, scratch):
-    from tallyweave.llm.components import components
-
-    rng = np.random.default_rng(3)
-    base = rng.integers(-(2**62), 2**62, 300)
-    close = base[:50] ^ (1 << rng.integers(0, 62, 50)) ^ (1 << rng.integers(0, 62, 50))
-    points = np.unique(np.concatenate([base, close]))
-    got = {r.node: r.component for r in components(point_links(spark.createDataFrame([(int(p),) for p in points], "point long"), 3), scratch, "p").collect()}
-    for i, a in enumerate(points.tolist()):
-        for b in points[:i].tolist():
-            if ((a ^ b) & 0xFFFFFFFFFFFFFFFF).bit_count() <= 3:
-                assert got[a] == got[b]
+def test_simhash_of_lines_of_all_sizes(prose):
+    lines = [prose(k, n).encode().split() for k, n in enumerate([1, 1, 2, 3, 5, 40, 41, 300, 9000])] + ["这是一个没有空格的长句子这是一个没有空格".encode().split()]
+    assert simhashes(lines)[:, 0].tolist() == [plain_simhash(words) for words in lines]
+    wide = simhashes(lines, 5)
+    assert wide[:, 0].tolist() == simhashes(lines)[:, 0].tolist() and len({tuple(row) for row in wide.tolist()}) == len(lines)
 
 
 def test_short_lines_and_lines_without_blanks(documents, scratch):
@@ -131,7 +214,7 @@ def test_short_lines_and_lines_without_blanks(documents, scratch):
 
 def test_empty_table_and_repeated_ids(spark, documents, scratch):
     docs = documents([(1, "one two three four five"), (1, "one two three four five"), (2, "one two three four five")])
-    assert sorted((r.doc_id, r.text) for r in without_repeated_lines(docs, scratch).collect()) == [(1, "one two three four five"), (1, "one two three four five"), (2, "")]
+    assert as_pairs(without_repeated_lines(docs, scratch)) == [(1, ""), (1, "one two three four five"), (2, "")]
     other = Scratch(spark, "none")
     assert without_repeated_lines(docs.limit(0), other).count() == 0
     other.remove()
