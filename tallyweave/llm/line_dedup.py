@@ -4,7 +4,7 @@
    an edit can only be equal to another and goes no further.
 2. The others get a SimHash of their longer words, 320 bits in 20 blocks. Lines that agree in a block, as by the pigeonhole
    principle all within 19 bits do and most within 50, and whose lengths allow the similarity, are compared by the first
-   64 bits. Entries are dealt out by (block, value), packed by the sending task; a bucket of a very common value is cut
+   128 bits. Entries are dealt out by (block, value), packed by the sending task; a bucket of a very common value is cut
    into tiles, each a task of its own. Each task returns a forest of its links, not all pairs.
 3. Components of the forests bring together all lines that could be linked. The texts of just these lines are
    fetched. Within each component, pairs within the bit distance are verified by edit similarity; a component
@@ -51,8 +51,8 @@ LONG = 4096
 
 @dataclass(frozen=True)
 class Rules:
-    #: Bits of the first 64 of a SimHash in which lines that are compared may differ.
-    distance: int = 14
+    #: Bits of the first 128 of a SimHash in which lines that are compared may differ.
+    distance: int = 28
     similarity: float = 0.9
 
     def may_be_edited(self, length: int) -> bool:
@@ -171,16 +171,19 @@ def _in_portions(batch: pa.RecordBatch, size: int = 2_000_000) -> Iterator[list[
 
 
 def line_table(docs: DataFrame, rules: Rules, kind: str) -> DataFrame:
-    """(doc, key, line, digest, point) of every line of (doc, key, text); no point if the line can only be equal to another."""
+    """(doc, key, line, digest, point, more) of every line of (doc, key, text); no point if the line can only be equal to another.
+
+    point and more are the first 128 bits of the SimHash; lines are grouped by the first half.
+    """
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashed = SimHashes(1)
+        hashed = SimHashes(2)
         for batch in batches:
             for portion in _in_portions(batch):
                 plain = [b" ".join(words) for _, _, words in portion]
                 fuzzy = [k for k, line in enumerate(plain) if rules.may_be_edited(len(line))]
-                points = np.zeros(len(plain), np.int64)
-                points[fuzzy] = hashed([portion[k][2] for k in fuzzy])[:, 0].view(np.int64)
+                points = np.zeros((len(plain), 2), np.int64)
+                points[fuzzy] = hashed([portion[k][2] for k in fuzzy]).view(np.int64)
                 exact = np.ones(len(plain), bool)
                 exact[fuzzy] = False
                 rows = pa.array([r for r, _, _ in portion], pa.int64())
@@ -190,16 +193,17 @@ def line_table(docs: DataFrame, rules: Rules, kind: str) -> DataFrame:
                         batch.column(1).take(rows),
                         pa.array([n for _, n, _ in portion], pa.int32()),
                         pa.array([xxhash.xxh3_128_digest(line) for line in plain], pa.binary()),
-                        pa.array(points, pa.int64(), mask=exact),
+                        pa.array(points[:, 0], pa.int64(), mask=exact),
+                        pa.array(points[:, 1], pa.int64(), mask=exact),
                     ],
-                    names=["doc", "key", "line", "digest", "point"],
+                    names=["doc", "key", "line", "digest", "point", "more"],
                 )
 
-    return docs.select("doc", "key", "text").mapInArrow(cut, f"doc {kind}, key long, line int, digest binary, point long")
+    return docs.select("doc", "key", "text").mapInArrow(cut, f"doc {kind}, key long, line int, digest binary, point long, more long")
 
 
-# An entry is a bucket (block and value), a length class in its lowest bits, and the first 64 bits.
-ENTRY = np.dtype([("code", "<u4"), ("point", "<u8")])
+# An entry is a bucket (block and value), a length class in its lowest bits, and the first 128 bits.
+ENTRY = np.dtype([("code", "<u4"), ("point", "<u8"), ("more", "<u8")])
 CLASS_BITS = 11
 
 
@@ -233,7 +237,7 @@ def point_links(docs: DataFrame, rules: Rules, parts: int, scratch: Scratch, hot
             entries = np.empty((BLOCKS, len(hashes)), ENTRY)
             buckets = _buckets(hashes)
             entries["code"] = buckets << np.uint32(CLASS_BITS) | length
-            entries["point"] = hashes[:, 0]
+            entries["point"], entries["more"] = hashes[:, 0], hashes[:, 1]
             part = ((buckets * np.uint32(2654435761)) >> np.uint32(8)).ravel() % np.uint32(parts)
             order = np.argsort(part, kind="stable")
             packed, part = entries.ravel()[order], part[order]
@@ -276,7 +280,7 @@ def point_links(docs: DataFrame, rules: Rules, parts: int, scratch: Scratch, hot
 
 def _forest(entries: np.ndarray, distance: int) -> tuple[np.ndarray, np.ndarray]:
     """A forest (a, b) of the links between sorted entries of one bucket that are of like length and within the distance."""
-    code, point = entries["code"].astype(np.int64), np.ascontiguousarray(entries["point"])
+    code, point, more = entries["code"].astype(np.int64), np.ascontiguousarray(entries["point"]), np.ascontiguousarray(entries["more"])
     # One class more than the similarity leaves, as classes are rounded down.
     end = np.searchsorted(code, code + STEPS + 1, "right")
     left, right = [], []
@@ -288,7 +292,8 @@ def _forest(entries: np.ndarray, distance: int) -> tuple[np.ndarray, np.ndarray]
             if not len(rows):
                 break
             x, y = point[rows], point[rows + k]
-            near = np.nonzero((np.bitwise_count(x ^ y) <= distance) & (x != y))[0]
+            apart = np.bitwise_count(x ^ y) + np.bitwise_count(more[rows] ^ more[rows + k])
+            near = np.nonzero((apart <= distance) & (x != y))[0]
             left.append(x[near])
             right.append(y[near])
         ahead += step
@@ -410,12 +415,13 @@ def _verified(table: pa.Table, rules: Rules, own: bool) -> pa.Table:
     """A forest of the verified links between lines of one chunk, or between those of two."""
     table = table.sort_by("digest")
     digest, text = table.column("digest").to_pylist(), table.column("text").to_pylist()
-    point = table.column("point").to_numpy().view(np.uint64)
+    point, more = (table.column(c).to_numpy().view(np.uint64) for c in ("point", "more"))
     length = np.fromiter(map(len, text), np.float64, len(text))
     side = table.column("side").to_numpy()
     sets, step = Sets(len(digest)), max(1, TILE // max(1, len(digest)))
     for at in range(0, len(digest), step):
-        near = np.bitwise_count(point[at : at + step, None] ^ point[None, :]) <= rules.distance
+        apart = np.bitwise_count(point[at : at + step, None] ^ point[None, :]) + np.bitwise_count(more[at : at + step, None] ^ more[None, :])
+        near = apart <= rules.distance
         long = length[at : at + step, None]
         i, j = np.nonzero(near & (length >= rules.similarity * long - 1e-9) & (long >= rules.similarity * length - 1e-9))
         i += at
@@ -429,38 +435,38 @@ def _verified(table: pa.Table, rules: Rules, own: bool) -> pa.Table:
 
 
 def verified_links(lines: DataFrame, rules: Rules, scratch: Scratch, chunk: int = CHUNK) -> DataFrame:
-    """Links (a, b) between digests of lines (component, digest, point, text)."""
+    """Links (a, b) between digests of lines (component, digest, point, more, text)."""
     sizes = scratch.write(lines.groupBy("component").agg(F.count("*").alias("size")), "sizes")
     spread = lines.join(sizes, "component").withColumn("chunks", F.expr(f"cast((size + {chunk - 1}) div {chunk} as int)"))
     spread = spread.withColumn("mine", F.pmod(F.xxhash64("digest"), "chunks").cast("int"))
     # Each chunk meets every chunk once: tile (i, j) with i <= j.
     tiles = spread.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
-    tiles = tiles.select("component", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), F.col("mine").alias("side"), "digest", "point", "text")
+    tiles = tiles.select("component", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), F.col("mine").alias("side"), "digest", "point", "more", "text")
     return tiles.groupBy("component", "i", "j").applyInArrow(lambda key, table: _verified(table, rules, key[1].as_py() == key[2].as_py()), "a binary, b binary")
 
 
 def _fetch(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(component, digest, point, text) of wanted lines (component, digest, point, key, line) of (key, text)."""
+    """(component, digest, point, more, text) of wanted lines (component, digest, point, more, key, line) of (key, text)."""
     kind = wanted.schema["component"].dataType.simpleString()
-    per_row = wanted.groupBy("key").agg(F.collect_list(F.struct("line", "component", "digest", "point")).alias("wanted"))
+    per_row = wanted.groupBy("key").agg(F.collect_list(F.struct("line", "component", "digest", "point", "more")).alias("wanted"))
 
     def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
             for text, wants in zip(texts(batch, "text"), batch.column(1).to_pylist()):
                 lines = dict(lines_of(text))
-                rows += [(w["component"], w["digest"], w["point"], b" ".join(lines[w["line"]])) for w in wants]
-            columns = list(zip(*rows)) or [[], [], [], []]
-            kinds = [pa.int64(), pa.binary(), pa.int64(), pa.binary()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=["component", "digest", "point", "text"])
+                rows += [(w["component"], w["digest"], w["point"], w["more"], b" ".join(lines[w["line"]])) for w in wants]
+            columns = list(zip(*rows)) or [[], [], [], [], []]
+            kinds = [pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.binary()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=["component", "digest", "point", "more", "text"])
 
-    return docs.join(per_row.hint("merge"), "key").select("text", "wanted").mapInArrow(pick, f"component {kind}, digest binary, point long, text binary")
+    return docs.join(per_row.hint("merge"), "key").select("text", "wanted").mapInArrow(pick, f"component {kind}, digest binary, point long, more long, text binary")
 
 
 def _repeated(docs: DataFrame, scratch: Scratch, rules: Rules) -> DataFrame:
     """(doc, key, line, keep) of rows (doc, key, text): every line that goes, and the place (doc, key, line) of the one that stays."""
     lines = scratch.write(line_table(docs, rules, docs.schema["doc"].dataType.simpleString()), "lines")
-    distinct = lines.groupBy("digest").agg(F.min(F.struct("doc", "key", "line")).alias("first"), F.max("point").alias("point"), F.count("*").alias("times"))
+    distinct = lines.groupBy("digest").agg(F.min(F.struct("doc", "key", "line")).alias("first"), F.max("point").alias("point"), F.max("more").alias("more"), F.count("*").alias("times"))
     distinct = scratch.write(distinct, "distinct")
     points = distinct.where("point is not null").groupBy("point").agg(F.count("*").alias("texts"))
     fuzzy = points.agg(F.coalesce(F.sum("texts"), F.lit(0))).first()[0]
@@ -468,7 +474,7 @@ def _repeated(docs: DataFrame, scratch: Scratch, rules: Rules) -> DataFrame:
     linked = components(point_links(docs, rules, parts, scratch), scratch, "points")
     alike = points.join(linked.withColumnRenamed("node", "point"), "point", "left").where("component is not null or texts > 1")
     alike = alike.select("point", F.coalesce("component", "point").alias("component"))
-    wanted = distinct.join(alike, "point").select("component", "digest", "point", "first.key", "first.line")
+    wanted = distinct.join(alike, "point").select("component", "digest", "point", "more", "first.key", "first.line")
     fetched = scratch.write(_fetch(docs.select("key", "text"), wanted), "fetched")
     groups = components(verified_links(fetched, rules, scratch), scratch, "groups")
     grouped = distinct.join(groups.withColumnRenamed("node", "digest"), "digest", "left").where("times > 1 or component is not null")

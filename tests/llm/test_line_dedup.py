@@ -38,9 +38,9 @@ def test_bit_counts_over_long_stretches():
 
 
 def plain_simhash(words):
-    """The first 64 bits, bit by bit."""
-    hashes = [int.from_bytes(xxhash.xxh3_128_digest(f)[:8], "little") for f in features(words)]
-    return sum(1 << bit for bit in range(64) if sum(h >> bit & 1 for h in hashes) * 2 > len(hashes))
+    """The first 128 bits, bit by bit."""
+    hashes = [int.from_bytes(xxhash.xxh3_128_digest(f), "little") for f in features(words)]
+    return sum(1 << bit for bit in range(128) if sum(h >> bit & 1 for h in hashes) * 2 > len(hashes))
 
 
 def brute_force(rows, rules):
@@ -189,8 +189,8 @@ def test_chunks_of_a_large_component_lose_no_link(spark, scratch, prose):
         words = list(base)
         words[k % 60] = f"w{k}"
         line = " ".join(words).encode()
-        lines.append((1, xxhash.xxh3_128_digest(line), int(simhashes([line.split()]).view(np.int64)[0, 0]), line))
-    frame = spark.createDataFrame(lines, "component long, digest binary, point long, text binary")
+        lines.append((1, xxhash.xxh3_128_digest(line), *simhashes([line.split()], 2).view(np.int64)[0].tolist(), line))
+    frame = spark.createDataFrame(lines, "component long, digest binary, point long, more long, text binary")
     groups = []
     for chunk in (1000, 9):
         work = Scratch(spark, f"chunk{chunk}")
@@ -201,7 +201,7 @@ def test_chunks_of_a_large_component_lose_no_link(spark, scratch, prose):
 
 def test_simhash_of_lines_of_all_sizes(prose):
     lines = [prose(k, n).encode().split() for k, n in enumerate([1, 1, 2, 3, 5, 40, 41, 300, 9000])] + ["这是一个没有空格的长句子这是一个没有空格".encode().split()]
-    assert simhashes(lines)[:, 0].tolist() == [plain_simhash(words) for words in lines]
+    assert [a | b << 64 for a, b in simhashes(lines, 2).tolist()] == [plain_simhash(words) for words in lines]
     wide = simhashes(lines, 5)
     assert wide[:, 0].tolist() == simhashes(lines)[:, 0].tolist() and len({tuple(row) for row in wide.tolist()}) == len(lines)
 
