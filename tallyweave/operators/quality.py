@@ -7,10 +7,13 @@ that a hot key or a group of copies is folded together before the shuffle.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import add
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -109,19 +112,97 @@ def _numeric(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType)]
 
 
-def _profile_aggregates(names: Sequence[str]) -> list[Column]:
-    return [
-        measure
-        for i, name in enumerate(names)
-        for measure in (
+#: Bits of a part of a number, and parts: sums of whole numbers do not depend on their order.
+PART_BITS, PARTS = 30, 3
+
+
+def _bounds(names: Sequence[str]) -> list[Column]:
+    """Smallest and largest finite value, and counts of those that are none."""
+
+    def of(i: int, name: str) -> tuple[Column, ...]:
+        value = col(name).cast("double")
+        endless = F.abs(value) == float("inf")
+        finite = F.when(~F.isnan(value) & ~endless, value)
+        return (
+            F.min(finite).alias(f"b{i}_low"),
+            F.max(finite).alias(f"b{i}_high"),
+            F.count_if(F.isnan(value)).alias(f"b{i}_nan"),
+            F.count_if(value == float("inf")).alias(f"b{i}_plus"),
+            F.count_if(value == float("-inf")).alias(f"b{i}_minus"),
+        )
+
+    return [measure for i, name in enumerate(names) for measure in of(i, name)]
+
+
+def _part_sums(value: Column, label: str) -> list[Column]:
+    """Sums of the whole parts of ``value`` times 2^30, 2^60 and 2^90; every step on a value is exact."""
+    out, rest = [], value
+    for k in range(PARTS):
+        scaled = rest * float(1 << PART_BITS)
+        whole = F.floor(scaled)
+        out.append(F.sum(whole.cast("decimal(12,0)")).alias(f"{label}{k}"))
+        rest = scaled - whole.cast("double")
+    return out
+
+
+def _total(label: str) -> Column:
+    return reduce(add, (F.col(f"{label}{k}").cast("double") * 2.0 ** (-PART_BITS * (k + 1)) for k in range(PARTS)))
+
+
+def _grid(row: Row, i: int) -> tuple[int, float, int]:
+    """The exponent that brings a column's finite values within one of zero, their middle there, and the exponent of the rest."""
+    low, high = row[f"b{i}_low"], row[f"b{i}_high"]
+    if low is None:
+        return 0, 0.0, 0
+    exponent = max(-1000, math.frexp(max(abs(low), abs(high)))[1])
+    low, high = math.ldexp(low, -exponent), math.ldexp(high, -exponent)
+    middle = (low + high) / 2
+    return exponent, middle, math.frexp(max(high - middle, middle - low))[1]
+
+
+def _scaled(value: Column, exponent: int) -> Column:
+    """``value`` times two to the power of ``exponent``, in two steps, as the power alone may exceed a double."""
+    half = exponent // 2
+    return value * math.ldexp(1.0, half) * math.ldexp(1.0, exponent - half)
+
+
+def _profile_aggregates(names: Sequence[str], bounds: Row | None) -> list[Column]:
+    """Measures of which ``_profile_columns`` makes the profile."""
+    out = []
+    for i, name in enumerate(names):
+        value = col(name).cast("double")
+        exponent, middle, spread = _grid(bounds, i)
+        finite = F.when(~F.isnan(value) & (F.abs(value) != float("inf")), _scaled(value, -exponent))
+        off = _scaled(finite - F.lit(middle), -spread)
+        out += [
             F.count(col(name)).alias(f"p{i}_count"),
-            F.avg(col(name)).cast("double").alias(f"p{i}_mean"),
-            F.stddev_samp(col(name)).alias(f"p{i}_stddev"),
             # Adding zero makes 0.0 of -0.0, which compare equal and would come out at random.
             (F.min(col(name)).cast("double") + F.lit(0.0)).alias(f"p{i}_min"),
             (F.max(col(name)).cast("double") + F.lit(0.0)).alias(f"p{i}_max"),
-        )
-    ]
+            *_part_sums(finite, f"s{i}_"),
+            *_part_sums(off, f"o{i}_"),
+            *_part_sums(off * off, f"q{i}_"),
+        ]
+    return out
+
+
+def _profile_columns(names: Sequence[str], bounds: Row | None) -> list[Column]:
+    out = []
+    for i in range(len(names)):
+        exponent, _, spread = _grid(bounds, i)
+        n, off = F.col(f"p{i}_count").cast("double"), _total(f"o{i}_")
+        squares = F.greatest(_total(f"q{i}_") - F.try_divide(off * off, n), F.lit(0.0))
+        mean = _scaled(F.try_divide(_total(f"s{i}_"), n), exponent)
+        deviation = F.when(n > 1, _scaled(F.sqrt(squares / (n - 1)), exponent + spread))
+        strange = [bounds[f"b{i}_{kind}"] for kind in ("nan", "plus", "minus")]
+        if any(strange):
+            endless = float("inf") if strange[1] else float("-inf")
+            mean = F.lit(float("nan") if strange[0] or (strange[1] and strange[2]) else endless)
+            deviation = F.when(n > 1, F.lit(float("nan")))
+        out += [
+            F.col(f"p{i}_count"), mean.alias(f"p{i}_mean"), deviation.alias(f"p{i}_stddev"), F.col(f"p{i}_min"), F.col(f"p{i}_max"),
+        ]
+    return out
 
 
 PROFILE_METRICS = ("count", "mean", "stddev", "min", "max")
@@ -129,15 +210,19 @@ PROFILE_SCHEMA = "column_name string, count bigint, mean double, stddev double,
 
 
 def numeric_profile(df: DataFrame) -> DataFrame:
-    """Count, mean, sample deviation, minimum and maximum of every numeric column, in one pass.
+    """Count, mean, sample deviation, minimum and maximum of every numeric column.
 
-    A frame without numeric columns gives no rows.
+    Means and deviations come from sums of whole numbers, so they are the same to the last bit whatever the order of
+    rows. That takes two passes: the first, for the range of each column, is made at once. Values below 2^-89 of a
+    column's largest count as zero in its sums. A column with NaN has the mean NaN, one with infinite values of one
+    sign that infinity; neither has a deviation other than NaN. A frame without numeric columns gives no rows.
     """
     names = _numeric(df)
     if not names:
         return df.sparkSession.createDataFrame([], PROFILE_SCHEMA)
+    bounds = df.agg(*_bounds(names)).first()
     return _tidy(
-        df.agg(*_profile_aggregates(names)),
+        df.agg(*_profile_aggregates(names, bounds)).select(*_profile_columns(names, bounds)),
         [
             F.struct(
                 F.lit(name).alias("column_name"),
@@ -272,7 +357,8 @@ def full_report(df: DataFrame, name: str, keys: Sequence[str] | None = None) ->
     """All checks on a table as rows of (table_name, section, column_name, metric, value).
 
     Sections: "table" (rows, columns), "nulls", "duplicates" on ``keys`` (the first column if none are
-    given) and "numeric". Two passes: one over all columns, one over the keys. ``full_check`` returns the
+    given) and "numeric", which is that of ``numeric_profile``. Three passes: the range of numeric columns, at once, then
+    all columns and the keys. ``full_check`` returns the
     offending keys as well.
     """
     keys = list(keys or df.columns[:1])
@@ -292,7 +378,10 @@ def full_report(df: DataFrame, name: str, keys: Sequence[str] | None = None) ->
         entries.append(entry("nulls", c, "null_pct", _percent(F.col(f"n{i}"), F.col("total"))))
     for i, c in enumerate(numeric):
         entries.extend(entry("numeric", c, m, F.col(f"p{i}_{m}")) for m in PROFILE_METRICS)
-    whole = df.agg(F.count(F.lit(1)).alias("total"), *nulls, *_profile_aggregates(numeric))
+    bounds = df.agg(*_bounds(numeric)).first() if numeric else None
+    counted = [F.col("total"), *(F.col(f"n{i}") for i in range(len(nulls)))]
+    whole = df.agg(F.count(F.lit(1)).alias("total"), *nulls, *_profile_aggregates(numeric, bounds))
+    whole = whole.select(*counted, *_profile_columns(numeric, bounds))
 
     key_names = ",".join(keys)
     by_key = _tidy(

@@ -21,7 +21,7 @@ from ..operators.quality import enforce, quality_scorecard
 from ..operators.reconcile import three_way_reconciliation
 from ..operators.summary import monthly_summary
 from ..sources.scan import ingest_audit, load_ledgers
-from ..sources.sinks import refuse_overlap, write_csv, write_table
+from ..sources.sinks import next_to, publish, refuse_overlap, write_csv, write_table
 from ..sources.staging import remove, scratch_path, stage
 
 Ledgers = tuple[DataFrame, DataFrame, DataFrame]
@@ -112,22 +112,33 @@ def process(
     return scorecard, scored
 
 
+#: The tables of a run, below its output path.
+OUTPUTS = ("transaction_level", "summary", "summary_csv")
+
+
 def write_outputs(scored: DataFrame, config: JobConfig) -> tuple[DataFrame, DataFrame]:
     """Write ``transaction_level/``, ``summary/`` and ``summary_csv/``; the written transactions and summary.
 
     The summary is computed from the written transactions and the CSV from the written summary, so that
-    no step is computed twice.
+    no step is computed twice. All three are written beside the output path and take the place of the last run's together;
+    a failure on the way leaves the last run as it was.
     """
-    out, sources = config.output_path.rstrip("/"), config.source_paths
+    spark, out, sources = scored.sparkSession, config.output_path.rstrip("/"), config.source_paths
+    refuse_overlap(out, sources)
+    staged = next_to(out)
+    try:
+        transactions = write_table(scored, f"{staged}/{OUTPUTS[0]}", config.output_format, sources=sources)
+        months = monthly_summary(transactions, config.green_from, config.amber_from)
+        summary = write_table(months, f"{staged}/{OUTPUTS[1]}", config.output_format, sources=sources)
+        write_csv(summary.orderBy("period"), f"{staged}/{OUTPUTS[2]}", sources)
+        publish(spark, staged, out, OUTPUTS)
+    finally:
+        remove(spark, staged)
 
-    def written(df: DataFrame, folder: str) -> DataFrame:
-        return write_table(df, f"{out}/{folder}", config.output_format, sources=sources)
+    def published(name: str, like: DataFrame) -> DataFrame:
+        return spark.read.format(config.output_format).schema(like.schema).load(f"{out}/{name}")
 
-    transactions = written(scored, "transaction_level")
-    months = monthly_summary(transactions, config.green_from, config.amber_from)
-    summary = written(months, "summary").orderBy("period")
-    write_csv(summary, f"{out}/summary_csv", sources)
-    return transactions, summary
+    return published(OUTPUTS[0], transactions), published(OUTPUTS[1], summary).orderBy("period")
 
 
 def run(spark: SparkSession, config: JobConfig) -> JobResult:

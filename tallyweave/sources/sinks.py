@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 
 def _folder(path: str) -> str:
@@ -53,3 +54,53 @@ def write_csv(df: DataFrame, path: str, sources: Iterable[str] = (), files: int
     refuse_overlap(path, sources)
     parts = df if files is None else df.coalesce(files)
     parts.write.mode("overwrite").option("header", "true").csv(path)
+
+
+def _file_system(spark: SparkSession, path: str):
+    """The file system of a path, and a function that makes paths of it."""
+    make = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    return make(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), make
+
+
+def _move(spark: SparkSession, source: str, target: str) -> None:
+    files, path = _file_system(spark, source)
+    if not files.rename(path(source), path(target)):
+        raise OSError(f"could not move {source} to {target}")
+
+
+def next_to(target: str) -> str:
+    """A folder beside ``target``, in the same file system, that nothing has used yet."""
+    return f"{target.rstrip('/')}.next-{uuid.uuid4().hex[:12]}"
+
+
+def publish(spark: SparkSession, staged: str, target: str, names: Iterable[str]) -> None:
+    """Replace the tables ``names`` in ``target`` by those in ``staged``, all of them or none.
+
+    Everything is written before, so what happens here is renames only: the tables in place are set aside, the new ones
+    moved in, and the old ones deleted last. If a move fails, the tables that were there are put back. Other files in
+    ``target`` stay. A driver that dies between two renames leaves the old tables in a folder ``<target>.last-...``.
+    Stores without an atomic rename copy instead; there a reader may see the moment between.
+    """
+    target, names = target.rstrip("/"), list(names)
+    files, path = _file_system(spark, target)
+    aside = f"{target}.last-{uuid.uuid4().hex[:12]}"
+    files.mkdirs(path(target))
+    files.mkdirs(path(aside))
+    old: list[str] = []
+    new: list[str] = []
+    try:
+        for name in names:
+            if files.exists(path(f"{target}/{name}")):
+                _move(spark, f"{target}/{name}", f"{aside}/{name}")
+                old.append(name)
+        for name in names:
+            _move(spark, f"{staged}/{name}", f"{target}/{name}")
+            new.append(name)
+    except BaseException:
+        for name in new:
+            files.delete(path(f"{target}/{name}"), True)
+        for name in old:
+            _move(spark, f"{aside}/{name}", f"{target}/{name}")
+        files.delete(path(aside), True)
+        raise
+    files.delete(path(aside), True)

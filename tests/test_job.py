@@ -77,6 +77,44 @@ def test_second_run_replaces_the_first(spark, sources, tmp_path):
     assert again.transactions.count() == 249 and again.summary.count() == 12
 
 
+def contents(folder):
+    return {str(p.relative_to(folder)): p.read_bytes() for p in sorted(folder.rglob("*")) if p.is_file()}
+
+
+@pytest.mark.parametrize("at", ["transactions", "summary", "csv", "first move", "last move"])
+def test_a_failed_run_leaves_the_last_one_whole(spark, sources, tmp_path, monkeypatch, at):
+    from tallyweave.plans import reconciliation
+    from tallyweave.sources import sinks
+
+    out = tmp_path / "out"
+    run(spark, config(sources, out))
+    (out / "notes.txt").write_text("kept")
+    before, calls = contents(out), []
+
+    def failing(real, number):
+        def call(*args, **kwargs):
+            calls.append(args)
+            if len(calls) == number:
+                raise OSError("disk full")
+            return real(*args, **kwargs)
+
+        return call
+
+    if at in ("transactions", "summary"):
+        monkeypatch.setattr(reconciliation, "write_table", failing(sinks.write_table, 1 if at == "transactions" else 2))
+    elif at == "csv":
+        monkeypatch.setattr(reconciliation, "write_csv", failing(sinks.write_csv, 1))
+    else:
+        # Three moves set the old tables aside, three bring the new ones in.
+        monkeypatch.setattr(sinks, "_move", failing(sinks._move, 2 if at == "first move" else 6))
+    with pytest.raises(OSError, match="disk full"):
+        run(spark, config(sources, out))
+    assert contents(out) == before
+    assert [p.name for p in tmp_path.iterdir()] == ["out"]
+    monkeypatch.undo()
+    assert run(spark, config(sources, out)).summary.count() == 12 and (out / "notes.txt").read_text() == "kept"
+
+
 def test_null_amounts_stop_the_job_by_default(spark, sources, tmp_path):
     with pytest.raises(QualityError, match="'net_revenue' of Sales"):
         run(spark, config(sources, tmp_path / "out", gated_columns=2))

@@ -1,4 +1,8 @@
+import math
+import random
 from datetime import date
+from decimal import Decimal
+from fractions import Fraction
 
 import pytest
 
@@ -101,6 +105,47 @@ def test_profile(example):
     ]
 
 
+def test_profile_does_not_depend_on_the_order_of_rows(spark):
+    rng = random.Random(8)
+    columns = {
+        "plain": [rng.uniform(-1e6, 1e6) for _ in range(3000)],
+        "wide": [rng.choice([-1, 1]) * 10 ** rng.uniform(-12, 12) for _ in range(3000)],
+        "huge": [rng.uniform(1e300, 1.7e308) for _ in range(3000)],
+        "tiny": [rng.uniform(0, 1e-300) for _ in range(3000)],
+        "far": [1e9 + rng.random() for _ in range(3000)],
+        "whole": [float(rng.randrange(10**6)) for _ in range(3000)],
+        "same": [0.1] * 3000,
+    }
+    table = list(zip(*columns.values()))
+    found = set()
+    for seed in range(3):
+        random.Random(seed).shuffle(table)
+        df = spark.createDataFrame(table, ", ".join(f"{c} double" for c in columns)).repartition(seed * 3 + 1)
+        found.add((tuple(rows(numeric_profile(df))), tuple(rows(full_report(df, "t", ["whole"])))))
+    assert len(found) == 1
+    profile = {r[0]: r for r in next(iter(found))[0]}
+    for name, values in columns.items():
+        exact = [Fraction(v) for v in values]
+        mean = sum(exact) / len(exact)
+        variance = sum((v - mean) ** 2 for v in exact) / (len(exact) - 1)
+        assert profile[name][2] == pytest.approx(float(mean), rel=1e-14, abs=0), name
+        scale = Fraction(10) ** 200 if name == "tiny" else Fraction(1, 10**200) if name == "huge" else Fraction(1)
+        deviation = Fraction(math.sqrt(variance * scale * scale)) / scale
+        assert profile[name][3] == pytest.approx(float(deviation), rel=1e-9, abs=1e-15 if name == "same" else 0), name
+        assert profile[name][4:] == (min(values), max(values))
+
+
+def test_profile_of_values_that_are_no_numbers(spark):
+    nan, inf = float("nan"), float("inf")
+    table = [(1.0, nan, inf, inf, -inf, None, 7, Decimal("1.50")), (2.0, 1.0, 1.0, -inf, 3.0, None, 9, Decimal("2.50"))]
+    df = spark.createDataFrame(table, "a double, b double, c double, d double, e float, f double, g int, h decimal(10,2)")
+    got = {r[0]: r[1:4] for r in rows(numeric_profile(df))}
+    assert got["a"][:2] == (2, 1.5) and got["g"][:2] == (2, 8.0) and got["h"][:2] == (2, 2.0)
+    assert [str(got[c][1]) for c in "bcde"] == ["nan", "inf", "nan", "-inf"]
+    assert all(str(got[c][2]) == "nan" for c in "bcde")
+    assert got["f"] == (0, None, None)
+
+
 def test_scorecard(spark, example):
     card = quality_scorecard(
         example, "Sales", ["transaction_id", "customer_id"], dates=["transaction_date"],
