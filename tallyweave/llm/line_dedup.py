@@ -70,9 +70,9 @@ def lines_of(text: bytes) -> list[tuple[int, list[bytes]]]:
 
 
 def features(words: list[bytes]) -> list[bytes]:
-    """The words of four bytes or more, or all if there are none; of a very long one, as in scripts without blanks, its shingles."""
+    """The words of four bytes or more, or all if there are none; of long ones, as in scripts without blanks, their shingles."""
     out = [w for w in words if len(w) > 3] or words
-    if max(map(len, out)) > 24:
+    if len(out) < 8 and max(map(len, out)) > 24:
         out = [f for w in out for f in ([w] if len(w) <= 24 else [w[k : k + 6] for k in range(len(w) - 5)])]
     return out
 

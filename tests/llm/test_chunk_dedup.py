@@ -1,9 +1,9 @@
 import random
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import xxhash
 
-from tallyweave.llm.chunk_dedup import GEAR, Settings, cuts, gear, repeated_passages
+from tallyweave.llm.chunk_dedup import GEAR, Settings, cuts, gear, repeated_passages, without_repeated_passages, without_spans
 from tallyweave.llm.common import Scratch
 
 
@@ -32,27 +32,41 @@ def test_an_insertion_moves_boundaries_only_nearby(prose):
 
 
 def brute_force(rows, s):
+    """Passages (id, start, length, chunks, removed chunks, removed bytes) and the cut texts, of rows in their order."""
     seen = defaultdict(list)
-    for doc, text in rows:
-        data = (text or "").encode()
+    order = sorted(range(len(rows)), key=lambda k: (rows[k][0] is not None, rows[k][0] or 0, k))
+    for rank, k in enumerate(order):
+        data = (rows[k][1] or "").encode()
         ends = cuts(data, s)
         for a, b in zip([0, *ends], ends):
-            seen[xxhash.xxh3_128_digest(data[a:b])].append((doc, a, b))
-    per_doc = defaultdict(list)
+            seen[xxhash.xxh3_128_digest(data[a:b])].append((rank, a, b))
+    per_row = defaultdict(list)
     for places in seen.values():
         if len(places) > 1:
             for p in places:
-                per_doc[p[0]].append((p[1], p[2], p != min(places)))
-    out = set()
-    for doc, parts in per_doc.items():
-        run = []
+                per_row[p[0]].append((p[1], p[2], p != min(places)))
+    out, texts = [], {k: t for k, (_, t) in enumerate(rows)}
+    for rank, parts in per_row.items():
+        run, gone = [], set()
         for part in [*sorted(parts), (1 << 60, 1 << 60, False)]:
             if run and part[0] > run[-1][1]:
                 if run[-1][1] - run[0][0] >= s.passage:
-                    out.add((doc, run[0][0], run[-1][1] - run[0][0], len(run), sum(p[2] for p in run), sum(p[1] - p[0] for p in run if p[2])))
+                    out.append((rows[order[rank]][0], run[0][0], run[-1][1] - run[0][0], len(run), sum(p[2] for p in run), sum(p[1] - p[0] for p in run if p[2])))
+                    gone |= {at for p in run if p[2] for at in range(p[0], p[1])}
                 run = []
             run.append(part)
-    return out
+        # A character goes only if all of its bytes do.
+        kept, at = [], 0
+        for c in rows[order[rank]][1]:
+            size = len(c.encode())
+            if not all(k in gone for k in range(at, at + size)):
+                kept.append(c)
+            at += size
+        texts[order[rank]] = "".join(kept)
+    return Counter(out), [texts[k] for k in range(len(rows))]
+
+
+PASSAGE = ["doc_id", "start", "length", "n_chunks", "removed_chunks", "removed_bytes"]
 
 
 def test_planted_passages(spark, documents, scratch, prose):
@@ -66,12 +80,37 @@ def test_planted_passages(spark, documents, scratch, prose):
         rows.append((k, text))
     rows += [(200, None), (201, ""), (202, "short"), (203, "short"), (204, prose(9999, 30_000))]
     docs = documents(rows).withColumnRenamed("lang", "start")
-    got = [tuple(r) for r in repeated_passages(docs, scratch).collect()]
-    assert set(got) == brute_force(rows, Settings()) and len(got) == len(set(got))
+    got = Counter(tuple(r) for r in repeated_passages(docs, scratch).select(*PASSAGE).collect())
+    assert got == brute_force(rows, Settings())[0]
     caught = {r[0] for r in got}
     assert len(planted & caught) >= 0.95 * len(planted) and not caught - planted
 
 
+def test_cut_texts(documents, scratch, prose):
+    a, b, c = prose(1, 70), "é😀ü " * 60, prose(2, 90)
+    rows = [(5, a), (7, a), (7, c), (1, c + "\n" + b), (1, c + "\n" + b), (None, prose(8, 50) + a), (9, b + c), (3, None), (4, ""), (6, a + a), (8, "only")]
+    docs = documents(rows, parts=1)
+    for name, new in (("lang", "row"), ("source", "spans"), ("n_chars", "row_key")):
+        docs = docs.withColumnRenamed(name, new)
+    docs = docs.selectExpr("*", "map('a', 1) as m", "0 as n_removed")
+    passages, texts = brute_force(rows, Settings())
+    cut = without_repeated_passages(docs, scratch)
+    assert cut.columns == docs.columns
+    got = cut.collect()
+    assert Counter((r.doc_id, r.text) for r in got) == Counter((i, t) for (i, _), t in zip(rows, texts))
+    assert sum(r.n_removed for r in got) == sum(len((t or "").encode()) for _, t in rows) - sum(len((t or "").encode()) for t in texts) > 1000
+    other = Scratch(docs.sparkSession, "again")
+    assert Counter(tuple(r) for r in repeated_passages(docs, other).select(*PASSAGE).collect()) == passages
+    other.remove()
+
+
+def test_spans_leave_characters_whole():
+    text = "aé😀b".encode()
+    assert without_spans(text, [(2, 3)]).decode() == "aé😀b"
+    assert without_spans(text, [(1, 2), (3, 2)]).decode() == "a😀b"
+    assert without_spans(text, [(0, 7), (7, 1)]).decode() == ""
+
+
 def test_copies_repeated_ids_and_empty_table(spark, documents, scratch, prose):
     text = prose(3, 100)
     docs = documents([(1, text), (2, text), (None, prose(4, 50)), (3, prose(5, 50))])
