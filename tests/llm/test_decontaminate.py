@@ -105,3 +105,27 @@ def test_ids_of_other_types(spark, documents, prose):
     for kind, value in (("string", "one"), ("int", 7)):
         benchmark = spark.createDataFrame([(value, prose(1, 40))], f"item_id {kind}, text string")
         assert [tuple(r)[:2] for r in find_leaks(docs, benchmark).collect()] == [(1, value)]
+
+
+def test_quotations_of_fifteen_words_and_capitals_of_all_letters(spark, documents, prose):
+    rng = random.Random(5)
+    items = [(k, "Où " + prose(k, 18) + " ÉTÉ groß Ünal Žižek İçin " + prose(100 + k, 18)) for k in range(40)]
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    rows, want = [], set()
+    for k, item in items:
+        words = item.split()
+        at = rng.randrange(len(words) - 14)
+        part = " ".join(words[at : at + 15])
+        while len(normalised(part.encode())) < Rules().window + Rules().stride - 1:
+            part = " ".join(words[at : at + len(part.split()) + 1]) if at + len(part.split()) < len(words) else words[(at := at - 1)] + " " + part
+        rows += [(3 * k, prose(200 + k, 40) + " " + part + " " + prose(300 + k, 40)), (3 * k + 1, item.upper()), (3 * k + 2, prose(400 + k, 90))]
+        want |= {(3 * k, k), (3 * k + 1, k)}
+    got = {(r.doc_id, r.item_id) for r in find_leaks(documents(rows), benchmark).collect()}
+    assert got == want
+
+
+def test_span_holds_every_occurrence(spark, documents, prose):
+    item = prose(1, 30)
+    text = prose(2, 10) + " " + item + " " + prose(3, 200) + " " + item + " " + prose(4, 10)
+    row = find_leaks(documents([(1, text)]), spark.createDataFrame([(1, item)], "item_id long, text string")).first()
+    assert (row.span_start, row.span_end) == (len(prose(2, 10)) + 1, len(text) - len(prose(4, 10)) - 1) and row.edits == 0
