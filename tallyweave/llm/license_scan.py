@@ -16,6 +16,8 @@ from itertools import product
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallyweave.llm.common import free_name
+
 #: A word: digits, letters in lower case, everything beyond ASCII.
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 #: Phrases, their labels.
@@ -151,7 +153,36 @@ def rules() -> list[Rule]:
     return [r for family in families for r in _versioned(*family)] + _creative_commons() + _notices()
 
 
-DETECTION = "array<struct<label:string,priority:int,confidence:double,start:int,end:int,rule:int>>"
+ELEMENT = "struct<label:string,priority:int,confidence:double,start:int,end:int,rule:int>"
+DETECTION = f"array<{ELEMENT}>"
+
+
+#: Elements that a running state adds to one array before the next array begins.
+RUN = 512
+
+
+def _bound(value: Column, use) -> Column:
+    """use(value), the value being computed once however often it is used."""
+    return F.transform(F.array(value), use)[0]
+
+
+def _running(items: Column, zero: Column, kind: str, step) -> Column:
+    """One element of type `kind` for each of `items`, from a state that runs over them; step gives (next state, element).
+
+    An array grows by copying, so elements are gathered in arrays of RUN and these put together at the end.
+    """
+
+    def one(state: Column, item: Column) -> Column:
+        after, made = step(state["state"], item)
+        return F.struct(after.alias("state"), F.concat(state["out"], F.array(made)).alias("out"))
+
+    def run(state: Column, at: Column) -> Column:
+        part = F.aggregate(F.slice(items, at, F.lit(RUN)), F.struct(state["state"].alias("state"), F.array().cast(f"array<{kind}>").alias("out")), one)
+        return _bound(part, lambda p: F.struct(p["state"].alias("state"), F.concat(state["out"], F.array(p["out"])).alias("out")))
+
+    begin = F.struct(zero.alias("state"), F.array().cast(f"array<array<{kind}>>").alias("out"))
+    runs = F.when(F.size(items) > 0, F.sequence(F.lit(1), F.size(items), F.lit(RUN))).otherwise(F.array().cast("array<int>"))
+    return F.aggregate(runs, begin, run, lambda state: F.flatten(state["out"]))
 
 
 def _spans(text: Column, rule: Column) -> Column:
@@ -160,66 +191,77 @@ def _spans(text: Column, rule: Column) -> Column:
     between = F.split(text, rule["pattern"], -1)
     sizes = F.zip_with(F.slice(between, F.lit(1), F.size(found)), found, lambda b, m: F.struct(F.length(b).alias("gap"), F.length(m).alias("size")))
 
-    def add(state: Column, s: Column) -> Column:
-        start = state["at"] + s["gap"]
+    def add(at: Column, s: Column) -> tuple[Column, Column]:
+        start = at + s["gap"]
         end = start + s["size"]
-        one = F.struct(rule["label"].alias("label"), rule["priority"].alias("priority"), rule["confidence"].alias("confidence"), start.alias("start"), end.alias("end"), rule["rule"].alias("rule"))
-        return F.struct(end.alias("at"), F.concat(state["out"], F.array(one)).alias("out"))
+        return end, F.struct(rule["label"].alias("label"), rule["priority"].alias("priority"), rule["confidence"].alias("confidence"), start.alias("start"), end.alias("end"), rule["rule"].alias("rule"))
 
-    return F.aggregate(sizes, F.struct(F.lit(0).alias("at"), F.array().cast(DETECTION).alias("out")), add, lambda state: state["out"])
+    return _bound(sizes, lambda held: _running(held, F.lit(0), ELEMENT, add))
 
 
-def _suppressed(found: Column) -> Column:
-    """Detections that lie in no other of the same or a higher priority; of equal ones the first rule's."""
+def _suppressed(found: Column, priorities: list[int]) -> Column:
+    """Detections that lie in no other of the same or a higher priority, by rule and place; of equal ones the first rule's.
+
+    In the order of (start, longest, highest priority, first rule) whatever hides a detection stands before it. So one
+    sweep suffices that remembers, for each priority, how far the detections of that or a higher one have reached.
+    """
+    key = F.transform(found, lambda d: F.struct(d["start"].alias("start"), (-d["end"]).alias("back"), (-d["priority"]).alias("below"), d["rule"].alias("rule"), d.alias("detection")))
+    ordered = F.transform(F.array_sort(key), lambda k: k["detection"])
+
+    levels = F.array(*[F.lit(p) for p in priorities])
 
-    def hides(o: Column, d: Column) -> Column:
-        inside = (o["start"] <= d["start"]) & (o["end"] >= d["end"]) & (o["priority"] >= d["priority"])
-        larger = (o["end"] - o["start"] > d["end"] - d["start"]) | (o["priority"] > d["priority"]) | (o["rule"] < d["rule"])
-        return inside & larger
+    def sweep(reach: Column, d: Column) -> tuple[Column, Column]:
+        level = F.array_position(levels, d["priority"]).cast("int")
+        after = F.transform(reach, lambda r, i: F.when(i < level, F.greatest(r, d["end"])).otherwise(r))
+        return after, F.when(F.get(reach, level - 1) < d["end"], d)
 
-    return F.filter(found, lambda d: ~F.exists(found, lambda o: hides(o, d)))
+    kept = _bound(ordered, lambda held: F.array_compact(_running(held, F.array(*[F.lit(-1) for _ in priorities]), ELEMENT, sweep)))
+    by_rule = F.array_sort(F.transform(kept, lambda d: F.struct(d["rule"].alias("rule"), d["start"].alias("start"), d.alias("detection"))))
+    return F.transform(by_rule, lambda k: k["detection"])
 
 
 def scan_licenses(docs: DataFrame, text_column: str = "text", ordered: list[Rule] | None = None) -> DataFrame:
     """`docs` with n_words, base (struct of label, start word), detections, n_base, first_word, last_word, base_labels, labels, score.
 
-    A-Z count as lower case. Null texts are taken as empty: no words, no labels, score 0. All rows and the other
-    columns stay as they are; columns of the names above are replaced. The score is the greatest confidence of what was
-    found. Suppression compares the detections of a text with each other.
+    A-Z count as lower case. Null texts are taken as empty: no words, no labels, score 0. All rows, repeated ones too, and the other
+    columns stay as they are, whatever their names; columns of the names above are replaced. The score is the greatest
+    confidence of what was found. Detections are in the order of the rules, then of their places. A long text costs time in proportion to its length and
+    detections. An empty table gives an empty one.
     """
     ordered = rules() if ordered is None else ordered
+    held_text, even_name, held_name, found_name, words_name = (free_name(docs, n) for n in ("_text", "_even", "_held", "_found", "_words"))
     text = F.translate(F.coalesce(docs[text_column], F.lit("")), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-    out = docs.withColumn("_text", text)
-    text = F.col("_text")
+    out = docs.withColumn(held_text, text)
+    text = F.col(held_text)
     keywords = sorted({r.keyword for r in ordered})
     table = F.array(*[F.struct(F.lit(r.keyword).alias("keyword"), F.lit(r.label).alias("label"), F.lit(r.pattern).alias("pattern"), F.lit(r.priority).alias("priority"), F.lit(r.confidence).alias("confidence"), F.lit(k).alias("rule")) for k, r in enumerate(ordered)])
     # Patterns allow any blanks between words, keywords one.
-    out = out.withColumn("_even", F.regexp_replace(text, r"[\t-\r]\s*| \s+", " "))
-    held = F.array_compact(F.array(*[F.when(F.contains(F.col("_even"), F.lit(k)), F.lit(k)) for k in keywords]))
-    out = out.withColumn("_held", held)
-    applied = F.filter(table, lambda r: F.array_contains(F.col("_held"), r["keyword"]))
+    out = out.withColumn(even_name, F.regexp_replace(text, r"[\t-\r]\s*| \s+", " "))
+    held = F.array_compact(F.array(*[F.when(F.contains(F.col(even_name), F.lit(k)), F.lit(k)) for k in keywords]))
+    out = out.withColumn(held_name, held)
+    applied = F.filter(table, lambda r: F.array_contains(F.col(held_name), r["keyword"]))
     found = F.flatten(F.transform(applied, lambda r: _spans(text, r)))
-    out = out.withColumn("_found", F.when(F.size("_held") > 0, found).otherwise(F.array().cast(DETECTION)))
-    out = out.withColumn("detections", F.when(F.size("_found") > 1, _suppressed(F.col("_found"))).otherwise(F.col("_found")))
+    out = out.withColumn(found_name, F.when(F.size(held_name) > 0, found).otherwise(F.array().cast(DETECTION)))
+    out = out.withColumn("detections", F.when(F.size(found_name) > 1, _suppressed(F.col(found_name), sorted({r.priority for r in ordered}))).otherwise(F.col(found_name)))
 
     words = F.regexp_extract_all(text, F.lit(f"({WORD})"), F.lit(1))
     last = sorted({phrase[-1] for phrase in BASE})
     named = F.lit(False)
     for word in last:
         named = named | F.contains(text, F.lit(word))
-    out = out.withColumn("_words", F.when(named, words))
+    out = out.withColumn(words_name, F.when(named, words))
 
     def phrase_at(i: Column) -> Column:
         hit = F.lit(None).cast("struct<label:string,start:long>")
         for phrase, label in BASE.items():
             same = F.lit(True)
             for k, word in enumerate(phrase):
-                same = same & (F.get(F.col("_words"), i + k) == word)
+                same = same & (F.get(F.col(words_name), i + k) == word)
             hit = F.when(same, F.struct(F.lit(label).alias("label"), i.cast("long").alias("start"))).otherwise(hit)
         return hit
 
-    places = F.filter(F.transform(F.sequence(F.lit(0), F.size("_words") - 1), phrase_at), lambda h: h.isNotNull())
-    out = out.withColumn("base", F.when(F.coalesce(F.size("_words"), F.lit(0)) > 0, places).otherwise(F.array().cast("array<struct<label:string,start:long>>")))
+    places = F.filter(F.transform(F.sequence(F.lit(0), F.size(words_name) - 1), phrase_at), lambda h: h.isNotNull())
+    out = out.withColumn("base", F.when(F.coalesce(F.size(words_name), F.lit(0)) > 0, places).otherwise(F.array().cast("array<struct<label:string,start:long>>")))
     base_labels = F.array_sort(F.array_distinct(F.col("base.label")))
     every = F.array_sort(F.array_union(base_labels, F.col("detections.label")))
     confidence = F.array_max(F.concat(F.array(F.when(F.size("base") > 0, F.lit(BASE_CONFIDENCE)).otherwise(F.lit(0.0))), F.col("detections.confidence")))
@@ -234,4 +276,4 @@ def scan_licenses(docs: DataFrame, text_column: str = "text", ordered: list[Rule
             "score": confidence,
         }
     )
-    return out.drop("_text", "_even", "_held", "_found", "_words")
+    return out.drop(held_text, even_name, held_name, found_name, words_name)

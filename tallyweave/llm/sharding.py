@@ -6,7 +6,7 @@ rows are laid out by that fraction. Any stretch of that order holds every source
 equal stretches gives shards that match the mixture to within a row per source.
 
 Both orders are global, but no source and no stretch is ever gathered in one task: rows are counted in
-cells (of the hash, then of the fraction), cells are added up, and only within a cell are rows numbered.
+cells (of the hash, then of the fraction), cells are added up in blocks and blocks after them, and only within a cell are rows numbered.
 """
 
 from __future__ import annotations
@@ -18,18 +18,23 @@ from tallyweave.llm.common import Scratch
 
 #: Rows in a cell, about.
 CELL_ROWS = 1000
+#: Cells in a block. One task adds up the blocks of a group: a row for each 10^6 rows of the table.
+BLOCK_CELLS = 1000
 
 
 def _numbered(rows: DataFrame, group: list[str], cell: str, order: list[str], as_name: str) -> DataFrame:
     """Add the 0-based place of each row of its group by (cell, order), and the group's size."""
-    counts = rows.groupBy(*group, cell).agg(F.count("*").alias("_in_cell"))
-    whole = Window.partitionBy(*group)
-    cells = counts.select(
+    counts = rows.groupBy(*group, cell).agg(F.count("*").alias("_in_cell")).withColumn("_block", F.expr(f"{cell} div {BLOCK_CELLS}"))
+    whole, block = Window.partitionBy(*group), Window.partitionBy(*group, "_block")
+    blocks = counts.groupBy(*group, "_block").agg(F.sum("_in_cell").alias("_in_block"))
+    blocks = blocks.select(
         *group,
-        cell,
-        (F.sum("_in_cell").over(whole.orderBy(cell)) - F.col("_in_cell")).alias("_before"),
-        F.sum("_in_cell").over(whole).alias(f"{as_name}_of"),
+        "_block",
+        (F.sum("_in_block").over(whole.orderBy("_block")) - F.col("_in_block")).alias("_before_block"),
+        F.sum("_in_block").over(whole).alias(f"{as_name}_of"),
     )
+    counts = counts.withColumn("_before_cell", F.sum("_in_cell").over(block.orderBy(cell)) - F.col("_in_cell"))
+    cells = counts.join(blocks, [*group, "_block"]).select(*group, cell, (F.col("_before_block") + F.col("_before_cell")).alias("_before"), f"{as_name}_of")
     keys = [*group, cell]
     placed = rows.withColumn("_in", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
     return placed.join(cells, keys).withColumn(as_name, F.col("_before") + F.col("_in") - 1).drop("_in", "_before")
@@ -40,7 +45,7 @@ def interleave(rows: DataFrame, source: Column, row_id: Column, shards: int, scr
 
     Shards differ by one row at most, and in every source by one row per neighbour. A null source is a source of
     its own. Repeated rows, ties and null ids each get a place: ties are broken by the id and then by the row's
-    content, so equal rows are interchangeable. With fewer rows than shards some shards stay empty; an
+    content, so equal rows are interchangeable. Null, empty and long texts are carried as they are; a long text costs two writes of it. With fewer rows than shards some shards stay empty; an
     empty table gives an empty one. Existing columns shard or slot are replaced.
     """
     rows = rows.drop("shard", "slot")

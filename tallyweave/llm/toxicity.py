@@ -131,16 +131,22 @@ def train(docs: DataFrame, labels: DataFrame, categories: dict[str, Column], scr
     """`categories`: in the chain's order, a name and a boolean of `labels` columns for each.
 
     Rows whose category is null, whose id is null or that have no document are not used. Several labels of a
-    document, and several documents of an id, each make a row. Without usable rows all probabilities are the same
+    document, and several documents of an id, each make a row, up to sample_rows in all. Null and empty texts are
+    rows without features; a long text costs time in proportion. Without usable rows all probabilities are the same
     and below a half.
     """
     names = list(categories)
     sample = labels.select(labels[id_column].alias("id"), *[c.cast("int").alias(f"y{k}") for k, c in enumerate(categories.values())]).dropna()
     sample = sample.orderBy(F.xxhash64("id"), *sample.columns).limit(settings.sample_rows)
     rows = docs.select(docs[id_column].alias("id"), F.coalesce(docs[text_column], F.lit("")).alias("text"))
-    # The sample's ids are bounded by sample_rows.
-    sample = scratch.write(rows.join(F.broadcast(sample), "id"), "sample")
     label = [f"y{k}" for k in range(len(names))]
+    # The sample's ids are bounded by sample_rows, the documents of an id are not: rows beyond that number go, in the order of a hash.
+    mark = F.xxhash64("id", *label, "text").alias("mark")
+    sample = scratch.write(rows.join(F.broadcast(sample), "id").select("*", mark, F.monotonically_increasing_id().alias("row")), "sample")
+    last = sample.select("mark", "row").orderBy("mark", "row").limit(settings.sample_rows).agg(F.max(F.struct("mark", "row")).alias("m")).select("m.*").first()
+    if last["mark"] is not None:
+        sample = sample.where((F.col("mark") < last["mark"]) | (F.col("mark") == last["mark"]) & (F.col("row") <= last["row"]))
+    sample = sample.drop("mark", "row")
 
     def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = [Counter() for _ in range(len(label) + 1)]

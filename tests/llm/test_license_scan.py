@@ -71,6 +71,19 @@ def test_same_as_plain_patterns(spark, documents):
         assert got == want, TEXTS[r.doc_id][:80] if TEXTS[r.doc_id] else TEXTS[r.doc_id]
 
 
+def test_dense_texts_and_own_columns_of_any_name(spark, documents):
+    rng, ordered = random.Random(9), rules()
+    parts = [t for t in TEXTS[3:18] if len(t) < 200] + ["apache", "gpl-2.0+", "version 2", "mit", "\n", "or later", "public license"]
+    texts = [" ".join(rng.choice(parts) for _ in range(n)) for n in (30, 200, 1500)]  # the last has more than RUN detections
+    docs = documents(list(enumerate(texts))).withColumns({n: F.lit(n) for n in ("_text", "_even", "_held", "_found", "_words")})
+    for r in scan_licenses(docs).collect():
+        want = plain(texts[r.doc_id], ordered)
+        assert [(d.label, d.start, d.end) for d in sorted(r.detections, key=lambda d: (d.label, d.start, d.end))] == want["spans"]
+        assert r.labels == want["labels"] and r._text == "_text" and r._even == "_even" and r._held == "_held" and r._found == "_found" and r._words == "_words"
+        assert [(d.rule, d.start) for d in r.detections] == sorted((d.rule, d.start) for d in r.detections)
+    assert len(want["spans"]) > 1024
+
+
 def test_what_is_known_of_the_labels(spark, documents):
     labels = {r.doc_id: r.labels for r in scan_licenses(documents(list(enumerate(TEXTS)))).collect()}
     assert labels[3] == "mit" and labels[5] == "gpl,gpl-3.0" and labels[6] == "gpl,gpl-2.0-or-later" and labels[7] == "apache,apache-2.0"

@@ -1,5 +1,6 @@
 from collections import Counter
 
+import pytest
 from pyspark.sql import functions as F
 
 from tallyweave.llm.sharding import interleave
@@ -33,6 +34,37 @@ def test_the_same_rows_give_the_same_places(spark, documents, tmp_path, scratch)
     again.remove()
 
 
+def in_plain_python(rows, shards):
+    """shard and slot of distinct rows (id, source, hash, u): ranks within sources, fractions, cuts."""
+    laid = []
+    for source in {r[1] for r in rows}:
+        group = sorted((r[2], str(r[0])) for r in rows if r[1] == source)
+        u = next(r[3] for r in rows if r[1] == source)
+        laid += [(((k << 20) + u) * 10**18 // (len(group) << 20), source or "", source is None, i) for k, (_, i) in enumerate(group)]
+    out, n = {}, len(rows)
+    for place, (_, _, _, i) in enumerate(sorted(laid)):
+        shard = place * shards // n
+        out[int(i)] = (shard, place - -(-shard * n // shards))
+    return out
+
+
+@pytest.mark.parametrize("cell_rows, block_cells", [(1000, 1000), (5, 3)])
+def test_places_are_those_of_plain_python(documents, scratch, monkeypatch, cell_rows, block_cells):
+    from tallyweave.llm import sharding
+
+    monkeypatch.setattr(sharding, "CELL_ROWS", cell_rows)
+    monkeypatch.setattr(sharding, "BLOCK_CELLS", block_cells)
+    docs = documents([(k, f"t{k}", ["hot", "hot", "b", None, f"s{k % 11}"][k % 5]) for k in range(300)])
+    whole = F.struct(*[docs[c] for c in docs.columns])
+    name, none = F.coalesce("source", F.lit("")), F.col("source").isNull()
+    hashes = F.xxhash64(F.col("doc_id").cast("string"), F.lit(17), whole)
+    cells = max(1, -(-300 // cell_rows))
+    # Rows are ranked by cell of the hash, then by hash.
+    keyed = docs.select("doc_id", "source", (F.shiftrightunsigned(hashes, 33) % cells).alias("cell"), hashes.alias("hash"), F.shiftrightunsigned(F.xxhash64(name, none, F.lit(17)), 44).alias("u"))
+    want = in_plain_python([(r.doc_id, r.source, (r.cell, r.hash), r.u) for r in keyed.collect()], 7)
+    assert {r.doc_id: (r.shard, r.slot) for r in placed(docs, scratch, 7)} == want
+
+
 def test_nulls_repeats_few_rows_and_names(documents, scratch, spark):
     docs = documents([(None, None, None)] * 3 + [(5, "x", "s")] * 2).withColumnRenamed("lang", "shard")
     rows = placed(docs, scratch, 40)

@@ -90,3 +90,36 @@ def test_features_and_rows_agree(prose):
     chosen = sorted(features(text))
     assert Vector(chosen).row(text)[:-3].all() and not Vector([b"other", b"othe*"]).row(text)[:-3].any()
     assert logistic(np.zeros((0, 2)), np.zeros(0), 0.1).shape == (3,)
+
+
+def test_an_id_of_many_documents_does_not_pass_the_bound(spark, documents, scratch, prose, monkeypatch):
+    from tallyweave.llm import toxicity
+
+    rows, labels = corpus(prose, 100, 4)
+    rows += [(7, f"{prose(9, 3)} {k}") for k in range(200)] + [(7, "the same")] * 100
+    seen = []
+    monkeypatch.setattr(toxicity, "fit_chain", lambda names, chosen, x, y, folds, l2: seen.append(len(x)) or fit_chain(names, chosen, x, y, folds, l2))
+    train(documents(rows), spark.createDataFrame(labels, "doc_id long, quality int, toxic int"), categories(), scratch, Settings(sample_rows=120))
+    again = Scratch(spark, "tox")
+    train(documents(rows[:100]), spark.createDataFrame(labels, "doc_id long, quality int, toxic int"), categories(), again, Settings(sample_rows=120))
+    again.remove()
+    assert seen == [120, 100]
+
+
+def test_chain_is_that_of_a_plain_loop():
+    rng = np.random.default_rng(6)
+    x, folds, l2 = rng.normal(size=(60, 4)), 3, 0.2
+    y = (x[:, :3] + rng.normal(size=(60, 3)) > 0).astype(float)
+
+    unseen = []  # out-of-fold probabilities, category by category
+    for k in range(3):
+        inputs = [[*x[i], *(unseen[j][i] for j in range(k))] for i in range(60)]
+        w = logistic(np.array(inputs), y[:, k], l2)
+        assert np.allclose(fit_chain(list("abc"), [], x, y, folds, l2).weights[k], w)
+        column = [0.0] * 60
+        for f in range(folds):
+            rest = [i for i in range(60) if i % folds != f]
+            part = logistic(np.array([inputs[i] for i in rest]), y[rest, k], l2)
+            for i in range(f, 60, folds):
+                column[i] = 1 / (1 + np.exp(-(sum(a * b for a, b in zip(inputs[i], part)) + part[-1])))
+        unseen.append(column)
