@@ -31,6 +31,8 @@ Q = 8
 BLOCK_BYTES = 4_000_000
 #: Bytes of documents that are scanned at once.
 SCAN_BYTES = 2_000_000
+#: Bytes of stretches that may hold a match whose q-grams are looked up at once, about.
+STRETCH_BYTES = 50_000
 SPREAD = np.uint64(0x9E3779B97F4A7C15)
 
 KEPT = set(b"0123456789abcdefghijklmnopqrstuvwxyz") | set(range(128, 256))
@@ -183,8 +185,16 @@ def _scan(documents: list[bytes], begin: int, end: int, index: Index, found: dic
     gap = np.nonzero(np.diff(dense) > reach)[0]
     lows, highs = dense[np.append(0, gap + 1)], dense[np.append(gap, len(dense) - 1)] + reach
     places = np.nonzero(hit)[0]
-    a, b = np.searchsorted(places, lows), np.searchsorted(places, highs)
-    places = places[_ranges(a, b)]
+    starts = np.cumsum([0] + [len(d) + 1 for d in documents[begin:end]])
+    exact: dict[tuple[int, int], list[int]] = defaultdict(list)  # places of windows found without edits: a band over one needs no second look
+    # The q-grams of a match lie in one stretch, so stretches can be looked at one after the other.
+    group = np.cumsum(highs - lows) // STRETCH_BYTES
+    for part in np.split(np.arange(len(lows)), np.nonzero(np.diff(group))[0] + 1):
+        a, b = np.searchsorted(places, lows[part]), np.searchsorted(places, highs[part])
+        _verify(documents, begin, end, text, places[_ranges(a, b)], starts, exact, index, found)
+
+
+def _verify(documents: list[bytes], begin: int, end: int, text: bytes, places: np.ndarray, starts: np.ndarray, exact: dict, index: Index, found: dict) -> None:
     bytes_ = np.frombuffer(text, np.uint8)
     codes = np.zeros(len(places), np.uint64)
     for k in range(Q):
@@ -203,8 +213,6 @@ def _scan(documents: list[bytes], begin: int, end: int, index: Index, found: dic
     keys, count = np.unique(keys, return_counts=True)
     owner, band = keys // span, keys % span - 1 - index.reach
     enough = count >= index.need[owner]
-    starts = np.cumsum([0] + [len(d) + 1 for d in documents[begin:end]])
-    exact: dict[tuple[int, int], list[int]] = defaultdict(list)  # places of windows found without edits: a band over one needs no second look
     for w, low in zip(owner[enough].tolist(), (band[enough] * index.step[owner[enough]]).tolist()):
         e = index.errors[w]
         high = low + 2 * e + 1
