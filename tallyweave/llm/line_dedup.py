@@ -2,7 +2,7 @@
 
 1. Lines are normalised. Each gets a digest; equal digests become one line. A line too short for the edit similarity to allow
    an edit can only be equal to another and goes no further.
-2. The others get a SimHash of their longer words, 320 bits in 20 blocks. Lines that agree in a block, as by the pigeonhole
+2. The others get a SimHash of their longer words, 320 bits in 20 blocks, in the same pass. Distinct lines that agree in a block, as by the pigeonhole
    principle all within 19 bits do and most within 50, and whose lengths allow the similarity, are compared by the first
    128 bits. Entries are dealt out by (block, value), packed by the sending task; a bucket of a very common value is cut
    into tiles, each a task of its own. Each task returns a forest of its links, not all pairs.
@@ -38,6 +38,8 @@ CHUNK = 1000
 TILE = 2_000_000
 #: Blocks of 16 bits in a SimHash.
 BLOCKS = 20
+#: Columns of 64 bits that hold them.
+LANES = ("point", "more", "third", "fourth", "fifth")
 #: Bytes of packed entries that one task compares, about; entries of a bucket that isn't cut into tiles.
 PART_BYTES = 16 << 20
 HOT = 20_000
@@ -171,21 +173,21 @@ def _in_portions(batch: pa.RecordBatch, size: int = 2_000_000) -> Iterator[list[
 
 
 def line_table(docs: DataFrame, rules: Rules, kind: str) -> DataFrame:
-    """(doc, key, line, digest, point, more) of every line of (doc, key, text); no point if the line can only be equal to another.
+    """(doc, key, line, digest, length and the SimHash in LANES) of every line of (doc, key, text).
 
-    point and more are the first 128 bits of the SimHash; lines are grouped by the first half.
+    No SimHash if the line can only be equal to another. Lines are grouped by the first 64 bits.
     """
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashed = SimHashes(2)
+        hashed = SimHashes(len(LANES))
         for batch in batches:
             for portion in _in_portions(batch):
                 plain = [b" ".join(words) for _, _, words in portion]
-                fuzzy = [k for k, line in enumerate(plain) if rules.may_be_edited(len(line))]
-                points = np.zeros((len(plain), 2), np.int64)
-                points[fuzzy] = hashed([portion[k][2] for k in fuzzy]).view(np.int64)
-                exact = np.ones(len(plain), bool)
-                exact[fuzzy] = False
+                fuzzy = {line: words for line, (_, _, words) in zip(plain, portion) if rules.may_be_edited(len(line))}
+                place = {line: k for k, line in enumerate(fuzzy)}
+                at = np.fromiter((place.get(line, len(place)) for line in plain), np.int64, len(plain))
+                lanes = np.concatenate([hashed(list(fuzzy.values())), np.zeros((1, len(LANES)), np.uint64)])[at].view(np.int64)
+                exact = at == len(place)
                 rows = pa.array([r for r, _, _ in portion], pa.int64())
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -193,13 +195,13 @@ def line_table(docs: DataFrame, rules: Rules, kind: str) -> DataFrame:
                         batch.column(1).take(rows),
                         pa.array([n for _, n, _ in portion], pa.int32()),
                         pa.array([xxhash.xxh3_128_digest(line) for line in plain], pa.binary()),
-                        pa.array(points[:, 0], pa.int64(), mask=exact),
-                        pa.array(points[:, 1], pa.int64(), mask=exact),
+                        pa.array([len(line) for line in plain], pa.int32()),
+                        *(pa.array(lanes[:, k], pa.int64(), mask=exact) for k in range(len(LANES))),
                     ],
-                    names=["doc", "key", "line", "digest", "point", "more"],
+                    names=["doc", "key", "line", "digest", "length", *LANES],
                 )
 
-    return docs.select("doc", "key", "text").mapInArrow(cut, f"doc {kind}, key long, line int, digest binary, point long, more long")
+    return docs.select("doc", "key", "text").mapInArrow(cut, f"doc {kind}, key long, line int, digest binary, length int, {', '.join(f'{c} long' for c in LANES)}")
 
 
 # An entry is a bucket (block and value), a length class in its lowest bits, and the first 128 bits.
@@ -211,29 +213,21 @@ def _length_class(length: np.ndarray, similarity: float) -> np.ndarray:
     return np.minimum(np.log(length) / -math.log(similarity) * STEPS, (1 << CLASS_BITS) - 2 * STEPS).astype(np.uint32)
 
 
-def _portions_hashed(batches: Iterator[pa.RecordBatch], rules: Rules) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """(SimHashes, length classes) of the distinct lines of each portion that an edit may leave similar."""
-    hashed = SimHashes(-(-BLOCKS // 4))
-    for batch in batches:
-        for portion in _in_portions(batch):
-            lines = {b" ".join(words): words for _, _, words in portion}
-            lines = {line: words for line, words in lines.items() if rules.may_be_edited(len(line))}
-            if lines:
-                length = np.fromiter(map(len, lines), np.int64, len(lines))
-                yield hashed(list(lines.values())), _length_class(length, rules.similarity)
-
-
 def _buckets(hashes: np.ndarray) -> np.ndarray:
     """(blocks, lines): the bucket of each block's value."""
     values = hashes.view("<u2").reshape(len(hashes), -1)[:, :BLOCKS]
     return (values.astype(np.uint32) + (np.arange(BLOCKS, dtype=np.uint32) << np.uint32(16))).T
 
 
-def point_links(docs: DataFrame, rules: Rules, parts: int, scratch: Scratch, hot: int = HOT) -> DataFrame:
-    """Links (a, b) between the first 64 bits of lines of (text) that agree in a block, and are of like length and near enough."""
+def point_links(lines: DataFrame, rules: Rules, parts: int, scratch: Scratch, hot: int = HOT) -> DataFrame:
+    """Links (a, b) between the first 64 bits of distinct lines (length, LANES) that agree in a block, and are of like length and near enough."""
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for hashes, length in _portions_hashed(batches, rules):
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            length = _length_class(batch.column(0).to_numpy(), rules.similarity)
+            hashes = np.column_stack([c.to_numpy().view(np.uint64) for c in batch.columns[1:]])
             entries = np.empty((BLOCKS, len(hashes)), ENTRY)
             buckets = _buckets(hashes)
             entries["code"] = buckets << np.uint32(CLASS_BITS) | length
@@ -247,7 +241,7 @@ def point_links(docs: DataFrame, rules: Rules, parts: int, scratch: Scratch, hot
             )
 
     def compare(table: pa.Table) -> pa.Table:
-        entries = np.unique(np.frombuffer(b"".join(table.column("packed").to_pylist()), ENTRY))
+        entries = _ordered(np.frombuffer(b"".join(table.column("packed").to_pylist()), ENTRY))
         bucket = entries["code"] >> CLASS_BITS
         begin = np.concatenate(([0], np.nonzero(np.diff(bucket))[0] + 1, [len(entries)]))
         large = np.nonzero(np.diff(begin) > hot)[0].tolist()
@@ -272,12 +266,19 @@ def point_links(docs: DataFrame, rules: Rules, parts: int, scratch: Scratch, hot
                 a, b = _forest(both, rules.distance)
                 yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
 
-    dealt = docs.select("text").mapInArrow(deal, "part int, packed binary")
+    dealt = lines.where("point is not null").select("length", *LANES).mapInArrow(deal, "part int, packed binary")
     compared = scratch.write(dealt.groupBy("part").applyInArrow(compare, "a long, b long, left binary, right binary"), "compared")
     tiles = compared.where("left is not null").select("left", "right").repartition(F.xxhash64("left", "right"))
     return compared.where("left is null").select("a", "b").union(tiles.mapInArrow(compare_tiles, "a long, b long"))
 
 
+def _ordered(entries: np.ndarray) -> np.ndarray:
+    """Entries by code; of equal ones that come to stand together one is left, as lines of the same words can be very many."""
+    code = entries["code"].astype(np.uint64)
+    entries = entries[np.argsort(code << np.uint64(32) | entries["point"] >> np.uint64(32))]
+    return entries[np.append(True, (entries["code"][1:] != entries["code"][:-1]) | (entries["point"][1:] != entries["point"][:-1]) | (entries["more"][1:] != entries["more"][:-1]))]
+
+
 def _forest(entries: np.ndarray, distance: int) -> tuple[np.ndarray, np.ndarray]:
     """A forest (a, b) of the links between sorted entries of one bucket that are of like length and within the distance."""
     code, point, more = entries["code"].astype(np.int64), np.ascontiguousarray(entries["point"]), np.ascontiguousarray(entries["more"])
@@ -466,12 +467,12 @@ def _fetch(docs: DataFrame, wanted: DataFrame) -> DataFrame:
 def _repeated(docs: DataFrame, scratch: Scratch, rules: Rules) -> DataFrame:
     """(doc, key, line, keep) of rows (doc, key, text): every line that goes, and the place (doc, key, line) of the one that stays."""
     lines = scratch.write(line_table(docs, rules, docs.schema["doc"].dataType.simpleString()), "lines")
-    distinct = lines.groupBy("digest").agg(F.min(F.struct("doc", "key", "line")).alias("first"), F.max("point").alias("point"), F.max("more").alias("more"), F.count("*").alias("times"))
+    distinct = lines.groupBy("digest").agg(F.min(F.struct("doc", "key", "line")).alias("first"), F.count("*").alias("times"), *(F.max(c).alias(c) for c in ("length", *LANES)))
     distinct = scratch.write(distinct, "distinct")
     points = distinct.where("point is not null").groupBy("point").agg(F.count("*").alias("texts"))
     fuzzy = points.agg(F.coalesce(F.sum("texts"), F.lit(0))).first()[0]
     parts = max(1, fuzzy * BLOCKS * ENTRY.itemsize // PART_BYTES)
-    linked = components(point_links(docs, rules, parts, scratch), scratch, "points")
+    linked = components(point_links(distinct, rules, parts, scratch), scratch, "points")
     alike = points.join(linked.withColumnRenamed("node", "point"), "point", "left").where("component is not null or texts > 1")
     alike = alike.select("point", F.coalesce("component", "point").alias("component"))
     wanted = distinct.join(alike, "point").select("component", "digest", "point", "more", "first.key", "first.line")

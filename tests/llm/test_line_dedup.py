@@ -5,11 +5,12 @@ import numpy as np
 import xxhash
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from tallyweave.llm import line_dedup
 from tallyweave.llm.common import Scratch, bit_counts
 from tallyweave.llm.components import components
-from tallyweave.llm.line_dedup import Rules, edits, features, lines_of, point_links, repeated_lines, similar, simhashes, verified_links, wavefront_edits, without_repeated_lines
+from tallyweave.llm.line_dedup import Rules, edits, features, line_table, lines_of, point_links, repeated_lines, similar, simhashes, verified_links, wavefront_edits, without_repeated_lines
 
 
 def table_distance(a, b):
@@ -173,10 +174,12 @@ def test_long_lines(prose):
 def test_buckets_in_tiles_give_the_same_groups(spark, documents, prose):
     base = [prose(k, 40) for k in range(4)]
     rows = [(k, " ".join(w if i != k % 37 else f"word{k}" for i, w in enumerate(base[k % 4].split()))) for k in range(300)]
+    table = documents(rows).select(F.col("doc_id").alias("doc"), F.col("doc_id").alias("key"), "text")
+    lines = line_table(table, Rules(), table.schema["doc"].dataType.simpleString())
     groups = []
     for hot in (20_000, 15):
         work = Scratch(spark, f"hot{hot}")
-        links = point_links(documents(rows), Rules(), 3, work, hot)
+        links = point_links(lines, Rules(), 3, work, hot)
         groups.append({r.node: r.component for r in components(links, work, "g").collect()})
         work.remove()
     assert groups[0] == groups[1] and len(groups[0]) > 100
