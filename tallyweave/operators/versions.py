@@ -19,6 +19,8 @@ from ..sources.staging import broadcast_if_small, stage
 _ENTRY, _SLICE, _HOT, _COUNT, _BEFORE, _RANK = (
     "__entry", "__slice", "__hot", "__count", "__before", "__rank"
 )
+# Slices that follow the limit alone, and rows that make a further slice worth a task.
+FEW_SLICES, SLICE_ROWS = 64, 100_000
 
 
 def newest_first(version: str, tiebreak: Sequence[str] = ()) -> list[Column]:
@@ -68,7 +70,8 @@ def number_versions(
     larger key would keep one task busy with all its rows, so such keys go another way: their rows are
     range-partitioned by key and order, numbered within each slice, and moved up by the rows of the same
     key in earlier slices. That holds for groups of identical rows too. Both ways sort alike, so the numbers
-    do not depend on the limit. The number of large keys is at most the row count divided by the limit.
+    do not depend on the limit. The number of large keys is at most the row count divided by the limit. Slices beyond
+    ``FEW_SLICES`` take ``SLICE_ROWS`` rows or more, as tasks of a few rows cost more than their rows.
     """
     df = stage(df, "unnumbered", folder)
     total = _total(df, order)
@@ -83,7 +86,9 @@ def number_versions(
     marked = _lookup(df, broadcast_if_small(hot), keys)
     small = marked.filter(F.col(_HOT).isNull()).drop(_HOT)
     large = marked.filter(F.col(_HOT)).drop(_HOT)
-    slices = ceil(hot_rows / max(max_group_rows, 1))
+    slices = min(
+        ceil(hot_rows / max(max_group_rows, 1)), max(FEW_SLICES, ceil(hot_rows / SLICE_ROWS))
+    )
     return small.withColumn(name, rank).unionByName(
         _number_in_slices(large, keys, total, name, slices, folder)
     )

@@ -89,6 +89,22 @@ def test_large_groups_are_spread_over_slices(spark, skewed):
     assert largest <= 100
 
 
+def test_slices_follow_the_rows_and_not_a_small_limit(spark):
+    from tallyweave.operators import versions
+
+    df = spark.range(3000).selectExpr("'k' || id % 1000 id", "id modified")
+    seen = []
+    original = versions.stage
+    try:
+        versions.stage = lambda frame, label, folder=None: seen.append((label, original(frame, label))) or seen[-1][1]
+        numbered = number_versions(df, ["id"], newest_first("modified"), max_group_rows=1).collect()
+    finally:
+        versions.stage = original
+    (sliced,) = [frame for label, frame in seen if label == "versions"]
+    assert 1 < sliced.select("__slice").distinct().count() <= versions.FEW_SLICES
+    assert {(r["modified"], r["rn"]) for r in numbered} == {(m, 3 - m // 1000) for m in range(3000)}
+
+
 @pytest.mark.parametrize("kind", ["string", "map<string,int>", "struct<m:map<string,int>>", "array<map<string,int>>"])
 def test_ties_are_numbered_alike_whatever_the_limit(spark, kind):
     value = {"string": "string(n)", "map<string,int>": "map('n', n)", "struct<m:map<string,int>>": "named_struct('m', map('n', n))",
