@@ -18,12 +18,12 @@ their own, not by their id.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -47,6 +47,11 @@ HOT = 20_000
 REMEMBERED = 400_000
 #: A step of length classes: eight make the share that the similarity leaves.
 STEPS = 8
+#: Words skipped in either line to where two lines may go on alike, the fewest first.
+SKIPS = [(k, n - k) for n in range(1, 9) for k in sorted(range(n + 1), key=lambda k: abs(2 * k - n))]
+#: Cells of the rows that are computed at once where many pairs are verified, and pairs that are at once.
+ROW_CELLS = 1 << 15
+BATCH = 4000
 #: Bytes beyond which two lines are compared by wavefronts.
 LONG = 4096
 
@@ -72,24 +77,76 @@ def lines_of(text: bytes) -> list[tuple[int, list[bytes]]]:
 
 
 def features(words: list[bytes]) -> list[bytes]:
-    """The words of four bytes or more, or all if there are none; of long ones, as in scripts without blanks, their shingles."""
+    """The words of four bytes or more, or all if there are none; of long ones, as in scripts without blanks, their shingles.
+
+    `SimHashes` takes the same from many lines at once.
+    """
     out = [w for w in words if len(w) > 3] or words
     if len(out) < 8 and max(map(len, out)) > 24:
         out = [f for w in out for f in ([w] if len(w) <= 24 else [w[k : k + 6] for k in range(len(w) - 5)])]
     return out
 
 
-class Known(dict):
-    """Numbers of features, from 1, and their hashes as rows; row 0 is empty."""
+class Known:
+    """Hashes of features as rows, and their numbers by the features' codes; row 0 is empty."""
 
     def __init__(self, lanes: int):
-        self.lanes, self.hashes = lanes, bytearray(8 * lanes)
-
-    def __missing__(self, feature: bytes) -> int:
-        long = b"".join(xxhash.xxh3_128_digest(feature, seed) for seed in range((self.lanes + 1) // 2))
-        self.hashes += long[: 8 * self.lanes]
-        self[feature] = number = len(self) + 1
-        return number
+        self.hashes = np.zeros((1, lanes), np.uint64)
+        self.codes, self.numbers = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+
+    def __call__(self, codes: np.ndarray, feature: Callable[[np.ndarray], list[bytes]]) -> np.ndarray:
+        """Numbers of distinct codes in order; `feature` gives the features at these of them."""
+        at = np.searchsorted(self.codes, codes)
+        new = np.ones(len(codes), bool)
+        inside = at < len(self.codes)
+        new[inside] = self.codes[at[inside]] != codes[inside]
+        seeds = range((self.hashes.shape[1] + 1) // 2)
+        digests = b"".join([xxhash.xxh3_128_digest(f, seed) for f in feature(np.nonzero(new)[0]) for seed in seeds])
+        numbers = np.arange(len(self.hashes), len(self.hashes) + new.sum())
+        self.hashes = np.concatenate([self.hashes, np.frombuffer(digests, np.uint64).reshape(-1, 2 * len(seeds))[:, : self.hashes.shape[1]]])
+        self.codes, self.numbers = np.insert(self.codes, at[new], codes[new]), np.insert(self.numbers, at[new], numbers)
+        return self.numbers[np.searchsorted(self.codes, codes)]
+
+
+#: The first n bytes of eight.
+MASKS = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
+
+
+def _codes(data: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """64 bits for each data[start:start + size], none of which holds a zero: up to eight bytes as they are, more of them mixed."""
+    padded = np.concatenate([data, np.zeros(8, np.uint8)])
+    eight = np.ndarray((len(data) + 1,), "<u8", padded, 0, (1,))
+    codes = eight[start] & MASKS[np.minimum(size, 8)]
+    more, at = np.nonzero(size > 8)[0], 8
+    while len(more):
+        mixed = codes[more]
+        mixed ^= mixed >> np.uint64(32)
+        mixed *= np.uint64(0x9E3779B97F4A7C15)
+        codes[more] = mixed ^ eight[start[more] + at] & MASKS[np.minimum(size[more] - at, 8)]
+        at += 8
+        more = more[size[more] > at]
+    return codes
+
+
+def _feature_places(data: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts and lengths of the features of lines of these lengths, each with a blank behind it, and how many each line has; see `features`."""
+    blank = np.nonzero(data == 32)[0]
+    start = np.append(0, blank[:-1] + 1)
+    length = blank - start
+    ends = np.cumsum(size + 1)
+    first = np.searchsorted(start, ends - size - 1)
+    line = np.searchsorted(ends, start, "right")
+    taken = length > 3
+    taken |= (np.add.reduceat(taken, first, dtype=np.int64) == 0)[line]
+    few = (np.add.reduceat(taken, first, dtype=np.int64) < 8)[line]
+    start, length, line, few = start[taken], length[taken], line[taken], few[taken]
+    cut = few & (length > 24)
+    if cut.any():
+        pieces = np.where(cut, length - 5, 1)
+        begin = np.cumsum(pieces) - pieces
+        start = np.repeat(start - begin, pieces) + np.arange(pieces.sum())
+        length, line = np.repeat(np.where(cut, 6, length), pieces), np.repeat(line, pieces)
+    return start, length, np.bincount(line, minlength=len(size))
 
 
 class SimHashes:
@@ -98,37 +155,45 @@ class SimHashes:
     def __init__(self, lanes: int):
         self.lanes, self.known = lanes, Known(lanes)
 
-    def __call__(self, lines: list[list[bytes]]) -> np.ndarray:
-        """(lines, lanes) of 64 bits each; lines are not empty."""
-        found = [features(words) for words in lines]
-        count = np.fromiter(map(len, found), np.int64, len(found))
-        out = np.zeros((len(found), self.lanes), np.uint64)
+    def __call__(self, lines: list[bytes]) -> np.ndarray:
+        """(lines, lanes) of 64 bits each; lines are not empty, one blank stands between words."""
+        out = np.zeros((len(lines), self.lanes), np.uint64)
+        if not lines:
+            return out
+        number, count = self._numbers(lines)
+        place = np.cumsum(count) - count
         order = np.argsort(count, kind="stable")
         begin = 0
         while begin < len(order):
             # Lines of about the same size are added up side by side.
-            end = begin + 1
-            most = count[order[begin]] * 1.25 + 2
-            while end < len(order) and end - begin < 4096 and count[order[end]] <= most:
-                end += 1
+            end = min(begin + 4096, int(np.searchsorted(count[order], count[order[begin]] * 1.25 + 2, "right")))
             rows = order[begin:end]
-            out[rows] = self._majority([found[r] for r in rows.tolist()], count[rows])
+            some = count[rows]
+            at = np.repeat(place[rows] - (np.cumsum(some) - some), some) + np.arange(some.sum())
+            out[rows] = self._majority(number[at], some)
             begin = end
         return out
 
-    def _majority(self, lines: list[list[bytes]], count: np.ndarray) -> np.ndarray:
-        if len(self.known) > REMEMBERED:
+    def _numbers(self, lines: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """The numbers of all lines' features, and how many each line has."""
+        if len(self.known.codes) > REMEMBERED:
             self.known = Known(self.lanes)
-        total = int(count.sum())
-        number = np.fromiter(map(self.known.__getitem__, chain.from_iterable(lines)), np.int64, total)
-        table = np.frombuffer(self.known.hashes, np.uint64).reshape(-1, self.lanes)
+        joined = b" ".join(lines) + b" "
+        start, length, count = _feature_places(np.frombuffer(joined, np.uint8), np.fromiter(map(len, lines), np.int64, len(lines)))
+        codes, first, which = np.unique(_codes(np.frombuffer(joined, np.uint8), start, length), return_index=True, return_inverse=True)
+        begin, end = start[first], start[first] + length[first]
+        return self.known(codes, lambda at: [joined[a:b] for a, b in zip(begin[at].tolist(), end[at].tolist())])[which], count
+
+    def _majority(self, number: np.ndarray, count: np.ndarray) -> np.ndarray:
+        total = len(number)
+        table = self.known.hashes
         longest = int(count.max())
-        if longest > 32 * len(lines):
+        if longest > 32 * len(count):
             ends = np.cumsum(count).tolist()
             return np.concatenate([self._of_long(table, number[a:b]) for a, b in zip([0, *ends], ends)])
         # Row 0 pads the shorter lines.
-        grid = np.zeros((longest, len(lines)), np.int64)
-        row = np.repeat(np.arange(len(lines)), count)
+        grid = np.zeros((longest, len(count)), np.int64)
+        row = np.repeat(np.arange(len(count)), count)
         grid[np.arange(total) - np.repeat(np.cumsum(count) - count, count), row] = number
         # Counters of all bits as planes of binary digits.
         planes: list[np.ndarray] = []
@@ -157,19 +222,44 @@ class SimHashes:
 
 
 def simhashes(lines: list[list[bytes]], lanes: int = 1) -> np.ndarray:
-    return SimHashes(lanes)(lines)
+    return SimHashes(lanes)([b" ".join(words) for words in lines])
 
 
-def _in_portions(batch: pa.RecordBatch, size: int = 2_000_000) -> Iterator[list[tuple[int, int, list[bytes]]]]:
-    """(row, line number, words) of a batch's lines, some megabytes at a time."""
-    portion, held = [], 0
+def _in_portions(batch: pa.RecordBatch, size: int = 2_000_000) -> Iterator[tuple[int, list[bytes]]]:
+    """A batch's texts, some megabytes at a time, and the row of the first."""
+    begin, portion, held = 0, [], 0
     for row, text in enumerate(texts(batch, "text")):
-        portion += [(row, number, words) for number, words in lines_of(text)]
+        portion.append(text)
         held += len(text)
         if held > size:
-            yield portion
-            portion, held = [], 0
-    yield portion
+            yield begin, portion
+            begin, portion, held = row + 1, [], 0
+    if portion:
+        yield begin, portion
+
+
+def _plain_lines(portion: list[bytes]) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
+    """Texts' numbers, line numbers and normalised lines, as of `lines_of` with one blank between words."""
+    data = np.frombuffer(b"\n".join([b"", *portion, b""]).translate(PLAIN), np.uint8)
+    letters = (data != 32) & (data != 10)
+    edges = np.nonzero(letters[1:] != letters[:-1])[0] + 1
+    start, end = edges[::2], edges[1::2]
+    if not len(start):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), []
+    line = np.searchsorted(np.nonzero(data == 10)[0], start) - 1
+    first = np.nonzero(np.append(True, line[1:] != line[:-1]))[0]
+    # A word and one byte behind it are kept.
+    letters[end] = True
+    kept = data[letters]
+    after = np.cumsum(end - start + 1)
+    kept[after - 1] = 32
+    plain = kept.tobytes()
+    begin = np.append(0, after)[first]
+    lines = [plain[a : b - 1] for a, b in zip(begin.tolist(), [*begin[1:].tolist(), len(plain)])]
+    line = line[first]
+    begins = np.cumsum([0] + [text.count(b"\n") + 1 for text in portion[:-1]])
+    row = np.searchsorted(begins, line, "right") - 1
+    return row, line - begins[row], lines
 
 
 def line_table(docs: DataFrame, rules: Rules, kind: str) -> DataFrame:
@@ -181,19 +271,18 @@ def line_table(docs: DataFrame, rules: Rules, kind: str) -> DataFrame:
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashed = SimHashes(len(LANES))
         for batch in batches:
-            for portion in _in_portions(batch):
-                plain = [b" ".join(words) for _, _, words in portion]
-                fuzzy = {line: words for line, (_, _, words) in zip(plain, portion) if rules.may_be_edited(len(line))}
-                place = {line: k for k, line in enumerate(fuzzy)}
-                at = np.fromiter((place.get(line, len(place)) for line in plain), np.int64, len(plain))
-                lanes = np.concatenate([hashed(list(fuzzy.values())), np.zeros((1, len(LANES)), np.uint64)])[at].view(np.int64)
-                exact = at == len(place)
-                rows = pa.array([r for r, _, _ in portion], pa.int64())
+            for begin, portion in _in_portions(batch):
+                row, number, plain = _plain_lines(portion)
+                fuzzy = {line: k for k, line in enumerate({line: 0 for line in plain if rules.may_be_edited(len(line))})}
+                at = np.fromiter((fuzzy.get(line, len(fuzzy)) for line in plain), np.int64, len(plain))
+                lanes = np.concatenate([hashed(list(fuzzy)), np.zeros((1, len(LANES)), np.uint64)])[at].view(np.int64)
+                exact = at == len(fuzzy)
+                rows = pa.array(begin + row)
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).take(rows),
                         batch.column(1).take(rows),
-                        pa.array([n for _, n, _ in portion], pa.int32()),
+                        pa.array(number.astype(np.int32)),
                         pa.array([xxhash.xxh3_128_digest(line) for line in plain], pa.binary()),
                         pa.array([len(line) for line in plain], pa.int32()),
                         *(pa.array(lanes[:, k], pa.int64(), mask=exact) for k in range(len(LANES))),
@@ -316,10 +405,32 @@ def similar(a: bytes, b: bytes, similarity: float) -> bool:
     most = int((1 - similarity) * longest + 1e-9)
     if abs(len(a) - len(b)) > most:
         return False
-    # Words that differ in place bound the edits from above.
+    return similar_by_words(a, b, most) or _similar_by_letters(a, b, most)
+
+
+def similar_by_words(a: bytes, b: bytes, most: int) -> bool:
+    """True only if a and b are at most so many edits apart, which words left out, put in and replaced show."""
     left, right = a.split(b" "), b.split(b" ")
-    if len(left) == len(right) and sum(max(len(x), len(y)) for x, y in zip(left, right) if x != y) <= most:
-        return True
+    i = j = cost = 0
+    while i < len(left) and j < len(right):
+        if left[i] == right[j]:
+            i, j = i + 1, j + 1
+            continue
+        # The nearest words at which both go on alike.
+        skip = next((s for s in SKIPS if left[i + s[0] : i + s[0] + 1] == right[j + s[1] : j + s[1] + 1] != []), (1, 1))
+        cost += max(_joined(left[i : i + skip[0]]), _joined(right[j : j + skip[1]]))
+        if cost > most:
+            return False
+        i, j = i + skip[0], j + skip[1]
+    return cost + max(_joined(left[i:]), _joined(right[j:])) <= most
+
+
+def _joined(words: list[bytes]) -> int:
+    """The length of words with a blank for each."""
+    return sum(map(len, words)) + len(words)
+
+
+def _similar_by_letters(a: bytes, b: bytes, most: int) -> bool:
     # Common ends cost nothing and leave little to compare.
     start = _common(a, b)
     a, b = a[start:], b[start:]
@@ -328,6 +439,62 @@ def similar(a: bytes, b: bytes, similarity: float) -> bool:
     return edits(a, b, most) <= most
 
 
+def edits_within(left: list[bytes], right: list[bytes], most: np.ndarray) -> np.ndarray:
+    """Whether each pair is at most so many edits apart: rows of the table of edit distances, for many pairs of like length side by side.
+
+    Only the diagonals are kept on which so few edits can lead from end to end. No line holds a zero.
+    """
+    out = np.zeros(len(left), bool)
+    size = np.array([sorted(map(len, pair)) for pair in zip(left, right)]).reshape(-1, 2)
+    possible = size[:, 1] - size[:, 0] <= most
+    order = np.nonzero(possible)[0]
+    order = order[np.argsort(size[order, 0], kind="stable")]
+    while len(order):
+        # As many pairs as keep a row of the table within a worker's cache.
+        rows = order[: max(1, ROW_CELLS // (int(most[order[min(len(order), ROW_CELLS // 16) - 1]]) + 1))]
+        order = order[len(rows) :]
+        pairs = [(left[r], right[r]) if len(left[r]) >= len(right[r]) else (right[r], left[r]) for r in rows.tolist()]
+        out[rows] = _banded([p[0] for p in pairs], [p[1] for p in pairs], most[rows])
+    return out
+
+
+def _banded(long: list[bytes], short: list[bytes], most: np.ndarray) -> np.ndarray:
+    m, n = (np.fromiter(map(len, side), np.int64, len(side)) for side in (long, short))
+    spare = (most - (m - n)) // 2
+    before = int(spare.max())
+    width = before + int((m - n + spare).max()) + 1
+    a, b = np.zeros((before + int(max(m.max(), n.max() + width)), len(m)), np.uint8), np.zeros((int(n.max()), len(m)), np.uint8)
+    for k, (x, y) in enumerate(zip(long, short)):
+        a[before : before + len(x), k], b[: len(y), k] = np.frombuffer(x, np.uint8), np.frombuffer(y, np.uint8)
+    # The cost on each diagonal less the diagonal's number, so that a byte more of the longer line costs nothing here.
+    kind = np.int16 if n.max() + width < 8000 else np.int32
+    far = 2 * 8000 if kind == np.int16 else 1 << 30
+    cost = np.full((width + 1, len(m)), -before, kind)
+    cost[:before] = far
+    cost[width] = far
+    other = np.empty((width, len(m)), kind)
+    found = np.where(n == 0, m, 1 << 30)
+    ends = np.argsort(n, kind="stable")
+    stop = np.searchsorted(n[ends], np.arange(len(b) + 2))
+    for j in range(len(b)):
+        step = cost[:width] + (a[j : j + width] != b[j])
+        np.minimum(step, cost[1:] + kind(2), out=step)
+        # The least up to each diagonal, over twice as many with each pass.
+        reach = 1
+        while reach < width:
+            np.minimum(step[reach:], step[:-reach], out=other[reach:])
+            other[:reach] = step[:reach]
+            step, other, reach = other, step, 2 * reach
+        cost[:width] = step
+        done = ends[stop[j + 1] : stop[j + 2]]
+        if len(done):
+            at = m[done] - n[done] + before
+            found[done] = cost[at, done] + at
+        if j % 32 == 31 and ((cost[:width] + np.arange(width, dtype=kind)[:, None]).min(axis=0) > most)[n > j + 1].all() and (n > j + 1).any():
+            break
+    return found <= most
+
+
 def _common(a: bytes, b: bytes) -> int:
     n = min(len(a), len(b))
     differ = np.nonzero(np.frombuffer(a, np.uint8, n) != np.frombuffer(b, np.uint8, n))[0]
@@ -412,29 +579,55 @@ def _run(a: bytes, b: bytes, i: int, j: int) -> int:
         i, j, step = i + n, j + n, step * 4
 
 
-def _verified(table: pa.Table, rules: Rules, own: bool) -> pa.Table:
-    """A forest of the verified links between lines of one chunk, or between those of two."""
-    table = table.sort_by("digest")
+def _verified(table: pa.Table, rules: Rules) -> pa.Table:
+    """A forest of the verified links between lines of like (component, i, j), which stand together; where i and j differ, between the two sides."""
     digest, text = table.column("digest").to_pylist(), table.column("text").to_pylist()
     point, more = (table.column(c).to_numpy().view(np.uint64) for c in ("point", "more"))
-    length = np.fromiter(map(len, text), np.float64, len(text))
-    side = table.column("side").to_numpy()
-    sets, step = Sets(len(digest)), max(1, TILE // max(1, len(digest)))
-    for at in range(0, len(digest), step):
-        apart = np.bitwise_count(point[at : at + step, None] ^ point[None, :]) + np.bitwise_count(more[at : at + step, None] ^ more[None, :])
-        near = apart <= rules.distance
-        long = length[at : at + step, None]
-        i, j = np.nonzero(near & (length >= rules.similarity * long - 1e-9) & (long >= rules.similarity * length - 1e-9))
-        i += at
-        wanted = (i < j) if own else (i < j) & (side[i] != side[j])
-        for x, y in zip(i[wanted].tolist(), j[wanted].tolist()):
-            if sets.root(x) != sets.root(y) and similar(text[x], text[y], rules.similarity):
-                sets.join(x, y)
+    side, two = table.column("side").to_numpy(), pc.not_equal(table.column("i"), table.column("j")).to_numpy()
+    length = np.fromiter(map(len, text), np.int64, len(text))
+    most = ((1 - rules.similarity) * length + 1e-9).astype(np.int64)
+    tile = _tiles(table)
+    end = np.searchsorted(tile, tile, "right")
+    sets, label = Sets(len(text)), np.arange(len(text))
+    doubtful: list[tuple[np.ndarray, np.ndarray]] = []
+    active, ahead = np.arange(len(text)), 1
+    while len(active := active[active + ahead < end[active]]):
+        x, y = active, active + ahead
+        near = np.bitwise_count(point[x] ^ point[y]) + np.bitwise_count(more[x] ^ more[y]) <= rules.distance
+        near &= (np.abs(length[x] - length[y]) <= np.maximum(most[x], most[y])) & (~two[x] | (side[x] != side[y])) & (label[x] != label[y])
+        x, y = x[near], y[near]
+        alike = np.fromiter((sets.root(i) == sets.root(j) or similar_by_words(text[i], text[j], max(m, n)) for i, j, m, n in zip(x.tolist(), y.tolist(), most[x].tolist(), most[y].tolist())), bool, len(x))
+        join_all(sets, x[alike], y[alike])
+        doubtful.append((x[~alike], y[~alike]))
+        if ahead & ahead - 1 == 0:
+            label = sets.roots()
+        ahead += 1
+    x, y = (np.concatenate([d[k] for d in doubtful]) if doubtful else np.zeros(0, np.int64) for k in (0, 1))
+    for at in range(0, len(x), BATCH):
+        label = sets.roots()
+        i, j = x[at : at + BATCH], y[at : at + BATCH]
+        short = (label[i] != label[j]) & (np.maximum(length[i], length[j]) <= LONG)
+        left, right = i[short], j[short]
+        alike = edits_within([text[k] for k in left.tolist()], [text[k] for k in right.tolist()], np.maximum(most[left], most[right]))
+        join_all(sets, left[alike], right[alike])
+        long = (label[i] != label[j]) & ~short
+        for k, other in zip(i[long].tolist(), j[long].tolist()):
+            if sets.root(k) != sets.root(other) and _similar_by_letters(text[k], text[other], int(max(most[k], most[other]))):
+                sets.join(k, other)
     root = sets.roots()
     moved = np.nonzero(root != np.arange(len(root)))[0].tolist()
     return pa.table({"a": pa.array([digest[k] for k in moved], pa.binary()), "b": pa.array([digest[root[k]] for k in moved], pa.binary())})
 
 
+def _tiles(table: pa.Table) -> np.ndarray:
+    """Numbers, from 0, of the stretches of rows with like (component, i, j)."""
+    new = np.zeros(len(table), bool)
+    for name in ("component", "i", "j"):
+        column = table.column(name)
+        new[1:] |= pc.not_equal(column[1:], column[:-1]).to_numpy()
+    return np.cumsum(new)
+
+
 def verified_links(lines: DataFrame, rules: Rules, scratch: Scratch, chunk: int = CHUNK) -> DataFrame:
     """Links (a, b) between digests of lines (component, digest, point, more, text)."""
     sizes = scratch.write(lines.groupBy("component").agg(F.count("*").alias("size")), "sizes")
@@ -443,7 +636,23 @@ def verified_links(lines: DataFrame, rules: Rules, scratch: Scratch, chunk: int
     # Each chunk meets every chunk once: tile (i, j) with i <= j.
     tiles = spread.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
     tiles = tiles.select("component", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), F.col("mine").alias("side"), "digest", "point", "more", "text")
-    return tiles.groupBy("component", "i", "j").applyInArrow(lambda key, table: _verified(table, rules, key[1].as_py() == key[2].as_py()), "a binary, b binary")
+
+    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The last tile of a batch waits for its other rows."""
+        held = None
+        for batch in batches:
+            table = pa.Table.from_batches([batch])
+            table = table if held is None else pa.concat_tables([held, table])
+            tile = _tiles(table)
+            whole = int(np.searchsorted(tile, tile[-1])) if len(tile) else 0
+            held = table.slice(whole)
+            if whole:
+                yield from _verified(table.slice(0, whole), rules).to_batches()
+        if held is not None:
+            yield from _verified(held, rules).to_batches()
+
+    # Many small tiles stand in one batch. By digest, so that links go to a tile's smallest and the components need fewer rounds.
+    return tiles.repartition("component", "i", "j").sortWithinPartitions("component", "i", "j", "digest").mapInArrow(verify, "a binary, b binary")
 
 
 def _fetch(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -470,7 +679,7 @@ def _repeated(docs: DataFrame, scratch: Scratch, rules: Rules) -> DataFrame:
     distinct = lines.groupBy("digest").agg(F.min(F.struct("doc", "key", "line")).alias("first"), F.count("*").alias("times"), *(F.max(c).alias(c) for c in ("length", *LANES)))
     distinct = scratch.write(distinct, "distinct")
     points = distinct.where("point is not null").groupBy("point").agg(F.count("*").alias("texts"))
-    fuzzy = points.agg(F.coalesce(F.sum("texts"), F.lit(0))).first()[0]
+    fuzzy = distinct.where("point is not null").count()
     parts = max(1, fuzzy * BLOCKS * ENTRY.itemsize // PART_BYTES)
     linked = components(point_links(distinct, rules, parts, scratch), scratch, "points")
     alike = points.join(linked.withColumnRenamed("node", "point"), "point", "left").where("component is not null or texts > 1")

@@ -202,6 +202,55 @@ def test_chunks_of_a_large_component_lose_no_link(spark, scratch, prose):
     assert groups[0] == groups[1] and groups[0]
 
 
+def test_many_pairs_side_by_side(monkeypatch):
+    rng = random.Random(2)
+    pairs = []
+    for _ in range(600):
+        a = bytes(rng.choice(b"abc ") for _ in range(rng.choice([0, 1, 2, 9, 33, 64, 150])))
+        b = bytearray(a)
+        for _ in range(rng.randrange(12)):
+            at = rng.randrange(len(b) + 1)
+            b[at : at + rng.choice([0, 1, 2])] = rng.choice([b"", b"a", b"zz", b"abcab"])
+        pairs.append(rng.choice([(a, bytes(b)), (bytes(b), a)]))
+    most = np.array([rng.choice([0, 1, 3, 5, 9, 20]) for _ in pairs])
+    wanted = [table_distance(a, b) <= m for (a, b), m in zip(pairs, most)]
+    for cells in (1 << 15, 64, 16):
+        monkeypatch.setattr(line_dedup, "ROW_CELLS", cells)
+        assert line_dedup.edits_within([a for a, _ in pairs], [b for _, b in pairs], most).tolist() == wanted
+    by_words = [line_dedup.similar_by_words(a, b, int(m)) for (a, b), m in zip(pairs, most)]
+    assert sum(by_words) > 100 and not any(shown and not real for shown, real in zip(by_words, wanted))
+
+
+def test_small_components_are_verified_together(spark, scratch, prose, monkeypatch):
+    """Pairs of 200 small components; the one at a time is left to lines of many bytes."""
+    lines, wanted = [], set()
+    for k in range(200):
+        words = prose(k, 40).split()
+        # One word in ten differs, or one in four, and words move on by one.
+        texts = [" ".join(words), " ".join(["so", *(f"w{i}" if i % (10 if k % 2 else 4) == 0 else w for i, w in enumerate(words))])]
+        texts = [t.encode() for t in texts]
+        digests = [xxhash.xxh3_128_digest(t) for t in texts]
+        lines += [(k, d, 1 + n, 1, 0, 0, 0, t) for n, (d, t) in enumerate(zip(digests, texts))]
+        if edits(*texts, 10**6) <= int(0.1 * max(map(len, texts)) + 1e-9):
+            wanted.add(frozenset(digests))
+    monkeypatch.setattr(line_dedup, "edits", None)
+    frame = spark.createDataFrame(lines, "component long, digest binary, point long, more long, i int, j int, side int, text binary")
+    found = line_dedup._verified(frame.toArrow(), Rules())
+    assert {frozenset(pair) for pair in zip(found["a"].to_pylist(), found["b"].to_pylist())} == wanted and 20 < len(wanted) < 200
+
+
+def test_lines_and_simhashes_of_many_texts_at_once():
+    rng = random.Random(3)
+    parts = [b"\n", b" ", b"\t", b"a", b"Bc", b"9", b"-", b"\x00", "这是一个没有空格的长句子".encode(), "ü".encode(), b"word ", b"longerwords1 ", b"x" * 30, b"\r\n"]
+    for _ in range(500):
+        texts = [b"".join(rng.choice(parts) for _ in range(rng.randrange(40))) for _ in range(rng.randrange(1, 6))]
+        one_by_one = [(row, number, words) for row, text in enumerate(texts) for number, words in lines_of(text)]
+        rows, numbers, plain = line_dedup._plain_lines(texts)
+        assert list(zip(rows.tolist(), numbers.tolist(), plain)) == [(r, n, b" ".join(w)) for r, n, w in one_by_one]
+        words = [w for _, _, w in one_by_one]
+        assert [a | b << 64 for a, b in simhashes(words, 2).tolist()] == [plain_simhash(w) for w in words]
+
+
 def test_simhash_of_lines_of_all_sizes(prose):
     lines = [prose(k, n).encode().split() for k, n in enumerate([1, 1, 2, 3, 5, 40, 41, 300, 9000])] + ["这是一个没有空格的长句子这是一个没有空格".encode().split()]
     assert [a | b << 64 for a, b in simhashes(lines, 2).tolist()] == [plain_simhash(words) for words in lines]
