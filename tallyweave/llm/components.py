@@ -3,33 +3,34 @@
 In a large-star step every neighbour of a node that is larger than the node is linked to the smallest neighbour;
 in a small-star step every neighbour that is not larger is. The components stay the same and the number of links
 does not grow; after some rounds (logarithmic in the longest chain) every node is linked to the smallest of its
-component only. The smallest neighbour of a node with very many links is found by a partial minimum; the join that hands it
-out keeps such a node's links in one task, two numbers each. Callers return forests, so there are fewer links than nodes.
+component only. A step has one exchange: a node's links stand together and sorted, so that the first has its smallest neighbour and
+repeated ones are next to each other. A node with very many links keeps them in one task, two values each, which Spark sorts
+and spills. Callers return forests, so there are fewer links than nodes.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyweave.llm.common import Scratch
 
 
-def _both_ways(links: DataFrame) -> DataFrame:
-    return links.select(F.explode(F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")))).alias("e")).select("e.*")
+def _with_least(links: DataFrame) -> DataFrame:
+    """(a, b, m) without repeated rows; m is the smallest b that a has. One exchange, in which a node's rows are sorted."""
+    by_node = Window.partitionBy("a").orderBy("b")
+    marked = links.select("a", "b", F.first("b").over(by_node).alias("m"), F.lag("b").over(by_node).alias("last"))
+    return marked.where("last is null or last <> b").drop("last")
 
 
 def _large_star(links: DataFrame) -> DataFrame:
-    ways = _both_ways(links)
-    least = ways.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("m"))
-    return ways.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
+    ways = links.select(F.explode(F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")))).alias("e")).select("e.*")
+    return _with_least(ways).where("b > a").select(F.col("b").alias("a"), F.least("a", "m").alias("b"))
 
 
 def _small_star(links: DataFrame) -> DataFrame:
-    down = links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    least = down.groupBy("a").agg(F.min("b").alias("m"))
-    moved = down.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-    return moved.union(least.select("a", F.col("m").alias("b"))).where("a <> b").distinct()
+    """Of links from larger to smaller nodes. A node's link to its smallest stays; its others become links of theirs."""
+    return _with_least(links).select(F.when(F.col("b") == F.col("m"), F.col("a")).otherwise(F.col("b")).alias("a"), F.col("m").alias("b"))
 
 
 def components(links: DataFrame, scratch: Scratch, name: str) -> DataFrame:
@@ -39,7 +40,7 @@ def components(links: DataFrame, scratch: Scratch, name: str) -> DataFrame:
     empty table gives an empty one.
     """
     mark = F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))
-    links = scratch.write(links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), f"{name}-0")
+    links = scratch.write(links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")), f"{name}-0")
     before, step = links.agg(F.count("*"), mark).first(), 0
     while before[0]:
         step += 1
@@ -49,5 +50,6 @@ def components(links: DataFrame, scratch: Scratch, name: str) -> DataFrame:
         if after == before:
             break
         before = after
+    # The last round has dropped repeated rows.
     nodes = links.select(F.col("a").alias("node"), F.col("b").alias("component"))
     return nodes.union(links.select(F.col("b"), F.col("b")).distinct())

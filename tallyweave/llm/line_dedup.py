@@ -49,11 +49,11 @@ REMEMBERED = 400_000
 STEPS = 8
 #: Words skipped in either line to where two lines may go on alike, the fewest first.
 SKIPS = [(k, n - k) for n in range(1, 9) for k in sorted(range(n + 1), key=lambda k: abs(2 * k - n))]
-#: Cells of the rows that are computed at once where many pairs are verified, and pairs that are at once.
+#: Words of 64 bits, times 16, of the pairs whose edit distances are computed side by side, and pairs that are verified at once.
 ROW_CELLS = 1 << 15
-BATCH = 4000
+BATCH = 6000
 #: Bytes beyond which two lines are compared by wavefronts.
-LONG = 4096
+LONG = 16384
 
 
 @dataclass(frozen=True)
@@ -103,9 +103,11 @@ class Known:
         seeds = range((self.hashes.shape[1] + 1) // 2)
         digests = b"".join([xxhash.xxh3_128_digest(f, seed) for f in feature(np.nonzero(new)[0]) for seed in seeds])
         numbers = np.arange(len(self.hashes), len(self.hashes) + new.sum())
+        out = np.empty(len(codes), np.int64)
+        out[new], out[~new] = numbers, self.numbers[at[~new]]
         self.hashes = np.concatenate([self.hashes, np.frombuffer(digests, np.uint64).reshape(-1, 2 * len(seeds))[:, : self.hashes.shape[1]]])
         self.codes, self.numbers = np.insert(self.codes, at[new], codes[new]), np.insert(self.numbers, at[new], numbers)
-        return self.numbers[np.searchsorted(self.codes, codes)]
+        return out
 
 
 #: The first n bytes of eight.
@@ -180,9 +182,17 @@ class SimHashes:
             self.known = Known(self.lanes)
         joined = b" ".join(lines) + b" "
         start, length, count = _feature_places(np.frombuffer(joined, np.uint8), np.fromiter(map(len, lines), np.int64, len(lines)))
-        codes, first, which = np.unique(_codes(np.frombuffer(joined, np.uint8), start, length), return_index=True, return_inverse=True)
-        begin, end = start[first], start[first] + length[first]
-        return self.known(codes, lambda at: [joined[a:b] for a, b in zip(begin[at].tolist(), end[at].tolist())])[which], count
+        # Distinct codes by hashing, as sorting all of them costs more.
+        coded = pa.array(_codes(np.frombuffer(joined, np.uint8), start, length)).dictionary_encode()
+        codes, which = coded.dictionary.to_numpy(), coded.indices.to_numpy()
+        first = np.empty(len(codes), np.int64)
+        first[which] = np.arange(len(which))
+        order = np.argsort(codes)
+        begin = start[first[order]]
+        end = begin + length[first[order]]
+        numbers = np.empty(len(codes), np.int64)
+        numbers[order] = self.known(codes[order], lambda at: [joined[a:b] for a, b in zip(begin[at].tolist(), end[at].tolist())])
+        return numbers[which], count
 
     def _majority(self, number: np.ndarray, count: np.ndarray) -> np.ndarray:
         total = len(number)
@@ -322,7 +332,8 @@ def point_links(lines: DataFrame, rules: Rules, parts: int, scratch: Scratch, ho
             entries["code"] = buckets << np.uint32(CLASS_BITS) | length
             entries["point"], entries["more"] = hashes[:, 0], hashes[:, 1]
             part = ((buckets * np.uint32(2654435761)) >> np.uint32(8)).ravel() % np.uint32(parts)
-            order = np.argsort(part, kind="stable")
+            # Numbers of 16 bits are sorted by digits.
+            order = np.argsort(part.astype(np.uint16) if parts <= 1 << 16 else part, kind="stable")
             packed, part = entries.ravel()[order], part[order]
             begin = np.concatenate(([0], np.nonzero(np.diff(part))[0] + 1, [len(part)])).tolist()
             yield pa.RecordBatch.from_arrays(
@@ -442,57 +453,92 @@ def _similar_by_letters(a: bytes, b: bytes, most: int) -> bool:
 def edits_within(left: list[bytes], right: list[bytes], most: np.ndarray) -> np.ndarray:
     """Whether each pair is at most so many edits apart: rows of the table of edit distances, for many pairs of like length side by side.
 
-    Only the diagonals are kept on which so few edits can lead from end to end. No line holds a zero.
+    Only the diagonals are kept on which so few edits can lead from end to end; they are bits of words. No line holds a zero.
     """
     out = np.zeros(len(left), bool)
     size = np.array([sorted(map(len, pair)) for pair in zip(left, right)]).reshape(-1, 2)
-    possible = size[:, 1] - size[:, 0] <= most
+    possible = (size[:, 1] - size[:, 0] <= most) & (size[:, 0] > 0)
+    out[(size[:, 0] == 0) & (size[:, 1] <= most)] = True
     order = np.nonzero(possible)[0]
-    order = order[np.argsort(size[order, 0], kind="stable")]
+    # As many words as hold the diagonals, and seven bits more, rounded up to a power of two.
+    words = 1 << np.ceil(np.log2((most + 8) / 64).clip(0)).astype(np.int64)
+    order = order[np.lexsort((size[order, 0], words[order]))]
     while len(order):
-        # As many pairs as keep a row of the table within a worker's cache.
-        rows = order[: max(1, ROW_CELLS // (int(most[order[min(len(order), ROW_CELLS // 16) - 1]]) + 1))]
+        wide = int(words[order[0]])
+        rows = order[: max(1, ROW_CELLS // (16 * wide))]
+        rows = rows[words[rows] == wide]
         order = order[len(rows) :]
         pairs = [(left[r], right[r]) if len(left[r]) >= len(right[r]) else (right[r], left[r]) for r in rows.tolist()]
-        out[rows] = _banded([p[0] for p in pairs], [p[1] for p in pairs], most[rows])
+        if wide > 1 and len(rows) < 20 + 12 * wide:
+            out[rows] = [_similar_by_letters(a, b, e) for (a, b), e in zip(pairs, most[rows].tolist())]
+        else:
+            out[rows] = _banded([p[0] for p in pairs], [p[1] for p in pairs], most[rows], wide)
     return out
 
 
-def _banded(long: list[bytes], short: list[bytes], most: np.ndarray) -> np.ndarray:
+#: The bits of a band's last word that are used, and the last of them.
+LAST_WORD, LAST_BIT = np.uint64((1 << 57) - 1), np.uint64(1 << 56)
+
+
+def _banded(long: list[bytes], short: list[bytes], most: np.ndarray, wide: int) -> np.ndarray:
+    """Bit-parallel edit distance (Myers) in a band (Hyyrö): the steps between neighbours on 64 * wide - 7 diagonals are bits.
+
+    The cost is followed down the last diagonal that counts, then along the last row of the longer line.
+    """
     m, n = (np.fromiter(map(len, side), np.int64, len(side)) for side in (long, short))
-    spare = (most - (m - n)) // 2
-    before = int(spare.max())
-    width = before + int((m - n + spare).max()) + 1
-    a, b = np.zeros((before + int(max(m.max(), n.max() + width)), len(m)), np.uint8), np.zeros((int(n.max()), len(m)), np.uint8)
-    for k, (x, y) in enumerate(zip(long, short)):
-        a[before : before + len(x), k], b[: len(y), k] = np.frombuffer(x, np.uint8), np.frombuffer(y, np.uint8)
-    # The cost on each diagonal less the diagonal's number, so that a byte more of the longer line costs nothing here.
-    kind = np.int16 if n.max() + width < 8000 else np.int32
-    far = 2 * 8000 if kind == np.int16 else 1 << 30
-    cost = np.full((width + 1, len(m)), -before, kind)
-    cost[:before] = far
-    cost[width] = far
-    other = np.empty((width, len(m)), kind)
-    found = np.where(n == 0, m, 1 << 30)
-    ends = np.argsort(n, kind="stable")
-    stop = np.searchsorted(n[ends], np.arange(len(b) + 2))
+    spare = np.minimum((most - (m - n)) // 2, n)
+    low, bits, every = m - n + spare, 64 * wide - 7, np.arange(len(m))
+    a, b = np.zeros((len(m), int(n.max()) + bits + 8), np.uint8), np.zeros((int(n.max()), len(m)), np.uint8)
+    for k, (x, y, skip) in enumerate(zip(long, short, (bits - 1 - low).tolist())):
+        x = x[: a.shape[1] - skip]
+        a[k, skip : skip + len(x)] = np.frombuffer(x, np.uint8)
+        b[: len(y), k] = np.frombuffer(y, np.uint8)
+    # Where each byte that occurs stands in the longer lines, as bits that can be read from any byte on.
+    letters = np.unique(b)
+    where = np.zeros((len(letters), len(m), -(-a.shape[1] // 8) + 8 * wide), np.uint8)
+    for k, letter in enumerate(letters[letters > 0].tolist(), int(letters[0] == 0)):
+        marks = np.packbits(a == letter, axis=1, bitorder="little")
+        where[k, :, : marks.shape[1]] = marks
+    number = np.zeros(256, np.int64)
+    number[letters] = np.arange(len(letters))
+    place = (number[b] * len(m) + every) * where.shape[2]
+    eight = np.ndarray((where.size - 7,), "<u8", where, 0, (1,))
+    one, top = np.uint64(1), np.uint64(63)
+    # A step down costs one at first, above the first row nothing.
+    begin = bits - 1 - low - 64 * np.arange(wide)[:, None]
+    more = np.where(begin >= 64, np.uint64(0), ~np.uint64(0) << begin.clip(0, 63).astype(np.uint64))
+    less, cost, turn = np.zeros_like(more), low.copy(), n - spare
+    first_turn, last_turn = int(turn.min()), int(turn.max())
+    word = 8 * np.arange(wide)[:, None]
     for j in range(len(b)):
-        step = cost[:width] + (a[j : j + width] != b[j])
-        np.minimum(step, cost[1:] + kind(2), out=step)
-        # The least up to each diagonal, over twice as many with each pass.
-        reach = 1
-        while reach < width:
-            np.minimum(step[reach:], step[:-reach], out=other[reach:])
-            other[:reach] = step[:reach]
-            step, other, reach = other, step, 2 * reach
-        cost[:width] = step
-        done = ends[stop[j + 1] : stop[j + 2]]
-        if len(done):
-            at = m[done] - n[done] + before
-            found[done] = cost[at, done] + at
-        if j % 32 == 31 and ((cost[:width] + np.arange(width, dtype=kind)[:, None]).min(axis=0) > most)[n > j + 1].all() and (n > j + 1).any():
+        same = eight[place[j] + (word + j // 8)]
+        if aside := np.uint64(j % 8):
+            after = same[1:] << np.uint64(64) - aside
+            same >>= aside
+            same[:-1] |= after
+        same[-1] &= LAST_WORD
+        add = same & more
+        total = add + more
+        if wide > 1:
+            over = total < add
+            for w in range(1, wide):
+                total[w] += over[w - 1]
+                over[w] |= over[w - 1] & (total[w] == 0)
+        level = (total ^ more) | same | less
+        right, back = less | ~(level | more), level & more
+        # The last bit down the diagonal; then the last row's, one lower with each byte.
+        if j < last_turn:
+            cost += (level[-1] & LAST_BIT == 0) & (j < turn)
+        if j >= first_turn and len(along := np.nonzero((j >= turn) & (j < n))[0]):
+            bit = bits - 2 - (j - turn[along])
+            at = (bit & 63).astype(np.uint64)
+            cost[along] += (right[bit >> 6, along] >> at & one).astype(np.int64) - (back[bit >> 6, along] >> at & one).astype(np.int64)
+        moved = level >> one
+        moved[:-1] |= level[1:] << top
+        more, less = back | ~(moved | right), moved & right
+        if j % 32 == 31 and (cost - np.maximum(0, n - np.maximum(j + 1, turn)) > most).all():
             break
-    return found <= most
+    return cost <= most
 
 
 def _common(a: bytes, b: bytes) -> int:
@@ -589,36 +635,53 @@ def _verified(table: pa.Table, rules: Rules) -> pa.Table:
     tile = _tiles(table)
     end = np.searchsorted(tile, tile, "right")
     sets, label = Sets(len(text)), np.arange(len(text))
-    doubtful: list[tuple[np.ndarray, np.ndarray]] = []
-    active, ahead = np.arange(len(text)), 1
+    waiting: list[tuple[np.ndarray, np.ndarray]] = []
+
+    def settle() -> None:
+        x, y = (np.concatenate([w[k] for w in waiting]) if waiting else np.zeros(0, np.int64) for k in (0, 1))
+        waiting.clear()
+        for at in range(0, len(x), BATCH):
+            label = sets.roots()
+            apart = label[x[at : at + BATCH]] != label[y[at : at + BATCH]]
+            i, j = x[at : at + BATCH][apart], y[at : at + BATCH][apart]
+            allowed = np.maximum(most[i], most[j])
+            narrow = allowed < 64
+            _join_within(sets, text, i[narrow], j[narrow], allowed[narrow])
+            # Of longer lines, many are shown to be alike by their words.
+            i, j, allowed = i[~narrow], j[~narrow], allowed[~narrow]
+            alike = np.fromiter((sets.root(k) == sets.root(o) or similar_by_words(text[k], text[o], e) for k, o, e in zip(i.tolist(), j.tolist(), allowed.tolist())), bool, len(i))
+            join_all(sets, i[alike], j[alike])
+            label = sets.roots()
+            left = ~alike & (label[i] != label[j])
+            i, j, allowed = i[left], j[left], allowed[left]
+            long = np.maximum(length[i], length[j]) > LONG
+            _join_within(sets, text, i[~long], j[~long], allowed[~long])
+            for k, other, e in zip(i[long].tolist(), j[long].tolist(), allowed[long].tolist()):
+                if sets.root(k) != sets.root(other) and _similar_by_letters(text[k], text[other], e):
+                    sets.join(k, other)
+
+    active, ahead, held = np.arange(len(text)), 1, 0
     while len(active := active[active + ahead < end[active]]):
         x, y = active, active + ahead
         near = np.bitwise_count(point[x] ^ point[y]) + np.bitwise_count(more[x] ^ more[y]) <= rules.distance
         near &= (np.abs(length[x] - length[y]) <= np.maximum(most[x], most[y])) & (~two[x] | (side[x] != side[y])) & (label[x] != label[y])
-        x, y = x[near], y[near]
-        alike = np.fromiter((sets.root(i) == sets.root(j) or similar_by_words(text[i], text[j], max(m, n)) for i, j, m, n in zip(x.tolist(), y.tolist(), most[x].tolist(), most[y].tolist())), bool, len(x))
-        join_all(sets, x[alike], y[alike])
-        doubtful.append((x[~alike], y[~alike]))
-        if ahead & ahead - 1 == 0:
-            label = sets.roots()
+        waiting.append((x[near], y[near]))
+        held += len(waiting[-1][0])
+        if held >= BATCH:
+            settle()
+            label, held = sets.roots(), 0
         ahead += 1
-    x, y = (np.concatenate([d[k] for d in doubtful]) if doubtful else np.zeros(0, np.int64) for k in (0, 1))
-    for at in range(0, len(x), BATCH):
-        label = sets.roots()
-        i, j = x[at : at + BATCH], y[at : at + BATCH]
-        short = (label[i] != label[j]) & (np.maximum(length[i], length[j]) <= LONG)
-        left, right = i[short], j[short]
-        alike = edits_within([text[k] for k in left.tolist()], [text[k] for k in right.tolist()], np.maximum(most[left], most[right]))
-        join_all(sets, left[alike], right[alike])
-        long = (label[i] != label[j]) & ~short
-        for k, other in zip(i[long].tolist(), j[long].tolist()):
-            if sets.root(k) != sets.root(other) and _similar_by_letters(text[k], text[other], int(max(most[k], most[other]))):
-                sets.join(k, other)
+    settle()
     root = sets.roots()
     moved = np.nonzero(root != np.arange(len(root)))[0].tolist()
     return pa.table({"a": pa.array([digest[k] for k in moved], pa.binary()), "b": pa.array([digest[root[k]] for k in moved], pa.binary())})
 
 
+def _join_within(sets: Sets, text: list[bytes], left: np.ndarray, right: np.ndarray, most: np.ndarray) -> None:
+    alike = edits_within([text[k] for k in left.tolist()], [text[k] for k in right.tolist()], most)
+    join_all(sets, left[alike], right[alike])
+
+
 def _tiles(table: pa.Table) -> np.ndarray:
     """Numbers, from 0, of the stretches of rows with like (component, i, j)."""
     new = np.zeros(len(table), bool)
@@ -670,13 +733,14 @@ def _fetch(docs: DataFrame, wanted: DataFrame) -> DataFrame:
             kinds = [pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.binary()]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=["component", "digest", "point", "more", "text"])
 
-    return docs.join(per_row.hint("merge"), "key").select("text", "wanted").mapInArrow(pick, f"component {kind}, digest binary, point long, more long, text binary")
+    return docs.join(per_row.hint("shuffle_hash"), "key").select("text", "wanted").mapInArrow(pick, f"component {kind}, digest binary, point long, more long, text binary")
 
 
 def _repeated(docs: DataFrame, scratch: Scratch, rules: Rules) -> DataFrame:
     """(doc, key, line, keep) of rows (doc, key, text): every line that goes, and the place (doc, key, line) of the one that stays."""
     lines = scratch.write(line_table(docs, rules, docs.schema["doc"].dataType.simpleString()), "lines")
-    distinct = lines.groupBy("digest").agg(F.min(F.struct("doc", "key", "line")).alias("first"), F.count("*").alias("times"), *(F.max(c).alias(c) for c in ("length", *LANES)))
+    # Any place will do to fetch a line's text; the smallest, which Spark finds by sorting, is sought of repeated lines only.
+    distinct = lines.groupBy("digest").agg(F.first("key").alias("key"), F.first("line").alias("line"), F.count("*").alias("times"), *(F.max(c).alias(c) for c in ("length", *LANES)))
     distinct = scratch.write(distinct, "distinct")
     points = distinct.where("point is not null").groupBy("point").agg(F.count("*").alias("texts"))
     fuzzy = distinct.where("point is not null").count()
@@ -684,15 +748,15 @@ def _repeated(docs: DataFrame, scratch: Scratch, rules: Rules) -> DataFrame:
     linked = components(point_links(distinct, rules, parts, scratch), scratch, "points")
     alike = points.join(linked.withColumnRenamed("node", "point"), "point", "left").where("component is not null or texts > 1")
     alike = alike.select("point", F.coalesce("component", "point").alias("component"))
-    wanted = distinct.join(alike, "point").select("component", "digest", "point", "more", "first.key", "first.line")
+    wanted = distinct.join(alike, "point").select("component", "digest", "point", "more", "key", "line")
     fetched = scratch.write(_fetch(docs.select("key", "text"), wanted), "fetched")
     groups = components(verified_links(fetched, rules, scratch), scratch, "groups")
     grouped = distinct.join(groups.withColumnRenamed("node", "digest"), "digest", "left").where("times > 1 or component is not null")
-    grouped = scratch.write(grouped.select("digest", "first", F.coalesce("component", "digest").alias("component")), "grouped")
+    grouped = grouped.select("digest", F.coalesce("component", "digest").alias("component"))
+    places = scratch.write(lines.join(grouped, "digest").select("component", F.struct("doc", "key", "line").alias("place")), "places")
     # Written, so that the join has an exchange of its own and Spark can split a large group.
-    keep = scratch.write(grouped.groupBy("component").agg(F.min("first").alias("keep")), "keep")
-    decided = grouped.join(keep, "component").select("digest", "keep")
-    return lines.join(decided, "digest").where("keep.key <> key or keep.line <> line").select("doc", "key", "line", "keep")
+    keep = scratch.write(places.groupBy("component").agg(F.min("place").alias("keep")), "keep")
+    return places.join(keep, "component").where("keep.key <> place.key or keep.line <> place.line").select("place.doc", "place.key", "place.line", "keep")
 
 
 def _keyed(docs: DataFrame, scratch: Scratch, id_column: str, text_column: str) -> tuple[DataFrame, str, DataFrame]:
@@ -720,24 +784,11 @@ def without_repeated_lines(docs: DataFrame, scratch: Scratch, rules: Rules = Rul
     gone = _repeated(rows, scratch, rules)
     # Written, so that the join has an exchange of its own on either side.
     per_row = scratch.write(gone.groupBy(F.col("key").alias("row")).agg(F.sort_array(F.collect_list("line")).alias("gone")), "gone")
-    columns = [c for c in docs.columns if c != "n_dropped"]
-    at = columns.index(text_column)
-
-    def drop(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            kept, dropped = [], []
-            for text, gone in zip(batch.column(at), batch.column(len(columns))):
-                value, gone = text.as_py(), gone.as_py()
-                if gone:
-                    without = set(gone)
-                    value = "\n".join(p for i, p in enumerate(value.split("\n")) if i not in without)
-                kept.append(value)
-                dropped.append(len(gone or ()))
-            out = [pa.array(kept, pa.string()) if k == at else batch.column(k) for k in range(len(columns))]
-            yield pa.RecordBatch.from_arrays([*out, pa.array(dropped, pa.int32())], names=[*columns, "n_dropped"])
-
-    # The lists are stored compressed, so their size on disk is no ground for a broadcast.
-    lists = per_row.select(F.col("row").alias(row := free_name(keyed, "row")), F.col("gone").alias(gone_name := free_name(keyed, "gone"))).hint("merge")
-    marked = keyed.join(lists, quoted(keyed, key) == lists[row], "left").select(*(quoted(keyed, c) for c in columns), lists[gone_name])
-    schema = T.StructType([*(T.StructField(f.name, f.dataType) for f in docs.schema if f.name != "n_dropped"), T.StructField("n_dropped", T.IntegerType())])
-    return marked.mapInArrow(drop, schema)
+    # A hash table of the lists, which are far smaller than the texts, so that whole texts needn't be sorted. The lists are
+    # stored compressed, so their size on disk is no ground for a broadcast.
+    lists = per_row.select(F.col("row").alias(row := free_name(keyed, "row")), F.col("gone").alias(gone_name := free_name(keyed, "gone"))).hint("shuffle_hash")
+    marked = keyed.join(lists, quoted(keyed, key) == lists[row], "left")
+    text, lost = quoted(keyed, text_column), lists[gone_name]
+    left = F.concat_ws("\n", F.filter(F.split(text, "\n", -1), lambda _, number: ~F.array_contains(lost, number)))
+    columns = [F.when(lost.isNull(), text).otherwise(left).alias(c) if c == text_column else quoted(keyed, c) for c in docs.columns if c != "n_dropped"]
+    return marked.select(*columns, F.when(lost.isNull(), 0).otherwise(F.size(lost)).alias("n_dropped"))

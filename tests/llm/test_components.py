@@ -1,6 +1,6 @@
 import random
 
-from tallyweave.llm.components import components
+from tallyweave.llm.components import _large_star, _small_star, components
 
 
 def plain(links):
@@ -28,3 +28,11 @@ def test_chains_stars_and_random_links(spark, scratch):
 
 def test_no_links(spark, scratch):
     assert components(spark.createDataFrame([], "a binary, b binary"), scratch, "c").count() == 0
+
+
+def test_a_step_has_one_exchange_and_drops_repeated_links(spark):
+    links = spark.createDataFrame([(2, 1), (2, 1), (5, 2), (5, 3), (5, 3), (9, 5)], "a long, b long")
+    for step, wanted in ((_large_star, [(5, 1), (9, 2)]), (_small_star, [(2, 1), (3, 2), (5, 2), (9, 5)])):
+        out = step(links)
+        assert str(out._jdf.queryExecution().executedPlan().toString()).count("Exchange hashpartitioning") == 1
+        assert set(wanted) <= {(r.a, r.b) for r in out.collect()}

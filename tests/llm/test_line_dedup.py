@@ -270,3 +270,19 @@ def test_empty_table_and_repeated_ids(spark, documents, scratch):
     other = Scratch(spark, "none")
     assert without_repeated_lines(docs.limit(0), other).count() == 0
     other.remove()
+
+
+def test_many_long_pairs_side_by_side():
+    """Bands of one word and of several, and their borders."""
+    rng = random.Random(4)
+    pairs, most = [], []
+    for _ in range(300):
+        a = bytes(rng.choice(b"abcde ") for _ in range(rng.choice([1, 56, 57, 64, 300, 700])))
+        b = bytearray(a)
+        for _ in range(rng.randrange(rng.choice([2, 40, 160]))):
+            at = rng.randrange(len(b) + 1)
+            b[at : at + rng.choice([0, 1, 2])] = rng.choice([b"", b"a", b"zz"])
+        pairs.append(rng.choice([(a, bytes(b)), (bytes(b), a)]))
+        most.append(rng.choice([1, 55, 56, 57, 64, 119, 120, 121]))
+    wanted = [edits(a, b, 10**6) <= m for (a, b), m in zip(pairs, most)]
+    assert line_dedup.edits_within([a for a, _ in pairs], [b for _, b in pairs], np.array(most)).tolist() == wanted
