@@ -33,7 +33,7 @@ from tallyweave.llm.common import Scratch, Sets, free_name, join_all, quoted, te
 from tallyweave.llm.components import components
 
 #: Lines of a component that one task compares with each other or with as many others.
-CHUNK = 1000
+CHUNK = 100
 #: Pairs of SimHashes that are compared at once.
 TILE = 2_000_000
 #: Blocks of 16 bits in a SimHash.
