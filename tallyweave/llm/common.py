@@ -30,6 +30,10 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Shuffle files go when the query that made them has ended, and not only when the driver happens to collect its garbage.
+DROP_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 class Scratch:
     """A folder of its own below the one that the session names in spark.checkpoint.dir.
 
@@ -45,7 +49,12 @@ class Scratch:
     def write(self, df: DataFrame, name: str) -> DataFrame:
         """`df` as a table that has been written once."""
         path = f"{self.path}/{name}"
-        df.write.option("compression", "zstd").parquet(path)
+        before = self.spark.conf.get(DROP_SHUFFLES, "false")
+        self.spark.conf.set(DROP_SHUFFLES, "true")
+        try:
+            df.write.option("compression", "zstd").parquet(path)
+        finally:
+            self.spark.conf.set(DROP_SHUFFLES, before)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def remove(self, name: str | None = None) -> None:

@@ -7,8 +7,8 @@
    128 bits. Entries are dealt out by (block, value), packed by the sending task; a bucket of a very common value is cut
    into tiles, each a task of its own. Each task returns a forest of its links, not all pairs.
 3. Components of the forests bring together all lines that could be linked. The texts of just these lines are
-   fetched. Within each component, pairs within the bit distance are verified by edit similarity; a component
-   beyond a size is cut into chunks, and every pair of chunks is a task of its own.
+   fetched. Within each component, pairs within the bit distance are verified by edit similarity; its lines are cut into
+   cells by length and these into chunks, and every pair of chunks of the same or neighbouring cells is a task of its own.
 4. Lines linked by verified pairs form groups. The first occurrence of each group stays, by document id, row and line number.
 
 Lines of every length count, only blank ones aside (also those of ASCII punctuation alone). Rows are told apart by a key of
@@ -20,6 +20,7 @@ from __future__ import annotations
 import math
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from functools import partial, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -32,8 +33,12 @@ from pyspark.sql import types as T
 from tallyweave.llm.common import Scratch, Sets, free_name, join_all, quoted, texts, with_row_keys
 from tallyweave.llm.components import components
 
-#: Lines of a component that one task compares with each other or with as many others.
+#: Lines of a component's cell that one task compares with each other or with as many others, at least.
 CHUNK = 100
+#: Chunks are so large that all copies of lines for their tasks have no more than so many times the lines' bytes, or COPIED_BYTES.
+COPIES, COPIED_BYTES = 8, 256 << 20
+#: What one round sends between tasks: half of the bytes of all distinct lines, or so many.
+ROUND_BYTES = 512 << 20
 #: Pairs of SimHashes that are compared at once.
 TILE = 2_000_000
 #: Blocks of 16 bits in a SimHash.
@@ -54,6 +59,8 @@ ROW_CELLS = 1 << 15
 BATCH = 6000
 #: Bytes beyond which two lines are compared by wavefronts.
 LONG = 16384
+#: Bytes whose neighbours are counted at once.
+COUNTED = 1 << 20
 
 
 @dataclass(frozen=True)
@@ -318,17 +325,20 @@ def _buckets(hashes: np.ndarray) -> np.ndarray:
     return (values.astype(np.uint32) + (np.arange(BLOCKS, dtype=np.uint32) << np.uint32(16))).T
 
 
-def point_links(lines: DataFrame, rules: Rules, parts: int, scratch: Scratch, hot: int = HOT) -> DataFrame:
-    """Links (a, b) between the first 64 bits of distinct lines (length, LANES) that agree in a block, and are of like length and near enough."""
+def point_links(lines: DataFrame, rules: Rules, parts: int, scratch: Scratch, hot: int = HOT, rounds: int = 1) -> DataFrame:
+    """Links (a, b) between the first 64 bits of distinct lines (length, LANES) that agree in a block, and are of like length and near enough.
 
-    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    A round deals out the entries of some blocks, to so many parts, and its shuffle is gone before the next.
+    """
+
+    def deal(batches: Iterator[pa.RecordBatch], blocks: slice) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
                 continue
             length = _length_class(batch.column(0).to_numpy(), rules.similarity)
             hashes = np.column_stack([c.to_numpy().view(np.uint64) for c in batch.columns[1:]])
-            entries = np.empty((BLOCKS, len(hashes)), ENTRY)
-            buckets = _buckets(hashes)
+            buckets = _buckets(hashes)[blocks]
+            entries = np.empty(buckets.shape, ENTRY)
             entries["code"] = buckets << np.uint32(CLASS_BITS) | length
             entries["point"], entries["more"] = hashes[:, 0], hashes[:, 1]
             part = ((buckets * np.uint32(2654435761)) >> np.uint32(8)).ravel() % np.uint32(parts)
@@ -366,8 +376,11 @@ def point_links(lines: DataFrame, rules: Rules, parts: int, scratch: Scratch, ho
                 a, b = _forest(both, rules.distance)
                 yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
 
-    dealt = lines.where("point is not null").select("length", *LANES).mapInArrow(deal, "part int, packed binary")
-    compared = scratch.write(dealt.groupBy("part").applyInArrow(compare, "a long, b long, left binary, right binary"), "compared")
+    each = []
+    for begin, end in zip(steps := [BLOCKS * k // rounds for k in range(rounds + 1)], steps[1:]):
+        dealt = lines.where("point is not null").select("length", *LANES).mapInArrow(partial(deal, blocks=slice(begin, end)), "part int, packed binary")
+        each.append(scratch.write(dealt.groupBy("part").applyInArrow(compare, "a long, b long, left binary, right binary"), f"compared/{begin}"))
+    compared = reduce(DataFrame.union, each)
     tiles = compared.where("left is not null").select("left", "right").repartition(F.xxhash64("left", "right"))
     return compared.where("left is null").select("a", "b").union(tiles.mapInArrow(compare_tiles, "a long, b long"))
 
@@ -632,8 +645,16 @@ def _verified(table: pa.Table, rules: Rules) -> pa.Table:
     side, two = table.column("side").to_numpy(), pc.not_equal(table.column("i"), table.column("j")).to_numpy()
     length = np.fromiter(map(len, text), np.int64, len(text))
     most = ((1 - rules.similarity) * length + 1e-9).astype(np.int64)
+    # Lines of a tile by length: once one is too long for another, so are all behind it.
     tile = _tiles(table)
-    end = np.searchsorted(tile, tile, "right")
+    order = np.lexsort((length, tile))
+    key = tile[order] * (int(length.max(initial=0)) + 1)
+    end = np.searchsorted(key + (length - most)[order], key + length[order], "right")
+    # Most pairs are shown by short runs of bytes to be too far apart; pairs of longer lines, whose edits cost most, by longer runs.
+    counts, large = _run_counts(text, 2, 256), np.nonzero(most >= 64)[0]
+    place = np.zeros(len(text), np.int64)
+    place[large] = np.arange(len(large))
+    large_counts = _run_counts([text[k] for k in large.tolist()], 4, 2048)
     sets, label = Sets(len(text)), np.arange(len(text))
     waiting: list[tuple[np.ndarray, np.ndarray]] = []
 
@@ -662,10 +683,16 @@ def _verified(table: pa.Table, rules: Rules) -> pa.Table:
 
     active, ahead, held = np.arange(len(text)), 1, 0
     while len(active := active[active + ahead < end[active]]):
-        x, y = active, active + ahead
+        x, y = order[active], order[active + ahead]
         near = np.bitwise_count(point[x] ^ point[y]) + np.bitwise_count(more[x] ^ more[y]) <= rules.distance
-        near &= (np.abs(length[x] - length[y]) <= np.maximum(most[x], most[y])) & (~two[x] | (side[x] != side[y])) & (label[x] != label[y])
-        waiting.append((x[near], y[near]))
+        near &= (~two[x] | (side[x] != side[y])) & (label[x] != label[y])
+        x, y = x[near], y[near]
+        possible = _may_be_within(counts[x], counts[y], most[y], 2)
+        more_runs = np.nonzero(possible & (most[x] >= 64))[0]
+        if len(more_runs):
+            i, j = x[more_runs], y[more_runs]
+            possible[more_runs] = _may_be_within(large_counts[place[i]], large_counts[place[j]], most[j], 4)
+        waiting.append((x[possible], y[possible]))
         held += len(waiting[-1][0])
         if held >= BATCH:
             settle()
@@ -677,6 +704,35 @@ def _verified(table: pa.Table, rules: Rules) -> pa.Table:
     return pa.table({"a": pa.array([digest[k] for k in moved], pa.binary()), "b": pa.array([digest[root[k]] for k in moved], pa.binary())})
 
 
+def _run_counts(text: list[bytes], size: int, counters: int) -> np.ndarray:
+    """How often runs of so many bytes stand in each line, in counters up to 255 that several runs share."""
+    out = np.zeros((len(text), counters), np.uint8)
+    ends = np.cumsum(np.fromiter(map(len, text), np.int64, len(text)))
+    begin = 0
+    while begin < len(text):
+        before = int(ends[begin - 1]) if begin else 0
+        end = max(begin + 1, int(np.searchsorted(ends, before + COUNTED, "right")))
+        data = np.frombuffer(b"".join(text[begin:end]), np.uint8)
+        total = np.zeros((end - begin) * counters, np.int64)
+        for at in range(0, len(data) - size + 1, COUNTED):  # only a line of its own is longer
+            some = data[at : at + COUNTED + size - 1]
+            code = np.zeros(len(some) - size + 1, np.uint32)
+            for k in range(size):
+                code = code * np.uint32(0x9E3779B1) + some[k : k + len(code)] + np.uint32(1)
+            code = (code ^ code >> np.uint32(15)) * np.uint32(0x85EBCA6B)
+            line = np.searchsorted(ends[begin:end] - before, np.arange(at, at + len(some)), "right")
+            place = line[: len(code)] * counters + (code >> np.uint32(13)) % np.uint32(counters)
+            total += np.bincount(place[line[: len(code)] == line[size - 1 :]], minlength=len(total))
+        out[begin:end] = total.clip(max=255).reshape(-1, counters)
+        begin = end
+    return out
+
+
+def _may_be_within(a: np.ndarray, b: np.ndarray, most: np.ndarray, size: int) -> np.ndarray:
+    """False only for pairs, by their counts of runs of this size, that are more edits apart: an edit ends so many runs at most and begins as many."""
+    return (np.maximum(a, b) - np.minimum(a, b)).sum(axis=1, dtype=np.int64) <= 2 * size * most
+
+
 def _join_within(sets: Sets, text: list[bytes], left: np.ndarray, right: np.ndarray, most: np.ndarray) -> None:
     alike = edits_within([text[k] for k in left.tolist()], [text[k] for k in right.tolist()], most)
     join_all(sets, left[alike], right[alike])
@@ -691,14 +747,35 @@ def _tiles(table: pa.Table) -> np.ndarray:
     return np.cumsum(new)
 
 
-def verified_links(lines: DataFrame, rules: Rules, scratch: Scratch, chunk: int = CHUNK) -> DataFrame:
-    """Links (a, b) between digests of lines (component, digest, point, more, text)."""
-    sizes = scratch.write(lines.groupBy("component").agg(F.count("*").alias("size")), "sizes")
-    spread = lines.join(sizes, "component").withColumn("chunks", F.expr(f"cast((size + {chunk - 1}) div {chunk} as int)"))
-    spread = spread.withColumn("mine", F.pmod(F.xxhash64("digest"), "chunks").cast("int"))
-    # Each chunk meets every chunk once: tile (i, j) with i <= j.
-    tiles = spread.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
-    tiles = tiles.select("component", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), F.col("mine").alias("side"), "digest", "point", "more", "text")
+def dealt_tiles(lines: DataFrame, rules: Rules, scratch: Scratch, chunk: int = CHUNK, copied_bytes: int = COPIED_BYTES) -> tuple[DataFrame, int]:
+    """Lines (component, digest, point, more, text) in tiles (component, i, j), with the side of a tile that a line is on, and the bytes of all copies.
+
+    Similar lines of a component lie in the same or neighbouring cells by length. A line is copied for every chunk of these.
+    """
+    # Somewhat wider than the similarity leaves, so that rounding sets no similar lines two cells apart.
+    width = -math.log(rules.similarity) * (1 + 1e-6)
+    lines = lines.withColumn("bytes", F.octet_length("text").cast("long")).withColumn("cell", F.floor(F.log("bytes") / F.lit(width)))
+    cells = scratch.write(lines.groupBy("component", "cell").agg(F.count("*").alias("n"), F.sum("bytes").alias("bytes")), "cells")
+    ways = cells.select("component", F.explode(F.array(*(F.col("cell") + d for d in (-1, 0, 1)))).alias("at"), "cell", "n", "bytes")
+    mine = F.col("cell") == F.col("at")
+    met = ways.groupBy("component", "at").agg(F.collect_list(F.struct("cell", "n")).alias("met"), *(F.max(F.when(mine, F.col(c))).alias(c) for c in ("n", "bytes")))
+    met = scratch.write(met.where("n is not null").withColumnRenamed("at", "cell"), "met")
+    sizes = [chunk << k for k in range(20)]
+    copied = [F.sum(F.expr(f"bytes * aggregate(met, 0L, (t, c) -> t + (c.n + {size - 1}) div {size})")) for size in sizes]
+    whole, *sent = (total or 0 for total in met.agg(F.sum("bytes"), *copied).first())
+    size, sent = next(((s, b) for s, b in zip(sizes, sent) if b <= max(copied_bytes, COPIES * whole)), (sizes[-1], sent[-1]))
+    spread = lines.select("component", "cell", "digest", "point", "more", "text").join(met.select("component", "cell", "met", "n"), ["component", "cell"])
+    spread = spread.withColumn("mine", F.expr(f"shiftleft(cell, 32) + pmod(xxhash64(digest), (n + {size - 1}) div {size})"))
+    # Each chunk meets every chunk of its cell and of the neighbouring ones once: tile (i, j) with i <= j.
+    others = f"flatten(transform(met, c -> transform(sequence(0L, (c.n + {size - 1}) div {size} - 1), k -> shiftleft(c.cell, 32) + k)))"
+    tiles = spread.withColumn("other", F.explode(F.expr(others)))
+    return tiles.select("component", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), F.col("mine").alias("side"), "digest", "point", "more", "text"), sent
+
+
+def verified_links(lines: DataFrame, rules: Rules, scratch: Scratch, chunk: int = CHUNK, copied_bytes: int = COPIED_BYTES, round_bytes: int = ROUND_BYTES) -> DataFrame:
+    """Links (a, b) between digests of lines (component, digest, point, more, text). Tiles of so many bytes are verified in one round."""
+    tiles, sent = dealt_tiles(lines, rules, scratch, chunk, copied_bytes)
+    rounds = max(1, -(-sent // round_bytes))
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """The last tile of a batch waits for its other rows."""
@@ -714,8 +791,13 @@ def verified_links(lines: DataFrame, rules: Rules, scratch: Scratch, chunk: int
         if held is not None:
             yield from _verified(held, rules).to_batches()
 
-    # Many small tiles stand in one batch. By digest, so that links go to a tile's smallest and the components need fewer rounds.
-    return tiles.repartition("component", "i", "j").sortWithinPartitions("component", "i", "j", "digest").mapInArrow(verify, "a binary, b binary")
+    each = []
+    for number in range(rounds):
+        some = tiles.where(F.pmod(F.xxhash64("component", "i", "j"), F.lit(rounds)) == number) if rounds > 1 else tiles
+        # Many small tiles stand in one batch. By digest, so that links go to a tile's smallest and the components need fewer rounds.
+        links = some.repartition("component", "i", "j").sortWithinPartitions("component", "i", "j", "digest").mapInArrow(verify, "a binary, b binary")
+        each.append(scratch.write(links, f"verified-{number}") if rounds > 1 else links)
+    return reduce(DataFrame.union, each)
 
 
 def _fetch(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -743,18 +825,24 @@ def _repeated(docs: DataFrame, scratch: Scratch, rules: Rules) -> DataFrame:
     distinct = lines.groupBy("digest").agg(F.first("key").alias("key"), F.first("line").alias("line"), F.count("*").alias("times"), *(F.max(c).alias(c) for c in ("length", *LANES)))
     distinct = scratch.write(distinct, "distinct")
     points = distinct.where("point is not null").groupBy("point").agg(F.count("*").alias("texts"))
-    fuzzy = distinct.where("point is not null").count()
-    parts = max(1, fuzzy * BLOCKS * ENTRY.itemsize // PART_BYTES)
-    linked = components(point_links(distinct, rules, parts, scratch), scratch, "points")
+    fuzzy, held = distinct.where("point is not null").agg(F.count("*"), F.coalesce(F.sum("length"), F.lit(0))).first()
+    round_bytes, entries = max(ROUND_BYTES, held // 2), fuzzy * BLOCKS * ENTRY.itemsize
+    rounds = min(BLOCKS, max(1, -(-entries // round_bytes)))
+    parts = max(1, entries // rounds // PART_BYTES)
+    linked = components(point_links(distinct, rules, parts, scratch, rounds=rounds), scratch, "points")
+    scratch.remove("compared")
     alike = points.join(linked.withColumnRenamed("node", "point"), "point", "left").where("component is not null or texts > 1")
     alike = alike.select("point", F.coalesce("component", "point").alias("component"))
     wanted = distinct.join(alike, "point").select("component", "digest", "point", "more", "key", "line")
     fetched = scratch.write(_fetch(docs.select("key", "text"), wanted), "fetched")
-    groups = components(verified_links(fetched, rules, scratch), scratch, "groups")
+    groups = components(verified_links(fetched, rules, scratch, round_bytes=round_bytes), scratch, "groups")
+    scratch.remove("fetched")
     grouped = distinct.join(groups.withColumnRenamed("node", "digest"), "digest", "left").where("times > 1 or component is not null")
     grouped = grouped.select("digest", F.coalesce("component", "digest").alias("component"))
     places = scratch.write(lines.join(grouped, "digest").select("component", F.struct("doc", "key", "line").alias("place")), "places")
     # Written, so that the join has an exchange of its own and Spark can split a large group.
+    for done in ("lines", "distinct"):
+        scratch.remove(done)
     keep = scratch.write(places.groupBy("component").agg(F.min("place").alias("keep")), "keep")
     return places.join(keep, "component").where("keep.key <> place.key or keep.line <> place.line").select("place.doc", "place.key", "place.line", "keep")
 
@@ -784,6 +872,8 @@ def without_repeated_lines(docs: DataFrame, scratch: Scratch, rules: Rules = Rul
     gone = _repeated(rows, scratch, rules)
     # Written, so that the join has an exchange of its own on either side.
     per_row = scratch.write(gone.groupBy(F.col("key").alias("row")).agg(F.sort_array(F.collect_list("line")).alias("gone")), "gone")
+    for done in ("places", "keep"):
+        scratch.remove(done)
     # A hash table of the lists, which are far smaller than the texts, so that whole texts needn't be sorted. The lists are
     # stored compressed, so their size on disk is no ground for a broadcast.
     lists = per_row.select(F.col("row").alias(row := free_name(keyed, "row")), F.col("gone").alias(gone_name := free_name(keyed, "gone"))).hint("shuffle_hash")

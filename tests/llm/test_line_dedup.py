@@ -286,3 +286,89 @@ def test_many_long_pairs_side_by_side():
         most.append(rng.choice([1, 55, 56, 57, 64, 119, 120, 121]))
     wanted = [edits(a, b, 10**6) <= m for (a, b), m in zip(pairs, most)]
     assert line_dedup.edits_within([a for a, _ in pairs], [b for _, b in pairs], np.array(most)).tolist() == wanted
+
+
+def near_lines_of(prose, n):
+    """(component, digest, point, more, text) of lines of several lengths, all in one component."""
+    lines = []
+    for k in range(n):
+        words = prose(k % 9, 40 + k % 9 * 4).split()
+        words[k % 40] = f"w{k}"
+        line = " ".join(words).encode()
+        lines.append((1, xxhash.xxh3_128_digest(line), *simhashes([line.split()], 2).view(np.int64)[0].tolist(), line))
+    return lines
+
+
+def test_a_large_component_is_not_copied_for_each_of_many_chunks(spark, scratch, prose):
+    """Every pair of lines of like length meets in one tile, and all copies together have eight times the lines' bytes at most."""
+    lines = near_lines_of(prose, 1200)
+    frame = spark.createDataFrame(lines, "component long, digest binary, point long, more long, text binary")
+    tiles, sent = line_dedup.dealt_tiles(frame, Rules(), scratch, 10, 0)
+    rows = tiles.collect()
+    assert sum(len(r.text) for r in rows) == sent <= line_dedup.COPIES * sum(len(line[-1]) for line in lines)
+    met = {}
+    for r in rows:
+        met.setdefault((r.i, r.j), []).append(r)
+    pairs = [frozenset((bytes(a.text), bytes(b.text))) for tile in met.values() for k, a in enumerate(tile) for b in tile[:k] if a.i == a.j or a.side != b.side]
+    assert len(pairs) == len(set(pairs))
+    size = [len(line[-1]) for line in lines]
+    wanted = {frozenset((lines[i][-1], lines[k][-1])) for i in range(len(lines)) for k in range(i) if min(size[i], size[k]) >= 0.9 * max(size[i], size[k])}
+    assert wanted <= set(pairs) and len(wanted) > 50_000
+
+
+def test_rounds_lose_no_link(spark, prose):
+    frame = spark.createDataFrame(near_lines_of(prose, 150), "component long, digest binary, point long, more long, text binary")
+    groups = []
+    for round_bytes in (1 << 30, 20_000):
+        work = Scratch(spark, f"round{round_bytes}")
+        groups.append({bytes(r.node): bytes(r.component) for r in components(verified_links(frame, Rules(), work, 9, round_bytes=round_bytes), work, "g").collect()})
+        work.remove()
+    assert groups[0] == groups[1] and len(groups[0]) > 100
+
+
+def test_blocks_in_rounds_give_the_same_groups(spark, documents, prose):
+    base = [prose(k, 40) for k in range(4)]
+    rows = [(k, " ".join(w if i != k % 37 else f"word{k}" for i, w in enumerate(base[k % 4].split()))) for k in range(100)]
+    table = documents(rows).select(F.col("doc_id").alias("doc"), F.col("doc_id").alias("key"), "text")
+    lines = line_table(table, Rules(), table.schema["doc"].dataType.simpleString())
+    groups = []
+    for rounds in (1, 3, 20):
+        work = Scratch(spark, f"rounds{rounds}")
+        groups.append({r.node: r.component for r in components(point_links(lines, Rules(), 3, work, rounds=rounds), work, "g").collect()})
+        work.remove()
+    assert groups[0] == groups[1] == groups[2] and len(groups[0]) > 50
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.binary(min_size=1, max_size=60), min_size=2, max_size=2), st.sampled_from([(2, 256), (4, 2048), (2, 3)]))
+def test_runs_of_bytes_rule_out_no_pair_within_the_edits(pair, runs):
+    counts = line_dedup._run_counts(pair, *runs)
+    assert line_dedup._may_be_within(counts[:1], counts[1:], np.array([edits(*pair, 10**6)]), runs[0]).all()
+
+
+def test_runs_of_bytes_in_portions(monkeypatch):
+    rng = random.Random(1)
+    lines = [bytes(rng.choice(b"abc ") for _ in range(rng.choice([1, 3, 40, 300]))) for _ in range(60)]
+    whole = line_dedup._run_counts(lines, 4, 2048)
+    assert whole.sum(axis=1).tolist() == [max(0, len(line) - 3) for line in lines]
+    monkeypatch.setattr(line_dedup, "COUNTED", 64)
+    assert (line_dedup._run_counts(lines, 4, 2048) == whole).all()
+
+
+def test_tables_and_shuffles_of_former_steps_are_gone(spark, documents, scratch, prose):
+    def shuffles():
+        files = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return {str(files.apply(k).getName()) for k in range(files.size()) if files.apply(k).getName().startswith("shuffle_")}
+
+    docs = documents([(k, prose(k, 30) + "\n" + prose(k % 7, 20)) for k in range(60)])
+    before = shuffles()
+    result = without_repeated_lines(docs, scratch)
+    for _ in range(50):  # they go in the background
+        if len(left := {name for name in shuffles() - before if name.endswith(".data")}) <= 3:
+            break
+        time.sleep(0.2)
+    assert len(left) <= 3  # of counts and of the like
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(scratch.path)
+    kept = {f.getPath().getName() for f in path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(path)}
+    assert not kept & {"lines", "distinct", "compared", "fetched", "places", "keep"} and "gone" in kept
+    assert result.agg(F.sum("n_dropped")).first()[0] == 53
