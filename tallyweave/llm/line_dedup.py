@@ -38,7 +38,7 @@ CHUNK = 100
 #: Chunks are so large that all copies of lines for their tasks have no more than so many times the lines' bytes, or COPIED_BYTES.
 COPIES, COPIED_BYTES = 8, 256 << 20
 #: What one round sends between tasks: half of the bytes of all distinct lines, or so many.
-ROUND_BYTES = 512 << 20
+ROUND_BYTES = 1 << 30
 #: Pairs of SimHashes that are compared at once.
 TILE = 2_000_000
 #: Blocks of 16 bits in a SimHash.
@@ -755,14 +755,15 @@ def dealt_tiles(lines: DataFrame, rules: Rules, scratch: Scratch, chunk: int = C
     # Somewhat wider than the similarity leaves, so that rounding sets no similar lines two cells apart.
     width = -math.log(rules.similarity) * (1 + 1e-6)
     lines = lines.withColumn("bytes", F.octet_length("text").cast("long")).withColumn("cell", F.floor(F.log("bytes") / F.lit(width)))
-    cells = scratch.write(lines.groupBy("component", "cell").agg(F.count("*").alias("n"), F.sum("bytes").alias("bytes")), "cells")
+    cells = lines.groupBy("component", "cell").agg(F.count("*").alias("n"), F.sum("bytes").alias("bytes"))
     ways = cells.select("component", F.explode(F.array(*(F.col("cell") + d for d in (-1, 0, 1)))).alias("at"), "cell", "n", "bytes")
     mine = F.col("cell") == F.col("at")
     met = ways.groupBy("component", "at").agg(F.collect_list(F.struct("cell", "n")).alias("met"), *(F.max(F.when(mine, F.col(c))).alias(c) for c in ("n", "bytes")))
     met = scratch.write(met.where("n is not null").withColumnRenamed("at", "cell"), "met")
     sizes = [chunk << k for k in range(20)]
-    copied = [F.sum(F.expr(f"bytes * aggregate(met, 0L, (t, c) -> t + (c.n + {size - 1}) div {size})")) for size in sizes]
-    whole, *sent = (total or 0 for total in met.agg(F.sum("bytes"), *copied).first())
+    copied = [F.sum(F.expr(f"bytes * ((other.n + {size - 1}) div {size})")) for size in sizes]
+    pairs = met.select("cell", "bytes", F.explode("met").alias("other"))
+    whole, *sent = (total or 0 for total in pairs.agg(F.sum(F.expr("if(other.cell = cell, bytes, 0)")), *copied).first())
     size, sent = next(((s, b) for s, b in zip(sizes, sent) if b <= max(copied_bytes, COPIES * whole)), (sizes[-1], sent[-1]))
     spread = lines.select("component", "cell", "digest", "point", "more", "text").join(met.select("component", "cell", "met", "n"), ["component", "cell"])
     spread = spread.withColumn("mine", F.expr(f"shiftleft(cell, 32) + pmod(xxhash64(digest), (n + {size - 1}) div {size})"))
